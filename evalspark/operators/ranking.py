@@ -108,5 +108,5 @@ def exact_percentiles(
     out = r.groupBy(*keys).agg(*exprs)
     for name in probs:
         lo, hi, f = F.col(f"{name}__lo"), F.col(f"{name}__hi"), F.col(f"{name}__f")
-        out = out.withColumn(name, lo + (hi - lo) * f).drop(f"{name}__lo", f"{name}__hi", f"{name}__f")
+        out = out.withColumn(name, lo * (1 - f) + hi * f).drop(f"{name}__lo", f"{name}__hi", f"{name}__f")
     return out

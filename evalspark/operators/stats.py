@@ -10,6 +10,7 @@ leaves the executors.
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -56,10 +57,10 @@ def value_counts(
 
 def _percentile_at(p: float, n: Column, before: Column, w: Column, v: Column):
     """Exact interpolated percentile pieces over a weighted distinct table."""
-    h = F.lit(p) * (n - 1)
+    h = F.lit(Decimal(repr(p))) * (n - 1)  # exact decimal position
     lo, hi = F.floor(h), F.ceil(h)
     cov = lambda k: (w > 0) & (before <= k) & (k < before + w)
-    return F.max(F.when(cov(lo), v)), F.max(F.when(cov(hi), v)), h - lo
+    return F.max(F.when(cov(lo), v)), F.max(F.when(cov(hi), v)), (h - lo).cast("double")
 
 
 def rank_summary(counts: DataFrame, buckets: int = 64, percentiles: bool = True) -> DataFrame:
