@@ -20,6 +20,7 @@ from pyspark.sql.types import DoubleType
 
 from evalspark.functions.normal import two_sided_p_sql
 from evalspark.operators.ranking import smaller_weight
+from evalspark.session import materialize
 
 EXACT_MAX_SMALL = 8
 
@@ -63,9 +64,17 @@ def _percentile_at(p: float, n: Column, before: Column, w: Column, v: Column):
     return F.max(F.when(cov(lo), v)), F.max(F.when(cov(hi), v)), (h - lo).cast("double")
 
 
-def rank_summary(counts: DataFrame, buckets: int = 64, percentiles: bool = True) -> DataFrame:
+def rank_summary(counts: DataFrame, buckets: int = 64, percentiles: bool = True,
+                 materialize_counts: bool = True) -> DataFrame:
     """Per metric: sizes, means, population std, rank sum R1 of the candidate,
-    tie term and (optionally) exact candidate p50/p95."""
+    tie term and (optionally) exact candidate p50/p95.
+
+    The distinct-value table is read by several branches (split points,
+    bucket totals, local ranks, sizes); it is checkpointed once so the raw
+    scan and its shuffle run a single time.
+    """
+    if materialize_counts:
+        counts = materialize(counts)
     ranked = smaller_weight(counts, ["metric_name"], "v", {"_bt": "t", "_bc": "c"}, buckets=buckets)
     sizes = counts.groupBy("metric_name").agg(
         F.sum("c").alias("n1"), F.sum("b").alias("n2"),
@@ -74,8 +83,8 @@ def rank_summary(counts: DataFrame, buckets: int = 64, percentiles: bool = True)
     r = ranked.join(sizes, "metric_name")
     rank = F.col("_bt") + (F.col("t") + 1) / 2.0
     t = F.col("t").cast("double")
-    mean1 = F.col("_s1") / F.col("n1")
-    mean2 = F.col("_s2") / F.col("n2")
+    mean1 = F.try_divide(F.col("_s1"), F.col("n1"))
+    mean2 = F.try_divide(F.col("_s2"), F.col("n2"))
     aggs = [
         F.first("n1").alias("n1"), F.first("n2").alias("n2"),
         F.first(mean1).alias("candidate_mean"), F.first(mean2).alias("baseline_mean"),
@@ -89,8 +98,8 @@ def rank_summary(counts: DataFrame, buckets: int = 64, percentiles: bool = True)
             lo, hi, f = _percentile_at(p, F.col("n1"), F.col("_bc"), F.col("c"), F.col("v"))
             aggs += [lo.alias(f"_{name}_lo"), hi.alias(f"_{name}_hi"), F.max(f).alias(f"_{name}_f")]
     out = r.groupBy("metric_name").agg(*aggs)
-    out = out.withColumn("candidate_std", F.sqrt(F.col("_ss1") / F.col("n1"))) \
-             .withColumn("baseline_std", F.sqrt(F.col("_ss2") / F.col("n2")))
+    out = out.withColumn("candidate_std", F.sqrt(F.try_divide(F.col("_ss1"), F.col("n1")))) \
+             .withColumn("baseline_std", F.sqrt(F.try_divide(F.col("_ss2"), F.col("n2"))))
     if percentiles:
         for name in ("p50", "p95"):
             lo, hi, f = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_f")
@@ -143,7 +152,7 @@ def mann_whitney_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     u1 = F.col("r1") - n1 * (n1 + 1) / 2.0
     df = df.withColumn("u_statistic", u1)
     u = F.greatest(u1, n1 * n2 - u1)
-    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie") / (n * (n - 1))))
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("tie"), n * (n - 1))))
     df = df.withColumn("_u", u).withColumn("_sigma", sigma)
     df = df.withColumn(
         "z_score",

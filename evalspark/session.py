@@ -15,6 +15,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -49,3 +50,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used for pre-aggregated intermediate tables that several branches of a
+    plan read (so the big scan and shuffle run once), and to cut lineage so a
+    lost executor does not send recomputation back to the raw scan. Reliable
+    ``checkpoint()`` only: the files live in the cluster's shared folder.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
