@@ -55,8 +55,10 @@ def run_state(events: DataFrame) -> DataFrame:
 
 
 def _json_of(state: Column, prefix: str) -> Column:
-    return F.to_json(F.map_from_entries(F.filter(state, lambda e: e["k"].startswith(prefix)).transform(
-        lambda e: F.struct(F.substring(e["k"], len(prefix) + 1, 10_000).alias("key"), e["v"].alias("value")))))
+    picked = F.filter(state, lambda e: e["k"].startswith(prefix))
+    entries = F.transform(picked, lambda e: F.struct(F.substring(e["k"], len(prefix) + 1, 10_000).alias("key"),
+                                                     e["v"].alias("value")))
+    return F.to_json(F.map_from_entries(entries))
 
 
 def run_records(events: DataFrame) -> DataFrame:
@@ -70,7 +72,7 @@ def run_records(events: DataFrame) -> DataFrame:
         .alias("completed_at"),
     )
     created = events.groupBy("run_id").agg(F.min("ts").alias("created_at"))
-    get = lambda key: F.filter("_s", lambda e: e["k"] == key)[0]["v"]
+    get = lambda key: F.get(F.filter("_s", lambda e: e["k"] == key), 0)["v"]
     return per_run.join(created, "run_id").select(
         "run_id", get("job_id").alias("job_id"), get("job_run_id").alias("job_run_id"),
         get(STATUS_KEY).alias("status"), get(CONFIG_KEY).alias("config"),
