@@ -3,7 +3,7 @@ column expressions (F8-F11, F24)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.functions.text import WS_CLASS
@@ -74,10 +74,12 @@ def judge_prompt(prompt, response, ground_truth, template: str = JUDGE_PROMPT_TE
     return F.concat(*parts)
 
 
-def parse_judgement(result) -> Column:
-    """parse a judge reply into a struct
+def parse_judgements(df: DataFrame, result: str, out: str = "judgement") -> DataFrame:
+    """add ``out`` = struct
 
-    (score, reasoning, strengths, weaknesses, error, parse_path).
+    (score, reasoning, strengths, weaknesses, error, parse_path)
+
+    parsed from the judge reply in column ``result``:
 
     1. the text from the first '{' to the last '}' is parsed as JSON: a
        missing score is 0.0, a string score is cast, a null or non-numeric
@@ -85,43 +87,64 @@ def parse_judgement(result) -> Column:
     2. otherwise a ``"score": <digit>`` fallback takes one digit (T19) and
        keeps the whole reply as reasoning;
     3. otherwise NULL score and the first 200 characters in the message.
+
+    Built in projection steps so the JSON text is extracted and parsed once
+    per row (one ``from_json`` into a string map).
     """
-    r = _c(result)
+    r = F.col(result)
+    tmp = [f"_jp_{k}" for k in ("j", "m", "path", "digit")]
     j = F.regexp_extract(r, r"(?s)\{.*\}", 0)
-    keys = F.json_object_keys(j)
-    valid = (F.length(j) > 0) & keys.isNotNull()
-    has = lambda k: F.array_contains(keys, k)
-    raw = F.get_json_object(j, "$.score")
-    num = raw.try_cast("double")
-    json_score = F.when(~has("score"), F.lit(0.0)).otherwise(num)
-    json_failed = has("score") & num.isNull()
-    arr = lambda k: F.coalesce(F.from_json(F.get_json_object(j, f"$.{k}"), "array<string>"),
-                               F.array().cast("array<string>"))
+    df = df.withColumn(tmp[0], j)
+    df = df.withColumn(tmp[1], F.when(F.length(F.col(tmp[0])) > 0,
+                                      F.from_json(F.col(tmp[0]), "map<string,string>")))
+    m = F.col(tmp[1])
+    has = lambda k: F.map_contains_key(m, k)
+    num = F.element_at(m, F.lit("score")).try_cast("double")
     digit = F.regexp_extract(r, SCORE_FALLBACK, 1)
-    has_digit = F.length(digit) > 0
-    empty = F.array().cast("array<string>")
-
+    df = df.withColumn(tmp[3], F.when(m.isNull(), digit))
     path = F.when(r.isNull(), F.lit("none")) \
-            .when(valid & json_failed, F.lit("failed")) \
-            .when(valid, F.lit("json")) \
-            .when(has_digit, F.lit("regex")) \
+            .when(m.isNotNull() & has("score") & num.isNull(), F.lit("failed")) \
+            .when(m.isNotNull(), F.lit("json")) \
+            .when(F.length(F.col(tmp[3])) > 0, F.lit("regex")) \
             .otherwise(F.lit("none"))
-    score = F.when(path == "json", json_score).when(path == "regex", digit.cast("double"))
-    reasoning = F.when(path == "json",
-                       F.when(has("reasoning"), F.get_json_object(j, "$.reasoning")).otherwise(F.lit(""))) \
-                 .when(path == "regex", r) \
-                 .when(path == "failed", F.lit(FAILED_PREFIX + SCORE_NOT_NUMBER)) \
-                 .otherwise(F.concat(F.lit(UNPARSED_PREFIX), F.substring(F.coalesce(r, F.lit("None")), 1,
-                                                                          UNPARSED_CHARS)))
-    error = F.when(path == "failed", F.lit(SCORE_NOT_NUMBER))
-    return F.struct(
+    df = df.withColumn(tmp[2], path)
+    p = F.col(tmp[2])
+    empty = F.array().cast("array<string>")
+    arr = lambda k: F.coalesce(F.from_json(F.element_at(m, F.lit(k)), "array<string>"), empty)
+    score = F.when(p == "json", F.when(has("score"), num).otherwise(F.lit(0.0))) \
+             .when(p == "regex", F.col(tmp[3]).cast("double"))
+    reasoning = F.when(p == "json", F.when(has("reasoning"), F.element_at(m, F.lit("reasoning")))
+                       .otherwise(F.lit(""))) \
+                 .when(p == "regex", r) \
+                 .when(p == "failed", F.lit(FAILED_PREFIX + SCORE_NOT_NUMBER)) \
+                 .otherwise(F.concat(F.lit(UNPARSED_PREFIX),
+                                     F.substring(F.coalesce(r, F.lit("None")), 1, UNPARSED_CHARS)))
+    parsed = F.struct(
         score.cast("double").alias("score"),
         reasoning.alias("reasoning"),
-        F.when(path == "json", arr("strengths")).otherwise(empty).alias("strengths"),
-        F.when(path == "json", arr("weaknesses")).otherwise(empty).alias("weaknesses"),
-        error.alias("error"),
-        path.alias("parse_path"),
+        F.when(p == "json", arr("strengths")).otherwise(empty).alias("strengths"),
+        F.when(p == "json", arr("weaknesses")).otherwise(empty).alias("weaknesses"),
+        F.when(p == "failed", F.lit(SCORE_NOT_NUMBER)).alias("error"),
+        p.alias("parse_path"),
     )
+    return df.withColumn(out, parsed).drop(*tmp)
+
+
+def _text_from_variant(v: Column, raw: Column, with_text: bool) -> Column:
+    """Key presence is ``variant_get(...) IS NOT NULL`` (a JSON null value is
+    a VARIANT null, a missing key is SQL NULL); one type probe per element."""
+    vget = lambda path: F.variant_get(v, path, "variant")
+    get = lambda path: F.try_variant_get(v, path, "string")
+    pred_kind = F.schema_of_variant(vget("$.predictions[0]"))
+    choice_is_obj = F.schema_of_variant(vget("$.choices[0]")).startswith("OBJECT")
+    out = F.when(pred_kind == "STRING", get("$.predictions[0]")) \
+           .when(pred_kind.startswith("OBJECT") & vget("$.predictions[0].content").isNotNull(),
+                 get("$.predictions[0].content")) \
+           .when(choice_is_obj & vget("$.choices[0].message").isNotNull(),
+                 F.coalesce(get("$.choices[0].message.content"), F.lit("")))
+    if with_text:
+        out = out.when(choice_is_obj & vget("$.choices[0].text").isNotNull(), get("$.choices[0].text"))
+    return out.otherwise(raw)
 
 
 def extract_response_text(body, with_text: bool = True) -> Column:
@@ -131,16 +154,13 @@ def extract_response_text(body, with_text: bool = True) -> Column:
     choices[0].text (inference replies only, ``with_text``); else the raw body.
     """
     b = _c(body)
-    v = F.try_parse_json(b)
-    kind = lambda path: F.schema_of_variant(F.variant_get(v, path, "variant"))
-    get = lambda path: F.try_variant_get(v, path, "string")
-    is_obj = lambda path: kind(path).startswith("OBJECT")
-    has_key = lambda path, k: F.array_contains(
-        F.json_object_keys(F.to_json(F.variant_get(v, path, "variant"))), k)
-    out = F.when(kind("$.predictions[0]") == "STRING", get("$.predictions[0]")) \
-           .when(is_obj("$.predictions[0]") & has_key("$.predictions[0]", "content"), get("$.predictions[0].content")) \
-           .when(is_obj("$.choices[0]") & has_key("$.choices[0]", "message"),
-                 F.coalesce(get("$.choices[0].message.content"), F.lit("")))
-    if with_text:
-        out = out.when(is_obj("$.choices[0]") & has_key("$.choices[0]", "text"), get("$.choices[0].text"))
-    return out.otherwise(b)
+    return _text_from_variant(F.try_parse_json(b), b, with_text)
+
+
+def extract_response_texts(df: DataFrame, body: str, outs: dict[str, bool]) -> DataFrame:
+    """F9 for whole frames: the body is parsed to VARIANT once per row, then
+    each ``out -> with_text`` column is read from it."""
+    df = df.withColumn("_body_v", F.try_parse_json(F.col(body)))
+    for out, with_text in outs.items():
+        df = df.withColumn(out, _text_from_variant(F.col("_body_v"), F.col(body), with_text))
+    return df.drop("_body_v")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.functions.judge import FAILED_PREFIX, extract_response_text, judge_prompt, parse_judgement
+from evalspark.functions.judge import FAILED_PREFIX, extract_response_text, judge_prompt, parse_judgements
 from evalspark.operators.datasets import content_id
 from evalspark.operators.latency import classify_status
 
@@ -118,9 +118,9 @@ def batch_judge(
     )
     j = call_per_row(keyed, "_jp", call, ["_key", "response_id", "prompt_id", "model_version"],
                      max_workers, partitions)
-    text = F.when(F.col("status_code") == 200, extract_response_text(F.col("body"), with_text=False))
-    parsed = parse_judgement(text)
-    j = j.withColumn("_p", parsed)
+    j = j.withColumn("_text", F.when(F.col("status_code") == 200,
+                                     extract_response_text(F.col("body"), with_text=False)))
+    j = parse_judgements(j, "_text", "_p")
     call_failed = F.col("status_code").isNull() | (F.col("status_code") != 200)
     fail_msg = F.coalesce(F.col("error"), F.concat(F.lit("HTTP "), F.col("status_code").cast("string")))
     score = F.when(call_failed, F.lit(None).cast("double")).otherwise(F.col("_p.score"))

@@ -245,7 +245,7 @@ def q_metric_scorers(spark, d):
 @query("judge_parse", with_bindings("judge_texts") + f"""
 SELECT event_id, {Q.judge_parse_cols('result')} FROM judge_texts""")
 def q_judge_parse(spark, d):
-    t = T.judge_texts(spark, d).select("event_id", J.parse_judgement("result").alias("p"))
+    t = J.parse_judgements(T.judge_texts(spark, d), "result", "p")
     return t.select("event_id", "p.score", "p.reasoning", F.size("p.strengths").alias("n_strengths"),
                     F.size("p.weaknesses").alias("n_weaknesses"), "p.error", "p.parse_path")
 
@@ -253,9 +253,8 @@ def q_judge_parse(spark, d):
 @query("extract_response_text", with_bindings("endpoint_json") + f"""
 SELECT event_id, {Q.response_text('body')} AS text, {Q.response_text('body', False)} AS judge_text FROM endpoint_json""")
 def q_extract_response_text(spark, d):
-    e = T.endpoint_json(spark, d)
-    return e.select("event_id", J.extract_response_text("body").alias("text"),
-                    J.extract_response_text("body", with_text=False).alias("judge_text"))
+    e = J.extract_response_texts(T.endpoint_json(spark, d), "body", {"text": True, "judge_text": False})
+    return e.select("event_id", "text", "judge_text")
 
 
 @query("judge_prompt", with_bindings("pairs") + f"""

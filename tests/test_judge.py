@@ -9,7 +9,7 @@ from evalspark.functions import judge as J
 
 def parse(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "r string")
-    return [r.p.asDict() for r in df.select(J.parse_judgement("r").alias("p")).collect()]
+    return [r.p.asDict() for r in J.parse_judgements(df, "r", "p").collect()]
 
 
 def test_parse_shapes(spark):
