@@ -191,3 +191,72 @@ def generate_qa(
             yield out
 
     return src.mapInPandas(fn, QA_SCHEMA)
+
+
+def judge_to_evals(responses: DataFrame, call: Callable, endpoint_name: str, run_id: str,
+                   sample_size: int | None = None, created_at=None, max_workers: int = 10,
+                   partitions: int | None = None) -> DataFrame:
+    """K2 entry with the optional sample limit made repeatable (L2, T25):
+    the first ``sample_size`` rows by md5 of the prompt id."""
+    from evalspark.operators.datasets import deterministic_sample
+
+    df = responses if sample_size is None else deterministic_sample(responses, sample_size, "prompt_id")
+    return batch_judge(df, call, endpoint_name, run_id, created_at, max_workers, partitions)
+
+
+def metrics_to_evals(df: DataFrame, metrics: list[str], score: Callable, run_id: str, created_at=None,
+                     max_workers: int = 10, partitions: int | None = None) -> DataFrame:
+    """K3 with an external scorer: each requested metric that has a scorer
+    (F22; others are skipped) is scored per evaluation record (F21) by
+    ``score(scorer_name, question, output, expected_facts) -> float``; the
+    values are written, not dropped (T5)."""
+    from evalspark.operators.scoring import METRIC_TO_SCORER, SCORER_TAG, eval_records
+
+    wanted = [(m, METRIC_TO_SCORER[m]) for m in metrics if m in METRIC_TO_SCORER]
+    if not wanted:
+        return df.sparkSession.createDataFrame([], "eval_id string, response_id string, prompt_id string, "
+                                                   "model_version string, run_id string, metric_name string, "
+                                                   "metric_value double, metric_details string, evaluator string, "
+                                                   "created_at timestamp")
+    rec = eval_records(df).select(
+        F.col("metadata.prompt_id").alias("prompt_id"), F.col("inputs.question").alias("question"),
+        "outputs", F.col("expectations.expected_facts").alias("facts"))
+    base = df.select("prompt_id", "model_version",
+                     (F.col("response_id") if "response_id" in df.columns else F.lit(None).cast("string"))
+                     .alias("response_id"))
+    rec = rec.join(base, "prompt_id")
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric_name"), F.lit(s).alias("scorer"))
+                                for m, s in wanted]))
+    rows = rec.select("*", pairs.alias("_m")).select("*", "_m.metric_name", "_m.scorer").drop("_m")
+    src = rows.select(content_id(F.lit(run_id), F.coalesce("response_id", "prompt_id"), "model_version",
+                                 "metric_name").alias("eval_id"),
+                      "response_id", "prompt_id", "model_version", "metric_name", "scorer", "question",
+                      "outputs", F.to_json("facts").alias("facts"))
+    if partitions:
+        src = src.repartition(partitions, "eval_id")
+    carry = ["eval_id", "response_id", "prompt_id", "model_version", "metric_name"]
+    schema = ", ".join(f"{c} string" for c in carry) + ", metric_value double, error string"
+
+    def fn(batches):
+        import json as _json
+
+        def one(row):
+            try:
+                return float(score(row.scorer, row.question, row.outputs, _json.loads(row.facts))), None
+            except Exception as e:  # noqa: BLE001
+                return None, str(e)
+
+        for b in batches:
+            with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
+                res = list(pool.map(one, b.itertuples(index=False)))
+            out = b[carry].copy()
+            out["metric_value"] = [r[0] for r in res]
+            out["error"] = [r[1] for r in res]
+            yield out
+
+    scored = src.mapInPandas(fn, schema)
+    ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
+    return scored.select(
+        "eval_id", "response_id", "prompt_id", "model_version", F.lit(run_id).alias("run_id"), "metric_name",
+        "metric_value", F.when(F.col("error").isNotNull(), F.to_json(F.struct(F.col("error").alias("error"))))
+        .alias("metric_details"), F.lit(SCORER_TAG).alias("evaluator"), ts.alias("created_at"))

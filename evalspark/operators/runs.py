@@ -96,3 +96,8 @@ def json_set(js, key: str, value) -> Column:
     rest = F.map_filter(m, lambda k, _v: k != F.lit(key))
     val = value if isinstance(value, Column) else F.lit(value)
     return F.to_json(F.map_concat(rest, F.create_map(F.lit(key), val.cast("string"))))
+
+
+def run_exists(events: DataFrame, run_id: str) -> bool:
+    """Whether any event of ``run_id`` exists (stops at the first row)."""
+    return not events.where(F.col("run_id") == run_id).isEmpty()

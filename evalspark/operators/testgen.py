@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evalspark.operators.ranking import smaller_weight
+from evalspark.session import materialize
 
 MIN_CHUNK_CHARS = 50
 SCAN_LIMIT = 200
@@ -72,7 +73,9 @@ def hard_negatives(
     # ties on the 60-bit key (vanishingly rare) are ordered by id
     tie = Window.partitionBy("_h").orderBy("id")
     pos = ranked.withColumn("pos", F.col("_before") + F.row_number().over(tie) - 1).select("id", "doc", "pos")
-    n_rows = base.count()
+    # both join sides read the positions: write them once (also cuts lineage)
+    pos = materialize(pos)
+    n_rows = pos.count()
     m = max(0, min(window, n_rows - 1))
     if m == 0:
         return base.sparkSession.createDataFrame([], "chunk_id string, rank int, negative_chunk_id string")
@@ -180,3 +183,33 @@ def generation_stats(rows: DataFrame, version: str | None = None) -> DataFrame:
         F.count_if(F.coalesce(F.col("qa_pairs_count"), F.lit(0)) == 0).alias("skipped_chunks"),
     )
     return out
+
+
+def build_testset(chunks: DataFrame, gen, k: int = NEGATIVES_PER_QUERY, pairs_per_chunk: int = 3,
+                  version: str | None = None, retries: int = 3, backoff_s: float = 1.0,
+                  partitions: int | None = None) -> dict[str, DataFrame]:
+    """K4+K5+K7+K8 composition: generated QA pairs, hard negatives, the three
+    export record sets, testgen_chunks rows and run totals (A24), all lazy.
+
+    ``chunks`` needs chunk_id, source_text, source, source_collection,
+    dataset_version and created_at (the ``chunks`` binding shape).
+    """
+    from evalspark.operators.batch import generate_qa
+
+    generated = generate_qa(chunks, gen, pairs_per_chunk, retries, backoff_s, partitions=partitions)
+    qa = generated.where(F.col("error").isNull() & F.col("question").isNotNull()) \
+        .select("chunk_id", "question", "ground_truth", "source_text")
+    skipped = generated.where(F.col("error").isNotNull()).select("chunk_id", "error", "attempts")
+    negatives = hard_negatives(chunks, k=k)
+    rows = chunk_rows(chunks, qa, version)
+    failed = skipped.select("chunk_id", F.lit(True).alias("_failed")).dropDuplicates(["chunk_id"])
+    totals = rows.join(failed, "chunk_id", "left").agg(
+        F.count(F.lit(1)).alias("chunks"),
+        F.coalesce(F.sum("qa_pairs_count"), F.lit(0)).cast("long").alias("qa_pairs"),
+        F.count_if(F.coalesce(F.col("_failed"), F.lit(False))).alias("skipped"),
+    )
+    return {
+        "qa": qa, "skipped": skipped, "negatives": negatives,
+        "qa_records": qa_records(qa, chunks), "retrieval": retrieval_records(qa, negatives),
+        "rag": rag_records(qa), "chunk_rows": rows, "totals": totals,
+    }

@@ -138,3 +138,43 @@ def test_generate_qa_retries_and_skips(spark):
     bad = {r.chunk_id: r for r in out if r.error is not None}
     assert len(ok) == 2 and {r.chunk_id for r in ok} == {"1"}
     assert bad["2"].error.startswith("chunk too short") and bad["3"].attempts == 3
+
+
+def test_build_testset_composition(spark):
+    from evalspark.plans.catalog import first_chars_generator
+
+    chunks = T.chunks(spark, SF001)
+    out = testgen.build_testset(chunks, first_chars_generator, k=2, backoff_s=0.0)
+    qa = T.qa(spark, SF001)
+    assert sorted(tuple(r) for r in out["qa"].collect()) == sorted(tuple(r) for r in qa.collect())
+    t = out["totals"].first()
+    assert t.chunks == chunks.count() and t.qa_pairs == qa.count() and t.skipped == 0
+    assert out["retrieval"].count() == qa.count()
+
+
+def test_judge_to_evals_sample_is_repeatable(spark):
+    pairs = T.pairs(spark, SF001)
+
+    def call(prompt):
+        return 200, json.dumps({"predictions": ['{"score": 3}']})
+
+    a = {r.prompt_id for r in batch.judge_to_evals(pairs, call, "j", "r", sample_size=5).collect()}
+    b = {r.prompt_id for r in batch.judge_to_evals(pairs, call, "j", "r", sample_size=5).collect()}
+    assert a == b and len(a) == 5
+
+
+def test_metrics_to_evals_maps_and_writes_values(spark):
+    pairs = T.pairs(spark, SF001)
+
+    def score(scorer, question, output, facts):
+        if scorer == "Safety":
+            raise RuntimeError("unavailable")
+        return float(len(output) % 5) + (0.5 if facts else 0.0)
+
+    out = batch.metrics_to_evals(pairs, ["faithfulness", "safety", "unknown_metric"], score, "r")
+    rows = out.collect()
+    assert {r.metric_name for r in rows} == {"faithfulness", "safety"}
+    assert all(r.metric_value is not None for r in rows if r.metric_name == "faithfulness")
+    assert all(r.metric_value is None and "unavailable" in r.metric_details for r in rows
+               if r.metric_name == "safety")
+    assert len(rows) == 2 * pairs.count()
