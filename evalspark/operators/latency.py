@@ -39,7 +39,7 @@ def _null_safe_join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 def latency_trends(
     df: DataFrame,
     by=("model_version", "endpoint_name", "created_at"),
-    buckets: int = 16,
+    buckets: int | None = None,
 ) -> DataFrame:
     """A4: exact interpolated p50/p95/p99, mean, sample std and count per
     (model, endpoint, day), NULL latencies excluded.

@@ -18,6 +18,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalspark.session import materialize
+
+
+TARGET_ROWS_PER_BUCKET = 131_072
+MAX_BUCKETS = 16_384
+
+
+def auto_buckets(df: DataFrame, keys: list[str], target_rows: int = TARGET_ROWS_PER_BUCKET,
+                 max_buckets: int = MAX_BUCKETS) -> int:
+    """Bucket count from the measured size of the largest group: one window
+    per group while every group fits ``target_rows``, otherwise enough
+    buckets (a power of two) to cut the largest group to that size.
+    One small aggregation (a row per group); ``df`` is normally materialized."""
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    need = -(-largest // max(1, target_rows))
+    b = 1
+    while b < need and b < max_buckets:
+        b <<= 1
+    return b
+
 
 def _bucket_levels(buckets: int) -> int:
     d = 0
@@ -31,13 +51,17 @@ def smaller_weight(
     keys: list[str],
     value: str,
     weights: dict[str, str],
-    buckets: int = 64,
+    buckets: int | None = None,
     accuracy: int = 10000,
 ) -> DataFrame:
     """For each ``out -> weight`` in ``weights`` add ``out`` = sum of
     ``weight`` over rows of the same ``keys`` whose ``value`` is strictly
-    smaller. ``df`` holds one row per (keys, value)."""
+    smaller. ``df`` holds one row per (keys, value). ``buckets=None`` picks
+    the count from the data (``auto_buckets``)."""
     unb = Window.unboundedPreceding
+    if buckets is None:
+        buckets = auto_buckets(df, keys)
+        accuracy = max(accuracy, 4 * buckets)
     if buckets <= 1:
         w = Window.partitionBy(*keys).orderBy(value).rowsBetween(unb, -1)
         for out, wt in weights.items():
@@ -84,7 +108,7 @@ def exact_percentiles(
     keys: list[str],
     value: str,
     probs: dict[str, float],
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles (``percentile`` / ``quantile_cont``
     semantics) per group, computed from value counts and prefix sums instead
@@ -93,6 +117,8 @@ def exact_percentiles(
     Returns one row per group with one column per entry of ``probs``.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_t"))
+    # read by the split, bucket, size and prefix branches: write it once
+    counts = materialize(counts)
     ranked = smaller_weight(counts, keys, value, {"_before": "_t"}, buckets=buckets)
     sizes = counts.groupBy(*keys).agg(F.sum("_t").alias("_n"))
     r = ranked.join(sizes, keys)

@@ -41,7 +41,7 @@ def compare_metrics(
     baseline_run: str | None = None,
     threshold_pct: float = THRESHOLD_PCT,
     alpha: float = P_VALUE_THRESHOLD,
-    buckets: int = 64,
+    buckets: int | None = None,
     exact: bool = True,
 ) -> DataFrame:
     """One comparison row per requested metric.
@@ -106,7 +106,7 @@ def regression_report(
     alpha: float = P_VALUE_THRESHOLD,
     run_id: str | None = None,
     dataset_version: str | None = None,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> DataFrame:
     """K6: comparison rows with the overall verdict attached to each row.
 

@@ -64,7 +64,7 @@ def _percentile_at(p: float, n: Column, before: Column, w: Column, v: Column):
     return F.max(F.when(cov(lo), v)), F.max(F.when(cov(hi), v)), (h - lo).cast("double")
 
 
-def rank_summary(counts: DataFrame, buckets: int = 64, percentiles: bool = True,
+def rank_summary(counts: DataFrame, buckets: int | None = None, percentiles: bool = True,
                  materialize_counts: bool = True) -> DataFrame:
     """Per metric: sizes, means, population std, rank sum R1 of the candidate,
     tie term and (optionally) exact candidate p50/p95.
@@ -162,6 +162,13 @@ def mann_whitney_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     asym = F.when((F.col("n1") < 2) | (F.col("n2") < 2), F.lit(1.0)) \
             .when(F.col("z_score").isNull(), F.lit(1.0)) \
             .otherwise(F.expr(two_sided_p_sql("z_score")))
+    if exact:
+        # one row per metric: write them once, and start the Python exact-p
+        # helper only when some metric qualifies (no ties, a sample <= 8)
+        df = materialize(df)
+        needs = (F.col("n1") >= 2) & (F.col("n2") >= 2) & (F.least("n1", "n2") <= EXACT_MAX_SMALL) & \
+            (F.col("tie") == 0)
+        exact = not df.where(needs).isEmpty()
     if exact:
         df = df.withColumn("_exact", _exact_p_udf(F.col("n1"), F.col("n2"), F.col("_u"), F.col("tie")))
         df = df.withColumn("p_value", F.coalesce(F.col("_exact"), asym)).drop("_exact")
@@ -177,7 +184,7 @@ def mann_whitney(
     metrics: list[str] | None = None,
     candidate_run: str | None = None,
     baseline_run: str | None = None,
-    buckets: int = 64,
+    buckets: int | None = None,
     exact: bool = True,
 ) -> DataFrame:
     """Per metric n_candidate, n_baseline, U, z and two-sided p."""

@@ -53,7 +53,7 @@ def hard_negatives(
     window: int = 16,
     id_col: str = "chunk_id",
     doc_col: str = "source",
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``k`` negatives per chunk without comparing all pairs.
 

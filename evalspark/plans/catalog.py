@@ -421,7 +421,7 @@ def _reg_sql(select: str) -> str:
     return with_bindings("evals", extra=_STATS_CTES) + select
 
 
-def _report(spark, d, buckets=64):
+def _report(spark, d, buckets=None):
     return regression.regression_report(T.evals(spark, d), CANDIDATE, BASELINE, regression.DEFAULT_METRICS,
                                         run_id=REG_RUN, buckets=buckets)
 

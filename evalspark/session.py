@@ -53,12 +53,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+    """Write ``df`` once as a parquet table in the shared folder and read it back.
 
     Used for pre-aggregated intermediate tables that several branches of a
     plan read (so the big scan and shuffle run once), and to cut lineage so a
-    lost executor does not send recomputation back to the raw scan. Reliable
-    ``checkpoint()`` only: the files live in the cluster's shared folder.
+    lost executor does not send recomputation back to the raw scan. The files
+    live under the cluster's shared folder (``spark.checkpoint.dir``), never
+    on a machine-local path.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "mat")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
