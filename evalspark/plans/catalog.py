@@ -139,7 +139,7 @@ def q_text_metrics(spark, d):
 
 
 @query("rouge_l", with_bindings("pairs", extra=Q.lcs_ctes("pairs", "prompt_id")) + f"""
-SELECT k AS prompt_id, lcs, {Q.rouge_from('lcs', 'm', 'n')} AS rouge_l FROM lcs""")
+SELECT k AS prompt_id, cast(lcs AS BIGINT) AS lcs, {Q.rouge_from('lcs', 'm', 'n')} AS rouge_l FROM lcs""")
 def q_rouge_l(spark, d):
     p = T.pairs(spark, d)
     return p.select("prompt_id", X.lcs_length("response", "ground_truth").alias("lcs"), "response",
@@ -331,7 +331,7 @@ def q_latency_trends(spark, d):
 
 
 @query("inference_success_rate", with_bindings("responses") + """
-SELECT run_id, count(*) AS total_requests, count_if(status = 'success') AS successful_requests,
+SELECT run_id, count(*) AS total_requests, cast(count_if(status = 'success') AS BIGINT) AS successful_requests,
   CASE WHEN count(*) > 0 THEN cast(count_if(status = 'success') AS double) / count(*) ELSE 0.0 END AS success_rate
 FROM responses GROUP BY run_id""")
 def q_inference_success_rate(spark, d):
@@ -407,7 +407,7 @@ _STATS_CTES = [
   CASE WHEN m.metric_name IS NULL THEN NULL WHEN contains(lower(m.metric_name), 'latency')
        THEN m.pct_change > {regression.THRESHOLD_PCT} AND m.p_value < {regression.P_VALUE_THRESHOLD}
        ELSE m.pct_change < -{regression.THRESHOLD_PCT} AND m.p_value < {regression.P_VALUE_THRESHOLD} END AS is_regression,
-  coalesce(m.n1, 0) AS n_candidate, coalesce(m.n2, 0) AS n_baseline,
+  cast(coalesce(m.n1, 0) AS BIGINT) AS n_candidate, cast(coalesce(m.n2, 0) AS BIGINT) AS n_baseline,
   CASE WHEN m.metric_name IS NULL THEN 'Insufficient data' END AS reason
   FROM req q LEFT JOIN mwp m ON m.metric_name = q.metric_name"""),
     ("rep", f"""SELECT *, count_if(coalesce(is_regression, false)) OVER () AS n_regressions,
@@ -443,7 +443,7 @@ def q_version_means(spark, d):
 
 
 @query("mann_whitney", _reg_sql("""
-SELECT metric_name, n1 AS n_candidate, n2 AS n_baseline, u_statistic, z_score, p_value FROM mwp"""))
+SELECT metric_name, cast(n1 AS BIGINT) AS n_candidate, cast(n2 AS BIGINT) AS n_baseline, u_statistic, z_score, p_value FROM mwp"""))
 def q_mann_whitney(spark, d):
     return stats.mann_whitney(T.evals(spark, d), CANDIDATE, BASELINE, regression.DEFAULT_METRICS)
 
@@ -458,8 +458,8 @@ def q_regression_report(spark, d):
 
 
 @query("overall_verdict", _reg_sql(f"""
-SELECT count_if(coalesce(is_regression, false)) AS n_regressions,
-  count_if(coalesce(is_regression, false) AND abs(coalesce(pct_change, 0.0)) > {2 * regression.THRESHOLD_PCT}) AS n_severe,
+SELECT cast(count_if(coalesce(is_regression, false)) AS BIGINT) AS n_regressions,
+  cast(count_if(coalesce(is_regression, false) AND abs(coalesce(pct_change, 0.0)) > {2 * regression.THRESHOLD_PCT}) AS BIGINT) AS n_severe,
   count(*) AS n_metrics, any_value(verdict) AS verdict FROM rep"""))
 def q_overall_verdict(spark, d):
     comp = regression.compare_metrics(T.evals(spark, d), CANDIDATE, BASELINE, regression.DEFAULT_METRICS)
@@ -601,7 +601,7 @@ def q_qa_counts(spark, d):
 
 
 @query("chunk_versions", with_bindings("chunks", "qa", extra=[_CHUNK_ROWS]) + """
-SELECT dataset_version, source_collection, count(*) AS chunk_count, sum(qa_pairs_count) AS total_qa_pairs,
+SELECT dataset_version, source_collection, count(*) AS chunk_count, cast(sum(qa_pairs_count) AS BIGINT) AS total_qa_pairs,
   min(created_at) AS first_created, max(created_at) AS last_created
 FROM chunk_rows GROUP BY dataset_version, source_collection""")
 def q_chunk_versions(spark, d):
@@ -610,7 +610,7 @@ def q_chunk_versions(spark, d):
 
 @query("generation_stats", with_bindings("chunks", "qa", extra=[_CHUNK_ROWS]) + """
 SELECT count(*) AS total_chunks, cast(coalesce(sum(qa_pairs_count), 0) AS bigint) AS total_qa_pairs,
-  coalesce(avg(qa_pairs_count), 0.0) AS avg_qa_per_chunk, count_if(coalesce(qa_pairs_count, 0) = 0) AS skipped_chunks
+  coalesce(avg(qa_pairs_count), 0.0) AS avg_qa_per_chunk, cast(count_if(coalesce(qa_pairs_count, 0) = 0) AS BIGINT) AS skipped_chunks
 FROM chunk_rows WHERE dataset_version = 'v1'""")
 def q_generation_stats(spark, d):
     return testgen.generation_stats(_chunk_rows(spark, d), "v1")
@@ -648,7 +648,7 @@ def q_hard_negatives(spark, d):
 
 
 @query("retrieval_eval", with_bindings("chunks", "qa", extra=_NEG_CTES) + """
-SELECT q.question AS query, q.chunk_id AS relevant_chunk_id, coalesce(n.cnt, 0) AS n_negatives,
+SELECT q.question AS query, q.chunk_id AS relevant_chunk_id, cast(coalesce(n.cnt, 0) AS INTEGER) AS n_negatives,
   coalesce(n.ids, '') AS hard_negative_chunk_ids
 FROM qa q LEFT JOIN (SELECT chunk_id, count(*) AS cnt, string_agg(negative_chunk_id, ',' ORDER BY rank) AS ids
   FROM neg GROUP BY chunk_id) n ON n.chunk_id = q.chunk_id""")

@@ -92,7 +92,7 @@ def judge_parse_cols(r: str) -> str:
     digit = f"regexp_extract({r}, {lit(SCORE_FALLBACK)}, 1)"
     path = (f"CASE WHEN {r} IS NULL THEN 'none' WHEN {valid} AND {has('score')} AND {num} IS NULL THEN 'failed' "
             f"WHEN {valid} THEN 'json' WHEN length({digit}) > 0 THEN 'regex' ELSE 'none' END")
-    arr = lambda k: f"coalesce(len(TRY_CAST(json_extract({j}, '$.{k}') AS VARCHAR[])), 0)"
+    arr = lambda k: f"cast(coalesce(len(TRY_CAST(json_extract({j}, '$.{k}') AS VARCHAR[])), 0) AS INTEGER)"
     return f"""
   CASE WHEN ({path}) = 'json' THEN (CASE WHEN NOT {has('score')} THEN 0.0 ELSE {num} END)
        WHEN ({path}) = 'regex' THEN cast({digit} AS double) END AS score,
@@ -100,8 +100,8 @@ def judge_parse_cols(r: str) -> str:
        WHEN ({path}) = 'regex' THEN {r}
        WHEN ({path}) = 'failed' THEN {lit(FAILED_PREFIX + SCORE_NOT_NUMBER)}
        ELSE concat({lit(UNPARSED_PREFIX)}, substr(coalesce({r}, 'None'), 1, {UNPARSED_CHARS})) END AS reasoning,
-  CASE WHEN ({path}) = 'json' THEN {arr('strengths')} ELSE 0 END AS n_strengths,
-  CASE WHEN ({path}) = 'json' THEN {arr('weaknesses')} ELSE 0 END AS n_weaknesses,
+  CASE WHEN ({path}) = 'json' THEN {arr('strengths')} ELSE cast(0 AS INTEGER) END AS n_strengths,
+  CASE WHEN ({path}) = 'json' THEN {arr('weaknesses')} ELSE cast(0 AS INTEGER) END AS n_weaknesses,
   CASE WHEN ({path}) = 'failed' THEN {lit(SCORE_NOT_NUMBER)} END AS error,
   {path} AS parse_path"""
 
