@@ -25,6 +25,12 @@ from evalspark.operators.latency import classify_status
 CALL_FIELDS = "status_code int, body string, error string, latency_ms double"
 
 
+def _call_partitions(df: DataFrame, partitions: int | None) -> int:
+    """External calls are I/O bound: spread them over every core of the
+    cluster (a hash repartition on the key) unless told otherwise."""
+    return partitions or df.sparkSession.sparkContext.defaultParallelism
+
+
 def _run_calls(texts: list, call: Callable, max_workers: int) -> pd.DataFrame:
     def one(t):
         start = time.perf_counter()
@@ -50,8 +56,7 @@ def call_per_row(df: DataFrame, text_col: str, call: Callable, carry: list[str],
     """Apply ``call(text) -> (status_code, body)`` to every row; the string
     columns in ``carry`` travel with the result (no join back)."""
     src = df.select(*[F.col(c).cast("string").alias(c) for c in carry], F.col(text_col).alias("_text"))
-    if partitions:
-        src = src.repartition(partitions, carry[0])
+    src = src.repartition(_call_partitions(df, partitions), carry[0])
     schema = ", ".join(f"{c} string" for c in carry) + ", " + CALL_FIELDS
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -162,8 +167,7 @@ def generate_qa(
     question; generated pairs have ``error`` NULL.
     """
     src = chunks.select(F.col(id_col).alias("chunk_id"), F.col(text_col).alias("source_text"))
-    if partitions:
-        src = src.repartition(partitions, "chunk_id")
+    src = src.repartition(_call_partitions(chunks, partitions), "chunk_id")
 
     def one(cid, text):
         if text is None or len(text) < min_chars:
@@ -232,8 +236,7 @@ def metrics_to_evals(df: DataFrame, metrics: list[str], score: Callable, run_id:
                                  "metric_name").alias("eval_id"),
                       "response_id", "prompt_id", "model_version", "metric_name", "scorer", "question",
                       "outputs", F.to_json("facts").alias("facts"))
-    if partitions:
-        src = src.repartition(partitions, "eval_id")
+    src = src.repartition(_call_partitions(df, partitions), "eval_id")
     carry = ["eval_id", "response_id", "prompt_id", "model_version", "metric_name"]
     schema = ", ".join(f"{c} string" for c in carry) + ", metric_value double, error string"
 

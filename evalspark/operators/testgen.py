@@ -187,7 +187,7 @@ def generation_stats(rows: DataFrame, version: str | None = None) -> DataFrame:
 
 def build_testset(chunks: DataFrame, gen, k: int = NEGATIVES_PER_QUERY, pairs_per_chunk: int = 3,
                   version: str | None = None, retries: int = 3, backoff_s: float = 1.0,
-                  partitions: int | None = None) -> dict[str, DataFrame]:
+                  partitions: int | None = None, negatives: bool = True) -> dict[str, DataFrame]:
     """K4+K5+K7+K8 composition: generated QA pairs, hard negatives, the three
     export record sets, testgen_chunks rows and run totals (A24), all lazy.
 
@@ -196,11 +196,11 @@ def build_testset(chunks: DataFrame, gen, k: int = NEGATIVES_PER_QUERY, pairs_pe
     """
     from evalspark.operators.batch import generate_qa
 
-    generated = generate_qa(chunks, gen, pairs_per_chunk, retries, backoff_s, partitions=partitions)
+    # the generator is an external call: run it once, every output reads the written result
+    generated = materialize(generate_qa(chunks, gen, pairs_per_chunk, retries, backoff_s, partitions=partitions))
     qa = generated.where(F.col("error").isNull() & F.col("question").isNotNull()) \
         .select("chunk_id", "question", "ground_truth", "source_text")
     skipped = generated.where(F.col("error").isNotNull()).select("chunk_id", "error", "attempts")
-    negatives = hard_negatives(chunks, k=k)
     rows = chunk_rows(chunks, qa, version)
     failed = skipped.select("chunk_id", F.lit(True).alias("_failed")).dropDuplicates(["chunk_id"])
     totals = rows.join(failed, "chunk_id", "left").agg(
@@ -208,8 +208,11 @@ def build_testset(chunks: DataFrame, gen, k: int = NEGATIVES_PER_QUERY, pairs_pe
         F.coalesce(F.sum("qa_pairs_count"), F.lit(0)).cast("long").alias("qa_pairs"),
         F.count_if(F.coalesce(F.col("_failed"), F.lit(False))).alias("skipped"),
     )
-    return {
-        "qa": qa, "skipped": skipped, "negatives": negatives,
-        "qa_records": qa_records(qa, chunks), "retrieval": retrieval_records(qa, negatives),
-        "rag": rag_records(qa), "chunk_rows": rows, "totals": totals,
+    out = {
+        "qa": qa, "skipped": skipped, "qa_records": qa_records(qa, chunks), "rag": rag_records(qa),
+        "chunk_rows": rows, "totals": totals,
     }
+    if negatives:
+        out["negatives"] = hard_negatives(chunks, k=k)
+        out["retrieval"] = retrieval_records(qa, out["negatives"])
+    return out

@@ -703,6 +703,40 @@ def q_generate_qa(spark, d):
         .select("chunk_id", "question", "ground_truth", "source_text")
 
 
+@query("testgen_totals", with_bindings("chunks", "qa") + """
+SELECT (SELECT count(*) FROM chunks) AS chunks, (SELECT count(*) FROM qa) AS qa_pairs, cast(0 AS BIGINT) AS skipped""")
+def q_testgen_totals(spark, d):
+    out = testgen.build_testset(T.chunks(spark, d), first_chars_generator, k=_NEG_K, backoff_s=0.0,
+                                negatives=False)
+    return out["totals"]
+
+
+def length_scorer(scorer: str, question: str, output: str, facts: list) -> float:
+    """Deterministic stand-in for an external scorer."""
+    return float((len(output) + len(scorer)) % 5) + (0.5 if facts else 0.0)
+
+
+@query("scorer_evals", with_bindings("pairs") + f"""
+SELECT md5(concat_ws('|', '{EVAL_RUN}', prompt_id, model_version, metric_name)) AS eval_id, prompt_id, model_version,
+  metric_name, cast((length(coalesce(response, '')) + length(scorer)) % 5 AS double)
+    + CASE WHEN {Q.nonempty('ground_truth')} THEN 0.5 ELSE 0.0 END AS metric_value, 'mlflow_genai' AS evaluator
+FROM pairs, (VALUES ('faithfulness', 'RetrievalGroundedness'), ('answer_relevance', 'RelevanceToQuery')) m(metric_name, scorer)""")
+def q_scorer_evals(spark, d):
+    out = batch.metrics_to_evals(T.pairs(spark, d), ["faithfulness", "answer_relevance", "judge_score"],
+                                 length_scorer, EVAL_RUN, created_at=FIXED_TS, max_workers=4)
+    return out.select("eval_id", "prompt_id", "model_version", "metric_name", "metric_value", "evaluator")
+
+
+@query("judge_sample", with_bindings("pairs") + f"""
+SELECT prompt_id, model_version,
+  CASE WHEN length({_JP}) % 13 = 0 THEN NULL ELSE cast(length({_JP}) % 5 + 1 AS double) END AS metric_value
+FROM pairs ORDER BY md5(prompt_id), prompt_id LIMIT 50""")
+def q_judge_sample(spark, d):
+    out = batch.judge_to_evals(T.pairs(spark, d), judge_call, JUDGE_ENDPOINT, JUDGE_RUN, sample_size=50,
+                               created_at=FIXED_TS, max_workers=4)
+    return out.select("prompt_id", "model_version", "metric_value")
+
+
 # ---------------------------------------------------------------- runs
 
 @query("run_state", with_bindings("run_events") + """
