@@ -528,8 +528,10 @@ def q_regression_summary(spark, d):
 SELECT coalesce(c.metric_name, b.metric_name) AS metric_name, c.metric_mean AS candidate_mean, c.metric_std AS candidate_std,
   b.metric_mean AS baseline_mean, b.metric_std AS baseline_std, c.metric_mean - b.metric_mean AS mean_diff,
   CASE WHEN b.metric_mean > 0 THEN round((c.metric_mean - b.metric_mean) / b.metric_mean * 100.0, 2) ELSE 0.0 END AS pct_change
-FROM (SELECT metric_name, metric_mean, metric_std FROM summary WHERE model_version = '{CANDIDATE}') c
-FULL OUTER JOIN (SELECT metric_name, metric_mean, metric_std FROM summary WHERE model_version = '{BASELINE}') b
+FROM (SELECT metric_name, metric_mean, metric_std FROM (SELECT *, row_number() OVER (PARTITION BY metric_name
+        ORDER BY created_at DESC, run_id DESC) AS rn FROM summary WHERE model_version = '{CANDIDATE}') x WHERE rn = 1) c
+FULL OUTER JOIN (SELECT metric_name, metric_mean, metric_std FROM (SELECT *, row_number() OVER (PARTITION BY metric_name
+        ORDER BY created_at DESC, run_id DESC) AS rn FROM summary WHERE model_version = '{BASELINE}') y WHERE rn = 1) b
 ON c.metric_name = b.metric_name""")
 def q_version_comparison(spark, d):
     return views.version_comparison(T.summary(spark, d), CANDIDATE, BASELINE)

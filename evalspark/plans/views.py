@@ -50,13 +50,25 @@ def metric_trends(summary: DataFrame, metrics=TREND_METRICS) -> DataFrame:
 def prompt_scores(evals: DataFrame, responses: DataFrame, prompts: DataFrame) -> DataFrame:
     """View 3 (J2): per-prompt scores with response and prompt text.
 
-    Joined on (prompt_id, model_version) then prompt_id; pass a prompts frame
-    restricted to one dataset version to avoid fan-out (T6).
+    Eval rows that carry a response_id are joined on it (one response per
+    eval row, T7); rows without one fall back to (prompt_id, model_version).
+    Two equi-joins, unioned, so no eval row is multiplied by every response
+    of its prompt. Pass a prompts frame restricted to one dataset version to
+    avoid fan-out on the prompt side (T6).
     """
-    e = evals.select("prompt_id", "model_version", "metric_name", "metric_value", "evaluator")
-    r = responses.select("prompt_id", "model_version", "response")
+    e = evals.select(
+        (F.col("response_id") if "response_id" in evals.columns else F.lit(None).cast("string")).alias("e_rid"),
+        "prompt_id", "model_version", "metric_name", "metric_value", "evaluator")
+    rid = F.col("response_id") if "response_id" in responses.columns else F.lit(None).cast("string")
+    r = responses.select(rid.alias("r_rid"), F.col("prompt_id").alias("r_pid"),
+                         F.col("model_version").alias("r_mv"), "response")
+    by_id = e.where(F.col("e_rid").isNotNull()).join(r, F.col("e_rid") == F.col("r_rid"))
+    by_key = e.where(F.col("e_rid").isNull()).join(
+        r, (F.col("prompt_id") == F.col("r_pid")) & (F.col("model_version") == F.col("r_mv")))
+    cols = ["prompt_id", "model_version", "metric_name", "metric_value", "evaluator", "response"]
+    j = by_id.select(*cols).unionByName(by_key.select(*cols))
     p = prompts.select("prompt_id", "prompt", "ground_truth")
-    return e.join(r, ["prompt_id", "model_version"]).join(p, "prompt_id").select(
+    return j.join(p, "prompt_id").select(
         "prompt_id", "prompt", "model_version", "metric_name", "metric_value", "evaluator", "response",
         "ground_truth",
     )
@@ -79,13 +91,24 @@ def regression_summary(summary: DataFrame) -> DataFrame:
     )
 
 
+def latest_per_metric(summary: DataFrame, version: str) -> DataFrame:
+    """The newest summary row per metric of one version (by created_at, then
+    run_id), so two versions compare one-to-one per metric."""
+    w = Window.partitionBy("metric_name").orderBy(F.col("created_at").desc(), F.col("run_id").desc())
+    return summary.where(F.col("model_version") == version) \
+        .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
 def version_comparison(summary: DataFrame, candidate: str, baseline: str) -> DataFrame:
-    """View 6 (J4): full outer join of two versions' summaries by metric."""
+    """View 6 (J4): full outer join of two versions' latest summaries by metric.
+
+    Each side is first reduced to its latest row per metric, so the join is
+    one-to-one instead of pairing every run of one version with every run of
+    the other.
+    """
     cols = ["metric_name", "metric_mean", "metric_std", "sample_size"]
-    c = summary.where(F.col("model_version") == candidate).select(
-        *[F.col(x).alias(f"c_{x}") for x in cols])
-    b = summary.where(F.col("model_version") == baseline).select(
-        *[F.col(x).alias(f"b_{x}") for x in cols])
+    c = latest_per_metric(summary, candidate).select(*[F.col(x).alias(f"c_{x}") for x in cols])
+    b = latest_per_metric(summary, baseline).select(*[F.col(x).alias(f"b_{x}") for x in cols])
     j = c.join(b, F.col("c_metric_name") == F.col("b_metric_name"), "full")
     cm, bm = F.col("c_metric_mean"), F.col("b_metric_mean")
     return j.select(

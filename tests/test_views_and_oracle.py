@@ -86,3 +86,22 @@ def test_oracle_parity(spark, duck, name):
 
 def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_prompt_scores_by_response_id_no_run_fanout(spark):
+    # two runs answer the same prompt with the same model: each eval row keeps one response
+    ev = spark.createDataFrame([("r1", "p", "1", "m", 1.0, "e"), ("r2", "p", "1", "m", 0.0, "e")],
+                               "response_id string, prompt_id string, model_version string, metric_name string, "
+                               "metric_value double, evaluator string")
+    resp = spark.createDataFrame([("r1", "p", "1", "a"), ("r2", "p", "1", "b")],
+                                 "response_id string, prompt_id string, model_version string, response string")
+    pr = spark.createDataFrame([("p", "q", "t")], "prompt_id string, prompt string, ground_truth string")
+    rows = {(r.metric_value, r.response) for r in views.prompt_scores(ev, resp, pr).collect()}
+    assert rows == {(1.0, "a"), (0.0, "b")}
+
+
+def test_version_comparison_one_row_per_metric(spark):
+    s = T.summary(spark, SF001)
+    vc = views.version_comparison(s, "2", "1")
+    n_metrics = s.select("metric_name").distinct().count()
+    assert vc.count() == n_metrics
