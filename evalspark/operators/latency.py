@@ -80,14 +80,18 @@ def error_analysis(df: DataFrame) -> DataFrame:
 
     ``error_share_pct`` is the dashboard's share among the model's errors
     (T11); ``error_rate_pct`` is the share among all of the model's requests.
-    One aggregation over all rows, then windows over the aggregated groups.
+    The per-model denominators (W1) are a second aggregate with one row per
+    model joined back: messages are free text, so a window over a hot model's
+    groups would put them all in one task.
     """
-    g = df.groupBy("model_version", "status", "error_message").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("model_version")
     is_err = F.col("status") != "success"
-    g = g.withColumn("_all", F.sum("n").over(w)) \
-         .withColumn("_err", F.sum(F.when(is_err, F.col("n")).otherwise(0)).over(w))
-    return g.where(is_err).select(
+    g = df.groupBy("model_version", "status", "error_message").agg(F.count(F.lit(1)).alias("n"))
+    totals = df.groupBy(F.col("model_version").alias("_mv")).agg(
+        F.count(F.lit(1)).alias("_all"),
+        F.count_if(F.coalesce(is_err, F.lit(False))).alias("_err"),
+    )
+    j = g.where(is_err).join(totals, F.col("model_version").eqNullSafe(F.col("_mv")))
+    return j.select(
         "model_version", "status",
         F.col("n").alias("error_count"),
         (F.col("n").cast("double") * 100.0 / F.col("_err")).alias("error_share_pct"),

@@ -145,12 +145,19 @@ def evaluation_coverage(responses: DataFrame, evals: DataFrame) -> DataFrame:
 
 
 def judge_distribution(evals: DataFrame, metric: str = "judge_score") -> DataFrame:
-    """View 9 (A18/W2/P4): score counts and share within each model."""
-    g = evals.where((F.col("metric_name") == metric) & F.col("metric_value").isNotNull()) \
-        .groupBy("model_version", F.col("metric_value").alias("judge_score")) \
+    """View 9 (A18/W2/P4): score counts and share within each model.
+
+    The per-model total (W2) is an aggregate with one row per model joined
+    back, not a window: scores can be continuous, and a window would send all
+    of a hot model's score groups to one task.
+    """
+    base = evals.where((F.col("metric_name") == metric) & F.col("metric_value").isNotNull())
+    g = base.groupBy("model_version", F.col("metric_value").alias("judge_score")) \
         .agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy("model_version")
-    return g.withColumn("pct", F.round(F.col("count").cast("double") * 100.0 / F.sum("count").over(w), 2))
+    totals = base.groupBy(F.col("model_version").alias("_mv")).agg(F.count(F.lit(1)).alias("_total"))
+    j = g.join(totals, F.col("model_version").eqNullSafe(F.col("_mv")))
+    return j.select("model_version", "judge_score", "count",
+                    F.round(F.col("count").cast("double") * 100.0 / F.col("_total"), 2).alias("pct"))
 
 
 def daily_summary(summary: DataFrame, metrics=DAILY_METRICS) -> DataFrame:
