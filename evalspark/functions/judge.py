@@ -99,7 +99,9 @@ def parse_judgements(df: DataFrame, result: str, out: str = "judgement") -> Data
                                       F.from_json(F.col(tmp[0]), "map<string,string>")))
     m = F.col(tmp[1])
     has = lambda k: F.map_contains_key(m, k)
-    num = F.element_at(m, F.lit("score")).try_cast("double")
+    raw = F.element_at(m, F.lit("score"))
+    # JSON booleans are numbers to Python's float(): true -> 1.0, false -> 0.0
+    num = F.when(raw == "true", F.lit(1.0)).when(raw == "false", F.lit(0.0)).otherwise(raw.try_cast("double"))
     digit = F.regexp_extract(r, SCORE_FALLBACK, 1)
     df = df.withColumn(tmp[3], F.when(m.isNull(), digit))
     path = F.when(r.isNull(), F.lit("none")) \

@@ -88,7 +88,8 @@ def judge_parse_cols(r: str) -> str:
     j = f"regexp_extract({r}, '(?s)\\{{.*\\}}', 0)"
     valid = f"(length({j}) > 0 AND json_valid({j}) AND json_type({j}) = 'OBJECT')"
     has = lambda k: f"list_contains(json_keys({j}), '{k}')"
-    num = f"TRY_CAST(json_extract_string({j}, '$.score') AS DOUBLE)"
+    raw = f"json_extract_string({j}, '$.score')"
+    num = f"(CASE WHEN {raw} = 'true' THEN 1.0 WHEN {raw} = 'false' THEN 0.0 ELSE TRY_CAST({raw} AS DOUBLE) END)"
     digit = f"regexp_extract({r}, {lit(SCORE_FALLBACK)}, 1)"
     path = (f"CASE WHEN {r} IS NULL THEN 'none' WHEN {valid} AND {has('score')} AND {num} IS NULL THEN 'failed' "
             f"WHEN {valid} THEN 'json' WHEN length({digit}) > 0 THEN 'regex' ELSE 'none' END")

@@ -31,6 +31,12 @@ def test_parse_shapes(spark):
     assert got[5]["reasoning"].startswith("Evaluation failed: ") and got[5]["error"]
 
 
+def test_boolean_score_is_numeric(spark):
+    got = parse(spark, ['{"score": true}', '{"score": false, "reasoning": "r"}', '{"score": [1]}'])
+    assert [g["score"] for g in got] == [1.0, 0.0, None]
+    assert [g["parse_path"] for g in got] == ["json", "json", "failed"]
+
+
 def test_fallback_takes_one_digit(spark):
     got = parse(spark, ['"score": 10, broken {', '{"score" :  45 ,}'])
     assert [g["score"] for g in got] == [1.0, 4.0]
