@@ -29,7 +29,10 @@ def scan_chunks(
     first ``limit`` by id; the other payload fields become a string map."""
     df = chunks.where((F.length(F.trim(F.col(text_col))) >= min_chars) & (F.length(F.col(text_col)) >= min_chars))
     if filter_field and filter_value is not None:
-        df = df.where(F.col(filter_field) == filter_value)
+        # a payload field is either a column or a key of a metadata map
+        field = F.col(filter_field) if filter_field in chunks.columns \
+            else F.element_at(F.col("metadata"), F.lit(filter_field))
+        df = df.where(field == filter_value)
     payload = [c for c in chunks.columns if c not in (id_col, text_col)]
     items: list[Column] = []
     for c in payload:

@@ -17,3 +17,8 @@ def spark():
     s = build_session(master="local[4]", shuffle_partitions=4, app="evalspark-tests")
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="session")
+def spark_session_for_properties(spark):
+    return spark
