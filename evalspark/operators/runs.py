@@ -62,7 +62,7 @@ def _json_of(state: Column, prefix: str) -> Column:
 
 
 def run_records(events: DataFrame) -> DataFrame:
-    """pipeline_runs rows from the latest state: status, config, task_state
+    """metadata.runs rows from the latest state: status, config, task_state
     and outputs JSON, first/last update time, completion time."""
     st = run_state(events)
     per_run = st.groupBy("run_id").agg(

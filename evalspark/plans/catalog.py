@@ -199,10 +199,10 @@ def q_run_metric_summary(spark, d):
     return scoring.run_metric_summary(_evaluated(spark, d, _NO_ROUGE), EVAL_RUN)
 
 
-@query("evaluation_pipeline", _long_bindings(_EVAL_METRICS) + """
+@query("end_to_end_evaluation", _long_bindings(_EVAL_METRICS) + """
 SELECT metric_name, model_version, count(*) AS n, avg(metric_value) AS mean_value FROM ev
 GROUP BY metric_name, model_version""")
-def q_evaluation_pipeline(spark, d):
+def q_end_to_end_evaluation(spark, d):
     return scoring.run_metric_summary(_evaluated(spark, d), None)
 
 

@@ -74,7 +74,7 @@ METRIC_SUMMARY = StructType([
     StructField("created_at", TS, True),
 ])
 
-PIPELINE_RUNS = StructType([
+RUNS = StructType([
     StructField("run_id", S, False),
     StructField("job_id", S, True),
     StructField("job_run_id", S, True),
@@ -103,7 +103,7 @@ TABLES = {
     "raw.model_responses": (MODEL_RESPONSES, ("response_id",)),
     "evaluated.eval_results": (EVAL_RESULTS, ("eval_id",)),
     "metrics.metric_summary": (METRIC_SUMMARY, ("summary_id", "metric_name")),
-    "metadata.pipeline_runs": (PIPELINE_RUNS, ("run_id",)),
+    "metadata.runs": (RUNS, ("run_id",)),
     "metadata.testgen_chunks": (TESTGEN_CHUNKS, ("chunk_id", "dataset_version")),
 }
 
