@@ -749,6 +749,16 @@ def q_run_state(spark, d):
     return runs.run_state(T.run_events(spark, d))
 
 
+@query("run_state_values", with_bindings("run_events") + """
+SELECT run_id, k, json_extract_string(v, '$.k') AS k_value, coalesce(json_extract_string(v, '$.missing'), 'pending') AS missing_value
+FROM (SELECT run_id, k, v, row_number() OVER (PARTITION BY run_id, k ORDER BY ts DESC, event_id DESC) AS rn
+      FROM run_events) x WHERE rn = 1""")
+def q_run_state_values(spark, d):
+    st = runs.run_state(T.run_events(spark, d))
+    return st.select("run_id", "k", runs.json_get("v", "k").alias("k_value"),
+                     runs.json_get("v", "missing", "pending").alias("missing_value"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
