@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from evalspark.functions.text import nonempty, text_metrics
 from evalspark.operators.datasets import content_id
+from evalspark.operators.joins import HOT_KEYS, HOT_ROWS, hot_key_join
 
 # Metric names understood by the external scorer and the
 # scorer each maps to; other names are skipped.
@@ -36,14 +37,16 @@ def mapped_metrics(df: DataFrame, metric_col: str = "metric_name") -> DataFrame:
     return df.withColumn("scorer", F.element_at(scorer_map(), F.col(metric_col))).where(F.col("scorer").isNotNull())
 
 
-def join_prompts(responses: DataFrame, prompts: DataFrame) -> DataFrame:
+def join_prompts(responses: DataFrame, prompts: DataFrame, hot_keys: int = HOT_KEYS,
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Responses left-joined to their prompt text and truth; keyed on
     (prompt_id, dataset_version) when both sides carry the version (T6)."""
     keys = ["prompt_id"] + (["dataset_version"] if "dataset_version" in responses.columns
                             and "dataset_version" in prompts.columns else [])
     p = prompts.select(*keys, "prompt", "ground_truth")
     r = responses.drop(*[c for c in ("prompt", "ground_truth") if c in responses.columns])
-    return r.join(p, keys, "left")
+    # a prompt answered far more often than others is split off and joined by broadcast
+    return hot_key_join(r, p, keys, "left", top=hot_keys, min_rows=hot_rows)
 
 
 def to_long(

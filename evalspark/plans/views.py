@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evalspark.operators import latency
+from evalspark.operators.joins import hot_key_join
 
 # Metrics shown by the trend and daily views.
 TREND_METRICS = ["faithfulness", "answer_relevance", "judge_score", "rouge_l"]
@@ -60,11 +61,12 @@ def prompt_scores(evals: DataFrame, responses: DataFrame, prompts: DataFrame) ->
         (F.col("response_id") if "response_id" in evals.columns else F.lit(None).cast("string")).alias("e_rid"),
         "prompt_id", "model_version", "metric_name", "metric_value", "evaluator")
     rid = F.col("response_id") if "response_id" in responses.columns else F.lit(None).cast("string")
-    r = responses.select(rid.alias("r_rid"), F.col("prompt_id").alias("r_pid"),
-                         F.col("model_version").alias("r_mv"), "response")
-    by_id = e.where(F.col("e_rid").isNotNull()).join(r, F.col("e_rid") == F.col("r_rid"))
-    by_key = e.where(F.col("e_rid").isNull()).join(
-        r, (F.col("prompt_id") == F.col("r_pid")) & (F.col("model_version") == F.col("r_mv")))
+    r = responses.select(rid.alias("r_rid"), "prompt_id", "model_version", "response")
+    by_id = e.where(F.col("e_rid").isNotNull()).join(r.drop("prompt_id", "model_version"),
+                                                     F.col("e_rid") == F.col("r_rid"))
+    # one prompt may carry a large share of eval rows: split hot keys off
+    by_key = hot_key_join(e.where(F.col("e_rid").isNull()), r.drop("r_rid"), ["prompt_id", "model_version"],
+                          "inner")
     cols = ["prompt_id", "model_version", "metric_name", "metric_value", "evaluator", "response"]
     j = by_id.select(*cols).unionByName(by_key.select(*cols))
     p = prompts.select("prompt_id", "prompt", "ground_truth")

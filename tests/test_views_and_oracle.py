@@ -105,3 +105,17 @@ def test_version_comparison_one_row_per_metric(spark):
     vc = views.version_comparison(s, "2", "1")
     n_metrics = s.select("metric_name").distinct().count()
     assert vc.count() == n_metrics
+
+
+def test_hot_key_join_equals_plain_join(spark):
+    from evalspark.operators.joins import hot_key_join
+
+    big = spark.createDataFrame([("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(50)] + [(None, -1)],
+                                "k string, v int")
+    small = spark.createDataFrame([("hot", "H"), ("k3", "three"), ("k99", "none")], "k string, label string")
+    for how in ("left", "inner"):
+        want = sorted((repr(tuple(r)) for r in big.join(small, ["k"], how).collect()))
+        got = hot_key_join(big, small, ["k"], how, top=2, min_rows=100)
+        assert sorted(repr(tuple(r)) for r in got.collect()) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
