@@ -5,7 +5,10 @@ The network client is supplied by the caller; each partition runs its calls
 through a small thread pool (the calls are I/O bound) inside ``mapInPandas``.
 Keys travel with every row, so no positional re-association is needed, and
 ids are content hashes, so a re-executed task after executor loss produces
-the same rows and the keyed upsert stays idempotent.
+the same rows and the keyed upsert stays idempotent. The output of each call
+stage is written once to the shared folder (the functions are eager), so
+later actions, key checks and recomputation after executor loss never call
+the endpoint again.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from evalspark.functions.judge import FAILED_PREFIX, extract_response_text, judge_prompt, parse_judgements
 from evalspark.operators.datasets import content_id
 from evalspark.operators.latency import classify_status
+from evalspark.session import materialize
 
 CALL_FIELDS = "status_code int, body string, error string, latency_ms double"
 
@@ -66,7 +70,8 @@ def call_per_row(df: DataFrame, text_col: str, call: Callable, carry: list[str],
                 out.insert(0, c, b[c].to_numpy())
             yield out
 
-    return src.mapInPandas(fn, schema)
+    # external calls run once: later actions and lost executors read the written result
+    return materialize(src.mapInPandas(fn, schema))
 
 
 def batch_infer(
@@ -194,7 +199,8 @@ def generate_qa(
             out["attempts"] = out["attempts"].astype("int32")
             yield out
 
-    return src.mapInPandas(fn, QA_SCHEMA)
+    # the generator runs once per chunk; everything downstream reads the written result
+    return materialize(src.mapInPandas(fn, QA_SCHEMA))
 
 
 def judge_to_evals(responses: DataFrame, call: Callable, endpoint_name: str, run_id: str,
@@ -257,7 +263,7 @@ def metrics_to_evals(df: DataFrame, metrics: list[str], score: Callable, run_id:
             out["error"] = [r[1] for r in res]
             yield out
 
-    scored = src.mapInPandas(fn, schema)
+    scored = materialize(src.mapInPandas(fn, schema))
     ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
     return scored.select(
         "eval_id", "response_id", "prompt_id", "model_version", F.lit(run_id).alias("run_id"), "metric_name",

@@ -199,8 +199,8 @@ def build_testset(chunks: DataFrame, gen, k: int = NEGATIVES_PER_QUERY, pairs_pe
     """
     from evalspark.operators.batch import generate_qa
 
-    # the generator is an external call: run it once, every output reads the written result
-    generated = materialize(generate_qa(chunks, gen, pairs_per_chunk, retries, backoff_s, partitions=partitions))
+    # generate_qa writes its output once, every output below reads the written result
+    generated = generate_qa(chunks, gen, pairs_per_chunk, retries, backoff_s, partitions=partitions)
     qa = generated.where(F.col("error").isNull() & F.col("question").isNotNull()) \
         .select("chunk_id", "question", "ground_truth", "source_text")
     skipped = generated.where(F.col("error").isNotNull()).select("chunk_id", "error", "attempts")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from evalspark.schemas import TABLES
+from evalspark.session import materialize
 
 
 class DuplicateKeyError(ValueError):
@@ -86,6 +87,9 @@ class VersionedTable:
     def upsert(self, source: DataFrame, check: bool = True) -> int:
         """Update-or-insert ``source`` by key into a new version."""
         src = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        # stage the source once: the key checks and the merge read the staged copy,
+        # so an expensive source is computed a single time
+        src = materialize(src)
         if check:
             check_keys(src, self.keys)
         vs = self.versions()
