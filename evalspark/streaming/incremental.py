@@ -1,21 +1,23 @@
 """Incremental scoring of arriving model responses with Structured Streaming.
 
 The batch evaluation job (J1 -> F7 -> K3) applied to a stream of response
-files: each micro-batch is joined to the (static) prompt table, scored with
-the same column expressions, and upserted by ``eval_id`` into a versioned
-eval_results table. Content-hash ids make a replayed micro-batch (after a
-failure) rewrite the same rows, so the sink is idempotent; the checkpoint
-lives in the shared folder.
+files: each micro-batch is joined to the (static) prompt table and scored
+with the same column expressions. The sink writes each micro-batch into its
+own ``batch_id=<n>`` directory with overwrite, so a replayed micro-batch
+(after a failure) rewrites exactly the same directory and nothing else: the
+cost per trigger is the batch, not the table. Readers keep the newest row
+per ``eval_id``. The checkpoint lives in the shared folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from evalspark.operators.scoring import DETERMINISTIC, evaluate
 from evalspark.schemas import EVAL_RESULTS, MODEL_RESPONSES
-from evalspark.sources.store import VersionedTable
 
 
 def response_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 100) -> DataFrame:
@@ -27,24 +29,31 @@ def response_stream(spark: SparkSession, path: str, max_files_per_trigger: int =
 def score_stream(
     responses: DataFrame,
     prompts: DataFrame,
-    eval_table: VersionedTable,
+    sink_root: str,
     checkpoint: str,
     run_id: str,
     metrics: list[str] | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Score every micro-batch and upsert the long rows into ``eval_table``."""
+    """Score every micro-batch into ``sink_root/batch_id=<n>`` (idempotent)."""
     metrics = list(DETERMINISTIC if metrics is None else metrics)
+    root = sink_root.rstrip("/")
 
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        rows = evaluate(batch, prompts, run_id, metrics)
-        # one row per (response, metric): deduplicate a replayed file
-        eval_table.upsert(rows.dropDuplicates(["eval_id"]))
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = evaluate(batch, prompts, run_id, metrics).dropDuplicates(["eval_id"])
+        rows.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
     w = responses.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def eval_table(spark: SparkSession, root: str) -> VersionedTable:
-    return VersionedTable(spark, root, EVAL_RESULTS, ("eval_id",))
+def read_scores(spark: SparkSession, sink_root: str) -> DataFrame:
+    """The scored rows: the newest micro-batch wins per ``eval_id``
+    (one partially aggregated ``max_by``, no window)."""
+    schema = StructType(EVAL_RESULTS.fields + [StructField("batch_id", LongType())])
+    raw = spark.read.schema(schema).parquet(sink_root)
+    cols = [f.name for f in EVAL_RESULTS.fields if f.name != "eval_id"]
+    latest = raw.groupBy("eval_id").agg(
+        F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r"))
+    return latest.select("eval_id", *[F.col(f"_r.{c}").alias(c) for c in cols])
