@@ -1,10 +1,11 @@
-"""Versioned parquet tables with keyed upserts.
+"""Keyed parquet tables with upserts.
 
 Plain parquet has no MERGE/UPDATE and a path that is being read cannot be
-overwritten, so each upsert writes a new version directory
-``<root>/v=<n>`` and readers take the newest committed one (``_SUCCESS``).
-The previous versions stay readable. Paths live in the shared folder that
-the cluster names in ``spark.checkpoint.dir`` (or any shared URI).
+overwritten. ``PartitionedTable`` (the catalog's tables) rewrites only the
+partitions an upsert touches, from a staged copy; ``VersionedTable`` keeps
+whole snapshots ``<root>/v=<n>`` (small tables that want every prior state
+readable). Paths live in a shared folder (``spark.checkpoint.dir`` or any
+shared URI).
 """
 
 from __future__ import annotations
@@ -108,12 +109,69 @@ class VersionedTable:
         return nxt
 
 
-def create_catalog(spark: SparkSession, root: str) -> dict[str, VersionedTable]:
-    """Every evaluation table as a versioned table under ``root``,
-    registered as a temporary view named ``<db>_<table>``."""
+class PartitionedTable:
+    """A keyed table stored as parquet partitioned by ``partition_col``,
+    a column the key determines (run id for responses and evals, dataset
+    version for prompts and chunks, summary id for summaries).
+
+    An upsert rewrites only the partitions its source touches: their current
+    rows minus the source keys, plus the source, staged once in the shared
+    folder and written with dynamic partition overwrite. A run that adds its
+    own rows costs its own partition, not the table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: tuple[str, ...],
+                 partition_col: str):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.keys, self.partition_col = list(keys), partition_col
+
+    def _exists(self) -> bool:
+        fs, p = _fs(self.spark, self.root)
+        return bool(fs.exists(p))
+
+    def read(self) -> DataFrame:
+        if not self._exists():
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.root)
+
+    def create(self) -> None:
+        """An empty table (IF NOT EXISTS)."""
+        if not self._exists():
+            self.spark.createDataFrame([], self.schema).write.partitionBy(self.partition_col).parquet(self.root)
+
+    def upsert(self, source: DataFrame, check: bool = True) -> None:
+        """Update-or-insert ``source`` by key, touching only the
+        partitions that occur in ``source``."""
+        src = materialize(source.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                                          for f in self.schema.fields]))
+        if check:
+            check_keys(src, self.keys)
+        touched = src.select(self.partition_col).distinct()
+        # semi join on the partition column: dynamic partition pruning reads only touched partitions
+        current = self.read().join(touched, self.partition_col, "left_semi")
+        staged = materialize(merge_plan(current, src, self.keys))
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(self.partition_col).parquet(self.root)
+
+
+# Partition column of each table (determined by the table's key).
+PARTITION_COLUMNS = {
+    "raw.prompt_datasets": "dataset_version",
+    "raw.model_responses": "run_id",
+    "evaluated.eval_results": "run_id",
+    "metrics.metric_summary": "summary_id",
+    "metadata.runs": "run_id",
+    "metadata.testgen_chunks": "dataset_version",
+}
+
+
+def create_catalog(spark: SparkSession, root: str) -> dict[str, PartitionedTable]:
+    """Every evaluation table as a partitioned keyed table under
+    ``root``, registered as a temporary view named ``<db>_<table>``."""
     out = {}
     for name, (schema, keys) in TABLES.items():
-        t = VersionedTable(spark, f"{root.rstrip('/')}/{name.replace('.', '/')}", schema, keys)
+        t = PartitionedTable(spark, f"{root.rstrip('/')}/{name.replace('.', '/')}", schema, keys,
+                             PARTITION_COLUMNS[name])
         t.create()
         t.read().createOrReplaceTempView(name.replace(".", "_"))
         out[name] = t

@@ -107,3 +107,28 @@ def test_json_map_get_set(spark):
     out = df.select(runs.json_set("j", "a", "2").alias("s"), runs.json_get("j", "a", "none").alias("g")).collect()
     assert out[0].s == '{"a":"2"}' and out[0].g == "1"
     assert out[1].s == '{"a":"2"}' and out[1].g == "none"
+
+
+def test_partitioned_upsert_touches_only_its_partitions(spark):
+    import os
+
+    from evalspark.schemas import EVAL_RESULTS
+
+    root = scratch_path(spark, "evals-part")
+    t = store.PartitionedTable(spark, root, EVAL_RESULTS, ("eval_id",), "run_id")
+    t.create()
+
+    def rows(run, ids, value):
+        return spark.createDataFrame([(f"{run}-{i}", None, "p", "1", run, "m", value, None, "e", None) for i in ids],
+                                     EVAL_RESULTS)
+
+    t.upsert(rows("r1", range(5), 1.0))
+    t.upsert(rows("r2", range(3), 2.0))
+    r1_files = sorted(os.listdir(f"{root}/run_id=r1"))
+    t.upsert(rows("r2", range(2, 6), 3.0))   # updates r2-2, inserts r2-3..r2-5
+    assert sorted(os.listdir(f"{root}/run_id=r1")) == r1_files  # r1 untouched
+    got = {r.eval_id: r.metric_value for r in t.read().collect()}
+    assert got == {**{f"r1-{i}": 1.0 for i in range(5)}, "r2-0": 2.0, "r2-1": 2.0,
+                   **{f"r2-{i}": 3.0 for i in range(2, 6)}}
+    t.upsert(rows("r2", range(2, 6), 3.0))   # idempotent
+    assert t.read().count() == 11
