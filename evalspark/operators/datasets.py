@@ -40,6 +40,16 @@ def make_prompts(df: DataFrame, version: str, metadata: dict | None = None, crea
     )
 
 
+def prompts_from_rows(spark: SparkSession, rows: list[dict], version: str, metadata: dict | None = None,
+                      created_at=None) -> DataFrame:
+    """S3: literal prompt rows (dicts with prompt, optional ground_truth,
+    prompt_id, metadata) with an explicit schema, then ``make_prompts``."""
+    schema = "prompt_id string, prompt string, ground_truth string, metadata map<string,string>"
+    data = [(r.get("prompt_id"), r["prompt"], r.get("ground_truth"),
+             {str(k): str(v) for k, v in (r.get("metadata") or {}).items()}) for r in rows]
+    return make_prompts(spark.createDataFrame(data, schema), version, metadata, created_at)
+
+
 def load_version(df: DataFrame, version: str, require_nonempty: bool = False) -> DataFrame:
     """P1 (+P15): rows of one dataset version; optionally fail when empty."""
     out = df.where(F.col("dataset_version") == version)

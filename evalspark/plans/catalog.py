@@ -292,16 +292,16 @@ def infer_call(prompt: str):
     if len(prompt) % 11 == 0:
         raise RuntimeError("timeout")
     if len(prompt) % 7 == 0:
-        return 503, "overloaded: " + prompt[:10]
-    return 200, json.dumps({"choices": [{"message": {"content": prompt[:50]}}]})
+        return 503, "overloaded: %d characters" % len(prompt)
+    return 200, json.dumps({"choices": [{"message": {"content": "Answer: " + prompt}}]})
 
 
 @query("batch_inference", with_bindings("prompts") + f"""
 SELECT md5(concat_ws('|', '{INFER_RUN}', prompt_id, dataset_version)) AS response_id, prompt_id,
   '{CANDIDATE}' AS model_version, '{ENDPOINT}' AS endpoint_name,
-  CASE WHEN length(prompt) % 11 = 0 THEN NULL WHEN length(prompt) % 7 = 0 THEN NULL ELSE substr(prompt, 1, 50) END AS response,
+  CASE WHEN length(prompt) % 11 = 0 THEN NULL WHEN length(prompt) % 7 = 0 THEN NULL ELSE concat('Answer: ', prompt) END AS response,
   CASE WHEN length(prompt) % 11 = 0 THEN 'error' WHEN length(prompt) % 7 = 0 THEN 'http_503' ELSE 'success' END AS status,
-  CASE WHEN length(prompt) % 11 = 0 THEN 'timeout' WHEN length(prompt) % 7 = 0 THEN concat('overloaded: ', substr(prompt, 1, 10)) END AS error_message,
+  CASE WHEN length(prompt) % 11 = 0 THEN 'timeout' WHEN length(prompt) % 7 = 0 THEN concat('overloaded: ', cast(length(prompt) AS VARCHAR), ' characters') END AS error_message,
   '{INFER_RUN}' AS run_id
 FROM prompts""")
 def q_batch_inference(spark, d):

@@ -132,3 +132,11 @@ def test_partitioned_upsert_touches_only_its_partitions(spark):
                    **{f"r2-{i}": 3.0 for i in range(2, 6)}}
     t.upsert(rows("r2", range(2, 6), 3.0))   # idempotent
     assert t.read().count() == 11
+
+
+def test_prompts_from_rows_keeps_row_metadata(spark):
+    df = datasets.prompts_from_rows(spark, [{"prompt": "q", "ground_truth": "a", "metadata": {"chunk_id": 7}},
+                                            {"prompt": "r", "prompt_id": "given"}], "v9", {"source": "s"})
+    rows = {r.prompt: r for r in df.collect()}
+    assert rows["q"].metadata == {"source": "s", "chunk_id": "7"} and rows["r"].prompt_id == "given"
+    assert rows["q"].dataset_version == "v9" and rows["r"].ground_truth is None
