@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -104,7 +104,30 @@ def qa_to_prompts(qa: DataFrame, version: str, created_at=None) -> DataFrame:
     return make_prompts(rows, version, None, created_at)
 
 
-def deterministic_sample(df: DataFrame, n: int, key: str) -> DataFrame:
-    """L2/L4: a repeatable sample of ``n`` rows, ordered by md5 of the key
-    (a top-k, planned as TakeOrderedAndProject; the limit is the feature)."""
-    return df.orderBy(F.md5(F.col(key).cast("string")), F.col(key)).limit(n)
+TOPK_MAX = 100_000
+
+
+def deterministic_sample(df: DataFrame, n: int, key: str, topk_max: int = TOPK_MAX) -> DataFrame:
+    """L2/L4: a repeatable sample of ``n`` rows: the first ``n`` by md5 of
+    the key (then the key); the limit is the feature.
+
+    Up to ``topk_max`` rows this is a top-k (TakeOrderedAndProject, bounded
+    per task). Beyond that the top-k would gather ``n`` rows in one task, so
+    rows get exact global positions in md5 order from distributed prefix
+    counts and are filtered by position instead.
+    """
+    order_key = F.md5(F.col(key).cast("string"))
+    if n <= topk_max:
+        return df.orderBy(order_key, F.col(key)).limit(n)
+    from evalspark.operators.ranking import smaller_weight
+    from evalspark.operators.testgen import hash_key
+
+    keyed = df.withColumn("_h", hash_key(F.col(key).cast("string"))).withColumn("_g", F.lit(0)) \
+        .withColumn("_one", F.lit(1))
+    counts = keyed.groupBy("_g", "_h").agg(F.count(F.lit(1)).alias("_t"))
+    ranked = smaller_weight(counts, ["_g"], "_h", {"_before": "_t"})
+    # rows sharing a 60-bit key prefix are ordered by md5 then key inside the group
+    w = Window.partitionBy("_h").orderBy(order_key, F.col(key))
+    pos = keyed.join(ranked.select("_h", "_before"), "_h") \
+        .withColumn("_pos", F.col("_before") + F.row_number().over(w) - 1)
+    return pos.where(F.col("_pos") < n).drop("_h", "_g", "_one", "_before", "_pos")

@@ -140,3 +140,10 @@ def test_prompts_from_rows_keeps_row_metadata(spark):
     rows = {r.prompt: r for r in df.collect()}
     assert rows["q"].metadata == {"source": "s", "chunk_id": "7"} and rows["r"].prompt_id == "given"
     assert rows["q"].dataset_version == "v9" and rows["r"].ground_truth is None
+
+
+def test_deterministic_sample_large_path_equals_topk(spark):
+    df = spark.range(0, 3000).selectExpr("cast(id as string) as k", "id % 7 as v")
+    small = sorted(r.k for r in datasets.deterministic_sample(df, 500, "k").collect())
+    large = sorted(r.k for r in datasets.deterministic_sample(df, 500, "k", topk_max=10).collect())
+    assert small == large and len(small) == 500
