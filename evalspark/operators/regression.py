@@ -110,8 +110,8 @@ def regression_report(
 ) -> DataFrame:
     """K6: comparison rows with the overall verdict attached to each row.
 
-    The verdict is a one-row aggregate of the comparisons (a handful of rows)
-    joined back, so the plan never leaves Spark.
+    The verdict is computed with a window over the comparison rows (one per
+    requested metric), so the plan never leaves Spark and no join is needed.
     """
     comp = compare_metrics(evals, candidate, baseline, metrics, candidate_run, baseline_run,
                            threshold_pct, alpha, buckets)
