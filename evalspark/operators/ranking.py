@@ -39,6 +39,18 @@ def auto_buckets(df: DataFrame, keys: list[str], target_rows: int = TARGET_ROWS_
     return b
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL matches NULL (group keys may be
+    NULL: ``groupBy`` and windows keep such groups, a plain equi-join would
+    drop them). Still an equi-join for the planner (``<=>``)."""
+    r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_rk_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond).drop(*[f"_rk_{k}" for k in keys])
+
+
 def _bucket_levels(buckets: int) -> int:
     d = 0
     while (1 << d) < buckets:
@@ -74,7 +86,7 @@ def smaller_weight(
     splits = df.groupBy(*keys).agg(
         F.percentile_approx(F.col(value), F.array(*[F.lit(f) for f in fractions]), accuracy).alias("_splits")
     )
-    tagged = df.join(splits, keys).withColumn("_b", F.lit(0))
+    tagged = join_on_keys(df, splits, keys).withColumn("_b", F.lit(0))
     step = nb >> 1
     while step >= 1:
         probe = F.element_at(F.col("_splits"), F.col("_b") + step)
@@ -91,7 +103,7 @@ def smaller_weight(
     local = tagged.select(
         "*", *[F.coalesce(F.sum(wt).over(wl), F.lit(0)).alias(f"_loc_{o}") for o, wt in weights.items()]
     )
-    out = local.join(offsets, [*keys, "_b"])
+    out = join_on_keys(local, offsets, [*keys, "_b"])
     return out.select(
         *[c for c in df.columns],
         *[(F.col(f"_loc_{o}") + F.col(f"_off_{o}")).alias(o) for o in weights],
@@ -121,7 +133,7 @@ def exact_percentiles(
     counts = materialize(counts)
     ranked = smaller_weight(counts, keys, value, {"_before": "_t"}, buckets=buckets)
     sizes = counts.groupBy(*keys).agg(F.sum("_t").alias("_n"))
-    r = ranked.join(sizes, keys)
+    r = join_on_keys(ranked, sizes, keys)
     exprs = []
     for name, p in probs.items():
         h = F.lit(p) * (F.col("_n") - 1)

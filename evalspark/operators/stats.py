@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from evalspark.functions.normal import two_sided_p_sql
-from evalspark.operators.ranking import smaller_weight
+from evalspark.operators.ranking import join_on_keys, smaller_weight
 from evalspark.session import materialize
 
 EXACT_MAX_SMALL = 8
@@ -80,7 +80,7 @@ def rank_summary(counts: DataFrame, buckets: int | None = None, percentiles: boo
         F.sum("c").alias("n1"), F.sum("b").alias("n2"),
         F.sum(F.col("c") * F.col("v")).alias("_s1"), F.sum(F.col("b") * F.col("v")).alias("_s2"),
     )
-    r = ranked.join(sizes, "metric_name")
+    r = join_on_keys(ranked, sizes, ["metric_name"])
     rank = F.col("_bt") + (F.col("t") + 1) / 2.0
     t = F.col("t").cast("double")
     mean1 = F.try_divide(F.col("_s1"), F.col("n1"))

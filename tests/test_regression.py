@@ -191,3 +191,23 @@ def test_metric_summary_json_keeps_nulls(spark):
     s = regression.metric_summary_rows(rep).first()
     assert s.verdict_reason == '{"pct_change":null,"p_value":null,"is_regression":null}'
     assert s.dataset_version == "unknown"
+
+
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_exact_percentiles_keep_null_groups(spark, buckets):
+    import numpy as np
+
+    from evalspark.operators.ranking import exact_percentiles
+
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", None]), rng.choice(["x", None]), float(rng.randint(0, 40))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, h string, v double")
+    got = {(r.g, r.h): (r.p50, r.p95) for r in
+           exact_percentiles(df, ["g", "h"], "v", {"p50": 0.5, "p95": 0.95}, buckets=buckets).collect()}
+    want = {}
+    for key in {(g, h) for g, h, _ in rows}:
+        vals = [v for g, h, v in rows if (g, h) == key]
+        want[key] = (np.quantile(vals, 0.5), np.quantile(vals, 0.95))
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k][0] == pytest.approx(want[k][0]) and got[k][1] == pytest.approx(want[k][1])
