@@ -69,7 +69,8 @@ def hard_negatives(
 
     Returns (chunk_id, rank, negative_chunk_id), rank 1..k.
     """
-    base = chunks.select(F.col(id_col).alias("id"), F.col(doc_col).alias("doc")).dropDuplicates(["id"])
+    base = chunks.select(F.col(id_col).alias("id"), F.col(doc_col).alias("doc")) \
+        .where(F.col("id").isNotNull()).dropDuplicates(["id"])
     keyed = base.withColumn("_h", hash_key("id")).withColumn("_g", F.lit(0))
     ranked = smaller_weight(keyed.withColumn("_one", F.lit(1)), ["_g"], "_h", {"_before": "_one"},
                             buckets=buckets)
