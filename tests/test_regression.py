@@ -211,3 +211,20 @@ def test_exact_percentiles_keep_null_groups(spark, buckets):
     assert set(got) == set(want)
     for k in want:
         assert got[k][0] == pytest.approx(want[k][0]) and got[k][1] == pytest.approx(want[k][1])
+
+
+def test_nine_vs_nine_uses_asymptotic(spark):
+    rng = random.Random(21)
+    vals = rng.sample(range(1000), 18)
+    cand, base = vals[:9], vals[9:]
+    r = stats.mann_whitney(evals_df(spark, cand, base), "2", "1").first()
+    u1, p = brute_asymptotic_p(cand, base)
+    assert r.u_statistic == u1 and r.p_value == pytest.approx(p, rel=1e-9)
+
+
+def test_view_percent_change_zero_and_negative_baseline(spark):
+    from evalspark.plans.views import pct_change_view
+
+    df = spark.createDataFrame([(1.0, 0.0), (1.0, -2.0), (3.0, 2.0)], "c double, b double")
+    got = [r[0] for r in df.select(pct_change_view(F.col("c"), F.col("b"))).collect()]
+    assert got == [0.0, 0.0, 50.0]
