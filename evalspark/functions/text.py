@@ -9,10 +9,12 @@ running a bit-parallel algorithm: O(m * n / word) per pair, which keeps
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from evalspark.session import ship_package
+
 # The characters Python's str.split()/str.strip() treat as
 # whitespace (str.isspace), as a regex class valid in Java and RE2, and as a
 # plain character set for btrim.
@@ -112,6 +114,9 @@ def rouge_l_from_lcs(lcs, response, reference) -> Column:
 
 def rouge_l(response, reference) -> Column:
     """F1: ROUGE-L F1 over whitespace tokens (NULL, empty -> 0.0)."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     return rouge_l_from_lcs(lcs_length(_c(response), _c(reference)), _c(response), _c(reference))
 
 
@@ -133,6 +138,7 @@ def text_metrics(
     r, g = F.col(response_col), F.col(truth_col)
     if rouge:
         # The LCS is computed once in Python; the ratio stays a native expression.
+        ship_package(df.sparkSession)
         df = df.withColumn("_lcs", lcs_length(r, g))
         cols.append(rouge_l_from_lcs(F.col("_lcs"), r, g).alias("rouge_l"))
     if match:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from evalspark.functions.judge import FAILED_PREFIX, extract_response_text, judge_prompt, parse_judgements
 from evalspark.operators.datasets import content_id
 from evalspark.operators.latency import classify_status
-from evalspark.session import materialize
+from evalspark.session import materialize, ship_package
 
 CALL_FIELDS = "status_code int, body string, error string, latency_ms double"
 
@@ -59,6 +59,7 @@ def call_per_row(df: DataFrame, text_col: str, call: Callable, carry: list[str],
                  partitions: int | None = None) -> DataFrame:
     """Apply ``call(text) -> (status_code, body)`` to every row; the string
     columns in ``carry`` travel with the result (no join back)."""
+    ship_package(df.sparkSession)
     src = df.select(*[F.col(c).cast("string").alias(c) for c in carry], F.col(text_col).alias("_text"))
     src = src.repartition(_call_partitions(df, partitions), carry[0])
     schema = ", ".join(f"{c} string" for c in carry) + ", " + CALL_FIELDS
@@ -171,6 +172,7 @@ def generate_qa(
     too short or fails every attempt yields one row with ``error`` set and no
     question; generated pairs have ``error`` NULL.
     """
+    ship_package(chunks.sparkSession)
     src = chunks.select(F.col(id_col).alias("chunk_id"), F.col(text_col).alias("source_text"))
     src = src.repartition(_call_partitions(chunks, partitions), "chunk_id")
 
@@ -222,6 +224,7 @@ def metrics_to_evals(df: DataFrame, metrics: list[str], score: Callable, run_id:
     values are written, not dropped (T5)."""
     from evalspark.operators.scoring import METRIC_TO_SCORER, SCORER_TAG, eval_records
 
+    ship_package(df.sparkSession)
     wanted = [(m, METRIC_TO_SCORER[m]) for m in metrics if m in METRIC_TO_SCORER]
     if not wanted:
         return df.sparkSession.createDataFrame([], "eval_id string, response_id string, prompt_id string, "

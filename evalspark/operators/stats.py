@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType
 
 from evalspark.functions.normal import two_sided_p_sql
 from evalspark.operators.ranking import join_on_keys, smaller_weight
-from evalspark.session import materialize
+from evalspark.session import materialize, ship_package
 
 EXACT_MAX_SMALL = 8
 
@@ -170,6 +170,7 @@ def mann_whitney_columns(df: DataFrame, exact: bool = True) -> DataFrame:
             (F.col("tie") == 0)
         exact = not df.where(needs).isEmpty()
     if exact:
+        ship_package(df.sparkSession)
         df = df.withColumn("_exact", _exact_p_udf(F.col("n1"), F.col("n2"), F.col("_u"), F.col("tie")))
         df = df.withColumn("p_value", F.coalesce(F.col("_exact"), asym)).drop("_exact")
     else:

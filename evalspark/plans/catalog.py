@@ -20,7 +20,7 @@ from evalspark.operators import batch, datasets, latency, regression, runs, scor
 from evalspark.plans import sqltext as Q
 from evalspark.plans import views
 from evalspark.plans.bindings_sql import with_bindings
-from evalspark.session import scratch_path
+from evalspark.session import scratch_path, ship_package
 from evalspark.sources import store
 from evalspark.sources import tables as T
 
@@ -142,6 +142,7 @@ def q_text_metrics(spark, d):
 SELECT k AS prompt_id, cast(lcs AS BIGINT) AS lcs, {Q.rouge_from('lcs', 'm', 'n')} AS rouge_l FROM lcs""")
 def q_rouge_l(spark, d):
     p = T.pairs(spark, d)
+    ship_package(spark)
     return p.select("prompt_id", X.lcs_length("response", "ground_truth").alias("lcs"), "response",
                     "ground_truth") \
         .select("prompt_id", "lcs", X.rouge_l_from_lcs("lcs", "response", "ground_truth").alias("rouge_l"))

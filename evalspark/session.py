@@ -65,3 +65,31 @@ def materialize(df):
     path = scratch_path(spark, "mat")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``evalspark`` importable on the executors' Python workers.
+
+    Functions run by ``mapInPandas`` / pandas UDFs refer to this package, so
+    it is zipped once per application and added with ``addPyFile`` (Spark
+    distributes the file to every executor). Idempotent per application.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="evalspark-pyfiles-"), "evalspark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
