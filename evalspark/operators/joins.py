@@ -2,43 +2,44 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 64
 HOT_ROWS = 1_000_000
+SALTS = 32
 
 
 def hot_keys(big: DataFrame, keys: list[str], top: int = HOT_KEYS, min_rows: int = HOT_ROWS) -> DataFrame:
     """At most ``top`` keys of ``big`` with at least ``min_rows`` rows each.
 
-    A partially aggregated count per key (one pre-aggregated row per key and
-    map task crosses the shuffle), then a top-k: the result is bounded by
-    ``top`` rows whatever the data size.
+    Reads only the key columns; a partially aggregated count per key (one
+    pre-aggregated row per key and map task crosses the shuffle), then a
+    top-k, so the result is bounded by ``top`` rows whatever the data size.
     """
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = big.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.where(F.col("_rows") >= min_rows).orderBy(F.col("_rows").desc(), *keys).limit(top) \
         .select(*keys)
 
 
 def hot_key_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
-                 top: int = HOT_KEYS, min_rows: int = HOT_ROWS) -> DataFrame:
-    """``big.join(small, keys, how)`` with hot keys split off.
-
-    Rows of ``big`` whose key is among the (at most ``top``) hot keys join a
-    broadcast of ``small`` restricted to those keys, so no task receives a
-    hot key's rows through a shuffle; all other rows use the normal shuffle
-    join. ``small`` must have at most a few rows per key (e.g. a table keyed
-    on ``keys``), which bounds the broadcast by ``top`` times that.
-    ``how`` is ``inner`` or ``left``; the result equals the plain join.
+                 top: int = HOT_KEYS, min_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+    """``big.join(small, keys, how)`` with hot keys salted.
+
+    The (at most ``top``) hot keys are found from a key-columns-only pass and
+    broadcast (bounded). Rows of ``big`` with a hot key get a salt in
+    ``[0, salts)`` from a hash of the row; the rows of ``small`` for those keys
+    are repeated once per salt; every other row has salt 0. One shuffle join
+    on (keys, salt) then spreads a hot key over ``salts`` tasks. Any salt of a
+    hot row finds the key's full set of ``small`` rows, so the result equals
+    the plain join. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("hot_key_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(big, keys, top, min_rows))
-    big_hot = big.join(hot, keys, "left_semi")
-    big_cold = big.join(hot, keys, "left_anti")
-    small_hot = F.broadcast(small.join(hot, keys, "left_semi"))
-    parts = [big_hot.join(small_hot, keys, how), big_cold.join(small, keys, how)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    flags = F.broadcast(hot_keys(big, keys, top, min_rows).withColumn("_hot", F.lit(True)))
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    b = big.join(flags, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    s = small.join(flags, keys, "left").withColumn("_salt", F.explode(fan))
+    return b.drop("_hot").join(s.drop("_hot"), [*keys, "_salt"], how).drop("_salt")

@@ -82,7 +82,7 @@ SELECT t.* FROM prompts t WHERE NOT EXISTS (
   SELECT 1 FROM src s WHERE s.prompt_id = t.prompt_id AND s.dataset_version = t.dataset_version)
 UNION ALL SELECT * FROM src""")
 def q_upsert_prompts(spark, d):
-    p = T.prompts(spark, d)
+    p = T.Bindings(spark, d).prompts()
     src = p.where(F.col("dataset_version") == "v1").withColumn("prompt", F.concat("prompt", F.lit(" [edited]"))) \
         .unionByName(p.where(F.col("dataset_version") == "v2").withColumn("dataset_version", F.lit("v4")))
     return store.merge_plan(p, src, ["prompt_id", "dataset_version"])
@@ -98,7 +98,7 @@ FROM responses WHERE status <> 'success'"""
 SELECT t.* FROM responses t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.response_id = t.response_id)
 UNION ALL SELECT * FROM src""")
 def q_upsert_responses(spark, d):
-    r = T.responses(spark, d)
+    r = T.Bindings(spark, d).responses()
     src = r.where(F.col("status") != "success").withColumn("response", F.lit("retried")) \
         .withColumn("status", F.lit("success")).withColumn("error_message", F.lit(None).cast("string"))
     return store.merge_plan(r, src, ["response_id"])
@@ -131,8 +131,9 @@ SELECT r.prompt_id, r.dataset_version, r.model_version,
   {Q.token_count('r.response')} AS token_count
 FROM pairs r LEFT JOIN prompts p ON p.prompt_id = r.prompt_id AND p.dataset_version = r.dataset_version""")
 def q_text_metrics(spark, d):
-    resp = T.pairs(spark, d).select("prompt_id", "dataset_version", "model_version", "response")
-    j = scoring.join_prompts(resp, T.prompts(spark, d))
+    b = T.Bindings(spark, d)
+    resp = b.pairs().select("prompt_id", "dataset_version", "model_version", "response")
+    j = scoring.join_prompts(resp, b.prompts())
     return X.text_metrics(j, rouge=False).select(
         "prompt_id", "dataset_version", "model_version", "exact_match", "contains_match", "response_length",
         "token_count")
@@ -151,9 +152,10 @@ def q_rouge_l(spark, d):
 _EVAL_METRICS = ["rouge_l", "exact_match", "contains_match", "response_length", "token_count"]
 
 
-def _evaluated(spark, d, metrics=None):
-    resp = T.pairs(spark, d).select("prompt_id", "dataset_version", "model_version", "response")
-    return scoring.evaluate(resp, T.prompts(spark, d), EVAL_RUN, metrics, created_at=FIXED_TS)
+def _evaluated(spark, d, metrics=None, b=None):
+    b = T.Bindings(spark, d) if b is None else b
+    resp = b.pairs().select("prompt_id", "dataset_version", "model_version", "response")
+    return scoring.evaluate(resp, b.prompts(), EVAL_RUN, metrics, created_at=FIXED_TS)
 
 
 def _long_sql(metrics: list[str]) -> str:
@@ -212,7 +214,8 @@ SELECT e.prompt_id, p.prompt, e.model_version, e.metric_name, e.metric_value, e.
 FROM ev e JOIN pairs r ON e.prompt_id = r.prompt_id AND e.model_version = r.model_version
 JOIN prompts p ON e.prompt_id = p.prompt_id""")
 def q_prompt_scores(spark, d):
-    return views.prompt_scores(_evaluated(spark, d, _NO_ROUGE), T.pairs(spark, d), T.prompts(spark, d))
+    b = T.Bindings(spark, d)
+    return views.prompt_scores(_evaluated(spark, d, _NO_ROUGE, b), b.pairs(), b.prompts())
 
 
 @query("eval_record_shape", with_bindings("pairs") + f"""
@@ -535,7 +538,7 @@ FULL OUTER JOIN (SELECT metric_name, metric_mean, metric_std FROM (SELECT *, row
         ORDER BY created_at DESC, run_id DESC) AS rn FROM summary WHERE model_version = '{BASELINE}') y WHERE rn = 1) b
 ON c.metric_name = b.metric_name""")
 def q_version_comparison(spark, d):
-    return views.version_comparison(T.summary(spark, d), CANDIDATE, BASELINE)
+    return views.version_comparison(T.Bindings(spark, d).summary(), CANDIDATE, BASELINE)
 
 
 @query("daily_summary", with_bindings("summary") + """
@@ -553,7 +556,7 @@ FROM summary s JOIN (
 ON s.model_version = l.model_version AND s.run_id = l.run_id
 GROUP BY s.model_version, s.verdict, l.run_time""")
 def q_daily_summary(spark, d):
-    return views.daily_summary(T.summary(spark, d))
+    return views.daily_summary(T.Bindings(spark, d).summary())
 
 
 @query("judge_distribution", with_bindings("evals") + """
@@ -578,7 +581,8 @@ def q_evaluation_coverage(spark, d):
 # ---------------------------------------------------------------- test generation
 
 def _chunk_rows(spark, d):
-    return testgen.chunk_rows(T.chunks(spark, d), T.qa(spark, d))
+    b = T.Bindings(spark, d)
+    return testgen.chunk_rows(b.chunks(), b.qa())
 
 
 _CHUNK_ROWS = ("chunk_rows", """SELECT c.chunk_id, c.dataset_version, c.source_collection, c.source_text,
@@ -656,7 +660,8 @@ SELECT q.question AS query, q.chunk_id AS relevant_chunk_id, cast(coalesce(n.cnt
 FROM qa q LEFT JOIN (SELECT chunk_id, count(*) AS cnt, string_agg(negative_chunk_id, ',' ORDER BY rank) AS ids
   FROM neg GROUP BY chunk_id) n ON n.chunk_id = q.chunk_id""")
 def q_retrieval_eval(spark, d):
-    r = testgen.retrieval_records(T.qa(spark, d), _negatives(spark, d))
+    b = T.Bindings(spark, d)
+    r = testgen.retrieval_records(b.qa(), testgen.hard_negatives(b.chunks(), k=_NEG_K, window=_NEG_WINDOW))
     return r.select("query", F.element_at("relevant_chunk_ids", 1).alias("relevant_chunk_id"),
                     F.size("hard_negative_chunk_ids").alias("n_negatives"),
                     F.array_join("hard_negative_chunk_ids", ",").alias("hard_negative_chunk_ids"))
@@ -666,7 +671,8 @@ def q_retrieval_eval(spark, d):
 SELECT q.chunk_id, q.question, q.ground_truth, q.source_text, c.source_collection, c.source
 FROM qa q LEFT JOIN chunks c ON c.chunk_id = q.chunk_id""")
 def q_qa_export(spark, d):
-    r = testgen.qa_records(T.qa(spark, d), T.chunks(spark, d))
+    b = T.Bindings(spark, d)
+    r = testgen.qa_records(b.qa(), b.chunks())
     return r.select("chunk_id", "question", "ground_truth", "source_text",
                     F.col("metadata")["source_collection"].alias("source_collection"),
                     F.col("metadata")["source"].alias("source"))
@@ -709,7 +715,7 @@ def q_generate_qa(spark, d):
 @query("testgen_totals", with_bindings("chunks", "qa") + """
 SELECT (SELECT count(*) FROM chunks) AS chunks, (SELECT count(*) FROM qa) AS qa_pairs, cast(0 AS BIGINT) AS skipped""")
 def q_testgen_totals(spark, d):
-    out = testgen.build_testset(T.chunks(spark, d), first_chars_generator, k=_NEG_K, backoff_s=0.0,
+    out = testgen.build_testset(T.Bindings(spark, d).chunks(), first_chars_generator, k=_NEG_K, backoff_s=0.0,
                                 negatives=False)
     return out["totals"]
 

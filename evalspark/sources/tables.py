@@ -8,7 +8,7 @@ columns and pushes the filters into the parquet reader.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TABLE_NAMES = (
@@ -57,9 +57,11 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versioned prompt rows in the prompt-dataset shape."""
-    return pairs(spark, sf_dir).select(
+def prompts(spark: SparkSession, sf_dir: str, pairs_df: DataFrame | None = None) -> DataFrame:
+    """Versioned prompt rows in the prompt-dataset shape (from ``pairs_df``
+    when given, e.g. an already materialized pairs table)."""
+    src = pairs(spark, sf_dir) if pairs_df is None else pairs_df
+    return src.select(
         "prompt_id", "dataset_version", "prompt", "ground_truth",
         F.lit("2024-01-01").cast("date").alias("created_at"),
         F.lit("2024-01-02").cast("date").alias("updated_at"),
@@ -122,8 +124,9 @@ def _metric_of(custkey: Column) -> Column:
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aggregated metric rows per model version and run (one run per year).
 
-    The baseline means are the version-'1' rows of the same aggregate, so the
-    orders table is scanned and aggregated once.
+    The baseline means are the version-'1' rows of the same aggregate, read
+    with a window over the aggregated rows, so orders is scanned and
+    aggregated once.
     """
     o = read_table(spark, sf_dir, "orders")
     m = (
@@ -142,9 +145,11 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("run_id", F.concat(F.lit("run-"), _s(9999 - F.col("y"))))
     )
-    b = m.where(F.col("model_version") == "1").select(
-        F.col("y").alias("b_y"), F.col("metric_name").alias("b_metric"), F.col("metric_mean").alias("baseline_mean"))
-    j = m.join(b, (F.col("b_y") == F.col("y")) & (F.col("b_metric") == F.col("metric_name")), "left")
+    # baseline = the version-'1' row of the same (year, metric) group: a window
+    # over the aggregated rows (one per model version), no second aggregation
+    base = F.max(F.when(F.col("model_version") == "1", F.col("metric_mean"))) \
+        .over(Window.partitionBy("y", "metric_name"))
+    j = m.withColumn("baseline_mean", base)
     vsel = (F.col("model_version").cast("int") + F.col("y")) % 3
     return j.select(
         "model_version", "run_id", "metric_name", "metric_mean", "metric_std", "sample_size", "created_at",
@@ -201,10 +206,10 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def qa(spark: SparkSession, sf_dir: str) -> DataFrame:
+def qa(spark: SparkSession, sf_dir: str, chunks_df: DataFrame | None = None) -> DataFrame:
     """Deterministic stand-in for generated QA pairs: every seventh chunk has
     none, even ids have two. Generated with explode (no join)."""
-    c = chunks(spark, sf_dir)
+    c = chunks(spark, sf_dir) if chunks_df is None else chunks_df
     idn = F.col("chunk_id").cast("bigint")
     n = F.when(idn % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
@@ -245,3 +250,39 @@ def coverage_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         F.col("toxic").cast("double").alias("toxic"),
     ).unpivot(["response_id"], ["quality", "toxic"], "metric_name", "metric_value")
     return d, ev
+
+
+class Bindings:
+    """The bindings of one query: a binding the query reads more than once
+    is computed once and written to the shared folder (``materialize``), and
+    bindings derived from it (prompts from pairs, QA from chunks) read that
+    copy, so the base scans, joins and aggregations run a single time."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._cache: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, build) -> DataFrame:
+        from evalspark.session import materialize
+
+        if name not in self._cache:
+            self._cache[name] = materialize(build())
+        return self._cache[name]
+
+    def pairs(self) -> DataFrame:
+        return self._once("pairs", lambda: pairs(self.spark, self.sf_dir))
+
+    def prompts(self) -> DataFrame:
+        return prompts(self.spark, self.sf_dir, self.pairs())
+
+    def responses(self) -> DataFrame:
+        return self._once("responses", lambda: responses(self.spark, self.sf_dir))
+
+    def summary(self) -> DataFrame:
+        return self._once("summary", lambda: summary(self.spark, self.sf_dir))
+
+    def chunks(self) -> DataFrame:
+        return self._once("chunks", lambda: chunks(self.spark, self.sf_dir))
+
+    def qa(self) -> DataFrame:
+        return qa(self.spark, self.sf_dir, self.chunks())
