@@ -104,6 +104,44 @@ def q_upsert_responses(spark, d):
     return store.merge_plan(r, src, ["response_id"])
 
 
+@query("prompt_table_upsert", ORACLES["upsert_prompts"])
+def q_prompt_table_upsert(spark, d):
+    """S5/S8 end to end: create a partitioned prompt table, load all prompts,
+    upsert the changed subset, read the table back."""
+    from evalspark.schemas import PROMPT_DATASETS
+
+    p = T.Bindings(spark, d).prompts().select(
+        "prompt_id", "dataset_version", "prompt", "ground_truth",
+        F.create_map().cast("map<string,string>").alias("metadata"), "created_at", "updated_at")
+    table = store.PartitionedTable(spark, scratch_path(spark, "prompt-table"), PROMPT_DATASETS,
+                                   ("prompt_id", "dataset_version"), "dataset_version")
+    table.create()
+    table.upsert(p)
+    src = p.where(F.col("dataset_version") == "v1").withColumn("prompt", F.concat("prompt", F.lit(" [edited]"))) \
+        .unionByName(p.where(F.col("dataset_version") == "v2").withColumn("dataset_version", F.lit("v4")))
+    table.upsert(src)
+    return table.read().select("prompt_id", "dataset_version", "prompt", "ground_truth",
+                               F.col("created_at").cast("date").alias("created_at"),
+                               F.col("updated_at").cast("date").alias("updated_at"))
+
+
+@query("response_table_upsert", ORACLES["upsert_responses"])
+def q_response_table_upsert(spark, d):
+    """S5/S7 end to end on the response table (partitioned by run id)."""
+    from evalspark.schemas import MODEL_RESPONSES
+
+    r = T.Bindings(spark, d).responses()
+    table = store.PartitionedTable(spark, scratch_path(spark, "response-table"), MODEL_RESPONSES,
+                                   ("response_id",), "run_id")
+    table.create()
+    table.upsert(r)
+    src = r.where(F.col("status") != "success").withColumn("response", F.lit("retried")) \
+        .withColumn("status", F.lit("success")).withColumn("error_message", F.lit(None).cast("string"))
+    table.upsert(src)
+    return table.read().select(*[c for c in r.columns if c != "created_at"],
+                               F.col("created_at").cast("date").alias("created_at")).select(*r.columns)
+
+
 @query("file_source_roundtrip", with_bindings("pairs") + """
 SELECT prompt, ground_truth, prompt_id FROM pairs""")
 def q_file_source_roundtrip(spark, d):
