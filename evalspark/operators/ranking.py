@@ -25,20 +25,25 @@ TARGET_ROWS_PER_BUCKET = 131_072
 MAX_BUCKETS = 16_384
 
 
-def auto_buckets(df: DataFrame, keys: list[str], target_rows: int = TARGET_ROWS_PER_BUCKET,
-                 max_buckets: int = MAX_BUCKETS) -> int:
-    """Bucket count from the measured size of the largest group: one window
-    per group while every group fits ``target_rows``, otherwise enough
-    buckets (a power of two) to cut the largest group to that size.
-    One small aggregation (a row per group); ``df`` is normally materialized."""
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    need = -(-largest // max(1, target_rows))
+def buckets_for(largest: int, target_rows: int = TARGET_ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
+    """One window per group while every group fits ``target_rows``,
+    otherwise enough buckets (a power of two) to cut the largest group to
+    that size, at most ``max_buckets``."""
+    need = -(-int(largest) // max(1, target_rows))
     b = 1
     while b < need and b < max_buckets:
         b <<= 1
     return b
 
 
+def auto_buckets(df: DataFrame, keys: list[str], target_rows: int = TARGET_ROWS_PER_BUCKET,
+                 max_buckets: int = MAX_BUCKETS) -> int:
+    """Bucket count from the measured size of the largest group (one small
+    aggregation, a row per group; ``df`` is normally materialized)."""
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    return buckets_for(largest, target_rows, max_buckets)
+
+
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on ``keys`` where NULL matches NULL (group keys may be
     NULL: ``groupBy`` and windows keep such groups, a plain equi-join would

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evalspark.operators.stats import mann_whitney_columns, pct_change_signed, rank_summary, value_counts
+from evalspark.operators.stats import count_facts, mann_whitney_columns, pct_change_signed, rank_summary, value_counts
+from evalspark.session import materialize
 
 # Default metrics, thresholds and alert labels of the workflow.
 DEFAULT_METRICS = ["faithfulness", "answer_relevance", "judge_score", "rouge_l", "latency_p95"]
@@ -51,8 +52,11 @@ def compare_metrics(
     """
     spark = evals.sparkSession
     metrics = list(DEFAULT_METRICS if metrics is None else metrics)
-    counts = value_counts(evals, candidate, baseline, metrics, candidate_run, baseline_run)
-    s = mann_whitney_columns(rank_summary(counts, buckets=buckets, percentiles=True), exact=exact)
+    counts = materialize(value_counts(evals, candidate, baseline, metrics, candidate_run, baseline_run))
+    auto, needs_exact = count_facts(counts)
+    summary = rank_summary(counts, buckets=auto if buckets is None else buckets, percentiles=True,
+                           materialize_counts=False)
+    s = mann_whitney_columns(summary, exact=exact and needs_exact)
     s = s.withColumn("pct_change", pct_change_signed(F.col("candidate_mean"), F.col("baseline_mean")))
     s = s.withColumn("is_regression",
                      is_regression_col(F.col("metric_name"), F.col("pct_change"), F.col("p_value"),

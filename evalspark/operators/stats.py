@@ -64,14 +64,29 @@ def _percentile_at(p: float, n: Column, before: Column, w: Column, v: Column):
     return F.max(F.when(cov(lo), v)), F.max(F.when(cov(hi), v)), (h - lo).cast("double")
 
 
+def count_facts(counts: DataFrame) -> tuple[int, bool]:
+    """One small aggregate of the distinct-value table (a row per metric
+    reaches the driver): the bucket count for the exact ranks, and whether
+    any metric takes SciPy's exact branch (no ties, a sample <= 8)."""
+    from evalspark.operators.ranking import buckets_for
+
+    rows = counts.groupBy("metric_name").agg(
+        F.count(F.lit(1)).alias("distinct_values"), F.sum("c").alias("n1"), F.sum("b").alias("n2"),
+        F.max("t").alias("tmax"),
+    ).collect()
+    largest = max((r.distinct_values for r in rows), default=0)
+    exact = any(r.n1 >= 2 and r.n2 >= 2 and min(r.n1, r.n2) <= EXACT_MAX_SMALL and r.tmax <= 1 for r in rows)
+    return buckets_for(largest), exact
+
+
 def rank_summary(counts: DataFrame, buckets: int | None = None, percentiles: bool = True,
                  materialize_counts: bool = True) -> DataFrame:
     """Per metric: sizes, means, population std, rank sum R1 of the candidate,
     tie term and (optionally) exact candidate p50/p95.
 
     The distinct-value table is read by several branches (split points,
-    bucket totals, local ranks, sizes); it is checkpointed once so the raw
-    scan and its shuffle run a single time.
+    bucket totals, local ranks, sizes); it is written once so the raw scan
+    and its shuffle run a single time.
     """
     if materialize_counts:
         counts = materialize(counts)
@@ -146,7 +161,9 @@ def _exact_p_udf(n1: pd.Series, n2: pd.Series, u: pd.Series, tie: pd.Series) ->
 
 def mann_whitney_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     """From (n1, n2, r1, tie) add u_statistic (candidate U), z_score and
-    p_value with SciPy's two-sided, continuity-corrected rules."""
+    p_value with SciPy's two-sided, continuity-corrected rules. ``exact``
+    attaches the Python exact-p helper (callers pass ``count_facts``'s flag,
+    so it only starts when some metric qualifies)."""
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
     u1 = F.col("r1") - n1 * (n1 + 1) / 2.0
@@ -162,13 +179,6 @@ def mann_whitney_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     asym = F.when((F.col("n1") < 2) | (F.col("n2") < 2), F.lit(1.0)) \
             .when(F.col("z_score").isNull(), F.lit(1.0)) \
             .otherwise(F.expr(two_sided_p_sql("z_score")))
-    if exact:
-        # one row per metric: write them once, and start the Python exact-p
-        # helper only when some metric qualifies (no ties, a sample <= 8)
-        df = materialize(df)
-        needs = (F.col("n1") >= 2) & (F.col("n2") >= 2) & (F.least("n1", "n2") <= EXACT_MAX_SMALL) & \
-            (F.col("tie") == 0)
-        exact = not df.where(needs).isEmpty()
     if exact:
         ship_package(df.sparkSession)
         df = df.withColumn("_exact", _exact_p_udf(F.col("n1"), F.col("n2"), F.col("_u"), F.col("tie")))
@@ -189,9 +199,11 @@ def mann_whitney(
     exact: bool = True,
 ) -> DataFrame:
     """Per metric n_candidate, n_baseline, U, z and two-sided p."""
-    counts = value_counts(evals, candidate, baseline, metrics, candidate_run, baseline_run)
-    s = rank_summary(counts, buckets=buckets, percentiles=False)
-    s = mann_whitney_columns(s, exact=exact)
+    counts = materialize(value_counts(evals, candidate, baseline, metrics, candidate_run, baseline_run))
+    auto, needs_exact = count_facts(counts)
+    s = rank_summary(counts, buckets=auto if buckets is None else buckets, percentiles=False,
+                     materialize_counts=False)
+    s = mann_whitney_columns(s, exact=exact and needs_exact)
     return s.select(
         "metric_name", F.col("n1").alias("n_candidate"), F.col("n2").alias("n_baseline"),
         "u_statistic", "z_score", "p_value",
