@@ -99,14 +99,6 @@ class VersionedTable:
         merged.write.parquet(self.path(nxt))
         return nxt
 
-    def append(self, rows: DataFrame) -> int:
-        """Append-only write of a new version (no key check)."""
-        src = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        vs = self.versions()
-        merged = self.read().unionByName(src) if vs else src
-        nxt = (vs[-1] + 1) if vs else 1
-        merged.write.parquet(self.path(nxt))
-        return nxt
 
 
 class PartitionedTable:
@@ -153,6 +145,11 @@ class PartitionedTable:
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(self.partition_col).parquet(self.root)
 
+    def append(self, rows: DataFrame) -> None:
+        """Append-only write (event tables): only the new rows are written."""
+        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]) \
+            .write.mode("append").partitionBy(self.partition_col).parquet(self.root)
+
 
 # Partition column of each table (determined by the table's key).
 PARTITION_COLUMNS = {

@@ -147,3 +147,20 @@ def test_deterministic_sample_large_path_equals_topk(spark):
     small = sorted(r.k for r in datasets.deterministic_sample(df, 500, "k").collect())
     large = sorted(r.k for r in datasets.deterministic_sample(df, 500, "k", topk_max=10).collect())
     assert small == large and len(small) == 500
+
+
+def test_partitioned_append_writes_only_new_rows(spark):
+    import os
+
+    schema = "run_id string, k string, v string, ts timestamp, event_id bigint"
+    from pyspark.sql.types import _parse_datatype_string
+
+    root = scratch_path(spark, "events-part")
+    t = store.PartitionedTable(spark, root, _parse_datatype_string(schema), ("event_id",), "run_id")
+    t.create()
+    t.append(runs.init_run_events(spark, "r1", {}, TS))
+    before = sorted(os.listdir(f"{root}/run_id=r1"))
+    t.append(runs.update_events(spark, "r1", {"status": "running"}, TS, 100))
+    after = sorted(os.listdir(f"{root}/run_id=r1"))
+    assert set(before) <= set(after) and len(after) > len(before)
+    assert {r.v for r in runs.run_state(t.read()).where("k = 'status'").collect()} == {"running"}
