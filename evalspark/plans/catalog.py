@@ -28,7 +28,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 CANDIDATE, BASELINE = "2", "1"
-METRICS4 = ["faithfulness", "judge_score", "answer_relevance", "latency_p95"]
 FIXED_TS = "2024-06-01 00:00:00"
 EVAL_RUN = "eval-run-1"
 REG_RUN = "regression-run-1"
