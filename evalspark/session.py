@@ -64,9 +64,37 @@ def materialize(df):
     spark = df.sparkSession
     path = scratch_path(spark, "mat")
     df.write.parquet(path)
+    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+_MATERIALIZED: dict[str, list[str]] = {}
+
+
+def materialized_paths(spark: SparkSession) -> list[str]:
+    """The intermediate tables this application has written so far."""
+    return list(_MATERIALIZED.get(spark.sparkContext.applicationId, []))
+
+
+def release_materialized(spark: SparkSession) -> int:
+    """Delete this application's intermediate tables from the shared folder.
+
+    Call it once the DataFrames built on them are no longer needed (they
+    read those files lazily). Returns the number of paths removed.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _MATERIALIZED.pop(spark.sparkContext.applicationId, [])
+    removed = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            fs.delete(hp, True)
+            removed += 1
+    return removed
+
+
 _SHIPPED: set[str] = set()
 
 

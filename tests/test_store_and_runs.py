@@ -164,3 +164,13 @@ def test_partitioned_append_writes_only_new_rows(spark):
     after = sorted(os.listdir(f"{root}/run_id=r1"))
     assert set(before) <= set(after) and len(after) > len(before)
     assert {r.v for r in runs.run_state(t.read()).where("k = 'status'").collect()} == {"running"}
+
+
+def test_materialized_paths_are_recorded(spark):
+    from evalspark.session import materialize, materialized_paths
+
+    before = len(materialized_paths(spark))
+    out = materialize(spark.range(5))
+    assert out.count() == 5
+    paths = materialized_paths(spark)
+    assert len(paths) == before + 1 and paths[-1].startswith(scratch_path(spark, "x").rsplit("/", 1)[0])
