@@ -29,6 +29,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spark settings sized to the data: initial shuffle partitions so each
+    holds about ``partition_bytes`` of the largest shuffle input (AQE then
+    coalesces small ones and splits skewed ones), scan splits of the same
+    size, at least two tasks per core. Pass them to ``SparkSession.builder``.
+    """
+    parts = max(2 * cores, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written intermediate tables.
 
