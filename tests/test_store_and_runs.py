@@ -174,3 +174,13 @@ def test_materialized_paths_are_recorded(spark):
     assert out.count() == 5
     paths = materialized_paths(spark)
     assert len(paths) == before + 1 and paths[-1].startswith(scratch_path(spark, "x").rsplit("/", 1)[0])
+
+
+def test_cluster_conf_scales_with_input():
+    from evalspark.session import cluster_conf
+
+    small = cluster_conf(10 << 20, 8)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
