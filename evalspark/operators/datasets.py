@@ -68,10 +68,14 @@ def dataset_versions(df: DataFrame) -> DataFrame:
 
 
 def latest_version(df: DataFrame) -> DataFrame:
-    """A2: the newest version (ties: greatest name) as a one-row frame, empty
-    when there are no rows. Sorts the per-version aggregate only."""
-    return dataset_versions(df).orderBy(F.col("created_at").desc(), F.col("dataset_version").desc()) \
-        .limit(1).select("dataset_version", "created_at")
+    """A2: the newest version (ties: greatest name) as exactly one row,
+    NULLs when there are no rows: a global ``max_by`` over the per-version
+    aggregate (no sort)."""
+    order = F.struct(F.col("created_at"), F.col("dataset_version"))
+    return dataset_versions(df).agg(
+        F.max_by("dataset_version", order).alias("dataset_version"),
+        F.max("created_at").alias("created_at"),
+    )
 
 
 def read_prompts(

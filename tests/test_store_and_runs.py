@@ -84,6 +84,8 @@ def test_versions_and_latest(spark):
     vs = {r.dataset_version: r.prompt_count for r in datasets.dataset_versions(p).collect()}
     assert sum(vs.values()) == p.count()
     assert datasets.latest_version(p).first().dataset_version == max(vs)
+    empty = datasets.latest_version(p.where("false")).collect()
+    assert len(empty) == 1 and empty[0].dataset_version is None
     with pytest.raises(ValueError):
         datasets.load_version(p, "nope", require_nonempty=True)
 
