@@ -88,34 +88,39 @@ def parse_judgements(df: DataFrame, result: str, out: str = "judgement") -> Data
        keeps the whole reply as reasoning;
     3. otherwise NULL score and the first 200 characters in the message.
 
-    Built in projection steps so the JSON text is extracted and parsed once
-    per row (one ``from_json`` into a string map).
+    Built in projection steps so the JSON text is extracted once per row and
+    parsed into one struct of string fields (a repeated key keeps its last
+    value, as in Python; a map would fail on duplicate keys).
     """
     r = F.col(result)
-    tmp = [f"_jp_{k}" for k in ("j", "m", "path", "digit")]
+    tmp = [f"_jp_{k}" for k in ("j", "m", "keys", "path", "digit")]
     j = F.regexp_extract(r, r"(?s)\{.*\}", 0)
     df = df.withColumn(tmp[0], j)
-    df = df.withColumn(tmp[1], F.when(F.length(F.col(tmp[0])) > 0,
-                                      F.from_json(F.col(tmp[0]), "map<string,string>")))
+    # fields as strings (nested values keep their JSON text; a repeated key
+    # keeps its last value, like json.loads); key presence from the key list
+    df = df.withColumn(tmp[2], F.when(F.length(F.col(tmp[0])) > 0, F.json_object_keys(F.col(tmp[0]))))
+    df = df.withColumn(tmp[1], F.when(F.col(tmp[2]).isNotNull(), F.from_json(
+        F.col(tmp[0]), "score string, reasoning string, strengths string, weaknesses string")))
     m = F.col(tmp[1])
-    has = lambda k: F.map_contains_key(m, k)
-    raw = F.element_at(m, F.lit("score"))
+    valid = F.col(tmp[2]).isNotNull()
+    has = lambda k: F.array_contains(F.col(tmp[2]), k)
+    raw = m["score"]
     # JSON booleans are numbers to Python's float(): true -> 1.0, false -> 0.0
     num = F.when(raw == "true", F.lit(1.0)).when(raw == "false", F.lit(0.0)).otherwise(raw.try_cast("double"))
     digit = F.regexp_extract(r, SCORE_FALLBACK, 1)
-    df = df.withColumn(tmp[3], F.when(m.isNull(), digit))
+    df = df.withColumn(tmp[4], F.when(~valid | valid.isNull(), digit))
     path = F.when(r.isNull(), F.lit("none")) \
-            .when(m.isNotNull() & has("score") & num.isNull(), F.lit("failed")) \
-            .when(m.isNotNull(), F.lit("json")) \
-            .when(F.length(F.col(tmp[3])) > 0, F.lit("regex")) \
+            .when(valid & has("score") & num.isNull(), F.lit("failed")) \
+            .when(valid, F.lit("json")) \
+            .when(F.length(F.col(tmp[4])) > 0, F.lit("regex")) \
             .otherwise(F.lit("none"))
-    df = df.withColumn(tmp[2], path)
-    p = F.col(tmp[2])
+    df = df.withColumn(tmp[3], path)
+    p = F.col(tmp[3])
     empty = F.array().cast("array<string>")
-    arr = lambda k: F.coalesce(F.from_json(F.element_at(m, F.lit(k)), "array<string>"), empty)
+    arr = lambda k: F.coalesce(F.from_json(m[k], "array<string>"), empty)
     score = F.when(p == "json", F.when(has("score"), num).otherwise(F.lit(0.0))) \
-             .when(p == "regex", F.col(tmp[3]).cast("double"))
-    reasoning = F.when(p == "json", F.when(has("reasoning"), F.element_at(m, F.lit("reasoning")))
+             .when(p == "regex", F.col(tmp[4]).cast("double"))
+    reasoning = F.when(p == "json", F.when(has("reasoning"), m["reasoning"])
                        .otherwise(F.lit(""))) \
                  .when(p == "regex", r) \
                  .when(p == "failed", F.lit(FAILED_PREFIX + SCORE_NOT_NUMBER)) \

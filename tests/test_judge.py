@@ -73,3 +73,8 @@ def test_extract_response_text(spark, body, text, judge_text):
     r = df.select(J.extract_response_text("b").alias("t"), J.extract_response_text("b", False).alias("j")).first()
     assert r.t == text
     assert r.j == (raw if judge_text is None else judge_text)
+
+
+def test_duplicate_keys_keep_the_last_value(spark):
+    got = parse(spark, ['{"score": 3, "score": 4, "reasoning": "twice"}'])
+    assert got[0]["score"] == 4.0 and got[0]["parse_path"] == "json" and got[0]["reasoning"] == "twice"
