@@ -83,14 +83,16 @@ def run_records(events: DataFrame) -> DataFrame:
 
 
 def json_get(js, key: str, default: str | None = None) -> Column:
-    """one value of a JSON object of strings."""
-    m = F.from_json(F.col(js) if isinstance(js, str) else js, "map<string,string>")
-    v = F.element_at(m, F.lit(key))
+    """one value of a JSON object (nested values as JSON text). Reads the
+    path directly, so any JSON text is safe (no map built from its keys)."""
+    path = "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    v = F.get_json_object(F.col(js) if isinstance(js, str) else js, path)
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
 def json_set(js, key: str, value) -> Column:
-    """the JSON object with ``key`` set to ``value``."""
+    """the JSON object with ``key`` set to ``value`` (objects of string
+    values, as this library writes them for config, task state and outputs)."""
     m = F.coalesce(F.from_json(F.col(js) if isinstance(js, str) else js, "map<string,string>"),
                    F.create_map().cast("map<string,string>"))
     rest = F.map_filter(m, lambda k, _v: k != F.lit(key))
