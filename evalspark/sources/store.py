@@ -38,13 +38,16 @@ def merge_plan(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
 def check_keys(source: DataFrame, keys: list[str]) -> None:
     """Reject NULL keys and duplicate keys inside one upsert source.
 
-    Two cheap actions that stop at the first offending row.
+    One grouped action (partial aggregation, then stop at the first
+    offending key): a key group with a NULL part or more than one row.
     """
     null_any = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    if not source.where(null_any).isEmpty():
-        raise NullKeyError(f"NULL value in upsert key {keys}")
-    dup = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    if not dup.isEmpty():
+    bad = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) \
+        .where(null_any | (F.col("_n") > 1)).limit(1).collect()
+    if bad:
+        row = bad[0]
+        if any(row[k] is None for k in keys):
+            raise NullKeyError(f"NULL value in upsert key {keys}")
         raise DuplicateKeyError(f"duplicate upsert keys in source on {keys}")
 
 
