@@ -91,6 +91,10 @@ def smaller_weight(
     splits = df.groupBy(*keys).agg(
         F.percentile_approx(F.col(value), F.array(*[F.lit(f) for f in fractions]), accuracy).alias("_splits")
     )
+    # Sketch merges can depend on task order: write the split points once so
+    # the bucket totals and the local running sums see the same buckets, also
+    # after a recomputation (G rows of B-1 values).
+    splits = materialize(splits)
     tagged = join_on_keys(df, splits, keys).withColumn("_b", F.lit(0))
     step = nb >> 1
     while step >= 1:
