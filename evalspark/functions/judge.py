@@ -74,59 +74,40 @@ def judge_prompt(prompt, response, ground_truth, template: str = JUDGE_PROMPT_TE
     return F.concat(*parts)
 
 
-def parse_judgements(df: DataFrame, result: str, out: str = "judgement") -> DataFrame:
-    """add ``out`` = struct
-
-    (score, reasoning, strengths, weaknesses, error, parse_path)
-
-    parsed from the judge reply in column ``result``:
-
-    1. the text from the first '{' to the last '}' is parsed as JSON: a
-       missing score is 0.0, a string score is cast, a null or non-numeric
-       score gives a failed judgement (NULL score, error text, T20);
-    2. otherwise a ``"score": <digit>`` fallback takes one digit (T19) and
-       keeps the whole reply as reasoning;
-    3. otherwise NULL score and the first 200 characters in the message.
-
-    Built in projection steps so the JSON text is extracted once per row and
-    parsed into one struct of string fields (a repeated key keeps its last
-    value, as in Python; a map would fail on duplicate keys).
-    """
-    r = F.col(result)
-    tmp = [f"_jp_{k}" for k in ("j", "m", "keys", "path", "digit")]
-    j = F.regexp_extract(r, r"(?s)\{.*\}", 0)
-    df = df.withColumn(tmp[0], j)
-    # fields as strings (nested values keep their JSON text; a repeated key
-    # keeps its last value, like json.loads); key presence from the key list
-    df = df.withColumn(tmp[2], F.when(F.length(F.col(tmp[0])) > 0, F.json_object_keys(F.col(tmp[0]))))
-    df = df.withColumn(tmp[1], F.when(F.col(tmp[2]).isNotNull(), F.from_json(
-        F.col(tmp[0]), "score string, reasoning string, strengths string, weaknesses string")))
-    m = F.col(tmp[1])
-    valid = F.col(tmp[2]).isNotNull()
-    has = lambda k: F.array_contains(F.col(tmp[2]), k)
+JUDGEMENT_FIELDS = "score string, reasoning string, strengths string, weaknesses string"
+
+
+def _judgement(r: Column, step) -> Column:
+    """The parse as a chain of steps; ``step(name, expr)`` either returns the
+    expression (column form) or stores it as a column and returns a
+    reference to it (frame form), so each step is computed once per row."""
+    j = step("j", F.regexp_extract(r, r"(?s)\{.*\}", 0))
+    # key presence from the key list; field values from one struct of string
+    # fields (nested values keep their JSON text; a repeated key keeps its
+    # last value, like json.loads; a map would fail on duplicate keys)
+    keys = step("keys", F.when(F.length(j) > 0, F.json_object_keys(j)))
+    m = step("m", F.when(keys.isNotNull(), F.from_json(j, JUDGEMENT_FIELDS)))
+    valid = keys.isNotNull()
+    has = lambda k: F.array_contains(keys, k)
     raw = m["score"]
     # JSON booleans are numbers to Python's float(): true -> 1.0, false -> 0.0
     num = F.when(raw == "true", F.lit(1.0)).when(raw == "false", F.lit(0.0)).otherwise(raw.try_cast("double"))
-    digit = F.regexp_extract(r, SCORE_FALLBACK, 1)
-    df = df.withColumn(tmp[4], F.when(~valid | valid.isNull(), digit))
-    path = F.when(r.isNull(), F.lit("none")) \
-            .when(valid & has("score") & num.isNull(), F.lit("failed")) \
-            .when(valid, F.lit("json")) \
-            .when(F.length(F.col(tmp[4])) > 0, F.lit("regex")) \
-            .otherwise(F.lit("none"))
-    df = df.withColumn(tmp[3], path)
-    p = F.col(tmp[3])
+    digit = step("digit", F.when(~valid, F.regexp_extract(r, SCORE_FALLBACK, 1)))
+    p = step("path", F.when(r.isNull(), F.lit("none"))
+             .when(valid & has("score") & num.isNull(), F.lit("failed"))
+             .when(valid, F.lit("json"))
+             .when(F.length(digit) > 0, F.lit("regex"))
+             .otherwise(F.lit("none")))
     empty = F.array().cast("array<string>")
     arr = lambda k: F.coalesce(F.from_json(m[k], "array<string>"), empty)
     score = F.when(p == "json", F.when(has("score"), num).otherwise(F.lit(0.0))) \
-             .when(p == "regex", F.col(tmp[4]).cast("double"))
-    reasoning = F.when(p == "json", F.when(has("reasoning"), m["reasoning"])
-                       .otherwise(F.lit(""))) \
+             .when(p == "regex", digit.cast("double"))
+    reasoning = F.when(p == "json", F.when(has("reasoning"), m["reasoning"]).otherwise(F.lit(""))) \
                  .when(p == "regex", r) \
                  .when(p == "failed", F.lit(FAILED_PREFIX + SCORE_NOT_NUMBER)) \
                  .otherwise(F.concat(F.lit(UNPARSED_PREFIX),
                                      F.substring(F.coalesce(r, F.lit("None")), 1, UNPARSED_CHARS)))
-    parsed = F.struct(
+    return F.struct(
         score.cast("double").alias("score"),
         reasoning.alias("reasoning"),
         F.when(p == "json", arr("strengths")).otherwise(empty).alias("strengths"),
@@ -134,7 +115,41 @@ def parse_judgements(df: DataFrame, result: str, out: str = "judgement") -> Data
         F.when(p == "failed", F.lit(SCORE_NOT_NUMBER)).alias("error"),
         p.alias("parse_path"),
     )
-    return df.withColumn(out, parsed).drop(*tmp)
+
+
+def parse_judgement(result) -> Column:
+    """F10/F11/F24 as one column expression (usable in any ``select``);
+    ``parse_judgements`` computes the same struct with each step once."""
+    return _judgement(_c(result), lambda _name, expr: expr)
+
+
+def parse_judgements(df: DataFrame, result: str, out: str = "judgement") -> DataFrame:
+    """add ``out`` = struct
+
+    (score, reasoning, strengths, weaknesses, error, parse_path)
+
+    parsed from the judge reply in column ``result``:
+
+    1. the text from the first '{' to the last '}' is parsed as JSON: a
+       missing score is 0.0, a string score is cast, a null or non-numeric
+       score gives a failed judgement (NULL score, error text, T20);
+    2. otherwise a ``"score": <digit>`` fallback takes one digit (T19) and
+       keeps the whole reply as reasoning;
+    3. otherwise NULL score and the first 200 characters in the message.
+
+    Built in projection steps so the JSON text is extracted and parsed once
+    per row.
+    """
+    state = {"df": df, "cols": []}
+
+    def step(name: str, expr: Column) -> Column:
+        col = f"_jp_{name}"
+        state["df"] = state["df"].withColumn(col, expr)
+        state["cols"].append(col)
+        return F.col(col)
+
+    parsed = _judgement(F.col(result), step)
+    return state["df"].withColumn(out, parsed).drop(*state["cols"])
 
 
 def _text_from_variant(v: Column, raw: Column, with_text: bool) -> Column:

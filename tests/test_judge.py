@@ -78,3 +78,12 @@ def test_extract_response_text(spark, body, text, judge_text):
 def test_duplicate_keys_keep_the_last_value(spark):
     got = parse(spark, ['{"score": 3, "score": 4, "reasoning": "twice"}'])
     assert got[0]["score"] == 4.0 and got[0]["parse_path"] == "json" and got[0]["reasoning"] == "twice"
+
+
+def test_column_form_equals_frame_form(spark):
+    texts = ['Here: {"score": 4, "strengths": ["a"]} x', '{"score": "3"}', '{"reasoning": "r"}',
+             '{"score": 2, "reasoning": }', "no json", '{"score": null}', None, '{"score": true}']
+    df = spark.createDataFrame([(t,) for t in texts], "r string")
+    a = [r.p.asDict() for r in df.select(J.parse_judgement("r").alias("p")).collect()]
+    b = [r.p.asDict() for r in J.parse_judgements(df, "r", "p").collect()]
+    assert a == b
