@@ -63,7 +63,9 @@ def compare_metrics(
                                        threshold_pct, alpha))
     enough = (F.col("n1") > 0) & (F.col("n2") > 0)
     req = _requested(spark, metrics)
-    j = req.join(s, "metric_name", "left")
+    # s has at most one row per requested metric (evals were filtered to the
+    # list): a broadcast bounded by the argument, not by the data
+    j = req.join(F.broadcast(s), "metric_name", "left")
     keep = lambda c: F.when(enough, c)
     return j.select(
         "metric_name",
