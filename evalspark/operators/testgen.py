@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalspark.operators.ranking import smaller_weight
+from evalspark.operators.ranking import buckets_for, smaller_weight
 from evalspark.session import materialize
 
 MIN_CHUNK_CHARS = 50
@@ -72,14 +72,14 @@ def hard_negatives(
     base = chunks.select(F.col(id_col).alias("id"), F.col(doc_col).alias("doc")) \
         .where(F.col("id").isNotNull()).dropDuplicates(["id"])
     keyed = base.withColumn("_h", hash_key("id")).withColumn("_g", F.lit(0))
+    n_rows = base.count()  # one group of n rows: it also sizes the buckets
     ranked = smaller_weight(keyed.withColumn("_one", F.lit(1)), ["_g"], "_h", {"_before": "_one"},
-                            buckets=buckets)
+                            buckets=buckets_for(n_rows) if buckets is None else buckets)
     # ties on the 60-bit key (vanishingly rare) are ordered by id
     tie = Window.partitionBy("_h").orderBy("id")
     pos = ranked.withColumn("pos", F.col("_before") + F.row_number().over(tie) - 1).select("id", "doc", "pos")
     # both join sides read the positions: write them once (also cuts lineage)
     pos = materialize(pos)
-    n_rows = pos.count()
     m = max(0, min(window, n_rows - 1))
     if m == 0:
         return base.sparkSession.createDataFrame([], "chunk_id string, rank int, negative_chunk_id string")
