@@ -186,3 +186,11 @@ def test_cluster_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_ship_package_once_per_application(spark):
+    from evalspark import session
+
+    session.ship_package(spark)
+    session.ship_package(spark)
+    assert spark.sparkContext.applicationId in session._SHIPPED
