@@ -87,7 +87,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        train_rows: int = 10_000, max_words: int = 60_000, max_grams: int = 80_000, alpha: float = 0.5) -> LanguageModel:
+        train_rows: int = 5_000, max_words: int = 60_000, max_grams: int = 80_000, alpha: float = 0.5) -> LanguageModel:
     """Fit on at most about ``train_rows`` rows with a text and a language."""
     rows = common.pick(docs, id=id_col, text=text_col, lang=lang_col).where("text is not null and lang is not null")
     sample = common.bounded_sample(rows, F.col("id"), train_rows).select("lang", "text")
