@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, langid, packing, quality
+from . import fingerprint, langid, packing, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
+    "op2_pii": pii.op2_pii,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_fingerprint": fingerprint.op4_fingerprint,
     "op5_quality": quality.op5_quality,
