@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,3 +74,11 @@ def slices(texts: list, size: int) -> Iterator[tuple[int, int]]:
         total += len(text)
     if lo < len(texts):
         yield lo, len(texts)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps now (it
+    does so when the driver collects its garbage): only for steps whose result
+    is already a stored table."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
