@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, jaccard, langid, packing, pii, quality
+from . import fingerprint, jaccard, langid, packing, pii, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -14,9 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_fingerprint": fingerprint.op4_fingerprint,
     "op5_quality": quality.op5_quality,
+    "op7_suffix_dedup": suffixes.op7_suffix_dedup,
     "op8_jaccard_join": jaccard.op8_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_suffix_dedup": suffixes.OP7_SQL,
     "op8_jaccard_join": jaccard.OP8_SQL,
 }
