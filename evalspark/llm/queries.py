@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, jaccard, langid, lm, packing, pii, quality, suffixes
+from . import decontam, fingerprint, jaccard, langid, lm, packing, pii, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_fingerprint": fingerprint.op4_fingerprint,
     "op5_quality": quality.op5_quality,
+    "op6_decontamination": decontam.op6_decontamination,
     "op7_suffix_dedup": suffixes.op7_suffix_dedup,
     "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op10_lm_scoring": lm.op10_lm_scoring,
