@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, fingerprint, jaccard, langid, lm, packing, pii, quality, suffixes
+from . import decontam, fingerprint, jaccard, langid, licenses, lm, packing, pii, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -17,10 +17,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": decontam.op6_decontamination,
     "op7_suffix_dedup": suffixes.op7_suffix_dedup,
     "op8_jaccard_join": jaccard.op8_jaccard_join,
+    "op9_license_scan": licenses.op9_license_scan,
     "op10_lm_scoring": lm.op10_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_license_scan": licenses.OP9_SQL,
     "op7_suffix_dedup": suffixes.OP7_SQL,
     "op8_jaccard_join": jaccard.OP8_SQL,
 }
