@@ -36,9 +36,12 @@ from dataclasses import dataclass
 from itertools import chain, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import common
 from .shingles import mix
@@ -245,29 +248,33 @@ def held_items(texts: list[str | None], ix: ItemIndex, bits: dict[int, dict[int,
         yield t, item, d
 
 
+def _blocks(items: DataFrame, item_id_col: str, item_text_col: str, percent: int, target_recall: float,
+            block_chars: int) -> Iterator[Broadcast]:
+    """The items' indexes, each of a block of bounded size, so it may be collected and broadcast."""
+    wanted = common.pick(items, item_id=item_id_col, text=item_text_col).where("text is not null")
+    chars = wanted.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-chars // block_chars))
+    common.ship(items.sparkSession)
+    for block in range(blocks):
+        some = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        own = sorted(((r["item_id"], r["text"]) for r in some.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        yield items.sparkSession.sparkContext.broadcast(index(own, percent, target_recall))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
                  item_text_col: str = "text", percent: int = 75, target_recall: float = 0.999,
                  block_chars: int = 20_000_000) -> DataFrame:
     """id, item_id, n_words (of the item), edits: one row per item that a row of ``docs`` holds."""
-    spark = docs.sparkSession
     rows = common.pick(docs, id=id_col, text=text_col)
-    wanted = common.pick(items, item_id=item_id_col, text=item_text_col).where("text is not null")
-    chars = wanted.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
     names = ["id", "item_id", "n_words", "edits"]
     schema = rows.select("id").schema
-    schema.add("item_id", wanted.schema["item_id"].dataType).add("n_words", "long").add("edits", "long")
-    common.ship(spark)
+    schema.add("item_id", items.schema[item_id_col].dataType).add("n_words", "long").add("edits", "long")
+    item_type = to_arrow_type(items.schema[item_id_col].dataType)
     out = None
-    for block in range(blocks):  # each of bounded size, so it may be collected and broadcast
-        some = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        own = sorted(((r["item_id"], r["text"]) for r in some.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        shared = spark.sparkContext.broadcast(index(own, percent, target_recall))
+    for shared in _blocks(items, item_id_col, item_text_col, percent, target_recall, block_chars):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            from pyspark.sql.pandas.types import to_arrow_schema
-
-            ix, bits, arrow = shared.value, {}, to_arrow_schema(schema)
+            ix, bits = shared.value, {}
             if not ix.items:
                 return
             for batch in batches:
@@ -280,7 +287,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                         n.append(len(ix.items[i]))
                         d.append(e)
                 if at:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(item, arrow.field("item_id").type),
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(item, item_type),
                                                       pa.array(n, pa.int64()), pa.array(d, pa.int64())], names)
 
         part = rows.mapInArrow(run, schema)
@@ -288,6 +295,30 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     return out
 
 
+def _clean(shared: Broadcast, text: Column) -> Column:
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ix, bits = shared.value, {}
+        for batch in batches:
+            texts = batch.tolist()
+            out = np.ones(len(texts), dtype=bool)
+            if ix.items:
+                for lo, hi in common.slices([t or "" for t in texts], TEXT_SLICE):
+                    for t, _, _ in held_items(texts[lo:hi], ix, bits):
+                        out[lo + t] = False
+            yield pd.Series(out)
+
+    return clean(text)
+
+
+def without_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+                  percent: int = 75, target_recall: float = 0.999, block_chars: int = 20_000_000) -> DataFrame:
+    """The rows of ``docs``, unchanged, that hold no item; a filter, no shuffle."""
+    for shared in _blocks(items, item_id_col, item_text_col, percent, target_recall, block_chars):
+        docs = docs.where(_clean(shared, common.col(text_col)))
+    return docs
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     out = contaminated(common.documents(spark, sf_dir), items)
