@@ -17,9 +17,10 @@ is at least ``percent`` / 100. Exact, in these steps:
    links already join most of every large near-duplicate group.
 4. Posting lists that hold one component are done. The others give candidate
    pairs across components that share at least min(L, L') entries within that
-   prefix length; all of them are verified. Pairs inside a component need
-   no verification, so a group's pairs are never listed, yet no link between
-   components is lost.
+   prefix length; documents compared with the same hub meet only where the hub
+   does not explain what they share (see ``_candidates``). All candidates are
+   verified. Pairs inside a component need no verification, so a group's pairs
+   are never listed, yet no link between components is lost.
 
 Defined cases: NULL text or a text without words is the empty set and links
 with nothing; rows with the same id are one node; a NULL id stands for nothing
@@ -187,42 +188,87 @@ def _postings(dealt: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, FOUND)
 
 
-def verified(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The (a, b) whose whole sets are similar enough."""
+def compared(rows: DataFrame, pairs: DataFrame, size: int, percent: int, counts: np.ndarray | None = None) -> DataFrame:
+    """Pairs (a, b) with their whole sets compared: linked, shared, n_a, n_b;
+    with ``counts`` also core (the shingles of a's prefix that b has) and rest
+    (how many of a's shingles are neither in b nor in a's prefix)."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             s = [x.astype("<u8").tobytes() for x in shingle_sets(batch.column(1).to_pylist(), size, words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.binary())], ["id", "s"])
 
+    shared_counts = rows.sparkSession.sparkContext.broadcast(counts)  # fixed size
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            shared, n_a, n_b, core, rest = [], [], [], [], []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                both = np.intersect1d(x, y, assume_unique=True)
+                shared.append(len(both))
+                n_a.append(len(x))
+                n_b.append(len(y))
+                if counts is not None:
+                    first = prefix(x, shared_counts.value, percent)[0]
+                    common_first = np.intersect1d(first, both, assume_unique=True)
+                    core.append(common_first.view(np.int64))
+                    rest.append(len(x) - len(both) - (len(first) - len(common_first)))
+                else:
+                    core.append(None)
+                    rest.append(None)
+            k, n, m = (np.array(v, dtype=np.int64) for v in (shared, n_a, n_b))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(k * (100 + percent) >= percent * (n + m)), pa.array(k), pa.array(n), pa.array(m),
+                 pa.array(core, pa.list_(pa.int64())), pa.array(rest, pa.int64())],
+                ["a", "b", "linked", "shared", "n_a", "n_b", "core", "rest"])
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     found = common.stored(rows.join(wanted, "id", "left_semi").mapInArrow(sets, "id long, s binary"))
     both = (pairs.join(found.select(F.col("id").alias("a"), F.col("s").alias("s_a")), "a")
             .join(found.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b").select("a", "b", "s_a", "s_b"))
-    return both.mapInArrow(compare, "a long, b long")
-
-
-def _candidates(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components with enough shared entries. ``entries``: token, a, n, level, ell, root."""
-    mixed = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-    live = common.stored(entries.join(mixed, "token", "left_semi"))
-    x = live.toDF(*[f"{c}_x" if c != "token" else c for c in live.columns])
-    y = live.toDF(*[f"{c}_y" if c != "token" else c for c in live.columns])
-    pairs = x.join(y, "token").where(
-        f"a_x < a_y and root_x <> root_y and 100L * least(n_x, n_y) >= {percent}L * greatest(n_x, n_y) "
-        "and greatest(level_x, level_y) <= least(ell_x, ell_y)")
-    return (pairs.groupBy(F.col("a_x").alias("a"), F.col("a_y").alias("b"))
-            .agg(F.count("*").alias("shared"), F.min(F.least("ell_x", "ell_y")).alias("ell"))
-            .where("shared >= ell").select("a", "b"))
+    return both.mapInArrow(compare, "a long, b long, linked boolean, shared long, n_a long, n_b long, core array<long>, rest long")
+
+
+def _suffixed(df: DataFrame, end: str, key: str) -> DataFrame:
+    return df.toDF(*[c if c == key else c + end for c in df.columns])
+
+
+def _candidates(entries: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components that may be linked.
+
+    ``entries``: token, a, n, level, ell, root, hub, core (the hub has the
+    token too); ``stars``: a, hub, shared, n, rest, root, linked. Documents compared
+    with the same hub share at most the smaller of what they share with it,
+    plus what both have beside it. So such a pair is a candidate only if that
+    smaller part (and the rest, shingles neither in the hub nor in the prefix)
+    is enough, or if their prefixes share a shingle that the hub lacks; their
+    entries of the hub's shingles never meet. Other pairs need min(L, L')
+    shared entries.
+    """
+    entries = entries.withColumn("grp", F.when(F.col("core"), F.col("hub")))
+    by_token = (entries.groupBy("token", "grp").agg(F.count("*").alias("k"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+                .groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max_by("grp", F.when(F.col("grp").isNotNull(), F.struct("k", "grp")))
+                                      .alias("main"), F.count("*").alias("groups"), F.count_if(F.col("grp").isNull()).alias("loose")))
+    mixed = by_token.where("lo <> hi and groups + loose > 1").select("token", "main")
+    live = common.stored(entries.join(mixed, "token").withColumn("minor", F.coalesce(F.col("grp") != F.col("main"), F.lit(True))).drop("main"))
+    x, y = _suffixed(live.where("minor"), "_x", "token"), _suffixed(live, "_y", "token")
+    same_hub = "hub_x <=> hub_y and hub_x is not null"
+    met = x.join(y, "token").where(
+        f"root_x <> root_y and a_x <> a_y and (not minor_y or a_x < a_y) and not (grp_x <=> grp_y and grp_x is not null) "
+        f"and 100L * least(n_x, n_y) >= {percent}L * greatest(n_x, n_y) "
+        f"and (({same_hub}) or greatest(level_x, level_y) <= least(ell_x, ell_y))")
+    pairs = (met.groupBy(F.least("a_x", "a_y").alias("a"), F.greatest("a_x", "a_y").alias("b"))
+             .agg(F.count("*").alias("k"), F.min(F.when(F.expr(same_hub), 1).otherwise(F.least("ell_x", "ell_y"))).alias("ell"))
+             .where("k >= ell").select("a", "b"))
+    around = stars.groupBy("hub").agg(F.min("n").alias("least_n"), F.max("rest").alias("most_rest"))
+    near = stars.where("not linked").join(around, "hub").where(
+        f"(shared + greatest(rest, most_rest)) * {100 + percent}L >= {percent}L * (n + least_n)").drop("least_n", "most_rest", "linked")
+    x, y = _suffixed(near, "_x", "hub"), _suffixed(stars.drop("linked"), "_y", "hub")
+    close = x.join(y, "hub").where(
+        f"root_x <> root_y and a_x <> a_y and 100L * least(n_x, n_y) >= {percent}L * greatest(n_x, n_y) "
+        f"and (least(shared_x, shared_y) + greatest(rest_x, rest_y)) * {100 + percent}L >= {percent}L * (n_x + n_y)")
+    return pairs.union(close.select(F.least("a_x", "a_y").alias("a"), F.greatest("a_x", "a_y").alias("b"))).distinct()
 
 
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75,
@@ -241,13 +287,21 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     common.release_shuffles(spark)
     stars = (postings.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"))
              .groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")))
-    near = common.stored(verified(rows, common.stored(stars), size, percent))
-    roots = graph.components(near)
-    entries = (postings.where("kind = 0").join(roots, F.col("a") == F.col("node"), "left")
-               .select("token", "a", "n", "level", "ell", F.coalesce("root", "a").alias("root")))
-    pairs = common.stored(_candidates(entries, percent))
+    star = common.stored(compared(rows, common.stored(stars), size, percent, counts))
+    near = star.where("linked").select("a", "b")
+    roots = common.stored(graph.components(near))
+    # a hub that was compared with no other is its own
+    own = (star.select(F.col("b").alias("a"), F.col("n_b").alias("n")).distinct().join(star.select("a"), "a", "left_anti")
+           .select("a", F.col("a").alias("hub"), F.col("n").alias("shared"), "n", F.lit(None).cast("array<long>").alias("core"),
+                   F.lit(0).cast("long").alias("rest"), F.lit(True).alias("linked")))
+    known = common.stored(star.select("a", F.col("b").alias("hub"), "shared", F.col("n_a").alias("n"), "core", "rest", "linked").union(own)
+                          .join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node"))
+    entries = (postings.where("kind = 0").select("token", "a", "n", "level", "ell").join(known.drop("n", "shared", "rest", "linked"), "a", "left")
+               .select("token", "a", "n", "level", "ell", F.coalesce("root", "a").alias("root"), "hub",
+                       (F.col("hub").isNotNull() & F.coalesce(F.array_contains("core", F.col("token")), F.lit(True))).alias("core")))
+    pairs = common.stored(_candidates(entries, known.drop("core"), percent))
     common.release_shuffles(spark)
-    more = common.stored(verified(rows, pairs, size, percent)) if pairs.limit(1).count() else pairs
+    more = common.stored(compared(rows, pairs, size, percent).where("linked").select("a", "b")) if pairs.limit(1).count() else pairs
     roots = graph.components(near.unionByName(more))
     placed = (classes.join(roots, F.col("rep") == F.col("node"), "left")
               .select(F.col("key").alias("class_key"), F.coalesce("root", "rep").alias("component_id")))
