@@ -76,6 +76,12 @@ def slices(texts: list, size: int) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
+def rows_of(batch) -> Iterator[tuple]:
+    """The rows of an Arrow batch one by one, for rows of large binary values."""
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps now (it
     does so when the driver collects its garbage): only for steps whose result

@@ -44,7 +44,7 @@ from . import common
 from .eliasfano import BigramTrie
 from .shingles import mix, words_of
 
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 6_000_000
 TEXT_SLICE = 1_000_000
 END, START = 0, 1  # word numbers in every block
 SPECIAL = np.array([0x9D39247E33776D41, 0x2AF7398005AAA5C7], dtype=np.uint64)
@@ -116,7 +116,7 @@ def _hot(stored: DataFrame, n_tokens: int, n_train: int, parts: int) -> dict[int
     with that share of all tokens has it in some block. START is always hot."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for digests, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for digests, counts in common.rows_of(batch):
                 counts = np.frombuffer(counts, dtype="<u4")
                 some = np.flatnonzero(counts * np.float64(4 * parts) >= max(1, counts.sum()))
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(digests, dtype="<i8")[some])], ["digest"])
@@ -130,7 +130,7 @@ def _hot(stored: DataFrame, n_tokens: int, n_train: int, parts: int) -> dict[int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(shared.value), dtype=np.int64)
         for batch in batches:
-            for digests, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for digests, counts in common.rows_of(batch):
                 d = np.frombuffer(digests, dtype="<i8")
                 at = np.searchsorted(shared.value, d)
                 hit = np.flatnonzero((at < len(shared.value)) & (shared.value[np.minimum(at, len(shared.value) - 1)] == d))
@@ -170,7 +170,7 @@ class _Block:
         low = mix(self.digests ^ SPECIAL[0]) & LOW48
         order = np.lexsort((low[w], self.digests[u], part))
         self.pair_order, self.pair_part = order, part[order].astype(np.int64)
-        self.u, self.w, self.low, self.times = u, w, low, times
+        self.u, self.w, self.low, self.times = u.astype(np.uint32), w.astype(np.uint32), low, times.astype(np.uint32)
         word_part = (own % np.uint64(parts)).astype(np.int64)
         word_part[START] = -1  # never a token
         self.word_order = np.argsort(word_part, kind="stable")[1:]
@@ -237,7 +237,7 @@ def _asked(stored: DataFrame, hot: dict[int, int], parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, *fields in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, *fields in common.rows_of(batch):
                 out = [(p, name, kind, n, packed) for p, kind, n, packed in _Block(*fields, parts, shared.value).messages()]
                 for lo in range(0, len(out), 64):
                     yield _rows(out[lo : lo + 64])
@@ -302,13 +302,12 @@ def _answered(asked: DataFrame, hot: dict[int, int], mu: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, words, pairs = 0, [], []
         for batch in batches:
-            for part, block, kind, n, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, block, kind, n, packed in common.rows_of(batch):
                 (words if kind == WORDS else pairs).append((block, n, packed))
         for asked_for, answer in ((words, _answer_words(words)), (pairs, _answer_pairs(pairs, shared.value, mu))):
             if asked_for:
-                out = [(part, *reply) for reply in answer]
-                for lo in range(0, len(out), 64):
-                    yield _rows(out[lo : lo + 64])
+                for reply in answer:
+                    yield _rows([(part, *reply)])
 
     return asked.mapInArrow(run, DEALT)
 
@@ -317,7 +316,7 @@ def _answered(asked: DataFrame, hot: dict[int, int], mu: float) -> DataFrame:
 
 
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", mu: float = 20.0,
-          part_tokens: int = 1_500_000) -> DataFrame:
+          part_tokens: int = 750_000) -> DataFrame:
     """Per row: id, n_tokens, n_known, train_tokens, base_score, score (log10).
     ``train`` (a boolean of the columns of ``docs``) says which rows are learned from."""
     spark = docs.sparkSession
@@ -340,7 +339,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         words: dict[int, bytes] = {}
         pairs: dict[int, bytes] = {}
         for batch in batches:
-            for kind, part, packed, ids, *fields in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for kind, part, packed, ids, *fields in common.rows_of(batch):
                 if kind != BLOCK:
                     (words if kind == WORDS else pairs)[part] = packed
                     continue
