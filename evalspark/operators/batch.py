@@ -93,7 +93,9 @@ def batch_infer(
     keyed = prompts.withColumn("_key", content_id(F.lit(run_id), "prompt_id",
                                                   *(["dataset_version"] if "dataset_version" in prompts.columns
                                                     else [])))
-    j = call_per_row(keyed, "prompt", call, ["_key", "prompt_id"], max_workers, partitions)
+    if "dataset_version" not in prompts.columns:
+        keyed = keyed.withColumn("dataset_version", F.lit(None).cast("string"))
+    j = call_per_row(keyed, "prompt", call, ["_key", "prompt_id", "dataset_version"], max_workers, partitions)
     status, message = classify_status(F.col("status_code"), F.col("error"))
     ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
     return j.select(
@@ -101,7 +103,7 @@ def batch_infer(
         F.lit(model_version).alias("model_version"), F.lit(endpoint_name).alias("endpoint_name"),
         F.when(F.col("status_code") == 200, extract_response_text(F.col("body"))).alias("response"),
         "latency_ms", status.alias("status"), message.alias("error_message"),
-        ts.alias("created_at"), F.lit(run_id).alias("run_id"),
+        ts.alias("created_at"), F.lit(run_id).alias("run_id"), "dataset_version",
     )
 
 
@@ -113,7 +115,7 @@ def batch_judge(
     created_at=None,
     max_workers: int = 10,
     partitions: int | None = None,
-    id_col: str = "prompt_id",
+    id_col: str | None = None,
 ) -> DataFrame:
     """K2: judge every (prompt, response, truth) row into eval_results rows.
 
@@ -122,12 +124,15 @@ def batch_judge(
     body's text is read without the ``.text`` fallback.
     """
     resp_id = F.col("response_id") if "response_id" in df.columns else F.lit(None).cast("string")
+    version = F.col("dataset_version") if "dataset_version" in df.columns else F.lit(None).cast("string")
+    # same key rule as the other eval rows: a response is judged under its own id
+    own = F.coalesce(resp_id, F.col("prompt_id")) if id_col is None else F.col(id_col)
     keyed = df.select(
-        content_id(F.lit(run_id), id_col, "model_version", F.lit("judge_score")).alias("_key"),
-        resp_id.alias("response_id"), "prompt_id", "model_version",
+        content_id(F.lit(run_id), own, "model_version", F.lit("judge_score")).alias("_key"),
+        resp_id.alias("response_id"), "prompt_id", "model_version", version.alias("dataset_version"),
         judge_prompt("prompt", "response", "ground_truth").alias("_jp"),
     )
-    j = call_per_row(keyed, "_jp", call, ["_key", "response_id", "prompt_id", "model_version"],
+    j = call_per_row(keyed, "_jp", call, ["_key", "response_id", "prompt_id", "model_version", "dataset_version"],
                      max_workers, partitions)
     j = j.withColumn("_text", F.when(F.col("status_code") == 200,
                                      extract_response_text(F.col("body"), with_text=False)))
@@ -148,12 +153,12 @@ def batch_judge(
         F.lit(run_id).alias("run_id"), F.lit("judge_score").alias("metric_name"),
         score.alias("metric_value"), details.alias("metric_details"),
         F.concat(F.lit("llm_judge:"), F.lit(endpoint_name)).alias("evaluator"),
-        ts.alias("created_at"),
+        ts.alias("created_at"), "dataset_version",
         reasoning.alias("reasoning"),
     )
 
 
-QA_SCHEMA = "chunk_id string, question string, ground_truth string, source_text string, error string, attempts int"
+QA_SCHEMA = "chunk_id string, dataset_version string, question string, ground_truth string, source_text string, error string, attempts int"
 
 
 def generate_qa(
@@ -166,6 +171,7 @@ def generate_qa(
     partitions: int | None = None,
     id_col: str = "chunk_id",
     text_col: str = "source_text",
+    max_workers: int = 10,
 ) -> DataFrame:
     """K4: ``gen(text, chunk_id, n) -> [(question, answer), ...]`` per chunk,
     retried with exponential backoff (backoff_s * 2**attempt). A chunk that is
@@ -173,30 +179,33 @@ def generate_qa(
     question; generated pairs have ``error`` NULL.
     """
     ship_package(chunks.sparkSession)
-    src = chunks.select(F.col(id_col).alias("chunk_id"), F.col(text_col).alias("source_text"))
+    version = F.col("dataset_version") if "dataset_version" in chunks.columns else F.lit(None).cast("string")
+    src = chunks.select(F.col(id_col).alias("chunk_id"), version.cast("string").alias("dataset_version"),
+                        F.col(text_col).alias("source_text"))
     src = src.repartition(_call_partitions(chunks, partitions), "chunk_id")
 
-    def one(cid, text):
+    def one(cid, ver, text):
         if text is None or len(text) < min_chars:
-            return [(cid, None, None, text, f"chunk too short ({0 if text is None else len(text)} chars)", 0)]
+            return [(cid, ver, None, None, text, f"chunk too short ({0 if text is None else len(text)} chars)", 0)]
         last = None
         for attempt in range(retries):
             try:
                 pairs = gen(text, cid, pairs_per_chunk)
-                return [(cid, q, a, text, None, attempt + 1) for q, a in pairs]
+                return [(cid, ver, q, a, text, None, attempt + 1) for q, a in pairs]
             except Exception as e:  # noqa: BLE001
                 last = e
                 if backoff_s > 0:
                     time.sleep(backoff_s * (2 ** attempt))
-        return [(cid, None, None, text, f"failed after {retries} attempts: {last}", retries)]
+        return [(cid, ver, None, None, text, f"failed after {retries} attempts: {last}", retries)]
 
-    cols = ["chunk_id", "question", "ground_truth", "source_text", "error", "attempts"]
+    cols = ["chunk_id", "dataset_version", "question", "ground_truth", "source_text", "error", "attempts"]
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for cid, text in zip(b["chunk_id"], b["source_text"]):
-                rows.extend(one(cid, text))
+            with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
+                for made in pool.map(one, b["chunk_id"], b["dataset_version"], b["source_text"]):
+                    rows.extend(made)
             out = pd.DataFrame(rows, columns=cols)
             out["attempts"] = out["attempts"].astype("int32")
             yield out
@@ -230,23 +239,24 @@ def metrics_to_evals(df: DataFrame, metrics: list[str], score: Callable, run_id:
         return df.sparkSession.createDataFrame([], "eval_id string, response_id string, prompt_id string, "
                                                    "model_version string, run_id string, metric_name string, "
                                                    "metric_value double, metric_details string, evaluator string, "
-                                                   "created_at timestamp")
-    rec = eval_records(df).select(
-        F.col("metadata.prompt_id").alias("prompt_id"), F.col("inputs.question").alias("question"),
-        "outputs", F.col("expectations.expected_facts").alias("facts"))
-    base = df.select("prompt_id", "model_version",
-                     (F.col("response_id") if "response_id" in df.columns else F.lit(None).cast("string"))
-                     .alias("response_id"))
-    rec = rec.join(base, "prompt_id")
+                                                   "created_at timestamp, dataset_version string")
+    none = F.lit(None).cast("string")
+    # the identity of a response travels with its record, nothing is joined back
+    rec = eval_records(df, carry={
+        "prompt_id": F.col("prompt_id"), "model_version": F.col("model_version"),
+        "response_id": F.col("response_id") if "response_id" in df.columns else none,
+        "dataset_version": F.col("dataset_version") if "dataset_version" in df.columns else none,
+    }).select("prompt_id", "model_version", "response_id", "dataset_version", F.col("inputs.question").alias("question"),
+              "outputs", F.col("expectations.expected_facts").alias("facts"))
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric_name"), F.lit(s).alias("scorer"))
                                 for m, s in wanted]))
     rows = rec.select("*", pairs.alias("_m")).select("*", "_m.metric_name", "_m.scorer").drop("_m")
     src = rows.select(content_id(F.lit(run_id), F.coalesce("response_id", "prompt_id"), "model_version",
                                  "metric_name").alias("eval_id"),
-                      "response_id", "prompt_id", "model_version", "metric_name", "scorer", "question",
+                      "response_id", "prompt_id", "model_version", "dataset_version", "metric_name", "scorer", "question",
                       "outputs", F.to_json("facts").alias("facts"))
     src = src.repartition(_call_partitions(df, partitions), "eval_id")
-    carry = ["eval_id", "response_id", "prompt_id", "model_version", "metric_name"]
+    carry = ["eval_id", "response_id", "prompt_id", "model_version", "dataset_version", "metric_name"]
     schema = ", ".join(f"{c} string" for c in carry) + ", metric_value double, error string"
 
     def fn(batches):
@@ -271,4 +281,4 @@ def metrics_to_evals(df: DataFrame, metrics: list[str], score: Callable, run_id:
     return scored.select(
         "eval_id", "response_id", "prompt_id", "model_version", F.lit(run_id).alias("run_id"), "metric_name",
         "metric_value", F.when(F.col("error").isNotNull(), F.to_json(F.struct(F.col("error").alias("error"))))
-        .alias("metric_details"), F.lit(SCORER_TAG).alias("evaluator"), ts.alias("created_at"))
+        .alias("metric_details"), F.lit(SCORER_TAG).alias("evaluator"), ts.alias("created_at"), "dataset_version")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from evalspark.session import materialize
+
 
 def content_id(*cols) -> Column:
     """deterministic id from natural-key columns (idempotent reloads, T18)."""
@@ -21,23 +23,31 @@ def literal_map(d: dict | None) -> Column:
 
 
 def make_prompts(df: DataFrame, version: str, metadata: dict | None = None, created_at=None) -> DataFrame:
-    """S3: prompt rows for ``version``; ids are content hashes when absent.
+    """S3: prompt rows for ``version``; ids are content hashes of all that a
+    row says when absent, so rows with one id are equal and count once.
 
     Per-row ``metadata`` (a map column) is kept and merged with the batch
     metadata (T17).
     """
     ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
-    pid = content_id(F.lit(version), "prompt")
+    truth = F.col("ground_truth") if "ground_truth" in df.columns else F.lit(None).cast("string")
+    said = [F.col("prompt"), truth]
+    if "metadata" in df.columns:
+        said.append(F.to_json(F.array_sort(F.map_entries("metadata"))))
+    made = F.col("prompt_id").isNull() if "prompt_id" in df.columns else F.lit(True)
+    pid = content_id(F.lit(version), *said)
     if "prompt_id" in df.columns:
         pid = F.coalesce(F.col("prompt_id"), pid)
-    truth = F.col("ground_truth") if "ground_truth" in df.columns else F.lit(None).cast("string")
     meta = literal_map(metadata)
     if "metadata" in df.columns:
         meta = F.map_concat(meta, F.coalesce(F.col("metadata"), F.create_map().cast("map<string,string>")))
-    return df.select(
+    out = df.select(
         pid.alias("prompt_id"), F.lit(version).alias("dataset_version"), F.col("prompt"),
         truth.alias("ground_truth"), meta.alias("metadata"), ts.alias("created_at"), ts.alias("updated_at"),
+        # a given id is kept as it is: two rows with it are the caller's error, which the load reports
+        F.when(made, F.lit(0)).otherwise(F.monotonically_increasing_id()).alias("_given"),
     )
+    return out.dropDuplicates(["prompt_id", "_given"]).drop("_given")
 
 
 def prompts_from_rows(spark: SparkSession, rows: list[dict], version: str, metadata: dict | None = None,
@@ -108,30 +118,25 @@ def qa_to_prompts(qa: DataFrame, version: str, created_at=None) -> DataFrame:
     return make_prompts(rows, version, None, created_at)
 
 
-TOPK_MAX = 100_000
-
-
-def deterministic_sample(df: DataFrame, n: int, key: str, topk_max: int = TOPK_MAX) -> DataFrame:
+def deterministic_sample(df: DataFrame, n: int, key: str) -> DataFrame:
     """L2/L4: a repeatable sample of ``n`` rows: the first ``n`` by md5 of
-    the key (then the key); the limit is the feature.
+    the key, then the key, then the row (the limit is the feature). A NULL key
+    counts as the empty text.
 
-    Up to ``topk_max`` rows this is a top-k (TakeOrderedAndProject, bounded
-    per task). Beyond that the top-k would gather ``n`` rows in one task, so
-    rows get exact global positions in md5 order from distributed prefix
-    counts and are filtered by position instead.
+    Rows get exact global positions in that order from distributed prefix
+    counts and are filtered by position, whatever ``n`` is: no task gathers
+    the sample.
     """
-    order_key = F.md5(F.col(key).cast("string"))
-    if n <= topk_max:
-        return df.orderBy(order_key, F.col(key)).limit(n)
     from evalspark.operators.ranking import smaller_weight
     from evalspark.operators.testgen import hash_key
 
-    keyed = df.withColumn("_h", hash_key(F.col(key).cast("string"))).withColumn("_g", F.lit(0)) \
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    keyed = df.withColumn("_h", hash_key(text)).withColumn("_g", F.lit(0)) \
         .withColumn("_one", F.lit(1))
-    counts = keyed.groupBy("_g", "_h").agg(F.count(F.lit(1)).alias("_t"))
+    counts = materialize(keyed.groupBy("_g", "_h").agg(F.count(F.lit(1)).alias("_t")))
     ranked = smaller_weight(counts, ["_g"], "_h", {"_before": "_t"})
     # rows sharing a 60-bit key prefix are ordered by md5 then key inside the group
-    w = Window.partitionBy("_h").orderBy(order_key, F.col(key))
+    w = Window.partitionBy("_h").orderBy(F.md5(text), F.col(key), F.xxhash64(*[F.col(c) for c in df.columns]))
     pos = keyed.join(ranked.select("_h", "_before"), "_h") \
         .withColumn("_pos", F.col("_before") + F.row_number().over(w) - 1)
     return pos.where(F.col("_pos") < n).drop("_h", "_g", "_one", "_before", "_pos")

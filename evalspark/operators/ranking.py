@@ -78,7 +78,7 @@ def smaller_weight(
     unb = Window.unboundedPreceding
     if buckets is None:
         buckets = auto_buckets(df, keys)
-        accuracy = max(accuracy, 4 * buckets)
+    accuracy = max(accuracy, 4 * buckets)  # the sketch must tell the buckets apart
     if buckets <= 1:
         w = Window.partitionBy(*keys).orderBy(value).rowsBetween(unb, -1)
         for out, wt in weights.items():

@@ -1,7 +1,7 @@
-"""Regression verdict between two model versions.
+"""Regression outcome between two model versions.
 
 The whole report is one DataFrame plan: long evals -> per-metric comparison
--> verdict. Only one row per requested metric is produced.
+-> outcome. Only one row per requested metric is produced.
 """
 
 from __future__ import annotations
@@ -87,7 +87,7 @@ def compare_metrics(
     )
 
 
-def verdict_of(comparisons: DataFrame, threshold_pct: float = THRESHOLD_PCT) -> DataFrame:
+def outcome_of(comparisons: DataFrame, threshold_pct: float = THRESHOLD_PCT) -> DataFrame:
     """PASS without regressions; FAIL when any regression moves more than
     twice the threshold; otherwise WARN. One row."""
     reg = F.coalesce(F.col("is_regression"), F.lit(False))
@@ -96,7 +96,7 @@ def verdict_of(comparisons: DataFrame, threshold_pct: float = THRESHOLD_PCT) ->
         F.count_if(reg & (F.abs(F.coalesce(F.col("pct_change"), F.lit(0.0))) > 2 * threshold_pct)).alias("n_severe"),
         F.count(F.lit(1)).alias("n_metrics"),
     ).withColumn(
-        "verdict",
+        "outcome",
         F.when(F.col("n_regressions") == 0, "PASS").when(F.col("n_severe") > 0, "FAIL").otherwise("WARN"),
     )
 
@@ -114,9 +114,9 @@ def regression_report(
     dataset_version: str | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """K6: comparison rows with the overall verdict attached to each row.
+    """K6: comparison rows with the overall outcome attached to each row.
 
-    The verdict is computed with a window over the comparison rows (one per
+    The outcome is computed with a window over the comparison rows (one per
     requested metric), so the plan never leaves Spark and no join is needed.
     """
     comp = compare_metrics(evals, candidate, baseline, metrics, candidate_run, baseline_run,
@@ -129,7 +129,7 @@ def regression_report(
     out = comp.withColumn("n_regressions", F.count_if(reg).over(w)) \
               .withColumn("_n_severe", F.count_if(severe).over(w))
     out = out.withColumn(
-        "verdict",
+        "outcome",
         F.when(F.col("n_regressions") == 0, "PASS").when(F.col("_n_severe") > 0, "FAIL").otherwise("WARN"),
     )
     return out.select(
@@ -138,12 +138,12 @@ def regression_report(
         F.lit(run_id).cast("string").alias("run_id"),
         F.coalesce(F.lit(dataset_version).cast("string"), F.lit("unknown")).alias("dataset_version"),
         *[c for c in comp.columns],
-        "n_regressions", "verdict",
+        "n_regressions", "outcome",
     )
 
 
 def metric_summary_rows(report: DataFrame, created_at=None) -> DataFrame:
-    """metric_summary rows from a report; verdict_reason is JSON
+    """metric_summary rows from a report; outcome_reason is JSON
     with NULLs kept; p50/p95 are the candidate's exact percentiles (T15)."""
     reason = F.to_json(
         F.struct(F.col("pct_change"), F.col("p_value"), F.col("is_regression")),
@@ -157,19 +157,19 @@ def metric_summary_rows(report: DataFrame, created_at=None) -> DataFrame:
         F.col("candidate_version").alias("model_version"), "dataset_version", "metric_name",
         F.col("candidate_mean").alias("metric_mean"), F.col("candidate_std").alias("metric_std"),
         F.col("candidate_p50").alias("metric_p50"), F.col("candidate_p95").alias("metric_p95"),
-        F.col("n_candidate").alias("sample_size"), "verdict",
-        reason.alias("verdict_reason"), "baseline_version", "baseline_mean", "p_value",
+        F.col("n_candidate").alias("sample_size"), "outcome",
+        reason.alias("outcome_reason"), "baseline_version", "baseline_mean", "p_value",
         ts.alias("created_at"),
     )
 
 
 def alert_payload(report: DataFrame, labels=ALERT_LABELS) -> DataFrame:
-    """For a verdict in ``labels``, the regressed metrics only."""
-    return report.where(F.col("verdict").isin(list(labels)) & F.coalesce(F.col("is_regression"), F.lit(False))) \
-        .select("verdict", "candidate_version", "baseline_version", "metric_name", "pct_change", "p_value")
+    """For a outcome in ``labels``, the regressed metrics only."""
+    return report.where(F.col("outcome").isin(list(labels)) & F.coalesce(F.col("is_regression"), F.lit(False))) \
+        .select("outcome", "candidate_version", "baseline_version", "metric_name", "pct_change", "p_value")
 
 
-def verdict_history_topn(summary: DataFrame, model_version: str | None = None, n: int = 100) -> DataFrame:
+def outcome_history_topn(summary: DataFrame, model_version: str | None = None, n: int = 100) -> DataFrame:
     """L1: newest summary rows, optionally for one model (top-k by time with
     a total tie-break, planned as TakeOrderedAndProject)."""
     df = summary if model_version is None else summary.where(F.col("model_version") == model_version)

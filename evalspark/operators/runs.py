@@ -56,7 +56,7 @@ def run_state(events: DataFrame) -> DataFrame:
 
 def _json_of(state: Column, prefix: str) -> Column:
     picked = F.filter(state, lambda e: e["k"].startswith(prefix))
-    entries = F.transform(picked, lambda e: F.struct(F.substring(e["k"], len(prefix) + 1, 10_000).alias("key"),
+    entries = F.transform(picked, lambda e: F.struct(F.substr(e["k"], F.lit(len(prefix) + 1)).alias("key"),
                                                      e["v"].alias("value")))
     return F.to_json(F.map_from_entries(entries))
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from evalspark.functions.text import nonempty, text_metrics
 from evalspark.operators.datasets import content_id
-from evalspark.operators.joins import HOT_KEYS, HOT_ROWS, hot_key_join
 
 # Metric names understood by the external scorer and the
 # scorer each maps to; other names are skipped.
@@ -37,16 +36,28 @@ def mapped_metrics(df: DataFrame, metric_col: str = "metric_name") -> DataFrame:
     return df.withColumn("scorer", F.element_at(scorer_map(), F.col(metric_col))).where(F.col("scorer").isNotNull())
 
 
-def join_prompts(responses: DataFrame, prompts: DataFrame, hot_keys: int = HOT_KEYS,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+def join_prompts(responses: DataFrame, prompts: DataFrame) -> DataFrame:
     """Responses left-joined to their prompt text and truth; keyed on
-    (prompt_id, dataset_version) when both sides carry the version (T6)."""
+    (prompt_id, dataset_version) when both sides carry the version (T6). A
+    response without a version meets the newest version of its prompt, so one
+    response is one row. A prompt answered far more often than others is
+    split by AQE's skew join."""
     keys = ["prompt_id"] + (["dataset_version"] if "dataset_version" in responses.columns
                             and "dataset_version" in prompts.columns else [])
     p = prompts.select(*keys, "prompt", "ground_truth")
+    if "dataset_version" in prompts.columns:
+        order = F.struct(*[F.col(c) for c in ("created_at", "dataset_version") if c in prompts.columns])
+        newest = prompts.groupBy("prompt_id").agg(F.max_by(F.struct("prompt", "ground_truth"), order).alias("_p")) \
+            .select("prompt_id", "_p.prompt", "_p.ground_truth")
+        if len(keys) == 1:
+            p = newest
+        else:
+            p = p.unionByName(newest.withColumn("dataset_version", F.lit(None).cast("string")))
     r = responses.drop(*[c for c in ("prompt", "ground_truth") if c in responses.columns])
-    # a prompt answered far more often than others is split off and joined by broadcast
-    return hot_key_join(r, p, keys, "left", top=hot_keys, min_rows=hot_rows)
+    pk = p.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "prompt", "ground_truth")
+    on = [F.col("prompt_id") == F.col("_k_prompt_id")]
+    on += [F.col("dataset_version").eqNullSafe(F.col("_k_dataset_version"))] if len(keys) > 1 else []
+    return r.join(pk, on, "left").drop(*[f"_k_{c}" for c in keys])
 
 
 def to_long(
@@ -58,23 +69,25 @@ def to_long(
 ) -> DataFrame:
     """Wide metric columns -> one eval_results row per (row, metric)."""
     rid = F.col("response_id") if "response_id" in wide.columns else F.lit(None).cast("string")
+    ver = F.col("dataset_version") if "dataset_version" in wide.columns else F.lit(None).cast("string")
     ids = wide.select(
-        rid.alias("response_id"), "prompt_id", "model_version",
+        rid.alias("response_id"), "prompt_id", "model_version", ver.cast("string").alias("dataset_version"),
         *[F.col(m).cast("double").alias(m) for m in metrics],
     )
-    long = ids.unpivot(["response_id", "prompt_id", "model_version"], metrics, "metric_name", "metric_value")
+    long = ids.unpivot(["response_id", "prompt_id", "model_version", "dataset_version"], metrics, "metric_name", "metric_value")
     ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
     return long.select(
         content_id(F.lit(run_id), F.coalesce("response_id", "prompt_id"), "model_version", "metric_name")
         .alias("eval_id"),
         "response_id", "prompt_id", "model_version", F.lit(run_id).alias("run_id"),
         "metric_name", "metric_value", F.lit(None).cast("string").alias("metric_details"),
-        F.lit(evaluator).alias("evaluator"), ts.alias("created_at"),
+        F.lit(evaluator).alias("evaluator"), ts.alias("created_at"), "dataset_version",
     )
 
 
-def eval_records(df: DataFrame) -> DataFrame:
-    """evaluation records as nested structs, kept as a DataFrame."""
+def eval_records(df: DataFrame, carry: dict | None = None) -> DataFrame:
+    """evaluation records as nested structs, kept as a DataFrame;
+    the columns of ``carry`` travel along."""
     truth = F.col("ground_truth")
     return df.select(
         F.struct(F.col("prompt").alias("question")).alias("inputs"),
@@ -82,6 +95,7 @@ def eval_records(df: DataFrame) -> DataFrame:
         F.struct(F.when(nonempty(truth), F.array(truth)).otherwise(F.array().cast("array<string>"))
                  .alias("expected_facts")).alias("expectations"),
         F.struct(F.col("prompt_id").alias("prompt_id")).alias("metadata"),
+        *[c.alias(n) for n, c in (carry or {}).items()],
     )
 
 

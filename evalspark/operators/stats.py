@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from decimal import Decimal
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -122,30 +123,46 @@ def rank_summary(counts: DataFrame, buckets: int | None = None, percentiles: boo
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
-def _gaussian_binomial(m: int, n: int) -> np.ndarray:
-    """Counts of the U statistic for sample sizes (m, n): coefficients of
-    [m+n choose m]_q. Exact integers when small, float64 otherwise."""
-    size = m * n + 1
-    exact = size <= 200_000
-    poly = np.zeros(size, dtype=object if exact else np.float64)
-    poly[0] = 1
+def _period_terms(m: int) -> tuple[int, list[int]]:
+    """1 / ((1 - q)(1 - q)(1 - q^2)...(1 - q^m)) = N(q) / (1 - q^L)^(m + 1)
+    with L = lcm(1..m): L and the coefficients of N."""
+    period = math.lcm(*range(1, m + 1))
+    poly = [1]
+    for i in (1, *range(1, m + 1)):  # times (1 - q^L) / (1 - q^i) = 1 + q^i + ... + q^(L - i)
+        out = [0] * (len(poly) + period - i)
+        for j in range(len(out)):
+            out[j] = (out[j - i] if j >= i else 0) + (poly[j] if j < len(poly) else 0) \
+                - (poly[j - period] if 0 <= j - period < len(poly) else 0)
+        poly = out
+    return period, poly
+
+
+def lower_count(m: int, n: int, most: int) -> int:
+    """Arrangements of samples of m and n values (no ties) with U <= ``most``:
+    inclusion-exclusion over the 2^m products of (1 - q^(n + i)), in exact
+    integers; time and memory do not grow with n."""
+    if most < 0:
+        return 0
+    period, poly = _period_terms(m)
+    signs: dict[int, int] = {0: 1}
     for i in range(1, m + 1):
-        for r in range(i):  # divide by (1 - q^i): strided running sum
-            poly[r::i] = np.cumsum(poly[r::i])
-        s = n + i  # multiply by (1 - q^(n+i))
-        if s < size:
-            poly[s:] = poly[s:] - poly[:size - s].copy()
-    return poly
+        for at, s in list(signs.items()):
+            signs[at + n + i] = signs.get(at + n + i, 0) - s
+    total = 0
+    for at, sign in signs.items():
+        left = most - at
+        if left < 0 or not sign:
+            continue
+        total += sign * sum(poly[j] * math.comb((left - j) // period + m, m) for j in range(left % period, min(left + 1, len(poly)), period))
+    return total
 
 
 def exact_two_sided_p(n1: int, n2: int, u: float) -> float:
-    """SciPy's exact two-sided p: 2 * P(U >= u), capped at 1."""
+    """SciPy's exact two-sided p: 2 * P(U >= u), capped at 1. The smaller
+    sample has at most EXACT_MAX_SMALL values."""
     m, n = min(n1, n2), max(n1, n2)
-    counts = _gaussian_binomial(m, n)
-    k = int(math.ceil(u))
-    total = math.comb(m + n, m)
-    tail = counts[k:].sum() if k < len(counts) else 0
-    return min(1.0, float(2 * tail / total) if isinstance(tail, int) else float(2.0 * tail / float(total)))
+    tail = lower_count(m, n, m * n - int(math.ceil(u)))  # U and m n - U are distributed alike
+    return min(1.0, float(Fraction(2 * tail, math.comb(m + n, m))))
 
 
 @F.pandas_udf(DoubleType())

@@ -10,7 +10,6 @@ from evalspark.operators.ranking import buckets_for, smaller_weight
 from evalspark.session import materialize
 
 MIN_CHUNK_CHARS = 50
-SCAN_LIMIT = 200
 NEGATIVES_PER_QUERY = 2
 UNKNOWN_CHUNK = "unknown"
 
@@ -22,11 +21,11 @@ def scan_chunks(
     min_chars: int = MIN_CHUNK_CHARS,
     filter_field: str | None = None,
     filter_value: str | None = None,
-    limit: int | None = SCAN_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Chunks whose trimmed (and raw) text has at least
-    ``min_chars`` characters, optionally equal on one payload field, the
-    first ``limit`` by id; the other payload fields become a string map."""
+    ``min_chars`` characters, optionally equal on one payload field; the
+    first ``limit`` by id only when asked for. The other payload fields become a string map."""
     df = chunks.where((F.length(F.trim(F.col(text_col))) >= min_chars) & (F.length(F.col(text_col)) >= min_chars))
     if filter_field and filter_value is not None:
         # a payload field is either a column or a key of a metadata map
@@ -53,46 +52,55 @@ def hash_key(c) -> Column:
 def hard_negatives(
     chunks: DataFrame,
     k: int = NEGATIVES_PER_QUERY,
-    window: int = 16,
     id_col: str = "chunk_id",
     doc_col: str = "source",
     buckets: int | None = None,
 ) -> DataFrame:
-    """``k`` negatives per chunk without comparing all pairs.
+    """``k`` pseudo-random negatives per chunk, of other
+    documents as long as there are any (T16), without comparing pairs.
 
-    Chunks are put in a pseudo-random cyclic order (md5 of the id, then id);
-    each chunk looks at the next ``window`` chunks in that order and keeps
-    the first ``k``, chunks of another document first (true priority, T16).
-    Positions are exact global ranks from distributed prefix counts, the
-    candidate lookup is an equi-join on position, so the work is
-    ``window * N`` rows for any N and any document skew.
+    Chunks get exact positions ordered by (document hash, document, chunk
+    hash, chunk), so a document of s chunks is one block [o, o + s). A chunk
+    takes k consecutive places, from a place given by its own hash, among the
+    n - s positions outside its block; only if those are fewer than k do the
+    next chunks of its own document follow. That is k rows per chunk and one
+    equi-join on position, for any document skew. A NULL document is a
+    document of its own per chunk.
 
     Returns (chunk_id, rank, negative_chunk_id), rank 1..k.
     """
-    base = chunks.select(F.col(id_col).alias("id"), F.col(doc_col).alias("doc")) \
-        .where(F.col("id").isNotNull()).dropDuplicates(["id"])
-    keyed = base.withColumn("_h", hash_key("id")).withColumn("_g", F.lit(0))
-    n_rows = base.count()  # one group of n rows: it also sizes the buckets
-    ranked = smaller_weight(keyed.withColumn("_one", F.lit(1)), ["_g"], "_h", {"_before": "_one"},
-                            buckets=buckets_for(n_rows) if buckets is None else buckets)
-    # ties on the 60-bit key (vanishingly rare) are ordered by id
-    tie = Window.partitionBy("_h").orderBy("id")
-    pos = ranked.withColumn("pos", F.col("_before") + F.row_number().over(tie) - 1).select("id", "doc", "pos")
-    # both join sides read the positions: write them once (also cuts lineage)
-    pos = materialize(pos)
-    m = max(0, min(window, n_rows - 1))
-    if m == 0:
-        return base.sparkSession.createDataFrame([], "chunk_id string, rank int, negative_chunk_id string")
-    src = pos.select(
-        F.col("id").alias("chunk_id"), F.col("doc").alias("src_doc"),
-        F.explode(F.sequence(F.lit(1), F.lit(m))).alias("offset"), "pos",
-    ).withColumn("target", F.pmod(F.col("pos") + F.col("offset"), F.lit(n_rows)))
-    cand = pos.select(F.col("pos").alias("target"), F.col("id").alias("negative_chunk_id"), F.col("doc").alias("neg_doc"))
-    j = src.join(cand, "target")
-    same = F.coalesce(F.col("neg_doc") == F.col("src_doc"), F.lit(False)).cast("int")
-    w = Window.partitionBy("chunk_id").orderBy(same, F.col("offset"))
-    return j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
-        .select("chunk_id", "rank", "negative_chunk_id")
+    base = chunks.select(F.col(id_col).alias("id"), F.col(doc_col).cast("string").alias("doc")) \
+        .where(F.col("id").isNotNull()).groupBy("id").agg(F.min("doc").alias("doc"))
+    base = materialize(base.select("id", F.coalesce("doc", F.concat(F.lit("chunk:"), F.col("id").cast("string"))).alias("doc"),
+                                   hash_key(F.col("id").cast("string")).alias("_h")))
+    docs = base.groupBy("doc").agg(F.count(F.lit(1)).alias("s")).withColumn("_dh", hash_key("doc")).withColumn("_g", F.lit(0))
+    docs = materialize(docs)
+    n_docs, n_rows, largest = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum("s"), F.lit(0)), F.max("s")).first()
+    by_hash = docs.groupBy("_g", "_dh").agg(F.sum("s").alias("_hs"))
+    offsets = smaller_weight(by_hash, ["_g"], "_dh", {"_before": "_hs"},
+                             buckets=buckets_for(n_docs) if buckets is None else buckets)
+    # equal 60-bit hashes (vanishingly rare) are ordered by the value itself
+    tied = Window.partitionBy("_dh").orderBy("doc").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = docs.join(offsets.select("_dh", "_before"), "_dh").select(
+        "doc", "s", (F.col("_before") + F.coalesce(F.sum("s").over(tied), F.lit(0))).alias("o"))
+    hashes = base.groupBy("doc", "_h").agg(F.count(F.lit(1)).alias("_t"))
+    inside = smaller_weight(hashes, ["doc"], "_h", {"_in": "_t"}, buckets=buckets_for(largest or 0) if buckets is None else buckets)
+    tie = Window.partitionBy("doc", "_h").orderBy("id")
+    ranked = base.join(inside.select("doc", "_h", "_in"), ["doc", "_h"]) \
+        .withColumn("i", F.col("_in") + F.row_number().over(tie) - 1)
+    # both sides of the join below read the positions: write them once (also cuts lineage)
+    pos = materialize(ranked.join(offsets, "doc").select("id", "_h", "s", "o", "i", (F.col("o") + F.col("i")).alias("pos")))
+    outside = F.lit(n_rows) - F.col("s")
+    j = F.col("rank") - 1
+    place = F.pmod(F.col("_h") + j, outside)
+    target = F.when(j < outside, F.when(place < F.col("o"), place).otherwise(place + F.col("s"))) \
+        .otherwise(F.col("o") + F.pmod(F.col("i") + 1 + (j - outside), F.col("s")))
+    src = pos.where(F.lit(n_rows > 1)).select(
+        F.col("id").alias("chunk_id"), "_h", "s", "o", "i",
+        F.explode(F.sequence(F.lit(1), F.lit(max(1, min(k, n_rows - 1))))).alias("rank"),
+    ).select("chunk_id", "rank", target.alias("target"))
+    cand = pos.select(F.col("pos").alias("target"), F.col("id").alias("negative_chunk_id"))
+    return src.join(cand, "target").select("chunk_id", "rank", "negative_chunk_id")
 
 
 def negatives_by_chunk(neg: DataFrame) -> DataFrame:
@@ -108,13 +116,26 @@ def qa_records(qa: DataFrame, chunks: DataFrame, id_col: str = "chunk_id") -> Da
     items: list[Column] = []
     for c in payload:
         items += [F.lit(c), F.col(c).cast("string")]
-    meta = chunks.select(F.col(id_col).alias("_cid"), F.create_map(*items).alias("metadata")) \
-        .dropDuplicates(["_cid"])
-    j = qa.join(meta, qa["chunk_id"] == F.col("_cid"), "left")
+    keys = _chunk_keys(qa, chunks, id_col)
+    meta = chunks.select(*[F.col(c).alias(f"_c_{q}") for q, c in keys.items()], F.create_map(*items).alias("metadata"))
+    if len(keys) == 1:  # pairs without a version: the newest version's payload, not an arbitrary one
+        newest = F.struct(*[F.col(f"metadata")[c] for c in ("dataset_version",) if c in payload], F.to_json("metadata"))
+        meta = meta.groupBy("_c_chunk_id").agg(F.max_by("metadata", newest).alias("metadata"))
+    on = [qa[q].eqNullSafe(F.col(f"_c_{q}")) for q in keys]
+    j = qa.join(meta, on, "left")
     return j.select("chunk_id", "question", "ground_truth", "source_text",
                     F.coalesce("metadata", F.create_map().cast("map<string,string>")).alias("metadata"))
 
 
+def _chunk_keys(qa: DataFrame, chunks: DataFrame, id_col: str = "chunk_id") -> dict[str, str]:
+    """QA column -> chunk column of the join key: the version belongs to it
+    where both sides carry one (J7, J9)."""
+    keys = {"chunk_id": id_col}
+    if "dataset_version" in qa.columns and "dataset_version" in chunks.columns:
+        keys["dataset_version"] = "dataset_version"
+    return keys
+
+
 def retrieval_records(qa: DataFrame, negatives: DataFrame) -> DataFrame:
     """{query, relevant_chunk_ids: [id], hard_negative_chunk_ids}."""
     by = negatives_by_chunk(negatives)
@@ -139,15 +160,17 @@ def export(df: DataFrame, path: str, fmt: str = "json", partitions: int | None =
 
 
 def qa_counts(qa: DataFrame) -> DataFrame:
-    """QA pairs per chunk id (missing id -> 'unknown')."""
-    return qa.groupBy(F.coalesce(F.col("chunk_id"), F.lit(UNKNOWN_CHUNK)).alias("chunk_id")) \
+    """QA pairs per chunk id (missing id -> 'unknown'), and per dataset
+    version where the pairs carry one."""
+    version = ["dataset_version"] if "dataset_version" in qa.columns else []
+    return qa.groupBy(F.coalesce(F.col("chunk_id"), F.lit(UNKNOWN_CHUNK)).alias("chunk_id"), *version) \
         .agg(F.count(F.lit(1)).alias("qa_pairs_count"))
 
 
 def chunk_rows(chunks: DataFrame, qa: DataFrame, version: str | None = None, created_at=None) -> DataFrame:
     """testgen_chunks rows; qa_pairs_count defaults to 0."""
     counts = qa_counts(qa)
-    j = chunks.join(counts, "chunk_id", "left")
+    j = chunks.join(counts, list(_chunk_keys(qa, chunks)), "left")
     ts = F.col("created_at") if created_at is None and "created_at" in chunks.columns else (
         F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp"))
     ver = F.col("dataset_version") if version is None else F.lit(version)
@@ -202,12 +225,14 @@ def build_testset(chunks: DataFrame, gen, k: int = NEGATIVES_PER_QUERY, pairs_pe
 
     # generate_qa writes its output once, every output below reads the written result
     generated = generate_qa(chunks, gen, pairs_per_chunk, retries, backoff_s, partitions=partitions)
+    version_col = ["dataset_version"] if "dataset_version" in chunks.columns and version is None else []
     qa = generated.where(F.col("error").isNull() & F.col("question").isNotNull()) \
-        .select("chunk_id", "question", "ground_truth", "source_text")
-    skipped = generated.where(F.col("error").isNotNull()).select("chunk_id", "error", "attempts")
+        .select("chunk_id", *version_col, "question", "ground_truth", "source_text")
+    skipped = generated.where(F.col("error").isNotNull()).select("chunk_id", *version_col, "error", "attempts")
     rows = chunk_rows(chunks, qa, version)
-    failed = skipped.select("chunk_id", F.lit(True).alias("_failed")).dropDuplicates(["chunk_id"])
-    totals = rows.join(failed, "chunk_id", "left").agg(
+    keys = ["chunk_id", *version_col]
+    failed = skipped.select(*keys).distinct().withColumn("_failed", F.lit(True))
+    totals = rows.join(failed, keys, "left").agg(
         F.count(F.lit(1)).alias("chunks"),
         F.coalesce(F.sum("qa_pairs_count"), F.lit(0)).cast("long").alias("qa_pairs"),
         F.count_if(F.coalesce(F.col("_failed"), F.lit(False))).alias("skipped"),

@@ -45,9 +45,9 @@ SELECT concat(metric_name, '-', cast(k AS string), '-', cast(n AS string)) AS ev
 SELECT m.model_version, m.run_id, m.metric_name, m.metric_mean, m.metric_std, m.sample_size, m.created_at,
        '1' AS baseline_version, b.metric_mean AS baseline_mean,
        cast(m.sample_size % 100 AS double) / 100 AS p_value,
-       CASE (cast(m.model_version AS int) + m.y) % 3 WHEN 0 THEN 'PASS' WHEN 1 THEN 'WARN' ELSE 'FAIL' END AS verdict,
+       CASE (cast(m.model_version AS int) + m.y) % 3 WHEN 0 THEN 'PASS' WHEN 1 THEN 'WARN' ELSE 'FAIL' END AS outcome,
        CASE WHEN m.sample_size % 2 = 0 THEN '{"is_regression": true}' WHEN m.sample_size % 3 = 0 THEN '{"is_regression": null}'
-            ELSE '{"is_regression": false}' END AS verdict_reason
+            ELSE '{"is_regression": false}' END AS outcome_reason
 FROM (SELECT substr(o_orderpriority, 1, 1) AS model_version, year(o_orderdate) AS y,
              concat('run-', cast(9999 - year(o_orderdate) AS string)) AS run_id,
              CASE o_custkey % 5 WHEN 0 THEN 'faithfulness' WHEN 1 THEN 'answer_relevance' WHEN 2 THEN 'judge_score' WHEN 3 THEN 'rouge_l' ELSE 'latency_p95' END AS metric_name,
@@ -77,8 +77,8 @@ SELECT cast(doc_id AS string) AS chunk_id, concat('v', cast(doc_id % 3 + 1 AS st
        cast('2024-01-01' AS date) AS created_at
 FROM documents WHERE length(trim(text)) >= 50"""),
     "qa": (("chunks",), """
-SELECT chunk_id, concat('Q', cast(i AS string), ': ', substr(source_text, 1, 40)) AS question,
-       substr(source_text, 1, 80) AS ground_truth, source_text
+SELECT chunk_id, concat('Q', cast(i AS string), ': ', md5(source_text)) AS question,
+       concat('A', cast(i AS string), ': ', md5(concat(source_text, '|', cast(i AS string)))) AS ground_truth, source_text, dataset_version
 FROM chunks CROSS JOIN (SELECT 1 AS i UNION ALL SELECT 2) n
 WHERE cast(chunk_id AS bigint) % 7 <> 0 AND (i = 1 OR cast(chunk_id AS bigint) % 2 = 0)"""),
     "run_events": ((), """

@@ -454,7 +454,7 @@ _STATS_CTES = [
     ("rep", f"""SELECT *, count_if(coalesce(is_regression, false)) OVER () AS n_regressions,
   CASE WHEN count_if(coalesce(is_regression, false)) OVER () = 0 THEN 'PASS'
        WHEN count_if(coalesce(is_regression, false) AND abs(coalesce(pct_change, 0.0)) > {2 * regression.THRESHOLD_PCT}) OVER () > 0 THEN 'FAIL'
-       ELSE 'WARN' END AS verdict FROM cmp"""),
+       ELSE 'WARN' END AS outcome FROM cmp"""),
 ]
 
 
@@ -490,7 +490,7 @@ def q_mann_whitney(spark, d):
 
 
 _REPORT_COLS = ("metric_name, candidate_mean, baseline_mean, candidate_std, baseline_std, candidate_p50, candidate_p95, "
-                "pct_change, u_statistic, z_score, p_value, is_regression, n_candidate, n_baseline, reason, verdict")
+                "pct_change, u_statistic, z_score, p_value, is_regression, n_candidate, n_baseline, reason, outcome")
 
 
 @query("regression_report", _reg_sql(f"SELECT {_REPORT_COLS} FROM rep"))
@@ -498,54 +498,54 @@ def q_regression_report(spark, d):
     return _report(spark, d).select(*[c.strip() for c in _REPORT_COLS.split(",")])
 
 
-@query("overall_verdict", _reg_sql(f"""
+@query("overall_outcome", _reg_sql(f"""
 SELECT cast(count_if(coalesce(is_regression, false)) AS BIGINT) AS n_regressions,
   cast(count_if(coalesce(is_regression, false) AND abs(coalesce(pct_change, 0.0)) > {2 * regression.THRESHOLD_PCT}) AS BIGINT) AS n_severe,
-  count(*) AS n_metrics, any_value(verdict) AS verdict FROM rep"""))
-def q_overall_verdict(spark, d):
+  count(*) AS n_metrics, any_value(outcome) AS outcome FROM rep"""))
+def q_overall_outcome(spark, d):
     comp = regression.compare_metrics(T.evals(spark, d), CANDIDATE, BASELINE, regression.DEFAULT_METRICS)
-    return regression.verdict_of(comp)
+    return regression.outcome_of(comp)
 
 
 @query("metric_summary", _reg_sql(f"""
 SELECT md5(concat_ws('|', '{CANDIDATE}', '{BASELINE}', '{REG_RUN}')) AS summary_id, '{REG_RUN}' AS run_id,
   '{CANDIDATE}' AS model_version, 'unknown' AS dataset_version, metric_name, candidate_mean AS metric_mean,
   candidate_std AS metric_std, candidate_p50 AS metric_p50, candidate_p95 AS metric_p95, n_candidate AS sample_size,
-  verdict, '{BASELINE}' AS baseline_version, baseline_mean, p_value,
+  outcome, '{BASELINE}' AS baseline_version, baseline_mean, p_value,
   CASE WHEN is_regression IS NULL THEN NULL WHEN is_regression THEN 'true' ELSE 'false' END AS reason_is_regression
 FROM rep"""))
 def q_metric_summary(spark, d):
     s = regression.metric_summary_rows(_report(spark, d), created_at=FIXED_TS)
     return s.select("summary_id", "run_id", "model_version", "dataset_version", "metric_name", "metric_mean",
-                    "metric_std", "metric_p50", "metric_p95", "sample_size", "verdict", "baseline_version",
+                    "metric_std", "metric_p50", "metric_p95", "sample_size", "outcome", "baseline_version",
                     "baseline_mean", "p_value",
-                    F.get_json_object("verdict_reason", "$.is_regression").alias("reason_is_regression"))
+                    F.get_json_object("outcome_reason", "$.is_regression").alias("reason_is_regression"))
 
 
 @query("alert_payload", _reg_sql(f"""
-SELECT verdict, '{CANDIDATE}' AS candidate_version, '{BASELINE}' AS baseline_version, metric_name, pct_change, p_value
-FROM rep WHERE verdict IN ('WARN', 'FAIL') AND coalesce(is_regression, false)"""))
+SELECT outcome, '{CANDIDATE}' AS candidate_version, '{BASELINE}' AS baseline_version, metric_name, pct_change, p_value
+FROM rep WHERE outcome IN ('WARN', 'FAIL') AND coalesce(is_regression, false)"""))
 def q_alert_payload(spark, d):
     return regression.alert_payload(_report(spark, d))
 
 
 # ---------------------------------------------------------------- summary views
 
-@query("verdict_history", with_bindings("summary") + """
-SELECT model_version, run_id, verdict, created_at,
-  count(*) FILTER (WHERE TRY_CAST(json_extract_string(verdict_reason, '$.is_regression') AS BOOLEAN) = true) AS regression_count,
+@query("outcome_history", with_bindings("summary") + """
+SELECT model_version, run_id, outcome, created_at,
+  count(*) FILTER (WHERE TRY_CAST(json_extract_string(outcome_reason, '$.is_regression') AS BOOLEAN) = true) AS regression_count,
   avg(p_value) AS avg_p_value
-FROM summary GROUP BY model_version, run_id, verdict, created_at""")
-def q_verdict_history(spark, d):
-    return views.verdict_history(T.summary(spark, d))
+FROM summary GROUP BY model_version, run_id, outcome, created_at""")
+def q_outcome_history(spark, d):
+    return views.outcome_history(T.summary(spark, d))
 
 
-@query("verdict_history_topn", with_bindings("summary") + f"""
-SELECT model_version, run_id, metric_name, verdict, created_at FROM summary WHERE model_version = '{CANDIDATE}'
+@query("outcome_history_topn", with_bindings("summary") + f"""
+SELECT model_version, run_id, metric_name, outcome, created_at FROM summary WHERE model_version = '{CANDIDATE}'
 ORDER BY created_at DESC, run_id, metric_name LIMIT 20""")
-def q_verdict_history_topn(spark, d):
-    return regression.verdict_history_topn(T.summary(spark, d), CANDIDATE, 20) \
-        .select("model_version", "run_id", "metric_name", "verdict", "created_at")
+def q_outcome_history_topn(spark, d):
+    return regression.outcome_history_topn(T.summary(spark, d), CANDIDATE, 20) \
+        .select("model_version", "run_id", "metric_name", "outcome", "created_at")
 
 
 @query("metric_trends", with_bindings("summary") + """
@@ -559,7 +559,7 @@ def q_metric_trends(spark, d):
 SELECT model_version AS candidate_version, baseline_version, metric_name, metric_mean AS candidate_mean, baseline_mean,
   metric_mean - baseline_mean AS mean_diff,
   CASE WHEN baseline_mean > 0 THEN round((metric_mean - baseline_mean) / baseline_mean * 100.0, 2) ELSE 0.0 END AS pct_change,
-  p_value, verdict, json_extract_string(verdict_reason, '$.is_regression') AS is_regression
+  p_value, outcome, json_extract_string(outcome_reason, '$.is_regression') AS is_regression
 FROM summary WHERE baseline_version IS NOT NULL""")
 def q_regression_summary(spark, d):
     return views.regression_summary(T.summary(spark, d))
@@ -579,7 +579,7 @@ def q_version_comparison(spark, d):
 
 
 @query("daily_summary", with_bindings("summary") + """
-SELECT s.model_version, s.verdict, l.run_time AS latest_run_time,
+SELECT s.model_version, s.outcome, l.run_time AS latest_run_time,
   sum(CASE WHEN s.metric_name = 'faithfulness' THEN s.metric_mean END) AS faithfulness,
   sum(CASE WHEN s.metric_name = 'answer_relevance' THEN s.metric_mean END) AS answer_relevance,
   sum(CASE WHEN s.metric_name = 'judge_score' THEN s.metric_mean END) AS judge_score,
@@ -591,7 +591,7 @@ FROM summary s JOIN (
       row_number() OVER (PARTITION BY model_version ORDER BY max(created_at) DESC, run_id DESC) AS rn
     FROM summary GROUP BY model_version, run_id) x WHERE rn = 1) l
 ON s.model_version = l.model_version AND s.run_id = l.run_id
-GROUP BY s.model_version, s.verdict, l.run_time""")
+GROUP BY s.model_version, s.outcome, l.run_time""")
 def q_daily_summary(spark, d):
     return views.daily_summary(T.Bindings(spark, d).summary())
 
@@ -630,8 +630,7 @@ _CHUNK_ROWS = ("chunk_rows", """SELECT c.chunk_id, c.dataset_version, c.source_c
 
 @query("chunk_scan", with_bindings("chunks") + """
 SELECT chunk_id AS id, source_text AS text, source_collection, source FROM chunks
-WHERE length(trim(source_text)) >= 50 AND length(source_text) >= 50 AND source_collection = 'en'
-ORDER BY chunk_id LIMIT 200""")
+WHERE length(trim(source_text)) >= 50 AND length(source_text) >= 50 AND source_collection = 'en'""")
 def q_chunk_scan(spark, d):
     s = testgen.scan_chunks(T.chunks(spark, d), filter_field="source_collection", filter_value="en")
     return s.select("id", "text", F.col("metadata")["source_collection"].alias("source_collection"),
@@ -666,23 +665,28 @@ def q_chunk_texts(spark, d):
     return testgen.chunk_texts(_chunk_rows(spark, d), "v2")
 
 
-_NEG_WINDOW, _NEG_K = 16, 2
+_NEG_K = 2
 
+# The rule: chunks in order of (document hash, document, chunk hash, chunk); a
+# chunk takes k places from its own hash on among those outside its document,
+# then the next ones of its document if there are not enough.
 _NEG_CTES = [
-    ("nb", "SELECT DISTINCT chunk_id AS id, source AS doc FROM chunks"),
-    ("npos", """SELECT id, doc, row_number() OVER (ORDER BY ('0x' || substr(md5(id), 1, 15))::BIGINT, id) - 1 AS pos,
-  count(*) OVER () AS n FROM nb"""),
-    ("nsrc", f"""SELECT p.id AS chunk_id, p.doc AS src_doc, o.offset, (p.pos + o.offset) % p.n AS target
-  FROM npos p JOIN (SELECT unnest(range(1, {_NEG_WINDOW} + 1)) AS offset) o ON o.offset <= least({_NEG_WINDOW}, p.n - 1)"""),
-    ("nrank", """SELECT s.chunk_id, c.id AS negative_chunk_id,
-  row_number() OVER (PARTITION BY s.chunk_id ORDER BY CASE WHEN coalesce(c.doc = s.src_doc, false) THEN 1 ELSE 0 END, s.offset) AS rank
-  FROM nsrc s JOIN npos c ON c.pos = s.target"""),
-    ("neg", f"SELECT chunk_id, cast(rank AS integer) AS rank, negative_chunk_id FROM nrank WHERE rank <= {_NEG_K}"),
+    ("nb", """SELECT chunk_id AS id, coalesce(min(source), concat('chunk:', chunk_id)) AS doc,
+  ('0x' || substr(md5(chunk_id), 1, 15))::BIGINT AS h FROM chunks GROUP BY chunk_id"""),
+    ("npos", """SELECT *, row_number() OVER (ORDER BY ('0x' || substr(md5(doc), 1, 15))::BIGINT, doc, h, id) - 1 AS pos,
+  count(*) OVER () AS n, count(*) OVER (PARTITION BY doc) AS s FROM nb"""),
+    ("nblock", "SELECT *, min(pos) OVER (PARTITION BY doc) AS o FROM npos"),
+    ("nsrc", f"""SELECT b.*, j.j, n - s AS free FROM nblock b, (SELECT unnest(range(0, {_NEG_K})) AS j) j WHERE j.j < n - 1"""),
+    ("ntarget", """SELECT id, j, CASE WHEN j >= free THEN o + (pos - o + 1 + j - free) % s
+  WHEN (h + j) % free < o THEN (h + j) % free ELSE (h + j) % free + s END AS target
+  FROM nsrc"""),
+    ("neg", """SELECT t.id AS chunk_id, cast(t.j + 1 AS integer) AS rank, c.id AS negative_chunk_id
+  FROM ntarget t JOIN npos c ON c.pos = t.target"""),
 ]
 
 
 def _negatives(spark, d):
-    return testgen.hard_negatives(T.chunks(spark, d), k=_NEG_K, window=_NEG_WINDOW)
+    return testgen.hard_negatives(T.chunks(spark, d), k=_NEG_K)
 
 
 @query("hard_negatives", with_bindings("chunks", extra=_NEG_CTES) + """
@@ -698,7 +702,7 @@ FROM qa q LEFT JOIN (SELECT chunk_id, count(*) AS cnt, string_agg(negative_chunk
   FROM neg GROUP BY chunk_id) n ON n.chunk_id = q.chunk_id""")
 def q_retrieval_eval(spark, d):
     b = T.Bindings(spark, d)
-    r = testgen.retrieval_records(b.qa(), testgen.hard_negatives(b.chunks(), k=_NEG_K, window=_NEG_WINDOW))
+    r = testgen.retrieval_records(b.qa(), testgen.hard_negatives(b.chunks(), k=_NEG_K))
     return r.select("query", F.element_at("relevant_chunk_ids", 1).alias("relevant_chunk_id"),
                     F.size("hard_negative_chunk_ids").alias("n_negatives"),
                     F.array_join("hard_negative_chunk_ids", ",").alias("hard_negative_chunk_ids"))
@@ -706,7 +710,7 @@ def q_retrieval_eval(spark, d):
 
 @query("qa_export", with_bindings("chunks", "qa") + """
 SELECT q.chunk_id, q.question, q.ground_truth, q.source_text, c.source_collection, c.source
-FROM qa q LEFT JOIN chunks c ON c.chunk_id = q.chunk_id""")
+FROM qa q LEFT JOIN chunks c ON c.chunk_id = q.chunk_id AND c.dataset_version = q.dataset_version""")
 def q_qa_export(spark, d):
     b = T.Bindings(spark, d)
     r = testgen.qa_records(b.qa(), b.chunks())
@@ -724,7 +728,8 @@ def q_rag_eval_export(spark, d):
 
 
 @query("qa_to_prompts", with_bindings("chunks", "qa") + """
-SELECT md5(concat_ws('|', 'tg-v1', question)) AS prompt_id, 'tg-v1' AS dataset_version, question AS prompt, ground_truth,
+SELECT md5(concat_ws('|', 'tg-v1', question, ground_truth, concat('[{"key":"chunk_id","value":"', chunk_id,
+  '"},{"key":"source","value":"testgen"}]'))) AS prompt_id, 'tg-v1' AS dataset_version, question AS prompt, ground_truth,
   chunk_id, 'testgen' AS source FROM qa""")
 def q_qa_to_prompts(spark, d):
     p = datasets.qa_to_prompts(T.qa(spark, d), "tg-v1", created_at=FIXED_TS)
@@ -732,19 +737,22 @@ def q_qa_to_prompts(spark, d):
                     F.col("metadata")["chunk_id"].alias("chunk_id"), F.col("metadata")["source"].alias("source"))
 
 
-def first_chars_generator(text: str, chunk_id: str, n: int):
+def digest_generator(text: str, chunk_id: str, n: int):
     """Deterministic stand-in generator: the QA binding's rule."""
+    import hashlib
+
     k = int(chunk_id)
     if k % 7 == 0:
         return []
     count = 2 if k % 2 == 0 else 1
-    return [(f"Q{i}: {text[:40]}", text[:80]) for i in range(1, min(n, count) + 1)]
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    return [(f"Q{i}: {digest(text)}", f"A{i}: " + digest(f"{text}|{i}")) for i in range(1, min(n, count) + 1)]
 
 
 @query("generate_qa", with_bindings("chunks", "qa") + """
 SELECT chunk_id, question, ground_truth, source_text FROM qa""")
 def q_generate_qa(spark, d):
-    out = batch.generate_qa(T.chunks(spark, d), first_chars_generator, pairs_per_chunk=3, backoff_s=0.0)
+    out = batch.generate_qa(T.chunks(spark, d), digest_generator, pairs_per_chunk=3, backoff_s=0.0)
     return out.where(F.col("error").isNull() & F.col("question").isNotNull()) \
         .select("chunk_id", "question", "ground_truth", "source_text")
 
@@ -752,7 +760,7 @@ def q_generate_qa(spark, d):
 @query("testgen_totals", with_bindings("chunks", "qa") + """
 SELECT (SELECT count(*) FROM chunks) AS chunks, (SELECT count(*) FROM qa) AS qa_pairs, cast(0 AS BIGINT) AS skipped""")
 def q_testgen_totals(spark, d):
-    out = testgen.build_testset(T.Bindings(spark, d).chunks(), first_chars_generator, k=_NEG_K, backoff_s=0.0,
+    out = testgen.build_testset(T.Bindings(spark, d).chunks(), digest_generator, k=_NEG_K, backoff_s=0.0,
                                 negatives=False)
     return out["totals"]
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evalspark.operators import latency
-from evalspark.operators.joins import hot_key_join
+from evalspark.operators.scoring import join_prompts
 
 # Metrics shown by the trend and daily views.
 TREND_METRICS = ["faithfulness", "answer_relevance", "judge_score", "rouge_l"]
@@ -31,10 +31,10 @@ def pct_change_view(c: Column, b: Column) -> Column:
     return F.when(b > 0, F.round((c - b) / b * 100.0, 2)).otherwise(F.lit(0.0))
 
 
-def verdict_history(summary: DataFrame) -> DataFrame:
-    """View 1 (A5): regressions and mean p-value per run and verdict."""
-    flag = json_flag(F.col("verdict_reason"))
-    return summary.groupBy("model_version", "run_id", "verdict", "created_at").agg(
+def outcome_history(summary: DataFrame) -> DataFrame:
+    """View 1 (A5): regressions and mean p-value per run and outcome."""
+    flag = json_flag(F.col("outcome_reason"))
+    return summary.groupBy("model_version", "run_id", "outcome", "created_at").agg(
         F.count_if(flag == F.lit(True)).alias("regression_count"),
         F.avg("p_value").alias("avg_p_value"),
     )
@@ -54,23 +54,29 @@ def prompt_scores(evals: DataFrame, responses: DataFrame, prompts: DataFrame) ->
     Eval rows that carry a response_id are joined on it (one response per
     eval row, T7); rows without one fall back to (prompt_id, model_version).
     Two equi-joins, unioned, so no eval row is multiplied by every response
-    of its prompt. Pass a prompts frame restricted to one dataset version to
-    avoid fan-out on the prompt side (T6).
+    of its prompt. The dataset version belongs to every key where the rows
+    carry it (T6), so a prompt in two versions does not double its scores.
     """
+    def version(df: DataFrame) -> Column:
+        return (F.col("dataset_version") if "dataset_version" in df.columns else F.lit(None)).cast("string")
+
     e = evals.select(
         (F.col("response_id") if "response_id" in evals.columns else F.lit(None).cast("string")).alias("e_rid"),
-        "prompt_id", "model_version", "metric_name", "metric_value", "evaluator")
+        "prompt_id", "model_version", version(evals).alias("dataset_version"), "metric_name", "metric_value", "evaluator")
     rid = F.col("response_id") if "response_id" in responses.columns else F.lit(None).cast("string")
-    r = responses.select(rid.alias("r_rid"), "prompt_id", "model_version", "response")
-    by_id = e.where(F.col("e_rid").isNotNull()).join(r.drop("prompt_id", "model_version"),
-                                                     F.col("e_rid") == F.col("r_rid"))
-    # one prompt may carry a large share of eval rows: split hot keys off
-    by_key = hot_key_join(e.where(F.col("e_rid").isNull()), r.drop("r_rid"), ["prompt_id", "model_version"],
-                          "inner")
-    cols = ["prompt_id", "model_version", "metric_name", "metric_value", "evaluator", "response"]
+    r = responses.select(rid.alias("r_rid"), F.col("prompt_id").alias("r_pid"), F.col("model_version").alias("r_model"),
+                         version(responses).alias("r_version"), "response")
+    by_id = e.where(F.col("e_rid").isNotNull()).join(r, F.col("e_rid") == F.col("r_rid"))
+    # a prompt that carries a large share of the rows is split by AQE's skew join
+    same = (F.col("prompt_id") == F.col("r_pid")) & (F.col("model_version") == F.col("r_model"))
+    if "dataset_version" in evals.columns and "dataset_version" in responses.columns:
+        same = same & F.col("dataset_version").eqNullSafe(F.col("r_version"))
+    by_key = e.where(F.col("e_rid").isNull()).join(r, same)
+    cols = ["prompt_id", "model_version", "dataset_version", "metric_name", "metric_value", "evaluator", "response"]
     j = by_id.select(*cols).unionByName(by_key.select(*cols))
-    p = prompts.select("prompt_id", "prompt", "ground_truth")
-    return j.join(p, "prompt_id").select(
+    if "dataset_version" not in evals.columns:
+        j = j.drop("dataset_version")
+    return join_prompts(j, prompts).where(F.col("prompt").isNotNull()).select(
         "prompt_id", "prompt", "model_version", "metric_name", "metric_value", "evaluator", "response",
         "ground_truth",
     )
@@ -88,8 +94,8 @@ def regression_summary(summary: DataFrame) -> DataFrame:
         F.col("model_version").alias("candidate_version"), "baseline_version", "metric_name",
         c.alias("candidate_mean"), b.alias("baseline_mean"),
         (c - b).alias("mean_diff"), pct_change_view(c, b).alias("pct_change"),
-        "p_value", "verdict",
-        F.get_json_object(F.col("verdict_reason"), "$.is_regression").alias("is_regression"),
+        "p_value", "outcome",
+        F.get_json_object(F.col("outcome_reason"), "$.is_regression").alias("is_regression"),
     )
 
 
@@ -175,14 +181,14 @@ def daily_summary(summary: DataFrame, metrics=DAILY_METRICS) -> DataFrame:
         .select("model_version", "run_id", F.col("run_time").alias("latest_run_time"))
     j = summary.join(latest, ["model_version", "run_id"])
     aggs = [F.sum(F.when(F.col("metric_name") == m, F.col("metric_mean"))).alias(alias) for m, alias in metrics]
-    return j.groupBy("model_version", "verdict", "latest_run_time").agg(*aggs)
+    return j.groupBy("model_version", "outcome", "latest_run_time").agg(*aggs)
 
 
 def register_views(spark: SparkSession, summary: DataFrame, responses: DataFrame, evals: DataFrame,
                    prompts: DataFrame, candidate: str, baseline: str, prefix: str = "") -> list[str]:
     """Register all ten views as temporary views; returns their names."""
     views = {
-        "verdict_history": verdict_history(summary),
+        "outcome_history": outcome_history(summary),
         "metric_trends": metric_trends(summary),
         "prompt_scores": prompt_scores(evals, responses, prompts),
         "latency_trends": latency_trends(responses),

@@ -40,6 +40,7 @@ MODEL_RESPONSES = StructType([
     StructField("error_message", S, True),
     StructField("created_at", TS, True),
     StructField("run_id", S, True),
+    StructField("dataset_version", S, True),
 ])
 
 EVAL_RESULTS = StructType([
@@ -53,6 +54,7 @@ EVAL_RESULTS = StructType([
     StructField("metric_details", S, True),
     StructField("evaluator", S, True),
     StructField("created_at", TS, True),
+    StructField("dataset_version", S, True),
 ])
 
 METRIC_SUMMARY = StructType([
@@ -66,8 +68,8 @@ METRIC_SUMMARY = StructType([
     StructField("metric_p50", D, True),
     StructField("metric_p95", D, True),
     StructField("sample_size", LongType(), True),
-    StructField("verdict", S, True),
-    StructField("verdict_reason", S, True),
+    StructField("outcome", S, True),
+    StructField("outcome_reason", S, True),
     StructField("baseline_version", S, True),
     StructField("baseline_mean", D, True),
     StructField("p_value", D, True),
@@ -108,21 +110,7 @@ TABLES = {
 }
 
 # Fixed values (labels and states used by the evaluation workflow).
-VERDICTS = ("PASS", "WARN", "FAIL")
+OUTCOMES = ("PASS", "WARN", "FAIL")
 RUN_STATUSES = ("pending", "running", "completed", "failed")
 TASK_NAMES = ("init_catalog", "inference", "evaluation", "regression", "alert", "testgen")
 TASK_STATUSES = ("pending", "running", "completed", "failed", "skipped")
-
-COMPARISON = StructType([
-    StructField("metric_name", S, False),
-    StructField("candidate_mean", D, True),
-    StructField("baseline_mean", D, True),
-    StructField("candidate_std", D, True),
-    StructField("baseline_std", D, True),
-    StructField("pct_change", D, True),
-    StructField("p_value", D, True),
-    StructField("is_regression", BooleanType(), True),
-    StructField("n_candidate", LongType(), True),
-    StructField("n_baseline", LongType(), True),
-    StructField("reason", S, True),
-])

@@ -57,6 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not conf_dir:
         conf_dir = spark.sparkContext.getCheckpointDir()
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="evalspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
         spark.sparkContext.setCheckpointDir(conf_dir)

@@ -2,9 +2,7 @@
 
 Plain parquet has no MERGE/UPDATE and a path that is being read cannot be
 overwritten. ``PartitionedTable`` (the catalog's tables) rewrites only the
-partitions an upsert touches, from a staged copy; ``VersionedTable`` keeps
-whole snapshots ``<root>/v=<n>`` (small tables that want every prior state
-readable). Paths live in a shared folder (``spark.checkpoint.dir`` or any
+partitions an upsert touches, from a staged copy. Paths live in a shared folder (``spark.checkpoint.dir`` or any
 shared URI).
 """
 
@@ -57,53 +55,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-class VersionedTable:
-    """A keyed table stored as numbered parquet versions under ``root``."""
-
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: tuple[str, ...]):
-        self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, list(keys)
-
-    def versions(self) -> list[int]:
-        fs, p = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version:06d}"
-
-    def read(self, version: int | None = None) -> DataFrame:
-        vs = self.versions()
-        if not vs:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(vs[-1] if version is None else version))
-
-    def create(self) -> None:
-        """An empty first version (IF NOT EXISTS)."""
-        if not self.versions():
-            self.spark.createDataFrame([], self.schema).write.parquet(self.path(1))
-
-    def upsert(self, source: DataFrame, check: bool = True) -> int:
-        """Update-or-insert ``source`` by key into a new version."""
-        src = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        # stage the source once: the key checks and the merge read the staged copy,
-        # so an expensive source is computed a single time
-        src = materialize(src)
-        if check:
-            check_keys(src, self.keys)
-        vs = self.versions()
-        merged = merge_plan(self.read(), src, self.keys) if vs else src
-        nxt = (vs[-1] + 1) if vs else 1
-        merged.write.parquet(self.path(nxt))
-        return nxt
-
-
-
 class PartitionedTable:
     """A keyed table stored as parquet partitioned by ``partition_col``,
     a column the key determines (run id for responses and evals, dataset
@@ -137,21 +88,42 @@ class PartitionedTable:
     def upsert(self, source: DataFrame, check: bool = True) -> None:
         """Update-or-insert ``source`` by key, touching only the
         partitions that occur in ``source``."""
-        src = materialize(source.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                                          for f in self.schema.fields]))
+        src = materialize(self._shaped(source))
         if check:
             check_keys(src, self.keys)
-        touched = src.select(self.partition_col).distinct()
-        # semi join on the partition column: dynamic partition pruning reads only touched partitions
-        current = self.read().join(touched, self.partition_col, "left_semi")
+        if not self._exists():
+            self.create()
+        table = self.read()
+        # partitions that hold a source key now, under whatever partition value, and those the source names;
+        # reads the key columns only
+        old = table.join(src.select(*self.keys), self.keys, "left_semi").select(self.partition_col)
+        touched = [r[0] for r in old.union(src.select(self.partition_col)).distinct().collect()]  # one value a partition
+        named = [v for v in touched if v is not None]
+        inside = F.col(self.partition_col).isin(named) if named else F.lit(False)
+        if len(named) < len(touched):
+            inside = inside | F.col(self.partition_col).isNull()
+        # an explicit partition filter: other partitions are neither listed nor read
+        current = table.where(inside)
         staged = materialize(merge_plan(current, src, self.keys))
+        left = {r[0] for r in staged.select(self.partition_col).distinct().collect()}
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(self.partition_col).parquet(self.root)
+        for value in set(touched) - left:  # every row moved to another partition
+            fs, path = _fs(self.spark, self._folder(value))
+            fs.delete(path, True)
+
+    def _shaped(self, rows: DataFrame) -> DataFrame:
+        """The table's columns; a nullable one that ``rows`` lacks is NULL."""
+        return rows.select(*[(F.lit(None) if f.nullable and f.name not in rows.columns else F.col(f.name))
+                             .cast(f.dataType).alias(f.name) for f in self.schema.fields])
+
+    def _folder(self, value) -> str:
+        utils = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return f"{self.root}/{utils.getPartitionPathString(self.partition_col, value)}"
 
     def append(self, rows: DataFrame) -> None:
         """Append-only write (event tables): only the new rows are written."""
-        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]) \
-            .write.mode("append").partitionBy(self.partition_col).parquet(self.root)
+        self._shaped(rows).write.mode("append").partitionBy(self.partition_col).parquet(self.root)
 
 
 # Partition column of each table (determined by the table's key).

@@ -155,10 +155,10 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "model_version", "run_id", "metric_name", "metric_mean", "metric_std", "sample_size", "created_at",
         F.lit("1").alias("baseline_version"), "baseline_mean",
         ((F.col("sample_size") % 100).cast("double") / 100).alias("p_value"),
-        F.when(vsel == 0, "PASS").when(vsel == 1, "WARN").otherwise("FAIL").alias("verdict"),
+        F.when(vsel == 0, "PASS").when(vsel == 1, "WARN").otherwise("FAIL").alias("outcome"),
         F.when(F.col("sample_size") % 2 == 0, '{"is_regression": true}')
         .when(F.col("sample_size") % 3 == 0, '{"is_regression": null}')
-        .otherwise('{"is_regression": false}').alias("verdict_reason"),
+        .otherwise('{"is_regression": false}').alias("outcome_reason"),
     )
 
 
@@ -214,11 +214,12 @@ def qa(spark: SparkSession, sf_dir: str, chunks_df: DataFrame | None = None) ->
     n = F.when(idn % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
         c.where(idn % 7 != 0)
-        .select("chunk_id", "source_text", F.explode(n).alias("i"))
+        .select("chunk_id", "dataset_version", "source_text", F.explode(n).alias("i"))
         .select(
-            "chunk_id",
-            F.concat(F.lit("Q"), _s(F.col("i")), F.lit(": "), F.substring("source_text", 1, 40)).alias("question"),
-            F.substring("source_text", 1, 80).alias("ground_truth"),
+            "chunk_id", "dataset_version",
+            F.concat(F.lit("Q"), _s(F.col("i")), F.lit(": "), F.md5("source_text")).alias("question"),
+            F.concat(F.lit("A"), _s(F.col("i")), F.lit(": "), F.md5(F.concat("source_text", F.lit("|"), _s(F.col("i")))))
+            .alias("ground_truth"),
             "source_text",
         )
     )
@@ -282,7 +283,7 @@ class Bindings:
         return self._once("summary", lambda: summary(self.spark, self.sf_dir))
 
     def chunks(self) -> DataFrame:
-        return self._once("chunks", lambda: chunks(self.spark, self.sf_dir))
+        return chunks(self.spark, self.sf_dir)  # a pruned scan: nothing to keep
 
     def qa(self) -> DataFrame:
         return qa(self.spark, self.sf_dir, self.chunks())

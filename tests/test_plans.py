@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from evalspark.plans import catalog as entry
 from tests.conftest import SF001
 
 # Queries whose work is Python by design: the LCS helper, caller-supplied
@@ -42,7 +42,7 @@ def test_plan_invariants(spark, name):
     if name not in PYTHON_OK:
         assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", plan), name
     if name in UNPARTITIONED_WINDOW_OK:
-        assert unpartitioned_windows(plan) > 0  # the detector sees the bounded verdict window
+        assert unpartitioned_windows(plan) > 0  # the detector sees the bounded outcome window
     else:
         assert unpartitioned_windows(plan) == 0, name
 

@@ -40,8 +40,14 @@ def test_rank_sum_matches_pairwise_u(spark_session_for_properties, cand, base):
     assert 0.0 <= r.p_value <= 1.0 and not math.isnan(r.p_value)
 
 
-def test_gaussian_binomial_totals():
-    for m, n in [(1, 1), (3, 4), (8, 20)]:
-        c = stats._gaussian_binomial(m, n)
-        assert sum(c) == math.comb(m + n, m)
-        assert list(c) == list(c[::-1])
+def test_exact_p_against_enumeration():
+    import itertools
+
+    for m, n in [(1, 1), (2, 5), (3, 4), (5, 6), (7, 7)]:
+        sums = [sum(c) - m * (m - 1) // 2 for c in itertools.combinations(range(m + n), m)]
+        for u in range(m * n + 1):
+            want = min(1.0, 2 * sum(s >= u for s in sums) / math.comb(m + n, m))
+            assert abs(stats.exact_two_sided_p(m, n, u) - want) < 1e-12
+    # 8 against 20,000 and against a thousand million: exact, and no memory in n
+    assert stats.exact_two_sided_p(8, 20_000, 8 * 20_000) == 2 / math.comb(20_008, 8)
+    assert 0 < stats.exact_two_sided_p(8, 10**9, 7.9e9) < 1e-6

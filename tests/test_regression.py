@@ -1,4 +1,4 @@
-"""Mann-Whitney, verdicts and the regression report: brute force on small
+"""Mann-Whitney, outcomes and the regression report: brute force on small
 inputs, the FIXTURES expectations on the driver tables, edge rows."""
 
 import itertools
@@ -126,17 +126,17 @@ def test_regression_report_matches_fixture(spark):
         assert r.pct_change == pytest.approx(pct, abs=1e-3)
         assert r.z_score == pytest.approx(z, abs=1e-3)
         assert r.is_regression is reg
-        assert r.verdict == "FAIL"
+        assert r.outcome == "FAIL"
 
 
-@pytest.mark.parametrize("metrics,verdict", [
+@pytest.mark.parametrize("metrics,outcome", [
     (["faithfulness", "answer_relevance", "latency_p95"], "WARN"),
     (["answer_relevance"], "PASS"),
     (list(EXPECTED), "FAIL"),
 ])
-def test_verdict_by_metric_set(spark, metrics, verdict):
+def test_outcome_by_metric_set(spark, metrics, outcome):
     rep = regression.regression_report(T.evals(spark, SF01), "2", "1", metrics)
-    assert {r.verdict for r in rep.collect()} == {verdict}
+    assert {r.outcome for r in rep.collect()} == {outcome}
 
 
 def test_insufficient_data_row(spark):
@@ -148,15 +148,15 @@ def test_insufficient_data_row(spark):
         assert by[m].candidate_mean is None and by[m].is_regression is None
 
 
-def test_determine_verdict_cases(spark):
-    def verdict(rows, thr=5.0):
+def test_determine_outcome_cases(spark):
+    def outcome(rows, thr=5.0):
         df = spark.createDataFrame(rows, "metric_name string, is_regression boolean, pct_change double")
-        return regression.verdict_of(df, thr).first().verdict
+        return regression.outcome_of(df, thr).first().outcome
 
-    assert verdict([("faithfulness", False, -1.0)]) == "PASS"
-    assert verdict([("faithfulness", True, -6.0)]) == "WARN"
-    assert verdict([("faithfulness", True, -15.0)]) == "FAIL"
-    assert verdict([("faithfulness", None, None)]) == "PASS"
+    assert outcome([("faithfulness", False, -1.0)]) == "PASS"
+    assert outcome([("faithfulness", True, -6.0)]) == "WARN"
+    assert outcome([("faithfulness", True, -15.0)]) == "FAIL"
+    assert outcome([("faithfulness", None, None)]) == "PASS"
 
 
 def test_defaults():
@@ -189,7 +189,7 @@ def test_metric_summary_json_keeps_nulls(spark):
     ev = evals_df(spark, [], [1.0], metric="x")
     rep = regression.regression_report(ev, "2", "1", ["x"])
     s = regression.metric_summary_rows(rep).first()
-    assert s.verdict_reason == '{"pct_change":null,"p_value":null,"is_regression":null}'
+    assert s.outcome_reason == '{"pct_change":null,"p_value":null,"is_regression":null}'
     assert s.dataset_version == "unknown"
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from evalspark.operators import datasets, runs
 from evalspark.schemas import PROMPT_DATASETS, TABLES
@@ -27,9 +28,13 @@ def test_content_ids_are_stable(spark):
     assert a[0].metadata == {"source": "test"}
 
 
-def test_upsert_versions_and_idempotence(spark):
-    t = store.VersionedTable(spark, scratch_path(spark, "prompts"), PROMPT_DATASETS,
-                             ("prompt_id", "dataset_version"))
+def prompt_table(spark, name):
+    return store.PartitionedTable(spark, scratch_path(spark, name), PROMPT_DATASETS, ("prompt_id", "dataset_version"),
+                                  "dataset_version")
+
+
+def test_upsert_idempotence(spark):
+    t = prompt_table(spark, "prompts")
     t.create()
     src = prompts_rows(spark, [("q1", "a1"), ("q2", "a2")])
     t.upsert(src)
@@ -37,17 +42,26 @@ def test_upsert_versions_and_idempotence(spark):
     t.upsert(src)
     twice = sorted(tuple(r) for r in t.read().select("prompt_id", "prompt", "ground_truth").collect())
     assert once == twice and len(once) == 2
-    upd = prompts_rows(spark, [("q1", "changed"), ("q3", "a3")])
-    t.upsert(upd)
+    ids = {r.prompt: r.prompt_id for r in src.collect()}
+    changed = src.where("prompt = 'q1'").withColumn("ground_truth", F.lit("changed"))
+    t.upsert(changed.unionByName(prompts_rows(spark, [("q3", "a3")])))
     now = {r.prompt: r.ground_truth for r in t.read().collect()}
-    assert now == {"q1": "changed", "q2": "a2", "q3": "a3"}
-    assert len(t.versions()) == 4
-    assert t.read(t.versions()[1]).count() == 2  # older versions stay readable
+    assert now == {"q1": "changed", "q2": "a2", "q3": "a3"} and t.read().where(F.col("prompt_id") == ids["q1"]).count() == 1
+
+
+def test_upsert_moves_a_key_between_partitions(spark):
+    """One key under a new partition value replaces its old row."""
+    schema = StructType([StructField("response_id", StringType()), StructField("v", StringType()), StructField("run_id", StringType())])
+    t = store.PartitionedTable(spark, scratch_path(spark, "moves"), schema, ("response_id",), "run_id")
+    t.upsert(spark.createDataFrame([("r1", "old", "runA"), ("r2", "old", "runA"), ("r3", "old", "runB"), ("r4", "x", None)], schema))
+    t.upsert(spark.createDataFrame([("r1", "new", "runC"), ("r3", "new", "runC"), ("r4", "y", "runA")], schema))
+    got = sorted(tuple(r) for r in t.read().select("response_id", "v", "run_id").collect())
+    assert got == [("r1", "new", "runC"), ("r2", "old", "runA"), ("r3", "new", "runC"), ("r4", "y", "runA")]
 
 
 def test_upsert_rejects_duplicate_and_null_keys(spark):
-    t = store.VersionedTable(spark, scratch_path(spark, "dups"), PROMPT_DATASETS, ("prompt_id", "dataset_version"))
-    dup = prompts_rows(spark, [("same", "a"), ("same", "b")])
+    t = prompt_table(spark, "dups")
+    dup = prompts_rows(spark, [("same", "a"), ("same", "b")]).withColumn("prompt_id", F.lit("one id"))
     with pytest.raises(store.DuplicateKeyError):
         t.upsert(dup)
     nul = prompts_rows(spark, [("x", "a")]).withColumn("prompt_id", F.lit(None).cast("string"))
@@ -55,6 +69,15 @@ def test_upsert_rejects_duplicate_and_null_keys(spark):
         t.upsert(nul)
 
 
+def test_equal_prompt_rows_are_one_prompt(spark):
+    df = datasets.prompts_from_rows(spark, [{"prompt": "q", "ground_truth": "a"}, {"prompt": "q", "ground_truth": "a"},
+                                            {"prompt": "q", "ground_truth": "b"}, {"prompt": "x", "prompt_id": "i"},
+                                            {"prompt": "y", "prompt_id": "i"}], "v1")
+    assert sorted((r.prompt, r.ground_truth) for r in df.collect() if r.prompt == "q") == [("q", "a"), ("q", "b")]
+    with pytest.raises(store.DuplicateKeyError):  # a given id twice is the caller's error
+        store.check_keys(df, ["prompt_id"])
+
+
 def test_evals_fixture_has_duplicate_eval_ids(spark):
     ev = T.evals(spark, SF001)
     with pytest.raises(store.DuplicateKeyError):
@@ -93,7 +116,7 @@ def test_versions_and_latest(spark):
 def test_run_state_latest_wins(spark):
     init = runs.init_run_events(spark, "r1", {"a": 1}, TS, job_id="j")
     upd = runs.update_events(spark, "r1", {"status": "running", "task:inference": "completed",
-                                           "output:verdict": "PASS"}, TS + dt.timedelta(minutes=1), 100)
+                                           "output:outcome": "PASS"}, TS + dt.timedelta(minutes=1), 100)
     done = runs.update_events(spark, "r1", {"status": "completed"}, TS + dt.timedelta(minutes=2), 200)
     ev = init.unionByName(upd).unionByName(done)
     st = {r.k: r.v for r in runs.run_state(ev).collect()}
@@ -101,7 +124,7 @@ def test_run_state_latest_wins(spark):
     rec = runs.run_records(ev).first()
     assert rec.status == "completed" and rec.job_id == "j"
     assert rec.completed_at == TS + dt.timedelta(minutes=2)
-    assert '"inference":"completed"' in rec.task_state and rec.outputs == '{"verdict":"PASS"}'
+    assert '"inference":"completed"' in rec.task_state and rec.outputs == '{"outcome":"PASS"}'
 
 
 def test_json_map_get_set(spark):
@@ -121,7 +144,7 @@ def test_partitioned_upsert_touches_only_its_partitions(spark):
     t.create()
 
     def rows(run, ids, value):
-        return spark.createDataFrame([(f"{run}-{i}", None, "p", "1", run, "m", value, None, "e", None) for i in ids],
+        return spark.createDataFrame([(f"{run}-{i}", None, "p", "1", run, "m", value, None, "e", None, None) for i in ids],
                                      EVAL_RESULTS)
 
     t.upsert(rows("r1", range(5), 1.0))
@@ -144,11 +167,20 @@ def test_prompts_from_rows_keeps_row_metadata(spark):
     assert rows["q"].dataset_version == "v9" and rows["r"].ground_truth is None
 
 
-def test_deterministic_sample_large_path_equals_topk(spark):
+def test_deterministic_sample_is_the_md5_order(spark):
     df = spark.range(0, 3000).selectExpr("cast(id as string) as k", "id % 7 as v")
-    small = sorted(r.k for r in datasets.deterministic_sample(df, 500, "k").collect())
-    large = sorted(r.k for r in datasets.deterministic_sample(df, 500, "k", topk_max=10).collect())
-    assert small == large and len(small) == 500
+    for n in (0, 7, 500, 4000):
+        got = sorted(r.k for r in datasets.deterministic_sample(df, n, "k").collect())
+        assert got == sorted(r.k for r in df.orderBy(F.md5("k")).limit(n).collect())
+
+
+def test_deterministic_sample_keeps_null_keys(spark):
+    rows = [(f"k{i}" if i % 4 else None, i) for i in range(12)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    got = datasets.deterministic_sample(df, 12, "k").collect()
+    assert sorted(r.v for r in got) == list(range(12))
+    order = sorted(rows, key=lambda r: (__import__("hashlib").md5((r[0] or "").encode()).hexdigest(), r[0] or ""))
+    assert [r[0] for r in order[:8]].count(None) == sum(r.k is None for r in datasets.deterministic_sample(df, 8, "k").collect())
 
 
 def test_partitioned_append_writes_only_new_rows(spark):

@@ -19,7 +19,7 @@ def test_stream_matches_batch_and_replays_are_idempotent(spark):
         F.md5("prompt_id").alias("response_id"), "prompt_id", "model_version", F.lit("ep").alias("endpoint_name"),
         "response", F.lit(1.0).alias("latency_ms"), F.lit("success").alias("status"),
         F.lit(None).cast("string").alias("error_message"), F.lit(None).cast("timestamp").alias("created_at"),
-        F.lit("r").alias("run_id"))
+        F.lit("r").alias("run_id"), "dataset_version")
     resp = spark.createDataFrame(resp.collect(), MODEL_RESPONSES)
     src = scratch_path(spark, "stream-src")
     resp.limit(10).write.parquet(src)

@@ -7,49 +7,94 @@ import pytest
 from pyspark.sql import functions as F
 
 from evalspark.operators import batch, testgen
+from evalspark.plans import views
 from evalspark.session import scratch_path
 from evalspark.sources import tables as T
 from tests.conftest import SF001
 
 
-def brute_negatives(chunks, k, window):
-    """Cyclic md5 order, next ``window`` chunks, other documents first."""
-    key = lambda c: (int(hashlib.md5(c[0].encode()).hexdigest()[:15], 16), c[0])
-    order = sorted(chunks, key=key)
-    n = len(order)
+def brute_negatives(chunks, k):
+    """The stated rule: k places from the chunk's hash on among those outside its
+    document, then the next chunks of its document."""
+    h = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
+    named = [(c, d if d is not None else f"chunk:{c}") for c, d in chunks]
+    order = sorted(named, key=lambda c: (h(c[1]), c[1], h(c[0]), c[0]))
     out = {}
-    for i, (cid, doc) in enumerate(order):
-        cands = [(order[(i + o) % n], o) for o in range(1, min(window, n - 1) + 1)]
-        cands.sort(key=lambda x: (x[0][1] == doc, x[1]))
-        out[cid] = [c[0][0] for c in cands[:k]]
+    for p, (cid, doc) in enumerate(order):
+        outside = [c for c, d in order if d != doc]
+        block = [c for c, d in order if d == doc]
+        at = block.index(cid)
+        picks = [outside[(h(cid) + j) % len(outside)] for j in range(min(k, len(outside)))]
+        picks += [block[(at + 1 + j) % len(block)] for j in range(min(k - len(picks), len(block) - 1))]
+        out[cid] = picks
     return out
 
 
-@pytest.mark.parametrize("n,docs,window,buckets", [(40, 3, 16, 1), (57, 1, 8, 4), (5, 2, 16, 4), (300, 10, 16, 8)])
-def test_hard_negatives_brute_force(spark, n, docs, window, buckets):
-    rows = [(f"c{i}", f"d{i % docs}") for i in range(n)]
-    df = spark.createDataFrame(rows, "chunk_id string, source string")
-    got = testgen.hard_negatives(df, k=2, window=window, buckets=buckets)
+def listed(got):
     by = {}
     for r in got.collect():
         by.setdefault(r.chunk_id, []).append((r.rank, r.negative_chunk_id))
-    got_lists = {k: [x for _, x in sorted(v)] for k, v in by.items()}
-    assert got_lists == brute_negatives(rows, 2, window)
-    for cid, negs in got_lists.items():
+    return {k: [x for _, x in sorted(v)] for k, v in by.items()}
+
+
+@pytest.mark.parametrize("n,docs,buckets,k", [(40, 3, 1, 2), (57, 1, 4, 2), (5, 2, 4, 4), (300, 10, 8, 3), (2, 2, 1, 2)])
+def test_hard_negatives_brute_force(spark, n, docs, buckets, k):
+    rows = [(f"c{i}", f"d{i % docs}" if i != 3 else None) for i in range(n)]
+    df = spark.createDataFrame(rows, "chunk_id string, source string")
+    got = listed(testgen.hard_negatives(df, k=k, buckets=buckets))
+    assert got == {c: x for c, x in brute_negatives(rows, k).items() if x}
+    for cid, negs in got.items():
         assert cid not in negs and len(set(negs)) == len(negs)
 
 
 def test_hard_negatives_skewed_document(spark):
-    # one document holds most chunks: others are still preferred where present
-    rows = [(f"c{i}", "big" if i % 10 else f"small{i}") for i in range(200)]
-    df = spark.createDataFrame(rows, "chunk_id string, source string")
-    got = testgen.hard_negatives(df, k=2, window=16)
-    assert got.count() == 400
-    ref = brute_negatives(rows, 2, 16)
-    by = {}
-    for r in got.collect():
-        by.setdefault(r.chunk_id, []).append((r.rank, r.negative_chunk_id))
-    assert {k: [x for _, x in sorted(v)] for k, v in by.items()} == ref
+    """One document holds 95 of 100 chunks: no negative of one's own document while others have chunks."""
+    rows = [(f"c{i}", "big" if i < 95 else f"small{i}") for i in range(100)]
+    doc = dict(rows)
+    got = listed(testgen.hard_negatives(spark.createDataFrame(rows, "chunk_id string, source string"), k=2))
+    assert len(got) == 100 and all(len(x) == 2 and all(doc[y] != doc[c] for y in x) for c, x in got.items())
+    assert testgen.hard_negatives(spark.createDataFrame(rows[:1], "chunk_id string, source string")).count() == 0
+    assert testgen.hard_negatives(spark.createDataFrame([], "chunk_id string, source string")).count() == 0
+
+
+def test_versions_stay_apart(spark):
+    """A pair of v1 counts for the chunk's v1 row only."""
+    chunks = spark.createDataFrame([("c", "v1", "s", "col", "text one"), ("c", "v2", "s", "col", "text two")],
+                                   "chunk_id string, dataset_version string, source string, source_collection string, source_text string")
+    qa = spark.createDataFrame([("c", "v1", "q", "a", "text one")],
+                               "chunk_id string, dataset_version string, question string, ground_truth string, source_text string")
+    rows = testgen.chunk_rows(chunks, qa).collect()
+    assert {r.dataset_version: r.qa_pairs_count for r in rows} == {"v1": 1, "v2": 0}
+    assert [r.metadata["dataset_version"] for r in testgen.qa_records(qa, chunks).collect()] == ["v1"]
+    assert [r.metadata["dataset_version"] for r in testgen.qa_records(qa.drop("dataset_version"), chunks).collect()] == ["v2"]
+
+
+def test_scan_without_a_limit_returns_all(spark):
+    df = spark.createDataFrame([(f"c{i}", "x" * 60) for i in range(350)], "chunk_id string, source_text string")
+    assert testgen.scan_chunks(df).count() == 350 and testgen.scan_chunks(df, limit=10).count() == 10
+
+
+def test_scores_stay_with_their_response(spark):
+    """Two responses of one prompt, in two dataset versions: one score each, nothing multiplied."""
+    df = spark.createDataFrame([("r1", "p", "1", "v1", "q", "abc", "t"), ("r2", "p", "1", "v2", "q", "de", "t")],
+                               "response_id string, prompt_id string, model_version string, dataset_version string, "
+                               "prompt string, response string, ground_truth string")
+    out = batch.metrics_to_evals(df, ["faithfulness"], lambda s, q, o, f: float(len(o)), "run").collect()
+    assert sorted((r.response_id, r.dataset_version, r.metric_value) for r in out) == [("r1", "v1", 3.0), ("r2", "v2", 2.0)]
+    judged = batch.batch_judge(df, lambda p: (200, '{"predictions": ["{\\"score\\": 3, \\"reasoning\\": \\"r\\"}"]}'), "e", "run").collect()
+    assert len({r.eval_id for r in judged}) == 2
+    prompts = spark.createDataFrame([("p", "v1", "one", "t1"), ("p", "v2", "two", "t2")],
+                                    "prompt_id string, dataset_version string, prompt string, ground_truth string")
+    from evalspark.operators.scoring import evaluate, join_prompts
+
+    joined = join_prompts(df, prompts).collect()
+    assert sorted((r.response_id, r.prompt) for r in joined) == [("r1", "one"), ("r2", "two")]
+    bare = join_prompts(df.drop("dataset_version"), prompts).collect()
+    assert sorted((r.response_id, r.prompt) for r in bare) == [("r1", "two"), ("r2", "two")]
+    evals = evaluate(df, prompts, "run", ["exact_match"])
+    assert evals.select("eval_id").distinct().count() == evals.count() == 2
+    shown = views.prompt_scores(evals, df, prompts).collect()
+    assert sorted((r.prompt, r.response) for r in shown) == [("one", "abc"), ("two", "de")]
 
 
 def test_exports_roundtrip(spark):
@@ -141,10 +186,10 @@ def test_generate_qa_retries_and_skips(spark):
 
 
 def test_build_testset_composition(spark):
-    from evalspark.plans.catalog import first_chars_generator
+    from evalspark.plans.catalog import digest_generator
 
     chunks = T.chunks(spark, SF001)
-    out = testgen.build_testset(chunks, first_chars_generator, k=2, backoff_s=0.0)
+    out = testgen.build_testset(chunks, digest_generator, k=2, backoff_s=0.0)
     qa = T.qa(spark, SF001)
     assert sorted(tuple(r) for r in out["qa"].collect()) == sorted(tuple(r) for r in qa.collect())
     t = out["totals"].first()

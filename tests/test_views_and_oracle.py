@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from evalspark.plans import catalog
 from evalspark.plans import views
 from evalspark.sources import tables as T
 from tests.conftest import SF001
@@ -44,13 +45,13 @@ def test_register_views(spark):
                                  .withColumn("evaluator", F.lit("e")).withColumn("response_id", F.col("eval_id")),
                                  T.prompts(spark, SF001), "2", "1", prefix="t_")
     assert len(names) == 10
-    assert spark.table("t_verdict_history").count() > 0
+    assert spark.table("t_outcome_history").count() > 0
 
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
-    assert len(rows) == 5 and {r.verdict for r in rows} == {"FAIL"}
+    assert len(rows) == 5 and {r.outcome for r in rows} == {"FAIL"}
 
 
 @pytest.fixture(scope="module")
@@ -85,7 +86,7 @@ def test_oracle_parity(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
 
 
 def test_prompt_scores_by_response_id_no_run_fanout(spark):
@@ -105,17 +106,3 @@ def test_version_comparison_one_row_per_metric(spark):
     vc = views.version_comparison(s, "2", "1")
     n_metrics = s.select("metric_name").distinct().count()
     assert vc.count() == n_metrics
-
-
-def test_hot_key_join_equals_plain_join(spark):
-    from evalspark.operators.joins import hot_key_join
-
-    big = spark.createDataFrame([("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(50)] + [(None, -1)],
-                                "k string, v int")
-    small = spark.createDataFrame([("hot", "H"), ("k3", "three"), ("k99", "none")], "k string, label string")
-    for how in ("left", "inner"):
-        want = sorted((repr(tuple(r)) for r in big.join(small, ["k"], how).collect()))
-        got = hot_key_join(big, small, ["k"], how, top=2, min_rows=100)
-        assert sorted(repr(tuple(r)) for r in got.collect()) == want
-        plan = got._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan
