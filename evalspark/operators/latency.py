@@ -78,8 +78,8 @@ def success_rate(df: DataFrame, by=("run_id",)) -> DataFrame:
 def error_analysis(df: DataFrame) -> DataFrame:
     """Error counts by (model, status, message).
 
-    ``error_share_pct`` is the dashboard's share among the model's errors
-    (T11); ``error_rate_pct`` is the share among all of the model's requests.
+    ``error_rate_pct`` is the dashboard's share among the model's errors
+    (T11); ``request_error_rate_pct`` is the share among all of the model's requests.
     The per-model denominators (W1) are a second aggregate with one row per
     model joined back: messages are free text, so a window over a hot model's
     groups would put them all in one task.
@@ -94,8 +94,8 @@ def error_analysis(df: DataFrame) -> DataFrame:
     return j.select(
         "model_version", "status",
         F.col("n").alias("error_count"),
-        (F.col("n").cast("double") * 100.0 / F.col("_err")).alias("error_share_pct"),
-        (F.col("n").cast("double") * 100.0 / F.col("_all")).alias("error_rate_pct"),
+        (F.col("n").cast("double") * 100.0 / F.col("_err")).alias("error_rate_pct"),
+        (F.col("n").cast("double") * 100.0 / F.col("_all")).alias("request_error_rate_pct"),
         "error_message",
     )
 

@@ -3,6 +3,8 @@ composition (K3, K11, F15, F19, F20, F21, F22, J1, A20)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,3 +127,29 @@ def evaluate(
         j = j.repartition(partitions)
     wide = text_metrics(j, rouge="rouge_l" in metrics)
     return to_long(wide, metrics, run_id, DETERMINISTIC_TAG, created_at)
+
+
+def evaluate_run(
+    responses: DataFrame,
+    prompts: DataFrame,
+    run_id: str,
+    metrics: list[str] | None = None,
+    judge: Callable | None = None,
+    judge_endpoint: str | None = None,
+    created_at=None,
+    max_workers: int = 10,
+) -> dict[str, DataFrame]:
+    """K11 in full: ``evals`` are the text metrics (K3) and, with ``judge``,
+    the judge scores (K2) as one long table; ``latency`` the statistics per
+    model version (A3), NULL-free only where the responses carry a latency."""
+    from evalspark.operators.batch import batch_judge
+    from evalspark.operators.latency import latency_stats
+
+    evals = evaluate(responses, prompts, run_id, metrics, created_at)
+    if judge is not None:
+        judged = batch_judge(join_prompts(responses, prompts), judge, judge_endpoint, run_id, created_at, max_workers)
+        evals = evals.unionByName(judged.drop("reasoning"))
+    out = {"evals": evals}
+    if "latency_ms" in responses.columns:
+        out["latency"] = latency_stats(responses)
+    return out

@@ -328,6 +328,22 @@ def q_batch_judge(spark, d):
     return out.select("eval_id", "prompt_id", "model_version", "metric_value", "evaluator", "reasoning")
 
 
+_JPP = Q.judge_prompt("p.prompt", "r.response", "p.ground_truth")
+
+
+@query("evaluation_run", _long_bindings(_NO_ROUGE) + f"""
+SELECT eval_id, prompt_id, model_version, metric_name, metric_value, evaluator FROM ev
+UNION ALL
+SELECT md5(concat_ws('|', '{EVAL_RUN}', r.prompt_id, r.model_version, 'judge_score')), r.prompt_id, r.model_version, 'judge_score',
+  CASE WHEN length({_JPP}) % 13 = 0 THEN NULL ELSE cast(length({_JPP}) % 5 + 1 AS double) END, 'llm_judge:{JUDGE_ENDPOINT}'
+FROM pairs r LEFT JOIN prompts p ON p.prompt_id = r.prompt_id AND p.dataset_version = r.dataset_version""")
+def q_evaluation_run(spark, d):
+    b = T.Bindings(spark, d)
+    resp = b.pairs().select("prompt_id", "dataset_version", "model_version", "response")
+    out = scoring.evaluate_run(resp, b.prompts(), EVAL_RUN, _NO_ROUGE, judge_call, JUDGE_ENDPOINT, FIXED_TS, max_workers=4)
+    return out["evals"].select("eval_id", "prompt_id", "model_version", "metric_name", "metric_value", "evaluator")
+
+
 def infer_call(prompt: str):
     """Deterministic stand-in model endpoint."""
     if len(prompt) % 11 == 0:
@@ -398,8 +414,8 @@ def q_status_classification(spark, d):
 
 
 @query("error_analysis", with_bindings("responses") + """
-SELECT model_version, status, n AS error_count, cast(n AS double) * 100.0 / err AS error_share_pct,
-  cast(n AS double) * 100.0 / alln AS error_rate_pct, error_message FROM (
+SELECT model_version, status, n AS error_count, cast(n AS double) * 100.0 / err AS error_rate_pct,
+  cast(n AS double) * 100.0 / alln AS request_error_rate_pct, error_message FROM (
   SELECT model_version, status, error_message, count(*) AS n,
     sum(count(*)) OVER (PARTITION BY model_version) AS alln,
     sum(CASE WHEN status <> 'success' THEN count(*) ELSE 0 END) OVER (PARTITION BY model_version) AS err

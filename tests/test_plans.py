@@ -11,7 +11,7 @@ from tests.conftest import SF001
 # model / judge / generator / scorer calls.
 PYTHON_OK = {
     "rouge_l", "eval_long_table", "end_to_end_evaluation", "batch_judge", "batch_inference", "generate_qa",
-    "testgen_totals", "scorer_evals", "judge_sample",
+    "testgen_totals", "scorer_evals", "judge_sample", "evaluation_run",
 }
 # Windows without a partition key are allowed only over the per-metric
 # comparison rows (bounded by the requested metric list).

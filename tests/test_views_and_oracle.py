@@ -18,7 +18,7 @@ def test_shares_sum_to_100(spark):
     for r in jd.groupBy("model_version").agg(F.sum("pct").alias("s")).collect():
         assert r.s == pytest.approx(100.0, abs=0.05)
     ea = views.error_analysis(T.responses(spark, SF001))
-    for r in ea.groupBy("model_version").agg(F.sum("error_share_pct").alias("s")).collect():
+    for r in ea.groupBy("model_version").agg(F.sum("error_rate_pct").alias("s")).collect():
         assert r.s == pytest.approx(100.0)
 
 
