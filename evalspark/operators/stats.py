@@ -13,7 +13,6 @@ import math
 from decimal import Decimal
 from fractions import Fraction
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

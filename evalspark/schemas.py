@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
