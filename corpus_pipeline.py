@@ -48,7 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     nodes = docs.withColumn(node, F.coalesce(F.col("doc_id").cast("long"), beyond))
     groups = jaccard.linked_components(nodes, id_col=node)
     first = groups.where("id = component_id").select(F.col("id").alias(node)).distinct()
-    return nodes.join(first, node, "left_semi").dropDuplicates([node]).drop(node)
+    return nodes.join(common.shuffled(first), node, "left_semi").dropDuplicates([node]).drop(node)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

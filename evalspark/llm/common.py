@@ -76,6 +76,12 @@ def slices(texts: list, size: int) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """A join side that is to be shuffled and merged at every size: the plan
+    of a large run, not one that changes where a side happens to be small."""
+    return side.hint("merge")
+
+
 def rows_of(batch) -> Iterator[tuple]:
     """The rows of an Arrow batch one by one, for rows of large binary values."""
     for i in range(batch.num_rows):

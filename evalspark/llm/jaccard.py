@@ -224,9 +224,9 @@ def compared(rows: DataFrame, pairs: DataFrame, size: int, percent: int, counts:
                 ["a", "b", "linked", "shared", "n_a", "n_b", "core", "rest"])
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    found = common.stored(rows.join(wanted, "id", "left_semi").mapInArrow(sets, "id long, s binary"))
-    both = (pairs.join(found.select(F.col("id").alias("a"), F.col("s").alias("s_a")), "a")
-            .join(found.select(F.col("id").alias("b"), F.col("s").alias("s_b")), "b").select("a", "b", "s_a", "s_b"))
+    found = common.stored(rows.join(common.shuffled(wanted), "id", "left_semi").mapInArrow(sets, "id long, s binary"))
+    both = (pairs.join(common.shuffled(found.select(F.col("id").alias("a"), F.col("s").alias("s_a"))), "a")
+            .join(common.shuffled(found.select(F.col("id").alias("b"), F.col("s").alias("s_b"))), "b").select("a", "b", "s_a", "s_b"))
     return both.mapInArrow(compare, "a long, b long, linked boolean, shared long, n_a long, n_b long, core array<long>, rest long")
 
 
@@ -251,10 +251,10 @@ def _candidates(entries: DataFrame, stars: DataFrame, percent: int) -> DataFrame
                 .groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max_by("grp", F.when(F.col("grp").isNotNull(), F.struct("k", "grp")))
                                       .alias("main"), F.count("*").alias("groups"), F.count_if(F.col("grp").isNull()).alias("loose")))
     mixed = by_token.where("lo <> hi and groups + loose > 1").select("token", "main")
-    live = common.stored(entries.join(mixed, "token").withColumn("minor", F.coalesce(F.col("grp") != F.col("main"), F.lit(True))).drop("main"))
+    live = common.stored(entries.join(common.shuffled(mixed), "token").withColumn("minor", F.coalesce(F.col("grp") != F.col("main"), F.lit(True))).drop("main"))
     x, y = _suffixed(live.where("minor"), "_x", "token"), _suffixed(live, "_y", "token")
     same_hub = "hub_x <=> hub_y and hub_x is not null"
-    met = x.join(y, "token").where(
+    met = x.join(common.shuffled(y), "token").where(
         f"root_x <> root_y and a_x <> a_y and (not minor_y or a_x < a_y) and not (grp_x <=> grp_y and grp_x is not null) "
         f"and 100L * least(n_x, n_y) >= {percent}L * greatest(n_x, n_y) "
         f"and (({same_hub}) or greatest(level_x, level_y) <= least(ell_x, ell_y))")
@@ -282,7 +282,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = common.stored(sets.where("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.first("n").alias("n")))
     n_entries = (classes.agg(F.sum("n")).first()[0] or 0) * (100 - percent) // 100
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_entries // bucket_entries))
-    heads = rows.join(classes.where("rep is not null").select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    heads = rows.join(common.shuffled(classes.where("rep is not null").select(F.col("rep").alias("id")).distinct()), "id", "left_semi")
     postings = common.stored(_postings(_entries(heads, size, percent, counts, buckets), percent))
     common.release_shuffles(spark)
     stars = (postings.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -296,7 +296,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                    F.lit(0).cast("long").alias("rest"), F.lit(True).alias("linked")))
     known = common.stored(star.select("a", F.col("b").alias("hub"), "shared", F.col("n_a").alias("n"), "core", "rest", "linked").union(own)
                           .join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node"))
-    entries = (postings.where("kind = 0").select("token", "a", "n", "level", "ell").join(known.drop("n", "shared", "rest", "linked"), "a", "left")
+    entries = (postings.where("kind = 0").select("token", "a", "n", "level", "ell").join(common.shuffled(known.drop("n", "shared", "rest", "linked")), "a", "left")
                .select("token", "a", "n", "level", "ell", F.coalesce("root", "a").alias("root"), "hub",
                        (F.col("hub").isNotNull() & F.coalesce(F.array_contains("core", F.col("token")), F.lit(True))).alias("core")))
     pairs = common.stored(_candidates(entries, known.drop("core"), percent))
@@ -305,7 +305,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     roots = graph.components(near.unionByName(more))
     placed = (classes.join(roots, F.col("rep") == F.col("node"), "left")
               .select(F.col("key").alias("class_key"), F.coalesce("root", "rep").alias("component_id")))
-    return (sets.join(placed, (F.col("key") == F.col("class_key")) & (F.col("n") > 0), "left")
+    return (sets.join(common.shuffled(placed), (F.col("key") == F.col("class_key")) & (F.col("n") > 0), "left")
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))
 
 
