@@ -64,6 +64,19 @@ def probability(code: np.ndarray) -> np.ndarray:
     return np.where(code > 0, 10.0 ** (-(code.astype(np.float64) - 1) / STEP), 0.0)
 
 
+def narrow(numbers: np.ndarray, below: int) -> bytes:
+    """Word numbers in three bytes each where that is enough, else in four."""
+    wide = np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4)
+    return wide[:, : 3 if below <= 1 << 24 else 4].tobytes()
+
+
+def widened(packed: bytes, n: int) -> np.ndarray:
+    wide = np.zeros((n, 4), dtype=np.uint8)
+    width = len(packed) // n
+    wide[:, :width] = np.frombuffer(packed, dtype=np.uint8).reshape(n, width)
+    return wide.view("<u4").ravel()
+
+
 # --- step 1: blocks ---------------------------------------------------------
 
 
@@ -80,9 +93,10 @@ def blocks(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array([uuid.uuid4().hex]), pa.array([[h[0] for h in held]], pa.list_(pa.int64())),
              pa.array([np.packbits(train).tobytes()]), pa.array([lengths.tobytes()]), pa.array([digests.astype("<u8").tobytes()]),
-             pa.array([counts.tobytes()]), pa.array([flat.astype("<u4").tobytes()]), pa.array([int(train.sum())], pa.int64())], names)
+             pa.array([counts.tobytes()]), pa.array([narrow(flat, len(digests))]), pa.array([int(train.sum())], pa.int64()),
+             pa.array([len(flat)], pa.int64())], names)
 
-    names = ["block", "ids", "train", "lengths", "digests", "counts", "tokens", "n_train"]
+    names = ["block", "ids", "train", "lengths", "digests", "counts", "tokens", "n_train", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, numbers, tokens, size = [], {}, [], 0
@@ -108,7 +122,7 @@ def blocks(rows: DataFrame) -> DataFrame:
 
     common.ship(rows.sparkSession)
     return rows.select("id", "train", "text").mapInArrow(
-        run, "block string, ids array<long>, train binary, lengths binary, digests binary, counts binary, tokens binary, n_train long")
+        run, "block string, ids array<long>, train binary, lengths binary, digests binary, counts binary, tokens binary, n_train long, n_tokens long")
 
 
 def _hot(stored: DataFrame, n_tokens: int, n_train: int, parts: int) -> dict[int, int]:
@@ -153,7 +167,7 @@ class _Block:
         self.digests = np.frombuffer(digests, dtype="<u8")
         self.counts = np.frombuffer(counts, dtype="<u4")
         self.lengths = np.frombuffer(lengths, dtype="<u4").astype(np.int64)
-        self.tokens = np.frombuffer(tokens, dtype="<u4")
+        self.tokens = widened(tokens, int(self.lengths.sum()))
         train_of = np.unpackbits(np.frombuffer(train, dtype=np.uint8), count=len(self.lengths)).astype(bool)
         self.first = np.cumsum(self.lengths) - self.lengths
         context = np.empty(len(self.tokens), dtype=np.uint32)
@@ -323,9 +337,9 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     rows = docs.select(common.col(id_col).cast("long").alias("id"), F.coalesce(train, F.lit(False)).alias("train"),
                        common.col(text_col).alias("text"))
     stored = common.stored(blocks(rows))
-    size, n_train = stored.agg(F.sum(F.octet_length("tokens")), F.sum("n_train")).first()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // 4 // part_tokens))
-    hot = _hot(stored, (size or 0) // 4, n_train or 0, parts)
+    size, n_train = stored.agg(F.sum("n_tokens"), F.sum("n_train")).first()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // part_tokens))
+    hot = _hot(stored, size or 0, n_train or 0, parts)
     replies = common.stored(_answered(_asked(stored, hot, parts), hot, mu))
     common.release_shuffles(spark)
     n_all, n_distinct = 0, 0
