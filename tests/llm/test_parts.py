@@ -1,5 +1,6 @@
 """Parts of the operators against plain versions."""
 
+import os
 import random
 
 import numpy as np
@@ -225,3 +226,57 @@ def test_licence_inheritance(spark):
     assert got == sorted([("a/LICENSE", "MIT", "own"), ("a/b/x.py", "MIT", "inherited"), ("a/b/x.py", "MIT", "inherited"),
                           ("a/b/c/y.py", "Apache-2.0", "inherited"), ("a/b/c/LICENSE.txt", "Apache-2.0", "own"),
                           ("a/b/z.py", "CC-BY-NC-4.0", "own"), ("top.py", None, "none"), ("q/r.py", None, "none"), ("", None, "none")], key=str)
+
+
+MIT_TEXT = """Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+GPL_NOTICE = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+BSD_OPENING = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+               "conditions are met:")
+STATEMENTS = [
+    (MIT_TEXT, "MIT"), ("MIT License\n\n" + MIT_TEXT, "MIT"), ("SPDX-License-Identifier: MIT", "MIT"),
+    ("# Copyright 2020 Jane Doe. All rights reserved. Released under the MIT License. See the docs.", "MIT"),
+    (GPL_NOTICE, "GPL-3.0"), (GPL_NOTICE.replace("version 3", "version 2"), "GPL-2.0"), (GPL_NOTICE.replace("General", "Lesser General"), "LGPL-3.0"),
+    (GPL_NOTICE.replace("General", "Affero General"), "AGPL-3.0"), ("under the GNU General Public License, version 2", "GPL-2.0"),
+    ("under the GNU General Public License, version 7", None), ("under the GNU General Public License", None), (BSD_OPENING, "BSD-3-Clause"),
+    ("BSD 2-Clause License\n\n" + BSD_OPENING, "BSD-2-Clause"), ("Licensed under the Apache License, Version 1.1.", "Apache-1.1"),
+    ("Licensed under the Apache License,\n * Version 2.0 (the", "Apache-2.0"), ("Licensed under the Apache License, Version 3.1", None),
+    ("Licensed under CC BY 3.0.", "CC-BY-3.0"), ("the text is licensed under CC BY 4.0 and more", "CC-BY-4.0"), ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+    ("Creative Commons Attribution-NonCommercial 4.0 International", "CC-BY-NC-4.0"), ("SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"),
+    ("Copyright 2020 Jane Doe. All rights reserved.", None), ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("The licence of the driver was lost; permission to use the public road.", None),
+]
+
+
+def test_licence_statements(spark):
+    files = [(f"d{i}/x.py", text) for i, (text, _) in enumerate(STATEMENTS)] + [(f"w{i}/LICENSE", text) for i, (text, _) in enumerate(STATEMENTS)]
+    files += [("d0/x.py", MIT_TEXT)]  # a repeated row
+    got = {r.path: (r.license, r.score) for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    for k in "d", "w":
+        assert [got[f"{k}{i}/" + ("x.py" if k == "d" else "LICENSE")][0] for i in range(len(STATEMENTS))] == [name for _, name in STATEMENTS]
+    assert got["d0/x.py"] == got["w0/LICENSE"]
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0"])
+def test_full_licence_texts(spark, name):
+    path = f"/usr/share/common-licenses/{name}"
+    if not os.path.exists(path):
+        pytest.skip("no licence texts here")
+    with open(path, encoding="utf-8") as f:
+        out = licenses.scan(spark.createDataFrame([("a/COPYING", f.read()), ("a/b.c", "x")], "path string, text string"))
+    want = name if "." in name else f"{name}.0"
+    assert {(r.path, r.license) for r in out.collect()} == {("a/COPYING", want), ("a/b.c", want)}
