@@ -13,8 +13,14 @@ document with a smaller id. Exact over the whole corpus, in these steps:
 2. Per gram: of equal contexts all but those of the smallest id are covered
    whole; grams in one document only, or with one context only, are done.
    What is left are the different contexts of one gram.
-3. Their bytes are fetched and dealt by gram. Each task builds the
-   Burrows-Wheeler transform of its contexts and expands intervals of rows
+3. Their bytes are fetched and dealt by gram; the contexts of a gram with more
+   than ``BWT_BYTES`` of them are taken apart into single windows, which are
+   dealt by their own digest, so no gram is bound to one task: of equal
+   windows all but those of the smallest id are covered, first within the
+   task that fetched them, then among what such tasks send. For the other
+   grams each task builds the
+   Burrows-Wheeler transform of its contexts, at most twice ``BWT_BYTES`` at
+   a time, and expands intervals of rows
    breadth first: intervals of rows sharing k bytes, extended backward by
    every byte, are the intervals sharing k + 1, which derives the common
    prefix values in increasing order; it stops at ``length``. Rows then still
@@ -22,7 +28,8 @@ document with a smaller id. Exact over the whole corpus, in these steps:
    smallest id are covered.
 4. The covered ranges meet their documents and are cut out.
 
-Digests of gram and context together have 96 bits; step 3 compares bytes.
+Digests of gram and context together have 96 bits, those of single windows
+128; the transform compares bytes.
 
 Defined cases: NULL text is the empty text; ids are integers; rows with equal
 ids do not count as smaller or larger than each other; a NULL id is neither
@@ -46,7 +53,8 @@ GRAM = 16
 BLOCK_BITS = 21  # bytes scanned together; positions in a block take so many bits
 LOW48 = np.uint64((1 << 48) - 1)
 FLUSH = 1_200_000  # anchors packed together
-BWT_BYTES = 3_000_000  # context bytes transformed together
+BWT_BYTES = 3_000_000  # context bytes transformed together; a gram with more is hot
+WINDOW_FLUSH = 1_500_000  # windows of hot grams reduced together
 SPAN = np.dtype([("r", "<i8"), ("start", "<u4"), ("end", "<u4")])
 ANCHOR = [("gram", "<u4", 1), ("gram_hi", "<u2", 1), ("context", "<u4", 1), ("context_hi", "<u2", 1), ("doc", "<u4", 1),
           ("lo", "<u4", 1), ("count", "u1", 1)]
@@ -179,8 +187,9 @@ def spans_of(hit: np.ndarray, starts: np.ndarray, counts: np.ndarray, rows: np.n
 
 # --- packed rows: (part, kind, n, packed) with arrays laid end to end -------
 
-SPANS, WANTS, ANCHORS, CONTEXTS, TEXTS = range(5)
-WANT = np.dtype([("r", "<i8"), ("id", "<i8"), ("gram", "<u8"), ("lo", "<u4"), ("count", "u1")])
+SPANS, WANTS, ANCHORS, CONTEXTS, TEXTS, WINDOWS = range(6)
+WANT = np.dtype([("r", "<i8"), ("id", "<i8"), ("gram", "<u8"), ("lo", "<u4"), ("count", "u1"), ("hot", "u1")])
+WINDOW = np.dtype([("digest", "<u8"), ("more", "<u8"), ("r", "<i8"), ("id", "<i8"), ("lo", "<u4")])
 CONTEXT = np.dtype([("gram", "<u8"), ("r", "<i8"), ("id", "<i8"), ("lo", "<u4"), ("count", "u1")])
 
 
@@ -328,8 +337,10 @@ def _compare_anchors(dealt: DataFrame, length: int, parts: int) -> DataFrame:
         out = _deal_spans(merged(spans), parts)
         contexts = np.add.reduceat(new, np.flatnonzero(new_gram))
         open_ = ~larger & (contexts[np.cumsum(new_gram) - 1] > 1)
+        n_bytes = np.add.reduceat(np.where(open_, count.astype(np.int64) + (length - 1), 0), np.flatnonzero(new_gram))
+        hot = (n_bytes > BWT_BYTES)[np.cumsum(new_gram) - 1]
         wants = np.empty(int(open_.sum()), dtype=WANT)
-        for name, values in (("r", r), ("id", ids), ("gram", gram), ("lo", lo), ("count", count)):
+        for name, values in (("r", r), ("id", ids), ("gram", gram), ("lo", lo), ("count", count), ("hot", hot)):
             wants[name] = values[open_]
         out += _deal(wants, np.mod(wants["r"], parts), WANTS)
         if out:
@@ -348,6 +359,37 @@ def _with_texts(packed: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
             .select("kind", "id", "r", "text", "packed"))
 
 
+def windows_of(wants: np.ndarray, pieces: list[bytes], length: int) -> np.ndarray:
+    """Every window of the contexts ``pieces``, with two digests of its bytes."""
+    data = np.frombuffer(b"".join(pieces) + bytes(8), dtype=np.uint8)
+    counts = wants["count"].astype(np.int64)
+    context = np.repeat(np.arange(len(wants)), counts)
+    within = np.arange(len(context)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = (np.cumsum(counts + length - 1) - (counts + length - 1))[context] + within
+    word = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data.data, strides=(1,))
+    out = np.empty(len(at), dtype=WINDOW)
+    digest, more = np.zeros(len(at), dtype=np.uint64), np.full(len(at), 0xD6E8FEB86659FD93, dtype=np.uint64)
+    for j in [*range(0, length - 7, 8), length - 8]:
+        part = word[at + j]
+        digest = mix(digest * np.uint64(0xBF58476D1CE4E5B9) + part)
+        more = mix((more ^ part) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j + 1))
+    out["digest"], out["more"], out["r"], out["id"] = digest, more, wants["r"][context], wants["id"][context]
+    out["lo"] = wants["lo"][context] + within
+    return out
+
+
+def repeated(windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(spans of the windows that equal one of a smaller id, the other windows)."""
+    windows = windows[np.lexsort((windows["id"], windows["more"], windows["digest"]))]
+    new = np.ones(len(windows), dtype=bool)
+    new[1:] = (windows["digest"][1:] != windows["digest"][:-1]) | (windows["more"][1:] != windows["more"][:-1])
+    larger = windows["id"] > windows["id"][np.flatnonzero(new)][np.cumsum(new) - 1]
+    spans = np.empty(int(larger.sum()), dtype=SPAN)
+    spans["r"], spans["start"] = windows["r"][larger], windows["lo"][larger]
+    spans["end"] = spans["start"] + np.uint32(length)
+    return merged(spans), windows[~larger]
+
+
 def _fetch_contexts(both: DataFrame, length: int, parts: int) -> DataFrame:
     def packed(wants: np.ndarray, pieces: list[bytes]) -> list[tuple[int, int, int, bytes]]:
         part = (wants["gram"] % np.uint64(parts)).astype(np.int64)
@@ -361,11 +403,20 @@ def _fetch_contexts(both: DataFrame, length: int, parts: int) -> DataFrame:
             out.append((int(p), CONTEXTS, len(some), head.tobytes() + b"".join([pieces[i] for i in some.tolist()])))
         return out
 
+    def sent(wants: np.ndarray, pieces: list[bytes]) -> list[tuple[int, int, int, bytes]]:
+        hot = wants["hot"] > 0
+        if not hot.any():
+            return packed(wants, pieces)
+        spans, left = repeated(windows_of(wants[hot], [pieces[i] for i in np.flatnonzero(hot).tolist()], length), length)
+        out = _deal_spans(spans, parts) + _deal(left, (left["digest"] % np.uint64(parts)).astype(np.int64), WINDOWS)
+        return out + (packed(wants[~hot], [pieces[i] for i in np.flatnonzero(~hot).tolist()]) if not hot.all() else [])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         early: list[np.ndarray] = []
         wants = None
         held: list[np.ndarray] = []
         pieces: list[bytes] = []
+        n_windows = 0
         for batch in batches:
             for kind, r, text, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(),
                                            batch.column(4).to_pylist(), strict=True):
@@ -382,22 +433,37 @@ def _fetch_contexts(both: DataFrame, length: int, parts: int) -> DataFrame:
                 data = text.encode("utf-8", "surrogatepass")
                 pieces += [data[a : a + n + length - 1] for a, n in zip(own["lo"].tolist(), own["count"].tolist(), strict=True)]
                 held.append(own)
-                if len(pieces) > 100_000:
-                    yield _rows(packed(np.concatenate(held), pieces))
-                    held, pieces = [], []
+                n_windows += int(own["count"][own["hot"] > 0].sum())
+                if len(pieces) > 100_000 or n_windows > WINDOW_FLUSH:
+                    yield _rows(sent(np.concatenate(held), pieces))
+                    held, pieces, n_windows = [], [], 0
         if pieces:
-            yield _rows(packed(np.concatenate(held), pieces))
+            yield _rows(sent(np.concatenate(held), pieces))
 
     return both.mapInArrow(run, DEALT).repartitionById(parts, F.col("part"))
 
 
 def _compare_contexts(dealt: DataFrame, length: int, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, blobs = [], []
+        heads, blobs, windows = [], [], []
         for batch in batches:
-            for n, blob in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            through = []
+            for part, kind, n, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if kind == SPANS:
+                    through.append((part, kind, n, blob))
+                    continue
+                if kind == WINDOWS:
+                    windows.append(np.frombuffer(blob, dtype=WINDOW))
+                    continue
                 heads.append(np.frombuffer(blob, dtype=CONTEXT, count=n))
                 blobs.append(np.frombuffer(blob, dtype=np.uint8, offset=n * CONTEXT.itemsize))
+            if through:
+                yield _rows(through)
+        if windows:
+            out = _deal_spans(repeated(np.concatenate(windows), length)[0], parts)
+            del windows
+            if out:
+                yield _rows(out)
         if not heads:
             return
         head, data = np.concatenate(heads), np.concatenate(blobs)

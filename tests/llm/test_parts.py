@@ -280,3 +280,49 @@ def test_full_licence_texts(spark, name):
         out = licenses.scan(spark.createDataFrame([("a/COPYING", f.read()), ("a/b.c", "x")], "path string, text string"))
     want = name if "." in name else f"{name}.0"
     assert {(r.path, r.license) for r in out.collect()} == {("a/COPYING", want), ("a/b.c", want)}
+
+
+def test_hot_gram_is_split(spark, monkeypatch):
+    """A passage with different text around it in every document: far more
+    than BWT_BYTES of contexts for one gram."""
+    monkeypatch.setattr(suffixes, "BWT_BYTES", 8_000)
+    monkeypatch.setattr(suffixes, "WINDOW_FLUSH", 4_000)
+    rng = random.Random(5)
+
+    def made(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+    passage, common_end = made(70), [made(30) for _ in range(40)]
+    docs = [(i, made(45) + passage + (rng.choice(common_end) if i % 2 else made(30))) for i in range(1500)]
+    docs += [(1500 + i, made(20) + "z" * 400 + made(20 + i)) for i in range(4)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    sent, fetch = [], suffixes._fetch_contexts
+
+    def watched(*args):
+        out = fetch(*args)
+        sent.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(suffixes, "_fetch_contexts", watched)
+    got = {r.id: (r.n_removed, bytes(r.kept)) for r in suffixes.without_repeats(table).collect()}
+    n_bytes = {}
+    for r in sent:
+        if r.kind == suffixes.CONTEXTS:
+            for h in np.frombuffer(r.packed, dtype=suffixes.CONTEXT, count=r.n):
+                n_bytes[int(h["gram"])] = n_bytes.get(int(h["gram"]), 0) + int(h["count"]) + 49
+    assert max(n_bytes.values(), default=0) <= suffixes.BWT_BYTES
+    per_part = {}
+    for r in sent:
+        if r.kind == suffixes.WINDOWS:
+            per_part[r.part] = per_part.get(r.part, 0) + r.n
+    assert len(per_part) > 1 and max(per_part.values()) < 2 * sum(per_part.values()) / len(per_part)
+    first, data = {}, [(i, t.encode()) for i, t in docs]
+    for i, b in data:
+        for p in range(len(b) - 49):
+            first.setdefault(b[p : p + 50], i)
+    for i, b in data:
+        cut = bytearray(len(b))
+        for p in range(len(b) - 49):
+            if first[b[p : p + 50]] < i:
+                cut[p : p + 50] = b"\1" * 50
+        assert got[i] == (sum(cut), bytes(x for x, c in zip(b, cut, strict=True) if not c))
