@@ -5,7 +5,9 @@ kept; ``run`` writes every stage's result to the shared folder and reads it
 back as the next one's input. All but the last return the columns of
 ``documents``, whatever further columns those carry.
 
-1. language_id      texts without a letter, or whose language stays unclear, go
+1. language_id      texts without a letter go, and those of which fewer than
+                    half of the words are known, or have a known n-gram, in
+                    any of the learned languages
 2. near_duplicates  of every group of texts linked at Jaccard 0.75 over word
                     five-grams the one with the smallest id stays
 3. decontamination  texts that hold a benchmark item within a quarter of its
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from evalspark.llm import common, decontam, jaccard, langid, packing, pii
 
-LEAST_LANGUAGE_SCORE = 0.3
+LEAST_KNOWN_WORDS = 0.5  # a share of the words: does not depend on the number of languages
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +40,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return docs
     found = common.fresh(docs, "language")
     judged = docs.withColumn(found, langid.language_column(spark, model, F.col("text")))
-    kept = (F.col(found)["lang"] != langid.UNDETERMINED) & (F.col(found)["score"] >= LEAST_LANGUAGE_SCORE)
+    kept = (F.col(found)["lang"] != langid.UNDETERMINED) & (F.col(found)["known"] >= LEAST_KNOWN_WORDS)
     return judged.where(kept).drop(found)
 
 

@@ -46,6 +46,16 @@ def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key.cast("string")), F.lit(1 << 30)) < int((1 << 30) * rows / n))
 
 
+def bounded_sample_by(df: DataFrame, group: str, key: Column, rows: int) -> DataFrame:
+    """``bounded_sample`` within every value of ``group``: about ``rows`` rows
+    of each, all of those with no more. The counts of all groups are one small
+    table of as many rows as there are groups."""
+    sizes = df.groupBy(group).agg(F.count("*").alias("rows_of_group"))
+    hashed = F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.lit(""))), F.lit(1 << 30))
+    return (df.join(F.broadcast(sizes), group)
+            .where((F.col("rows_of_group") <= rows) | (hashed < F.lit(float(rows << 30)) / F.col("rows_of_group"))).drop("rows_of_group"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -4,16 +4,20 @@ A known word scores by its log frequency in every language. An unseen word
 falls back to its character n-grams: the longest size of which at least one
 n-gram is known decides, down to single characters. A document's vector is the
 sum over all its words, its prediction the best language, its score the
-posterior of that sum tempered by the root of the word count.
-
-The counts are fitted with Spark on a bounded sample of labelled rows
-(``train_rows``); the model keeps the ``max_words`` most frequent words and
-the ``max_grams`` most frequent n-grams, so its size is bounded whatever the
-corpus (everything else is what the backoff is for). Prediction is one narrow
+posterior of that sum tempered by the root of the word count. ``known`` is the
+share of its words that are known or have a known n-gram; unlike the score it
+does not depend on the number of languages.
+
+The counts are fitted with Spark on a bounded sample of every language's
+labelled rows (about ``train_rows`` of each, all of a language with no more),
+so no language is lost as the corpus grows. The model keeps the ``max_words``
+words and ``max_grams`` n-grams with the largest share in any one language, so
+its size is bounded whatever the corpus (everything else is what the backoff
+is for). Prediction is one narrow
 pass over whole texts without a shuffle.
 
 Defined cases: NULL text, empty text or text without a letter -> ``und``,
-score 0; no labelled row -> every text ``und``; equal sums -> the language
+score 0, known 0; no labelled row -> every text ``und``; equal sums -> the language
 that sorts first; repeated rows are each predicted; other columns are kept as
 they are by ``with_language`` and never read.
 """
@@ -88,9 +92,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         train_rows: int = 5_000, max_words: int = 60_000, max_grams: int = 80_000, alpha: float = 0.5) -> LanguageModel:
-    """Fit on at most about ``train_rows`` rows with a text and a language."""
+    """Fit on at most about ``train_rows`` rows of each language, with a text."""
     rows = common.pick(docs, id=id_col, text=text_col, lang=lang_col).where("text is not null and lang is not null")
-    sample = common.bounded_sample(rows, F.col("id"), train_rows).select("lang", "text")
+    sample = common.bounded_sample_by(rows, "lang", F.col("id"), train_rows).select("lang", "text")
     common.ship(docs.sparkSession)
     counts = common.stored(sample.mapInArrow(_count, "lang string, kind int, item string, n long")
                            .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
@@ -98,11 +102,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
               for r in counts.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     langs = sorted({lang for lang, _ in totals})
     place = {lang: i for i, lang in enumerate(langs)}
-    by_item = (counts.groupBy("kind", "item")
-               .agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")))
+    sums = docs.sparkSession.createDataFrame([(lang, kind, n) for (lang, kind), (n, _) in totals.items()], "lang string, kind int, whole long")
+    by_item = (counts.join(F.broadcast(sums), ["lang", "kind"]).groupBy("kind", "item")
+               .agg(F.max(F.col("n") / F.col("whole")).alias("share"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")))
 
     def top(kind_test: str, limit: int) -> list:
-        return by_item.where(kind_test).orderBy(F.desc("total"), "kind", "item").limit(limit).collect()
+        return by_item.where(kind_test).orderBy(F.desc("share"), "kind", "item").limit(limit).collect()
 
     known = top("kind = 0", max_words) + top("kind > 0", max_grams)
     logs = np.zeros((len(known), len(langs)), dtype=np.float32)
@@ -119,37 +124,41 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return LanguageModel(langs, words, grams, logs)
 
 
-def scorer(model: LanguageModel, remembered: int = 100_000) -> Callable[[str | None], tuple[str, float]]:
-    """A function from a whole text to (language, score). Backoff vectors of
+def scorer(model: LanguageModel, remembered: int = 100_000) -> Callable[[str | None], tuple[str, float, float]]:
+    """A function from a whole text to (language, score, known). Backoff vectors of
     up to ``remembered`` unseen words are kept between calls."""
     n_langs, base = len(model.langs), len(model.logs)
     logs = np.zeros((base + remembered, max(1, n_langs)), dtype=np.float32)
     logs[:base, :n_langs] = model.logs
     index = dict(model.words)
 
-    def backoff(word: str) -> np.ndarray:
+    strange = np.zeros(len(logs), dtype=bool)  # remembered words without a known n-gram
+
+    def backoff(word: str) -> tuple[np.ndarray, bool]:
         for size in GRAM_SIZES:
             known = [g for g in map(model.grams.get, grams_of(word, size)) if g is not None]
             if known:
-                return model.logs[known].mean(axis=0)
-        return np.zeros(n_langs, dtype=np.float32)
+                return model.logs[known].mean(axis=0), False
+        return np.zeros(n_langs, dtype=np.float32), True
 
     used = base
 
-    def score(text: str | None) -> tuple[str, float]:
+    def score(text: str | None) -> tuple[str, float, float]:
         nonlocal used, index
         counts = Counter(words_of(text)) if text and n_langs else None
         if not counts:
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, 0.0
         total = np.zeros(n_langs)
+        unknown = 0
         known: list[int] = []
         times: list[int] = []
         for word, n in counts.items():
             i = index.get(word)
             if i is None:
-                vector = backoff(word)
+                vector, none = backoff(word)
+                unknown += n * none
                 if used < len(logs):
-                    logs[used] = vector
+                    logs[used], strange[used] = vector, none
                     index[word] = used
                     used += 1
                 else:  # remembered words start anew
@@ -160,24 +169,26 @@ def scorer(model: LanguageModel, remembered: int = 100_000) -> Callable[[str | N
                 times.append(n)
         if known:
             total += np.array(times, dtype=np.float64) @ logs[known]
-        tempered = total / np.sqrt(sum(counts.values()))
+            unknown += int(np.array(times) @ strange[known])
+        n_words = sum(counts.values())
+        tempered = total / np.sqrt(n_words)
         p = np.exp(tempered - tempered.max())
         best = int(total.argmax())
-        return model.langs[best], float(p[best] / p.sum())
+        return model.langs[best], float(p[best] / p.sum()), 1 - unknown / n_words
 
     return score
 
 
 def language_column(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
-    """struct<lang string, score double> for a text column."""
+    """struct<lang string, score double, known double> for a text column."""
     common.ship(spark)
     shared = spark.sparkContext.broadcast(model)  # at most max_words + max_grams rows
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, known double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = scorer(shared.value)
         for texts in batches:
-            yield pd.DataFrame([score(t) for t in texts], columns=["lang", "score"])
+            yield pd.DataFrame([score(t) for t in texts], columns=["lang", "score", "known"])
 
     return predict(text)
 

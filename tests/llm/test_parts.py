@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from evalspark.llm import decontam, fingerprint, graph, jaccard, langid, licenses, packing, pii, quality, suffixes
+from evalspark.llm import common, decontam, fingerprint, graph, jaccard, langid, licenses, packing, pii, quality, suffixes
 from evalspark.llm.eliasfano import BigramTrie, EliasFano
 
 PIECES = [" ", "  ", "\n", "a", "b", "'s", "é", ".", "12", "²", "\t", "<|endoftext|>", "<|", "語", "　", "½", "\x1c", "\x85"]
@@ -326,3 +327,20 @@ def test_hot_gram_is_split(spark, monkeypatch):
             if first[b[p : p + 50]] < i:
                 cut[p : p + 50] = b"\1" * 50
         assert got[i] == (sum(cut), bytes(x for x, c in zip(b, cut, strict=True) if not c))
+
+
+def test_rare_languages_are_learned(spark):
+    """A language with few of many rows stays in the sample, and its words in a small model."""
+    words = {f"l{k}": [f"{c}{d}{c}" for d in "aeiou"] for k, c in enumerate("bcdfgh")}
+    rare = ["тест", "слово", "язык"]
+    docs = [(i, " ".join(words[f"l{i % 6}"]), f"l{i % 6}") for i in range(3000)] + [(5000 + i, " ".join(rare), "rare") for i in range(3)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.fit(table, train_rows=20, max_words=40, max_grams=100)
+    assert model.langs == [*sorted(words), "rare"] and set(rare) <= set(model.words)
+    score = langid.scorer(model)
+    assert score("язык слово")[0] == "rare" and score("язык слово")[2] == 1.0
+    n = {r.lang: r["count"] for r in common.bounded_sample_by(table, "lang", F.col("doc_id"), 20).groupBy("lang").count().collect()}
+    assert n.pop("rare") == 3 and all(5 <= x <= 45 for x in n.values())
+    for text in ("語語 言言", "語語 言言"):  # the second time from the remembered words
+        assert score(text)[2] == 0.0
+    assert score("bab 語語 язык")[2] == pytest.approx(2 / 3)

@@ -72,3 +72,12 @@ def test_stages(spark, odd):
 def test_no_language_to_learn_from(spark, odd, lang):
     docs = spark.createDataFrame([(1, "a b c", lang, "s", 5), (2, None, lang, "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     assert stage("language_id")(spark, docs, odd).count() == (2 if lang is None else 1)
+
+
+@pytest.mark.parametrize("n_langs", [1, 8])
+def test_rejection_does_not_depend_on_languages(spark, odd, n_langs):
+    """A word that all languages share stays, a script that none has goes, whatever their number."""
+    docs = [(i, "alpha beta gamma" + f" own{'abcdefgh'[i % n_langs]}", f"l{i % n_langs}") for i in range(40)]
+    docs += [(100, "alpha beta", None), (101, "語 言", None)]
+    kept = stage("language_id")(spark, spark.createDataFrame(docs, "doc_id long, text string, lang string"), odd)
+    assert {r.doc_id for r in kept.collect()} == {*range(40), 100}
