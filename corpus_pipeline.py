@@ -16,9 +16,11 @@ back as the next one's input. All but the last return the columns of
 5. packing          token sequences of at most 1024, best-two-fit
 
 Defined cases: NULL and empty texts have no letter and go in stage 1; where no
-row has a language to learn from, stage 1 keeps every row; rows that share an
-id are one document in stage 2, rows with a NULL id are told apart by their
-text and give way to those with an id; an empty table passes through all
+row has a language to learn from, stage 1 keeps every row; rows that share id
+and text are one document in stage 2; rows whose id has several texts are told
+apart by id and text and give way to those with an id of their own, among
+themselves to one that is the same on every run; rows with a NULL id are told
+apart by their text and give way to all others; an empty table passes through all
 stages as an empty table.
 """
 
@@ -46,8 +48,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     node = common.fresh(docs, "node")
-    beyond = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    beyond = F.lit((1 << 62) + (1 << 61)) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
     nodes = docs.withColumn(node, F.coalesce(F.col("doc_id").cast("long"), beyond))
+    digest = F.xxhash64("text")
+    mixed = common.stored(docs.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias(node))
+                          .agg(F.min(digest).alias("a"), F.max(digest).alias("b")).where("a <> b").select(node))
+    if mixed.limit(1).count():
+        several = common.fresh(nodes, "several")
+        own = F.lit(1 << 62) + F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 61))
+        nodes = common.stored(nodes.join(common.shuffled(mixed.withColumn(several, F.lit(True))), node, "left")
+                              .withColumn(node, F.when(F.col(several), own).otherwise(F.col(node))).select(*map(common.col, docs.columns), node))
     groups = jaccard.linked_components(nodes, id_col=node)
     first = groups.where("id = component_id").select(F.col("id").alias(node)).distinct()
     return nodes.join(common.shuffled(first), node, "left_semi").dropDuplicates([node]).drop(node)

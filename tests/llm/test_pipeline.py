@@ -81,3 +81,10 @@ def test_rejection_does_not_depend_on_languages(spark, odd, n_langs):
     docs += [(100, "alpha beta", None), (101, "語 言", None)]
     kept = stage("language_id")(spark, spark.createDataFrame(docs, "doc_id long, text string, lang string"), odd)
     assert {r.doc_id for r in kept.collect()} == {*range(40), 100}
+
+
+def test_one_id_with_several_texts(spark, odd):
+    a, b, c = ("one two three four five six seven", "red green blue white black grey pink", "oak ash elm fir yew box bay")
+    rows = [(7, a), (7, b), (9, a), (12, b), (20, c), (20, c), (30, "sun moon star sky sea sand"), (30, "tin iron gold lead zinc neon")]
+    kept = stage("near_duplicates")(spark, spark.createDataFrame(rows, "doc_id long, text string"), odd).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(9, a), (12, b), (20, c), *rows[6:]])
