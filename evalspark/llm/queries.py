@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, fingerprint, jaccard, langid, licenses, lm, packing, pii, quality, suffixes
+from . import collocations, decontam, divergence, fingerprint, jaccard, langid, licenses, lm, minhash, packing, pii, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -19,10 +19,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_lm_scoring": lm.op10_lm_scoring,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_minhash_dedup": minhash.op12_minhash_dedup,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
     "op9_license_scan": licenses.OP9_SQL,
     "op7_suffix_dedup": suffixes.OP7_SQL,
     "op8_jaccard_join": jaccard.OP8_SQL,
+    "op11_collocations": collocations.OP11_SQL,
+    "op12_minhash_dedup": minhash.OP12_SQL,
+    "op13_source_divergence": divergence.OP13_SQL,
 }
