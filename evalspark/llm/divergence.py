@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from . import common
 
 NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-TEXT_SLICE = 4_000_000
-HELD_ROWS = 1_500_000  # partial counts that a task holds
+TEXT_SLICE = 2_000_000
+HELD_ROWS = 400_000  # partial counts that a task holds
 PAIR_BLOCK = 1_000_000
 SHARE = 1_000_000_000
 KEYS = ["lang", "source", "term"]

@@ -15,12 +15,13 @@ similarity is at least ``percent`` / 100.
    is first compared with the bucket's smallest id only (one exact comparison
    a document); the links already join most of every large group.
 4. Buckets with more than one component are looked at again: the members
-   outside the bucket's main component meet all others, dealt in tiles of
+   outside the bucket's main component meet all others, both dealt in tiles of
    bounded size. Pairs of different components whose sketches agree to no less
-   than the threshold less five standard deviations are candidates. The best
-   candidate of each document is verified first, components are joined, and
-   then all candidates that are still in different components.
-5. Every link is confirmed on the full sets.
+   than the threshold less five standard deviations are candidates.
+5. Candidates are packed by pair of document tiles. A document's full set goes
+   once to each pair of tiles that has a candidate of it; there the candidates
+   are compared exactly, the most alike first, unless links found so far have
+   joined the two already. No pair travels as a row of its own.
 
 Defined cases: NULL text or a text without words is the empty set and links
 with nothing; rows with the same id are one node; a NULL id keeps its row, in
@@ -48,7 +49,10 @@ from .shingles import Words, mix, shingle_sets
 BANDS, ROWS = 50, 6
 SIZE = BANDS * ROWS
 CELLS = 2048  # values of several rounds made at once
-TILE = 2000
+TILE = 2000  # members of a bucket in a group
+DOC_TILE = 1000  # documents whose sets meet in a group, by two
+DEALT_PAIRS = 500_000  # candidates packed together
+PAIR = np.dtype([("a", "<i8"), ("b", "<i8"), ("root_a", "<i8"), ("root_b", "<i8"), ("equal", "<i4")])
 PAIR_BLOCK = 100_000
 LOW32 = np.uint64(0xFFFFFFFF)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -117,35 +121,34 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "sketch").mapInArrow(run, "band long, a long")
 
 
-def _linked(rows: DataFrame, pairs: DataFrame, words_each: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(words_each: int):
+    """id, text -> id, its whole set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             s = [x.astype("<u8").tobytes() for x in shingle_sets(batch.column(1).to_pylist(), words_each, words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.binary())], ["id", "s"])
 
+    return run
+
+
+def _linked(rows: DataFrame, pairs: DataFrame, words_each: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            for _, _, x, y in common.rows_of(batch):
-                x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            ok = [_alike(np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8"), percent) for _, _, x, y in common.rows_of(batch)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
 
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    found = common.stored(rows.join(common.shuffled(wanted), "id", "left_semi").mapInArrow(sets, "id long, s binary"))
+    found = common.stored(rows.join(common.shuffled(wanted), "id", "left_semi").mapInArrow(_sets(words_each), "id long, s binary"))
     both = (pairs.join(common.shuffled(found.select(F.col("id").alias("a"), F.col("s").alias("s_a"))), "a")
             .join(common.shuffled(found.select(F.col("id").alias("b"), F.col("s").alias("s_b"))), "b").select("a", "b", "s_a", "s_b"))
     return common.stored(both.mapInArrow(confirm, "a long, b long").distinct())
 
 
-def _mixed(bands: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """band, tile, side, a, root, n, sketch, minor, role for the buckets with
-    several components: the members (role 1) meet the ones outside the bucket's
-    main component (role 0), both dealt in tiles of about TILE rows, each pair of
-    tiles in a group of its own."""
+def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
+    """band, a, root, minor, tiles, sides of the members of the buckets with
+    several components; minor ones are outside the bucket's main component."""
     placed = (bands.join(common.shuffled(roots), bands["a"] == F.col("node"), "left")
               .select("band", "a", F.coalesce("root", "a").alias("root")))
     mixed = (placed.groupBy("band", "root").agg(F.count("*").alias("k"))
@@ -153,8 +156,13 @@ def _mixed(bands: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
                                   F.max_by("root", F.struct("k", "root")).alias("main"))
              .where("roots > 1").select("band", "main", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"),
                                         F.ceil((F.col("members") - F.col("most")) / TILE).cast("int").alias("sides")))
-    live = (placed.join(common.shuffled(mixed), "band")
-            .join(common.shuffled(classes.select(F.col("rep").alias("a"), "n", "sketch")), "a").withColumn("minor", F.col("root") != F.col("main")))
+    return placed.join(common.shuffled(mixed), "band").withColumn("minor", F.col("root") != F.col("main")).drop("main")
+
+
+def _met(live: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members (role 1) and the minor ones (role 0), both dealt in tiles of
+    about TILE rows, each pair of tiles in a group of its own."""
+    live = live.join(common.shuffled(classes.select(F.col("rep").alias("a"), "n", "sketch")), "a")
     columns = ["band", "tile", "side", "a", "root", "n", "sketch", "minor", "role"]
     members = (live.withColumn("tile", F.pmod(F.xxhash64("a"), F.col("tiles")).cast("int"))
                .withColumn("side", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))).withColumn("role", F.lit(1)))
@@ -163,26 +171,40 @@ def _mixed(bands: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     return members.select(*columns).union(outside.select(*columns))
 
 
-def _candidates(mixed: DataFrame, percent: int) -> DataFrame:
-    """a, b, equal: pairs of different components whose sketches agree enough,
-    each from the first band that the two share."""
+def _candidates(met: DataFrame, percent: int, doc_tiles: int) -> DataFrame:
+    """Pairs of different components whose sketches agree enough, each from the
+    first band that the two share, packed by the tiles (x, y) of their documents;
+    and rows (x, y, id, root) of the documents themselves."""
     least = least_equal(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) < TILE:
-                continue
-            table = pa.Table.from_batches(held)
-            last = np.flatnonzero(_group_edges(table))[-1]  # the last group may go on
-            yield from _pairs(table.slice(0, last), percent, least)
-            held = table.slice(last).to_batches()
-        if held:
-            yield from _pairs(pa.Table.from_batches(held), percent, least)
-
-    return (mixed.repartition("band", "tile", "side").sortWithinPartitions("band", "tile", "side", "role")
-            .mapInArrow(run, "a long, b long, equal int"))
+        found: list[np.ndarray] = []
+
+        def groups() -> Iterator[pa.Table]:
+            nonlocal held
+            for batch in batches:
+                held.append(batch)
+                if sum(b.num_rows for b in held) < TILE:
+                    continue
+                table = pa.Table.from_batches(held)
+                last = np.flatnonzero(_group_edges(table))[-1]  # the last group may go on
+                yield table.slice(0, last)
+                held = table.slice(last).to_batches()
+            if held:
+                yield pa.Table.from_batches(held)
+
+        for table in groups():
+            for some in _pairs(table, percent, least):
+                found.append(some)
+                if sum(map(len, found)) >= DEALT_PAIRS:
+                    yield _dealt(np.concatenate(found), doc_tiles)
+                    found = []
+        if found:
+            yield _dealt(np.concatenate(found), doc_tiles)
+
+    return (met.repartition("band", "tile", "side").sortWithinPartitions("band", "tile", "side", "role")
+            .mapInArrow(run, "x int, y int, id long, root long, packed binary"))
 
 
 def _group_edges(table: pa.Table) -> np.ndarray:
@@ -190,7 +212,7 @@ def _group_edges(table: pa.Table) -> np.ndarray:
     return np.concatenate([[True], (band[1:] != band[:-1]) | (tile[1:] != tile[:-1]) | (side[1:] != side[:-1])])
 
 
-def _pairs(table: pa.Table, percent: int, least: int) -> Iterator[pa.RecordBatch]:
+def _pairs(table: pa.Table, percent: int, least: int) -> Iterator[np.ndarray]:
     if not table.num_rows:
         return
     band, a, root, n = (table[c].to_numpy() for c in ("band", "a", "root", "n"))
@@ -217,8 +239,80 @@ def _pairs(table: pa.Table, percent: int, least: int) -> Iterator[pa.RecordBatch
         equal = (sketches[x] == sketches[y]).sum(axis=1)
         ok = equal >= least
         x, y = x[ok], y[ok]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[x], a[y])), pa.array(np.maximum(a[x], a[y])), pa.array(equal[ok].astype(np.int32))],
-                                         ["a", "b", "equal"])
+        pairs = np.zeros(len(x), dtype=PAIR)
+        pairs["a"], pairs["b"], pairs["equal"], pairs["root_a"], pairs["root_b"] = a[x], a[y], equal[ok], root[x], root[y]
+        if len(pairs):
+            yield pairs
+
+
+def _dealt(pairs: np.ndarray, doc_tiles: int) -> pa.RecordBatch:
+    x, y = ((mix(pairs[c].astype(np.uint64)) % np.uint64(doc_tiles)).astype(np.int64) for c in ("a", "b"))
+    at = np.minimum(x, y) * doc_tiles + np.maximum(x, y)
+    order = np.argsort(at, kind="stable")
+    pairs, at = pairs[order], at[order]
+    edges = np.flatnonzero(np.diff(at, prepend=-1))
+    docs, roots, which = (np.concatenate(c) for c in ((pairs["a"], pairs["b"]), (pairs["root_a"], pairs["root_b"]), (at, at)))
+    order = np.lexsort((docs, which))
+    docs, roots, which = docs[order], roots[order], which[order]
+    first = np.concatenate([[True], (docs[1:] != docs[:-1]) | (which[1:] != which[:-1])])
+    docs, roots, which = docs[first], roots[first], which[first]
+    place = np.concatenate([which, at[edges]])
+    k, m = len(docs), len(edges)
+    return pa.RecordBatch.from_arrays(
+        [pa.array((place // doc_tiles).astype(np.int32)), pa.array((place % doc_tiles).astype(np.int32)),
+         pa.concat_arrays([pa.array(docs), pa.nulls(m, pa.int64())]), pa.concat_arrays([pa.array(roots), pa.nulls(m, pa.int64())]),
+         pa.concat_arrays([pa.nulls(k, pa.binary()), pa.array([p.tobytes() for p in np.split(pairs, edges[1:])], pa.binary())])],
+        ["x", "y", "id", "root", "packed"])
+
+
+def _compared(rows: DataFrame, candidates: DataFrame, words_each: int, percent: int) -> DataFrame:
+    """Links (a, b) among the packed candidates that join components."""
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, sets, roots, pairs = None, {}, {}, []
+        for batch in batches:
+            for x, y, i, root, packed, s in common.rows_of(batch):
+                if (x, y) != place:
+                    yield _links(sets, roots, pairs, percent)
+                    place, sets, roots, pairs = (x, y), {}, {}, []
+                if packed is None:
+                    roots[i] = root
+                    if not any(t.tobytes() == s for t in sets.setdefault(i, [])):  # an id may have several texts
+                        sets[i].append(np.frombuffer(s, dtype="<u8"))
+                else:
+                    pairs.append(np.frombuffer(packed, dtype=PAIR))
+        yield _links(sets, roots, pairs, percent)
+
+    docs = candidates.where("packed is null").select("x", "y", "id", "root").distinct()
+    wanted = docs.select("id").distinct()
+    found = rows.join(common.shuffled(wanted), "id", "left_semi").mapInArrow(_sets(words_each), "id long, s binary")
+    docs = docs.join(common.shuffled(found), "id").select("x", "y", "id", "root", F.lit(None).cast("binary").alias("packed"), "s")
+    pairs = candidates.where("packed is not null").select("x", "y", "id", "root", "packed", F.lit(None).cast("binary").alias("s"))
+    return common.stored(docs.union(pairs).repartition("x", "y").sortWithinPartitions("x", "y", F.col("packed").isNotNull())
+                         .mapInArrow(confirm, "a long, b long"))
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _links(sets: dict[int, list[np.ndarray]], roots: dict[int, int], pairs: list[np.ndarray], percent: int) -> pa.RecordBatch:
+    joined: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while i in joined:
+            i = joined[i]
+        return i
+
+    links = []
+    if pairs:
+        ordered = np.concatenate(pairs)
+        for a, b in ordered[np.argsort(-ordered["equal"], kind="stable")][["a", "b"]].tolist():
+            p, q = find(roots[a]), find(roots[b])
+            if p != q and any(_alike(s, t, percent) for s in sets[a] for t in sets[b]):
+                joined[p] = q
+                links.append((a, b))
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = 4, percent: int = 80) -> DataFrame:
@@ -236,21 +330,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .groupBy("a").agg(F.max_by("hub", F.struct("k", -F.col("hub"))).alias("b")))
     links = _linked(rows, common.stored(stars), words_each, percent)
     roots = common.stored(graph.components(links))
-    candidates = common.stored(_candidates(_mixed(bands, roots, heads), percent))
+    live = common.stored(_mixed(bands, roots))
+    doc_tiles = max(1, -(-live.select("a").distinct().count() // DOC_TILE))
+    candidates = common.stored(_candidates(_met(live, heads), percent, doc_tiles))
     common.release_shuffles(spark)
-
-    # the best partner of each document first, then whatever is still apart
-    best = (candidates.union(candidates.select("b", "a", "equal")).groupBy("a").agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("b"))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = _linked(rows, common.stored(best), words_each, percent)
-    links = links.union(more)
-    roots = common.stored(graph.components(links))
-    of = roots.select(F.col("node"), F.col("root"))
-    apart = (candidates.join(common.shuffled(best.withColumn("done", F.lit(True))), ["a", "b"], "left").where("done is null").select("a", "b")
-             .join(common.shuffled(of.toDF("a", "root_a")), "a", "left").join(common.shuffled(of.toDF("b", "root_b")), "b", "left")
-             .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b").distinct())
-    last = _linked(rows, common.stored(apart), words_each, percent)
-    roots = graph.components(links.union(last))
+    roots = graph.components(links.union(_compared(rows, candidates, words_each, percent)))
 
     placed = (classes.join(common.shuffled(roots), F.col("rep") == F.col("node"), "left")
               .select(F.col("key").alias("class_key"), F.coalesce("root", "rep").alias("component_id")))

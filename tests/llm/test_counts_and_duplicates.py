@@ -158,6 +158,7 @@ def test_minhash_hard_groups(spark, monkeypatch, tile):
     """A large group of near copies about the threshold, chains, a passage that
     many documents share, documents of one to five words."""
     monkeypatch.setattr(minhash, "TILE", tile)
+    monkeypatch.setattr(minhash, "DOC_TILE", tile)
     rng = np.random.default_rng(11)
     base = [f"w{i}" for i in range(200)]
     texts = [edited(rng, base, s) for s in rng.choice([0.01, 0.02, 0.03, 0.05], size=60)]
