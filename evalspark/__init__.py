@@ -12,7 +12,7 @@ The main entry points, importable from the package:
     compare_metrics, regression_report, metric_summary_rows, alert_payload
     batch_infer, batch_judge, generate_qa                  caller-supplied calls
     hard_negatives, build_testset                          test-set building
-    PartitionedTable, create_catalog                       keyed storage
+    KeyedTable, create_catalog                       keyed storage
 """
 
 __version__ = "0.1.0"
@@ -29,7 +29,7 @@ from evalspark.operators.regression import (  # noqa: E402
 )
 from evalspark.operators.stats import mann_whitney, version_means  # noqa: E402
 from evalspark.operators.testgen import build_testset, hard_negatives  # noqa: E402
-from evalspark.sources.store import PartitionedTable, create_catalog  # noqa: E402
+from evalspark.sources.store import KeyedTable, create_catalog  # noqa: E402
 
 __all__ = [
     "text_metrics", "rouge_l", "exact_match", "contains_match",
@@ -39,5 +39,5 @@ __all__ = [
     "compare_metrics", "regression_report", "metric_summary_rows", "alert_payload",
     "batch_infer", "batch_judge", "generate_qa",
     "hard_negatives", "build_testset",
-    "PartitionedTable", "create_catalog",
+    "KeyedTable", "create_catalog",
 ]

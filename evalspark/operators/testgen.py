@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalspark.operators.datasets import qa_to_prompts
 from evalspark.operators.ranking import buckets_for, smaller_weight
 from evalspark.session import materialize
+from evalspark.sources.store import KeyedTable, upsert_all
 
 MIN_CHUNK_CHARS = 50
 NEGATIVES_PER_QUERY = 2
@@ -184,6 +186,14 @@ def chunk_rows(chunks: DataFrame, qa: DataFrame, version: str | None = None, cre
     )
 
 
+def load_generated(prompt_table: KeyedTable, chunk_table: KeyedTable, chunks: DataFrame, qa: DataFrame, version: str,
+                   created_at=None) -> None:
+    """K7: the generated pairs as prompts of ``version`` and their chunks with
+    pair counts, upserted as one load: both sources are checked (duplicate and
+    NULL keys) before either table is written."""
+    upsert_all([(prompt_table, qa_to_prompts(qa, version, created_at)), (chunk_table, chunk_rows(chunks, qa, created_at=created_at))])
+
+
 def chunk_versions(rows: DataFrame) -> DataFrame:
     """Chunk and pair counts with time range per (version, collection)."""
     return rows.groupBy("dataset_version", "source_collection").agg(

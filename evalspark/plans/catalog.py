@@ -105,14 +105,14 @@ def q_upsert_responses(spark, d):
 
 @query("prompt_table_upsert", ORACLES["upsert_prompts"])
 def q_prompt_table_upsert(spark, d):
-    """S5/S8 end to end: create a partitioned prompt table, load all prompts,
+    """S5/S8 end to end: create a keyed prompt table, load all prompts,
     upsert the changed subset, read the table back."""
     from evalspark.schemas import PROMPT_DATASETS
 
     p = T.Bindings(spark, d).prompts().select(
         "prompt_id", "dataset_version", "prompt", "ground_truth",
         F.create_map().cast("map<string,string>").alias("metadata"), "created_at", "updated_at")
-    table = store.PartitionedTable(spark, scratch_path(spark, "prompt-table"), PROMPT_DATASETS,
+    table = store.KeyedTable(spark, scratch_path(spark, "prompt-table"), PROMPT_DATASETS,
                                    ("prompt_id", "dataset_version"), "dataset_version")
     table.create()
     table.upsert(p)
@@ -126,11 +126,11 @@ def q_prompt_table_upsert(spark, d):
 
 @query("response_table_upsert", ORACLES["upsert_responses"])
 def q_response_table_upsert(spark, d):
-    """S5/S7 end to end on the response table (partitioned by run id)."""
+    """S5/S7 end to end on the response table."""
     from evalspark.schemas import MODEL_RESPONSES
 
     r = T.Bindings(spark, d).responses()
-    table = store.PartitionedTable(spark, scratch_path(spark, "response-table"), MODEL_RESPONSES,
+    table = store.KeyedTable(spark, scratch_path(spark, "response-table"), MODEL_RESPONSES,
                                    ("response_id",), "run_id")
     table.create()
     table.upsert(r)
@@ -158,6 +158,70 @@ def q_sample_responses(spark, d):
         .select("response_id", "model_version", "status")
 
 
+_UPSERT_EVALS_SRC = """
+SELECT eval_id, metric_name, model_version, metric_value * 2 AS metric_value, 'run-b' AS run_id FROM evals_1 WHERE substr(md5(eval_id), 1, 1) = '7'
+UNION ALL
+SELECT concat(eval_id, '-again'), metric_name, model_version, metric_value, 'run-b' FROM evals_1 WHERE substr(md5(eval_id), 1, 2) = '00'"""
+_EVALS_1 = ("evals_1", "SELECT eval_id, metric_name, min(model_version) AS model_version, min(metric_value) AS metric_value, 'run-a' AS run_id "
+            "FROM evals WHERE metric_name = 'judge_score' GROUP BY 1, 2 HAVING count(*) = 1")
+
+
+@query("eval_table_upsert", with_bindings("evals", extra=[_EVALS_1, ("src", _UPSERT_EVALS_SRC)]) + """
+SELECT * FROM evals_1 t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.eval_id = t.eval_id) UNION ALL SELECT * FROM src""")
+def q_eval_table_upsert(spark, d):
+    """S7 on the eval table: some keys come back under another run, some are new."""
+    from evalspark.schemas import EVAL_RESULTS
+
+    ev = T.evals(spark, d).where(F.col("metric_name") == "judge_score").groupBy("eval_id", "metric_name") \
+        .agg(F.min("model_version").alias("model_version"), F.min("metric_value").alias("metric_value"), F.count(F.lit(1)).alias("n")) \
+        .where("n = 1").drop("n") \
+        .withColumn("run_id", F.lit("run-a"))
+    table = store.KeyedTable(spark, scratch_path(spark, "eval-table"), EVAL_RESULTS, ("eval_id",), "run_id")
+    table.upsert(ev)
+    digest, moved = F.md5("eval_id"), F.lit("run-b")
+    src = ev.where(F.substring(digest, 1, 1) == "7").withColumn("metric_value", F.col("metric_value") * 2) \
+        .unionByName(ev.where(F.substring(digest, 1, 2) == "00").withColumn("eval_id", F.concat("eval_id", F.lit("-again"))))
+    table.upsert(src.withColumn("run_id", moved))
+    return table.read().select(*ev.columns)
+
+
+_SUMMARY_ROWS = ("s0", """SELECT concat(model_version, '/', run_id) AS summary_id, run_id, model_version, 'v1' AS dataset_version, metric_name,
+  metric_mean, metric_std, sample_size, outcome FROM summary""")
+
+
+@query("summary_table_upsert", with_bindings("summary", extra=[_SUMMARY_ROWS]) + """
+SELECT summary_id, CASE WHEN outcome = 'FAIL' THEN concat(run_id, '-again') ELSE run_id END AS run_id, model_version, dataset_version, metric_name,
+  metric_mean, metric_std, sample_size, CASE WHEN outcome = 'FAIL' THEN 'WARN' ELSE outcome END AS outcome FROM s0""")
+def q_summary_table_upsert(spark, d):
+    """S8 on the summary table: failed comparisons are summarised again under another run."""
+    from evalspark.schemas import METRIC_SUMMARY
+
+    rows = T.Bindings(spark, d).summary().select(
+        F.concat("model_version", F.lit("/"), "run_id").alias("summary_id"), "run_id", "model_version", F.lit("v1").alias("dataset_version"),
+        "metric_name", "metric_mean", "metric_std", "sample_size", "outcome")
+    table = store.KeyedTable(spark, scratch_path(spark, "summary-table"), METRIC_SUMMARY, ("summary_id", "metric_name"), "run_id")
+    table.upsert(rows)
+    table.upsert(rows.where("outcome = 'FAIL'").withColumn("outcome", F.lit("WARN")).withColumn("run_id", F.concat("run_id", F.lit("-again"))))
+    return table.read().select(*rows.columns)
+
+
+@query("chunk_table_upsert", with_bindings("chunks") + """
+SELECT chunk_id, dataset_version, source_collection, source_text, cast(CASE WHEN source_collection = 'de' THEN 3 ELSE 1 END AS integer) AS qa_pairs_count
+FROM chunks UNION ALL
+SELECT chunk_id, concat(dataset_version, '-b'), source_collection, source_text, cast(3 AS integer) FROM chunks WHERE source_collection = 'fr'""")
+def q_chunk_table_upsert(spark, d):
+    """S8 on the chunk table: known chunks with new counts, the same chunk ids in a new version."""
+    from evalspark.schemas import TESTGEN_CHUNKS
+
+    rows = T.chunks(spark, d).select("chunk_id", "dataset_version", "source_collection", "source_text", F.lit(1).alias("qa_pairs_count"))
+    table = store.KeyedTable(spark, scratch_path(spark, "chunk-table"), TESTGEN_CHUNKS, ("chunk_id", "dataset_version"), "dataset_version")
+    table.upsert(rows)
+    again = rows.withColumn("qa_pairs_count", F.lit(3))
+    table.upsert(again.where("source_collection = 'de'").unionByName(
+        again.where("source_collection = 'fr'").withColumn("dataset_version", F.concat("dataset_version", F.lit("-b")))))
+    return table.read().select(*rows.columns)
+
+
 # ---------------------------------------------------------------- text metrics
 
 @query("text_metrics", with_bindings("pairs", "prompts") + f"""
@@ -781,6 +845,27 @@ def q_testgen_totals(spark, d):
     return out["totals"]
 
 
+_LOAD_CHUNKS = ("loaded", """SELECT c.chunk_id, c.dataset_version, c.source_text, cast(count(q.question) AS integer) AS qa_pairs_count
+  FROM chunks c LEFT JOIN qa q ON q.chunk_id = c.chunk_id AND q.dataset_version = c.dataset_version GROUP BY ALL""")
+
+
+@query("testgen_load", with_bindings("chunks", "qa", extra=[_LOAD_CHUNKS]) + """
+SELECT 'chunks' AS loaded, dataset_version, count(*) AS n, cast(sum(qa_pairs_count) AS BIGINT) AS qa_pairs,
+  cast(count_if(qa_pairs_count = 0) AS BIGINT) AS skipped FROM loaded GROUP BY dataset_version
+UNION ALL SELECT 'prompts', 'tg-v1', count(*), NULL, NULL FROM qa""")
+def q_testgen_load(spark, d):
+    """K7: QA pairs become prompts, their chunks get counts, both tables are loaded together and read back."""
+    b = T.Bindings(spark, d)
+    tables = store.create_catalog(spark, scratch_path(spark, "testgen-load"))
+    prompts, chunks = tables["raw.prompt_datasets"], tables["metadata.testgen_chunks"]
+    testgen.load_generated(prompts, chunks, b.chunks(), b.qa(), "tg-v1", FIXED_TS)
+    by_version = chunks.read().groupBy(F.lit("chunks").alias("loaded"), "dataset_version").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("qa_pairs_count").alias("qa_pairs"), F.count_if(F.col("qa_pairs_count") == 0).alias("skipped"))
+    none = F.lit(None).cast("long")
+    return by_version.unionByName(prompts.read().groupBy(F.lit("prompts").alias("loaded"), "dataset_version").agg(
+        F.count(F.lit(1)).alias("n"), none.alias("qa_pairs"), none.alias("skipped")))
+
+
 def length_scorer(scorer: str, question: str, output: str, facts: list) -> float:
     """Deterministic stand-in for an external scorer."""
     return float((len(output) + len(scorer)) % 5) + (0.5 if facts else 0.0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from evalspark.operators import datasets, runs
-from evalspark.schemas import PROMPT_DATASETS, TABLES
+from evalspark.schemas import EVAL_RESULTS, PROMPT_DATASETS, TABLES
 from evalspark.session import scratch_path
 from evalspark.sources import store
 from evalspark.sources import tables as T
@@ -29,7 +29,7 @@ def test_content_ids_are_stable(spark):
 
 
 def prompt_table(spark, name):
-    return store.PartitionedTable(spark, scratch_path(spark, name), PROMPT_DATASETS, ("prompt_id", "dataset_version"),
+    return store.KeyedTable(spark, scratch_path(spark, name), PROMPT_DATASETS, ("prompt_id", "dataset_version"),
                                   "dataset_version")
 
 
@@ -52,7 +52,7 @@ def test_upsert_idempotence(spark):
 def test_upsert_moves_a_key_between_partitions(spark):
     """One key under a new partition value replaces its old row."""
     schema = StructType([StructField("response_id", StringType()), StructField("v", StringType()), StructField("run_id", StringType())])
-    t = store.PartitionedTable(spark, scratch_path(spark, "moves"), schema, ("response_id",), "run_id")
+    t = store.KeyedTable(spark, scratch_path(spark, "moves"), schema, ("response_id",), "run_id")
     t.upsert(spark.createDataFrame([("r1", "old", "runA"), ("r2", "old", "runA"), ("r3", "old", "runB"), ("r4", "x", None)], schema))
     t.upsert(spark.createDataFrame([("r1", "new", "runC"), ("r3", "new", "runC"), ("r4", "y", "runA")], schema))
     got = sorted(tuple(r) for r in t.read().select("response_id", "v", "run_id").collect())
@@ -134,29 +134,76 @@ def test_json_map_get_set(spark):
     assert out[1].s == '{"a":"2"}' and out[1].g == "none"
 
 
-def test_partitioned_upsert_touches_only_its_partitions(spark):
+def bucket_files(root):
     import os
 
-    from evalspark.schemas import EVAL_RESULTS
-
-    root = scratch_path(spark, "evals-part")
-    t = store.PartitionedTable(spark, root, EVAL_RESULTS, ("eval_id",), "run_id")
-    t.create()
-
-    def rows(run, ids, value):
-        return spark.createDataFrame([(f"{run}-{i}", None, "p", "1", run, "m", value, None, "e", None, None) for i in ids],
-                                     EVAL_RESULTS)
-
-    t.upsert(rows("r1", range(5), 1.0))
-    t.upsert(rows("r2", range(3), 2.0))
-    r1_files = sorted(os.listdir(f"{root}/run_id=r1"))
-    t.upsert(rows("r2", range(2, 6), 3.0))   # updates r2-2, inserts r2-3..r2-5
-    assert sorted(os.listdir(f"{root}/run_id=r1")) == r1_files  # r1 untouched
-    got = {r.eval_id: r.metric_value for r in t.read().collect()}
-    assert got == {**{f"r1-{i}": 1.0 for i in range(5)}, "r2-0": 2.0, "r2-1": 2.0,
-                   **{f"r2-{i}": 3.0 for i in range(2, 6)}}
-    t.upsert(rows("r2", range(2, 6), 3.0))   # idempotent
-    assert t.read().count() == 11
+    return {b: sorted(f for f in os.listdir(f"{root}/rows/{b}") if f.endswith(".parquet"))
+            for b in os.listdir(f"{root}/rows") if b.startswith("_bucket=")}
+
+
+def eval_rows(spark, run, ids, value):
+    return spark.createDataFrame([(f"e-{i}", None, "p", "1", run, "m", value, None, "e", None, None) for i in ids], EVAL_RESULTS)
+
+
+def test_upsert_touches_only_buckets_that_may_hold_its_keys(spark):
+    root = scratch_path(spark, "evals-keyed")
+    t = store.KeyedTable(spark, root, EVAL_RESULTS, ("eval_id",), "run_id", buckets=16)
+    assert t.upsert(eval_rows(spark, "r1", range(400), 1.0))["rewritten"] == []
+    before = bucket_files(root)
+    assert len(before) == 16 and not any("run_id=" in b for b in before)  # no folder per run
+    done = t.upsert(eval_rows(spark, "r2", [3, 5], 2.0))  # known keys come back under another run
+    after = bucket_files(root)
+    assert 1 <= len(done["rewritten"]) <= 2 and done["added"] == []
+    changed = {int(b.split("=")[1]) for b in before if before[b] != after[b]}
+    assert changed == set(done["rewritten"])  # no other file was written
+    done = t.upsert(eval_rows(spark, "r3", range(1000, 1020), 3.0))  # new keys: files are added, none is rewritten
+    assert done["rewritten"] == [] and all(set(after[b]) <= set(bucket_files(root)[b]) for b in after)
+    got = {r.eval_id: (r.run_id, r.metric_value) for r in t.read().collect()}
+    assert got == {**{f"e-{i}": ("r1", 1.0) for i in range(400)}, "e-3": ("r2", 2.0), "e-5": ("r2", 2.0),
+                   **{f"e-{i}": ("r3", 3.0) for i in range(1000, 1020)}}
+    # reading some buckets lists and reads no other
+    part = t._in_buckets([4])
+    assert all("_bucket=4" in f for f in part.inputFiles()) or "_bucket#" in part._jdf.queryExecution().executedPlan().toString()
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_keyed_table_keeps_its_layout_and_ignores_column_types_of_the_key(spark):
+    root = scratch_path(spark, "layout")
+    schema = StructType([StructField("k", StringType()), StructField("v", StringType())])
+    store.KeyedTable(spark, root, schema, ("k",), "v", buckets=3, blocks=1).upsert(spark.createDataFrame([("a", "1"), ("b", "1")], schema))
+    again = store.KeyedTable(spark, root, schema, ("k",), "v", buckets=50, blocks=9)
+    assert (again.buckets, again.blocks) == (3, 1)
+    again.upsert(spark.createDataFrame([("b", "2"), ("c", "2")], schema))
+    again.upsert(spark.createDataFrame([], schema))  # an empty source changes nothing
+    assert sorted(tuple(r) for r in again.read().collect()) == [("a", "1"), ("b", "2"), ("c", "2")]
+
+
+def test_bloom_filter_misses_no_key(spark):
+    schema = StructType([StructField("k", StringType()), StructField("v", StringType())])
+    t = store.KeyedTable(spark, scratch_path(spark, "bloom"), schema, ("k",), "v", buckets=4, blocks=1)
+    t.upsert(spark.range(5000).selectExpr("cast(id as string) k", "'x' v"))
+    for some in ("0", "4999", "1234"):
+        known, new = t.buckets_of(spark.createDataFrame([(some, "y")], schema))
+        assert len(known) == 1 and new == []
+    unknown = [t.buckets_of(spark.createDataFrame([(f"no-{i}", "y")], schema))[0] for i in range(6)]
+    assert sum(map(len, unknown)) < 6
+
+
+def test_a_bad_load_changes_neither_table(spark):
+    from evalspark.operators import testgen
+
+    tables = store.create_catalog(spark, scratch_path(spark, "load"), buckets=2, blocks=1)
+    prompts, chunks = tables["raw.prompt_datasets"], tables["metadata.testgen_chunks"]
+    rows = spark.createDataFrame([("c1", "v1", "en", "s", "text 1"), ("c2", "v1", "en", "s", "text 2")],
+                                 "chunk_id string, dataset_version string, source_collection string, source string, source_text string")
+    qa = spark.createDataFrame([("c1", "v1", "q1", "a1"), ("c1", "v1", "q2", "a2")], "chunk_id string, dataset_version string, question string, ground_truth string")
+    testgen.load_generated(prompts, chunks, rows, qa, "tg", TS)
+    for bad in (rows.unionByName(rows.limit(1)), rows.withColumn("chunk_id", F.when(F.col("chunk_id") == "c1", F.col("chunk_id")))):
+        with pytest.raises((store.DuplicateKeyError, store.NullKeyError)):
+            testgen.load_generated(prompts, chunks, bad, qa.withColumn("question", F.concat("question", F.lit("!"))), "tg", TS)
+    assert sorted(r.prompt for r in prompts.read().collect()) == ["q1", "q2"]
+    assert sorted((r.chunk_id, r.qa_pairs_count) for r in chunks.read().collect()) == [("c1", 2), ("c2", 0)]
 
 
 def test_prompts_from_rows_keeps_row_metadata(spark):
@@ -183,21 +230,18 @@ def test_deterministic_sample_keeps_null_keys(spark):
     assert [r[0] for r in order[:8]].count(None) == sum(r.k is None for r in datasets.deterministic_sample(df, 8, "k").collect())
 
 
-def test_partitioned_append_writes_only_new_rows(spark):
-    import os
-
-    schema = "run_id string, k string, v string, ts timestamp, event_id bigint"
+def test_append_adds_files_and_keys(spark):
     from pyspark.sql.types import _parse_datatype_string
 
-    root = scratch_path(spark, "events-part")
-    t = store.PartitionedTable(spark, root, _parse_datatype_string(schema), ("event_id",), "run_id")
-    t.create()
+    root = scratch_path(spark, "events-keyed")
+    t = store.KeyedTable(spark, root, _parse_datatype_string(runs.EVENT_SCHEMA), ("event_id",), "run_id", buckets=4)
     t.append(runs.init_run_events(spark, "r1", {}, TS))
-    before = sorted(os.listdir(f"{root}/run_id=r1"))
+    before = bucket_files(root)
     t.append(runs.update_events(spark, "r1", {"status": "running"}, TS, 100))
-    after = sorted(os.listdir(f"{root}/run_id=r1"))
-    assert set(before) <= set(after) and len(after) > len(before)
+    assert all(set(before[b]) <= set(bucket_files(root)[b]) for b in before)
     assert {r.v for r in runs.run_state(t.read()).where("k = 'status'").collect()} == {"running"}
+    t.upsert(runs.update_events(spark, "r1", {"status": "failed"}, TS, 100))  # an appended key is known
+    assert {r.v for r in runs.run_state(t.read()).where("k = 'status'").collect()} == {"failed"}
 
 
 def test_materialized_paths_are_recorded(spark):
