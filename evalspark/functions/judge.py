@@ -74,6 +74,14 @@ def judge_prompt(prompt, response, ground_truth, template: str = JUDGE_PROMPT_TE
     return F.concat(*parts)
 
 
+def _is_whole_json(j: Column) -> Column:
+    """Whether the text is one JSON value with nothing after it. Spark's JSON
+    functions stop at the end of the first value, so the text is read as a
+    member between two others."""
+    members = F.json_object_keys(F.concat(F.lit('{"a":'), j, F.lit(',"z":0}')))
+    return F.coalesce(members == F.array(F.lit("a"), F.lit("z")), F.lit(False))
+
+
 JUDGEMENT_FIELDS = "score string, reasoning string, strengths string, weaknesses string"
 
 
@@ -87,7 +95,7 @@ def _judgement(r: Column, step) -> Column:
     # last value, like json.loads; a map would fail on duplicate keys)
     keys = step("keys", F.when(F.length(j) > 0, F.json_object_keys(j)))
     m = step("m", F.when(keys.isNotNull(), F.from_json(j, JUDGEMENT_FIELDS)))
-    valid = keys.isNotNull()
+    valid = step("valid", keys.isNotNull() & _is_whole_json(j))
     has = lambda k: F.array_contains(keys, k)
     raw = m["score"]
     # JSON booleans are numbers to Python's float(): true -> 1.0, false -> 0.0
@@ -169,6 +177,10 @@ def _text_from_variant(v: Column, raw: Column, with_text: bool) -> Column:
     return out.otherwise(raw)
 
 
+def _parsed(b: Column) -> Column:
+    return F.when(_is_whole_json(b), F.try_parse_json(b))
+
+
 def extract_response_text(body, with_text: bool = True) -> Column:
     """text of a serving-endpoint JSON reply, in this order:
     predictions[0] when a string; predictions[0].content when present;
@@ -176,13 +188,13 @@ def extract_response_text(body, with_text: bool = True) -> Column:
     choices[0].text (inference replies only, ``with_text``); else the raw body.
     """
     b = _c(body)
-    return _text_from_variant(F.try_parse_json(b), b, with_text)
+    return _text_from_variant(_parsed(b), b, with_text)
 
 
 def extract_response_texts(df: DataFrame, body: str, outs: dict[str, bool]) -> DataFrame:
     """F9 for whole frames: the body is parsed to VARIANT once per row, then
     each ``out -> with_text`` column is read from it."""
-    df = df.withColumn("_body_v", F.try_parse_json(F.col(body)))
+    df = df.withColumn("_body_v", _parsed(F.col(body)))
     for out, with_text in outs.items():
         df = df.withColumn(out, _text_from_variant(F.col("_body_v"), F.col(body), with_text))
     return df.drop("_body_v")

@@ -6,9 +6,9 @@ through a small thread pool (the calls are I/O bound) inside ``mapInPandas``.
 Keys travel with every row, so no positional re-association is needed, and
 ids are content hashes, so a re-executed task after executor loss produces
 the same rows and the keyed upsert stays idempotent. The output of each call
-stage is written once to the shared folder (the functions are eager), so
-later actions, key checks and recomputation after executor loss never call
-the endpoint again.
+stage is written in waves as it finishes (the functions are eager), so later
+actions, key checks and recomputation after executor loss never call the
+endpoint again, and a job that was stopped goes on where it stood.
 """
 
 from __future__ import annotations
@@ -24,15 +24,38 @@ from pyspark.sql import functions as F
 from evalspark.functions.judge import FAILED_PREFIX, extract_response_text, judge_prompt, parse_judgements
 from evalspark.operators.datasets import content_id
 from evalspark.operators.latency import classify_status
-from evalspark.session import materialize, ship_package
+from evalspark.session import materialize, path_exists, recorded_path, ship_package
 
 CALL_FIELDS = "status_code int, body string, error string, latency_ms double"
 
 
-def _call_partitions(df: DataFrame, partitions: int | None) -> int:
-    """External calls are I/O bound: spread them over every core of the
-    cluster (a hash repartition on the key) unless told otherwise."""
-    return partitions or df.sparkSession.sparkContext.defaultParallelism
+ROWS_PER_TASK = 500  # calls that a lost task repeats at most
+ROWS_PER_WAVE = 200_000  # calls whose results are written together
+
+
+def _written_calls(src: DataFrame, key: str, fn: Callable, schema: str, partitions: int | None, results: str | None,
+                   rows_per_wave: int = ROWS_PER_WAVE, max_waves: int | None = None) -> DataFrame:
+    """The rows of ``src`` through ``fn``, written in waves as they finish.
+
+    Rows whose ``key`` is in ``results`` already are not called again, so a
+    job that failed or was stopped after some waves goes on where it stood: what
+    a wave wrote stays, and a lost task repeats at most ROWS_PER_TASK calls.
+    ``max_waves`` ends this call early (a budget). Returns all results so far.
+    """
+    spark = src.sparkSession
+    path = recorded_path(spark, "calls") if results is None else results
+    if results is not None and path_exists(spark, path):
+        done = spark.read.schema(schema).parquet(path).select(key).distinct()
+        src = src.join(done, key, "left_anti").select(*src.columns)
+    todo = materialize(src)
+    n = todo.count()
+    waves = max(1, -(-n // rows_per_wave))
+    for wave in range(waves if max_waves is None else min(waves, max_waves)):
+        part = todo.where(F.pmod(F.xxhash64(F.lit("wave"), key), F.lit(waves)) == wave) if waves > 1 else todo
+        rows = max(1, n // waves)
+        tasks = partitions or max(-(-rows // ROWS_PER_TASK), min(rows, spark.sparkContext.defaultParallelism))
+        part.repartition(tasks, key).mapInPandas(fn, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _run_calls(texts: list, call: Callable, max_workers: int) -> pd.DataFrame:
@@ -56,12 +79,12 @@ def _run_calls(texts: list, call: Callable, max_workers: int) -> pd.DataFrame:
 
 
 def call_per_row(df: DataFrame, text_col: str, call: Callable, carry: list[str], max_workers: int = 10,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, **written) -> DataFrame:
     """Apply ``call(text) -> (status_code, body)`` to every row; the string
-    columns in ``carry`` travel with the result (no join back)."""
+    columns in ``carry`` travel with the result (no join back), the first one is
+    the key. ``written``: results, rows_per_wave, max_waves of ``_written_calls``."""
     ship_package(df.sparkSession)
     src = df.select(*[F.col(c).cast("string").alias(c) for c in carry], F.col(text_col).alias("_text"))
-    src = src.repartition(_call_partitions(df, partitions), carry[0])
     schema = ", ".join(f"{c} string" for c in carry) + ", " + CALL_FIELDS
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,7 +95,7 @@ def call_per_row(df: DataFrame, text_col: str, call: Callable, carry: list[str],
             yield out
 
     # external calls run once: later actions and lost executors read the written result
-    return materialize(src.mapInPandas(fn, schema))
+    return _written_calls(src, carry[0], fn, schema, partitions, written.pop("results", None), **written)
 
 
 def batch_infer(
@@ -84,8 +107,10 @@ def batch_infer(
     created_at=None,
     max_workers: int = 10,
     partitions: int | None = None,
+    **written,
 ) -> DataFrame:
-    """K1: one model_responses row per prompt.
+    """K1: one model_responses row per prompt. With ``results`` (a path) a
+    later call goes on where an earlier one stood.
 
     ``call(prompt) -> (status_code, json_body)``; status and error text follow
     P11, the response text F9; constant columns are attached natively (P18).
@@ -95,7 +120,7 @@ def batch_infer(
                                                     else [])))
     if "dataset_version" not in prompts.columns:
         keyed = keyed.withColumn("dataset_version", F.lit(None).cast("string"))
-    j = call_per_row(keyed, "prompt", call, ["_key", "prompt_id", "dataset_version"], max_workers, partitions)
+    j = call_per_row(keyed, "prompt", call, ["_key", "prompt_id", "dataset_version"], max_workers, partitions, **written)
     status, message = classify_status(F.col("status_code"), F.col("error"))
     ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
     return j.select(
@@ -116,6 +141,7 @@ def batch_judge(
     max_workers: int = 10,
     partitions: int | None = None,
     id_col: str | None = None,
+    **written,
 ) -> DataFrame:
     """K2: judge every (prompt, response, truth) row into eval_results rows.
 
@@ -133,7 +159,7 @@ def batch_judge(
         judge_prompt("prompt", "response", "ground_truth").alias("_jp"),
     )
     j = call_per_row(keyed, "_jp", call, ["_key", "response_id", "prompt_id", "model_version", "dataset_version"],
-                     max_workers, partitions)
+                     max_workers, partitions, **written)
     j = j.withColumn("_text", F.when(F.col("status_code") == 200,
                                      extract_response_text(F.col("body"), with_text=False)))
     j = parse_judgements(j, "_text", "_p")
@@ -158,7 +184,7 @@ def batch_judge(
     )
 
 
-QA_SCHEMA = "chunk_id string, dataset_version string, question string, ground_truth string, source_text string, error string, attempts int"
+QA_SCHEMA = "_key string, chunk_id string, dataset_version string, question string, ground_truth string, source_text string, error string, attempts int"
 
 
 def generate_qa(
@@ -172,6 +198,7 @@ def generate_qa(
     id_col: str = "chunk_id",
     text_col: str = "source_text",
     max_workers: int = 10,
+    **written,
 ) -> DataFrame:
     """K4: ``gen(text, chunk_id, n) -> [(question, answer), ...]`` per chunk,
     retried with exponential backoff (backoff_s * 2**attempt). A chunk that is
@@ -182,36 +209,36 @@ def generate_qa(
     version = F.col("dataset_version") if "dataset_version" in chunks.columns else F.lit(None).cast("string")
     src = chunks.select(F.col(id_col).alias("chunk_id"), version.cast("string").alias("dataset_version"),
                         F.col(text_col).alias("source_text"))
-    src = src.repartition(_call_partitions(chunks, partitions), "chunk_id")
+    src = src.withColumn("_key", content_id("chunk_id", "dataset_version"))
 
-    def one(cid, ver, text):
+    def one(key, cid, ver, text):
         if text is None or len(text) < min_chars:
-            return [(cid, ver, None, None, text, f"chunk too short ({0 if text is None else len(text)} chars)", 0)]
+            return [(key, cid, ver, None, None, text, f"chunk too short ({0 if text is None else len(text)} chars)", 0)]
         last = None
         for attempt in range(retries):
             try:
                 pairs = gen(text, cid, pairs_per_chunk)
-                return [(cid, ver, q, a, text, None, attempt + 1) for q, a in pairs]
+                return [(key, cid, ver, q, a, text, None, attempt + 1) for q, a in pairs]
             except Exception as e:  # noqa: BLE001
                 last = e
                 if backoff_s > 0:
                     time.sleep(backoff_s * (2 ** attempt))
-        return [(cid, ver, None, None, text, f"failed after {retries} attempts: {last}", retries)]
+        return [(key, cid, ver, None, None, text, f"failed after {retries} attempts: {last}", retries)]
 
-    cols = ["chunk_id", "dataset_version", "question", "ground_truth", "source_text", "error", "attempts"]
+    cols = ["_key", "chunk_id", "dataset_version", "question", "ground_truth", "source_text", "error", "attempts"]
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
-                for made in pool.map(one, b["chunk_id"], b["dataset_version"], b["source_text"]):
+                for made in pool.map(one, b["_key"], b["chunk_id"], b["dataset_version"], b["source_text"]):
                     rows.extend(made)
             out = pd.DataFrame(rows, columns=cols)
             out["attempts"] = out["attempts"].astype("int32")
             yield out
 
     # the generator runs once per chunk; everything downstream reads the written result
-    return materialize(src.mapInPandas(fn, QA_SCHEMA))
+    return _written_calls(src, "_key", fn, QA_SCHEMA, partitions, written.pop("results", None), **written).drop("_key")
 
 
 def judge_to_evals(responses: DataFrame, call: Callable, endpoint_name: str, run_id: str,
@@ -226,7 +253,7 @@ def judge_to_evals(responses: DataFrame, call: Callable, endpoint_name: str, run
 
 
 def metrics_to_evals(df: DataFrame, metrics: list[str], score: Callable, run_id: str, created_at=None,
-                     max_workers: int = 10, partitions: int | None = None) -> DataFrame:
+                     max_workers: int = 10, partitions: int | None = None, **written) -> DataFrame:
     """K3 with an external scorer: each requested metric that has a scorer
     (F22; others are skipped) is scored per evaluation record (F21) by
     ``score(scorer_name, question, output, expected_facts) -> float``; the
@@ -255,7 +282,6 @@ def metrics_to_evals(df: DataFrame, metrics: list[str], score: Callable, run_id:
                                  "metric_name").alias("eval_id"),
                       "response_id", "prompt_id", "model_version", "dataset_version", "metric_name", "scorer", "question",
                       "outputs", F.to_json("facts").alias("facts"))
-    src = src.repartition(_call_partitions(df, partitions), "eval_id")
     carry = ["eval_id", "response_id", "prompt_id", "model_version", "dataset_version", "metric_name"]
     schema = ", ".join(f"{c} string" for c in carry) + ", metric_value double, error string"
 
@@ -276,7 +302,7 @@ def metrics_to_evals(df: DataFrame, metrics: list[str], score: Callable, run_id:
             out["error"] = [r[1] for r in res]
             yield out
 
-    scored = materialize(src.mapInPandas(fn, schema))
+    scored = _written_calls(src, "eval_id", fn, schema, partitions, written.pop("results", None), **written)
     ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
     return scored.select(
         "eval_id", "response_id", "prompt_id", "model_version", F.lit(run_id).alias("run_id"), "metric_name",

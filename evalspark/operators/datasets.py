@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-
-from evalspark.session import materialize
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 
 def content_id(*cols) -> Column:
@@ -40,7 +39,8 @@ def make_prompts(df: DataFrame, version: str, metadata: dict | None = None, crea
         pid = F.coalesce(F.col("prompt_id"), pid)
     meta = literal_map(metadata)
     if "metadata" in df.columns:
-        meta = F.map_concat(meta, F.coalesce(F.col("metadata"), F.create_map().cast("map<string,string>")))
+        own = F.coalesce(F.col("metadata"), F.create_map().cast("map<string,string>"))
+        meta = F.map_concat(F.map_filter(meta, lambda k, _v: ~F.map_contains_key(own, k)), own)  # a row's own value stands
     out = df.select(
         pid.alias("prompt_id"), F.lit(version).alias("dataset_version"), F.col("prompt"),
         truth.alias("ground_truth"), meta.alias("metadata"), ts.alias("created_at"), ts.alias("updated_at"),
@@ -95,14 +95,27 @@ def read_prompts(
     prompt_col: str = "prompt",
     truth_col: str | None = "ground_truth",
     schema=None,
+    csv_escape: str = "\\",
+    rejected_col: str | None = None,
 ) -> DataFrame:
     """Prompts from json, csv (with header) or parquet files; a
-    missing truth column reads as NULL."""
+    missing truth column reads as NULL.
+
+    csv fields may hold line breaks and quotes, escaped as Spark writes them;
+    ``csv_escape='"'`` reads files that double their quotes. With
+    ``rejected_col`` (json and csv) a record that cannot be read is kept: its
+    text is in that column and its other columns are NULL.
+    """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.option("header", "true").option("multiLine", "true").option("escape", csv_escape)
+    if schema is not None or rejected_col is not None:
+        given = schema if schema is not None else reader.load(path).schema
+        fields = given if isinstance(given, StructType) else _parse_datatype_string(given)
+        if rejected_col is not None and fmt != "parquet":
+            fields = StructType([f for f in fields if f.name not in (rejected_col, "_corrupt_record")] + [StructField(rejected_col, StringType())])
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rejected_col)
+        reader = reader.schema(fields)
     raw = reader.load(path)
     truth = F.col(truth_col) if truth_col and truth_col in raw.columns else F.lit(None).cast("string")
     cols = [F.col(prompt_col).cast("string").alias("prompt"), truth.cast("string").alias("ground_truth")]
@@ -118,25 +131,27 @@ def qa_to_prompts(qa: DataFrame, version: str, created_at=None) -> DataFrame:
     return make_prompts(rows, version, None, created_at)
 
 
+SAMPLE_BITS = 16
+
+
 def deterministic_sample(df: DataFrame, n: int, key: str) -> DataFrame:
     """L2/L4: a repeatable sample of ``n`` rows: the first ``n`` by md5 of
-    the key, then the key, then the row (the limit is the feature). A NULL key
-    counts as the empty text.
+    the key, then the key, then the row as JSON (the limit is the feature). A
+    NULL key counts as the empty text; equal rows may stand for each other.
 
-    Rows get exact global positions in that order from distributed prefix
-    counts and are filtered by position, whatever ``n`` is: no task gathers
-    the sample.
+    A histogram of the first 16 bits of the md5 (at most 65,536 rows) finds the
+    bin in which the n-th row lies. Rows of earlier bins pass by a filter; only
+    the rows of that bin are ordered, and of them only as many as are missing.
     """
-    from evalspark.operators.ranking import smaller_weight
-    from evalspark.operators.testgen import hash_key
-
+    if n <= 0:
+        return df.limit(0)
     text = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    keyed = df.withColumn("_h", hash_key(text)).withColumn("_g", F.lit(0)) \
-        .withColumn("_one", F.lit(1))
-    counts = materialize(keyed.groupBy("_g", "_h").agg(F.count(F.lit(1)).alias("_t")))
-    ranked = smaller_weight(counts, ["_g"], "_h", {"_before": "_t"})
-    # rows sharing a 60-bit key prefix are ordered by md5 then key inside the group
-    w = Window.partitionBy("_h").orderBy(F.md5(text), F.col(key), F.xxhash64(*[F.col(c) for c in df.columns]))
-    pos = keyed.join(ranked.select("_h", "_before"), "_h") \
-        .withColumn("_pos", F.col("_before") + F.row_number().over(w) - 1)
-    return pos.where(F.col("_pos") < n).drop("_h", "_g", "_one", "_before", "_pos")
+    bin_of = F.conv(F.substring(F.md5(text), 1, SAMPLE_BITS // 4), 16, 10).cast("int")
+    bins = df.groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
+    below = F.sum("rows").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    last = bins.withColumn("below", F.coalesce(below, F.lit(0))).where((F.col("below") < n) & (F.col("below") + F.col("rows") > n)).first()
+    if last is None:  # the n-th row ends a bin, or there are no more rows
+        last = bins.withColumn("upto", F.sum("rows").over(Window.orderBy("bin"))).where(F.col("upto") <= n).agg(F.max("bin")).first()[0]
+        return df.where(bin_of <= last) if last is not None else df.limit(0)
+    inside = df.where(bin_of == last["bin"]).orderBy(F.md5(text), F.col(key), F.to_json(F.struct(*df.columns))).limit(n - last["below"])
+    return df.where(bin_of < last["bin"]).unionByName(inside)

@@ -27,15 +27,6 @@ def latency_stats(df: DataFrame, by=("model_version",), accuracy: int = 10000) -
     )
 
 
-def _null_safe_join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    b2 = b.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = c if cond is None else cond & c
-    return a.join(b2, cond, "left").drop(*[f"_r_{k}" for k in keys])
-
-
 def latency_trends(
     df: DataFrame,
     by=("model_version", "endpoint_name", "created_at"),
@@ -44,21 +35,14 @@ def latency_trends(
     """A4: exact interpolated p50/p95/p99, mean, sample std and count per
     (model, endpoint, day), NULL latencies excluded.
 
-    Exact percentiles come from value counts and distributed prefix sums
-    (``exact_percentiles``) instead of one in-memory value map per group.
+    Percentiles and moments come from one table of value counts
+    (``exact_percentiles``) instead of one in-memory value map per group; the
+    raw rows are read once.
     """
     keys = list(by)
-    d = df.where(F.col("latency_ms").isNotNull())
-    moments = d.groupBy(*keys).agg(
-        F.avg("latency_ms").alias("latency_mean"),
-        F.stddev("latency_ms").alias("latency_std"),
-        F.count(F.lit(1)).alias("request_count"),
-    )
-    pct = exact_percentiles(d, keys, "latency_ms",
-                            {"latency_p50": 0.5, "latency_p95": 0.95, "latency_p99": 0.99}, buckets=buckets)
-    out = _null_safe_join(moments, pct, keys)
-    return out.select(*keys, "latency_p50", "latency_p95", "latency_p99", "latency_mean", "latency_std",
-                      "request_count")
+    out = exact_percentiles(df, keys, "latency_ms", {"latency_p50": 0.5, "latency_p95": 0.95, "latency_p99": 0.99}, buckets=buckets)
+    return out.select(*keys, "latency_p50", "latency_p95", "latency_p99", F.col("mean").alias("latency_mean"),
+                      F.col("std").alias("latency_std"), F.col("count").alias("request_count"))
 
 
 def success_rate(df: DataFrame, by=("run_id",)) -> DataFrame:
@@ -80,17 +64,15 @@ def error_analysis(df: DataFrame) -> DataFrame:
 
     ``error_rate_pct`` is the dashboard's share among the model's errors
     (T11); ``request_error_rate_pct`` is the share among all of the model's requests.
-    The per-model denominators (W1) are a second aggregate with one row per
-    model joined back: messages are free text, so a window over a hot model's
-    groups would put them all in one task.
+    The per-model denominators (W1) are added up from the counts and joined
+    back, one row per model: messages are free text, so a window over a hot
+    model's groups would put them all in one task.
     """
-    is_err = F.col("status") != "success"
-    g = df.groupBy("model_version", "status", "error_message").agg(F.count(F.lit(1)).alias("n"))
-    totals = df.groupBy(F.col("model_version").alias("_mv")).agg(
-        F.count(F.lit(1)).alias("_all"),
-        F.count_if(F.coalesce(is_err, F.lit(False))).alias("_err"),
-    )
-    j = g.where(is_err).join(totals, F.col("model_version").eqNullSafe(F.col("_mv")))
+    is_err = F.coalesce(F.col("status") != "success", F.lit(False))
+    # counted by an aggregate, not by a filter: both uses below are then the same plan, and the rows are read once
+    g = df.groupBy("model_version", "status", "error_message").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_err).alias("_bad"))
+    totals = g.groupBy(F.col("model_version").alias("_mv")).agg(F.sum("n").alias("_all"), F.sum("_bad").alias("_err"))
+    j = g.where(F.col("_bad") > 0).join(totals, F.col("model_version").eqNullSafe(F.col("_mv")))
     return j.select(
         "model_version", "status",
         F.col("n").alias("error_count"),

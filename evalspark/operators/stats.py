@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from evalspark.functions.normal import two_sided_p_sql
-from evalspark.operators.ranking import join_on_keys, smaller_weight
+from evalspark.operators.ranking import buckets_for, join_on_keys, smaller_weight
 from evalspark.session import materialize, ship_package
 
 EXACT_MAX_SMALL = 8
@@ -65,18 +65,14 @@ def _percentile_at(p: float, n: Column, before: Column, w: Column, v: Column):
 
 
 def count_facts(counts: DataFrame) -> tuple[int, bool]:
-    """One small aggregate of the distinct-value table (a row per metric
-    reaches the driver): the bucket count for the exact ranks, and whether
-    any metric takes SciPy's exact branch (no ties, a sample <= 8)."""
-    from evalspark.operators.ranking import buckets_for
-
-    rows = counts.groupBy("metric_name").agg(
-        F.count(F.lit(1)).alias("distinct_values"), F.sum("c").alias("n1"), F.sum("b").alias("n2"),
-        F.max("t").alias("tmax"),
-    ).collect()
-    largest = max((r.distinct_values for r in rows), default=0)
-    exact = any(r.n1 >= 2 and r.n2 >= 2 and min(r.n1, r.n2) <= EXACT_MAX_SMALL and r.tmax <= 1 for r in rows)
-    return buckets_for(largest), exact
+    """One row about the distinct-value table, however many metrics it has:
+    how the exact ranks are counted (by the largest metric), and whether any
+    metric takes SciPy's exact branch (no ties, a sample <= 8)."""
+    by_metric = counts.groupBy("metric_name").agg(
+        F.count(F.lit(1)).alias("distinct_values"), F.sum("c").alias("n1"), F.sum("b").alias("n2"), F.max("t").alias("tmax"))
+    small = (F.col("n1") >= 2) & (F.col("n2") >= 2) & (F.least("n1", "n2") <= EXACT_MAX_SMALL) & (F.col("tmax") <= 1)
+    largest, exact = by_metric.agg(F.max("distinct_values"), F.coalesce(F.bool_or(small), F.lit(False))).first()
+    return buckets_for(largest or 0), exact
 
 
 def rank_summary(counts: DataFrame, buckets: int | None = None, percentiles: bool = True,

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evalspark.operators.datasets import qa_to_prompts
-from evalspark.operators.ranking import buckets_for, smaller_weight
+from evalspark.operators.ranking import buckets_for, join_on_keys, smaller_weight
 from evalspark.session import materialize
 from evalspark.sources.store import KeyedTable, upsert_all
 
@@ -65,49 +65,58 @@ def hard_negatives(
     hash, chunk), so a document of s chunks is one block [o, o + s). A chunk
     takes k consecutive places, from a place given by its own hash, among the
     n - s positions outside its block; only if those are fewer than k do the
-    next chunks of its own document follow. That is k rows per chunk and one
+    next chunks of its own document follow; chunks of another dataset version are
+    none of these. That is k rows per chunk and one
     equi-join on position, for any document skew. A NULL document is a
     document of its own per chunk.
 
-    Returns (chunk_id, rank, negative_chunk_id), rank 1..k.
+    Returns (chunk_id, rank, negative_chunk_id), rank 1..k, and dataset_version
+    where the chunks have one.
     """
-    base = chunks.select(F.col(id_col).alias("id"), F.col(doc_col).cast("string").alias("doc")) \
-        .where(F.col("id").isNotNull()).groupBy("id").agg(F.min("doc").alias("doc"))
-    base = materialize(base.select("id", F.coalesce("doc", F.concat(F.lit("chunk:"), F.col("id").cast("string"))).alias("doc"),
+    versions = "dataset_version" in chunks.columns
+    ver = F.col("dataset_version").cast("string") if versions else F.lit(None).cast("string")
+    base = chunks.select(ver.alias("ver"), F.col(id_col).alias("id"), F.col(doc_col).cast("string").alias("doc")) \
+        .where(F.col("id").isNotNull()).groupBy("ver", "id").agg(F.min("doc").alias("doc"))
+    base = materialize(base.select("ver", "id", F.coalesce("doc", F.concat(F.lit("chunk:"), F.col("id").cast("string"))).alias("doc"),
                                    hash_key(F.col("id").cast("string")).alias("_h")))
-    docs = base.groupBy("doc").agg(F.count(F.lit(1)).alias("s")).withColumn("_dh", hash_key("doc")).withColumn("_g", F.lit(0))
-    docs = materialize(docs)
-    n_docs, n_rows, largest = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum("s"), F.lit(0)), F.max("s")).first()
-    by_hash = docs.groupBy("_g", "_dh").agg(F.sum("s").alias("_hs"))
-    offsets = smaller_weight(by_hash, ["_g"], "_dh", {"_before": "_hs"},
+    docs = materialize(base.groupBy("ver", "doc").agg(F.count(F.lit(1)).alias("s")).withColumn("_dh", hash_key("doc")))
+    sizes = docs.groupBy("ver").agg(F.sum("s").alias("n"))
+    n_docs, largest = docs.agg(F.count(F.lit(1)), F.max("s")).first()
+    by_hash = docs.groupBy("ver", "_dh").agg(F.sum("s").alias("_hs"))
+    offsets = smaller_weight(by_hash, ["ver"], "_dh", {"_before": "_hs"},
                              buckets=buckets_for(n_docs) if buckets is None else buckets)
     # equal 60-bit hashes (vanishingly rare) are ordered by the value itself
-    tied = Window.partitionBy("_dh").orderBy("doc").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = docs.join(offsets.select("_dh", "_before"), "_dh").select(
-        "doc", "s", (F.col("_before") + F.coalesce(F.sum("s").over(tied), F.lit(0))).alias("o"))
-    hashes = base.groupBy("doc", "_h").agg(F.count(F.lit(1)).alias("_t"))
-    inside = smaller_weight(hashes, ["doc"], "_h", {"_in": "_t"}, buckets=buckets_for(largest or 0) if buckets is None else buckets)
-    tie = Window.partitionBy("doc", "_h").orderBy("id")
-    ranked = base.join(inside.select("doc", "_h", "_in"), ["doc", "_h"]) \
+    tied = Window.partitionBy("ver", "_dh").orderBy("doc").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = join_on_keys(docs, offsets.select("ver", "_dh", "_before"), ["ver", "_dh"]).select(
+        "ver", "doc", "s", (F.col("_before") + F.coalesce(F.sum("s").over(tied), F.lit(0))).alias("o"))
+    hashes = base.groupBy("ver", "doc", "_h").agg(F.count(F.lit(1)).alias("_t"))
+    inside = smaller_weight(hashes, ["ver", "doc"], "_h", {"_in": "_t"},
+                            buckets=buckets_for(largest or 0) if buckets is None else buckets)
+    tie = Window.partitionBy("ver", "doc", "_h").orderBy("id")
+    ranked = join_on_keys(base, inside.select("ver", "doc", "_h", "_in"), ["ver", "doc", "_h"]) \
         .withColumn("i", F.col("_in") + F.row_number().over(tie) - 1)
+    placed = join_on_keys(join_on_keys(ranked, offsets, ["ver", "doc"]), sizes, ["ver"])
     # both sides of the join below read the positions: write them once (also cuts lineage)
-    pos = materialize(ranked.join(offsets, "doc").select("id", "_h", "s", "o", "i", (F.col("o") + F.col("i")).alias("pos")))
-    outside = F.lit(n_rows) - F.col("s")
+    pos = materialize(placed.select("ver", "id", "_h", "s", "o", "i", "n", (F.col("o") + F.col("i")).alias("pos")))
+    outside = F.col("n") - F.col("s")
     j = F.col("rank") - 1
     place = F.pmod(F.col("_h") + j, outside)
     target = F.when(j < outside, F.when(place < F.col("o"), place).otherwise(place + F.col("s"))) \
         .otherwise(F.col("o") + F.pmod(F.col("i") + 1 + (j - outside), F.col("s")))
-    src = pos.where(F.lit(n_rows > 1)).select(
-        F.col("id").alias("chunk_id"), "_h", "s", "o", "i",
-        F.explode(F.sequence(F.lit(1), F.lit(max(1, min(k, n_rows - 1))))).alias("rank"),
-    ).select("chunk_id", "rank", target.alias("target"))
-    cand = pos.select(F.col("pos").alias("target"), F.col("id").alias("negative_chunk_id"))
-    return src.join(cand, "target").select("chunk_id", "rank", "negative_chunk_id")
+    src = pos.where("n > 1").select(
+        F.col("id").alias("chunk_id"), "ver", "_h", "s", "o", "i", "n",
+        F.explode(F.sequence(F.lit(1), F.least(F.lit(k), (F.col("n") - 1).cast("int")))).alias("rank"),
+    ).where("rank > 0").select("chunk_id", "ver", "rank", target.alias("target"))
+    cand = pos.select("ver", F.col("pos").alias("target"), F.col("id").alias("negative_chunk_id"))
+    out = join_on_keys(src, cand, ["ver", "target"])
+    return out.select("chunk_id", "rank", "negative_chunk_id", *([F.col("ver").alias("dataset_version")] if versions else []))
 
 
 def negatives_by_chunk(neg: DataFrame) -> DataFrame:
-    """(chunk_id, [negative ids in rank order]); at most k per chunk."""
-    return neg.groupBy("chunk_id").agg(
+    """(chunk_id, [negative ids in rank order]), by dataset version where there
+    are versions; at most k per chunk."""
+    keys = [c for c in ("chunk_id", "dataset_version") if c in neg.columns]
+    return neg.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "negative_chunk_id"))),
                     lambda s: s["negative_chunk_id"]).alias("hard_negative_chunk_ids"))
 
@@ -140,8 +149,12 @@ def _chunk_keys(qa: DataFrame, chunks: DataFrame, id_col: str = "chunk_id") -> d
 
 def retrieval_records(qa: DataFrame, negatives: DataFrame) -> DataFrame:
     """{query, relevant_chunk_ids: [id], hard_negative_chunk_ids}."""
+    if "dataset_version" not in qa.columns:
+        negatives = negatives.drop("dataset_version")
     by = negatives_by_chunk(negatives)
-    j = qa.join(by, "chunk_id", "left")
+    names = {c: f"_n_{c}" for c in ("chunk_id", "dataset_version") if c in by.columns}
+    by = by.withColumnsRenamed(names)
+    j = qa.join(by, [qa[c].eqNullSafe(F.col(n)) for c, n in names.items()], "left")
     return j.select(
         F.col("question").alias("query"),
         F.array(F.col("chunk_id")).alias("relevant_chunk_ids"),
@@ -154,10 +167,14 @@ def rag_records(qa: DataFrame) -> DataFrame:
     return qa.select("question", F.array(F.col("source_text")).alias("contexts"), "ground_truth")
 
 
-def export(df: DataFrame, path: str, fmt: str = "json", partitions: int | None = None) -> str:
-    """S11-S14 sink: partitioned JSON lines or parquet under ``path``."""
+def export(df: DataFrame, path: str, fmt: str = "json", partitions: int | None = None, rows_per_file: int = 1_000_000) -> str:
+    """S11-S14 sink: JSON lines, csv (with header; fields may hold line breaks
+    and quotes) or parquet files of at most ``rows_per_file`` rows under ``path``."""
     out = df.coalesce(partitions) if partitions else df
-    out.write.mode("overwrite").format(fmt).save(path)
+    writer = out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    if fmt == "csv":
+        writer = writer.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+    writer.format(fmt).save(path)
     return path
 
 

@@ -58,19 +58,28 @@ LEFT JOIN (SELECT year(o_orderdate) AS y,
              avg(o_totalprice) AS metric_mean
       FROM orders WHERE substr(o_orderpriority, 1, 1) = '1' GROUP BY 1, 2) b
 ON b.y = m.y AND b.metric_name = m.metric_name"""),
-    "judge_texts": ((), """
-SELECT event_id, CASE event_id % 6
-  WHEN 0 THEN concat('Here: {"score": ', cast(event_id % 5 + 1 AS string), ', "reasoning": "ok", "strengths": ["a"], "weaknesses": []} done')
-  WHEN 1 THEN '{"score": "3", "reasoning": "string score"}'
-  WHEN 2 THEN '{"reasoning": "no score"}'
-  WHEN 3 THEN '{"score": 2, "reasoning": }'
-  WHEN 4 THEN 'no json here'
-  ELSE '{"score": null, "reasoning": "null"}' END AS result FROM events"""),
-    "endpoint_json": ((), """
-SELECT event_id, CASE event_id % 5
-  WHEN 0 THEN '{"predictions": ["p0"]}' WHEN 1 THEN '{"predictions": [{"content": "p1"}]}'
-  WHEN 2 THEN '{"choices": [{"message": {"content": "c2"}}]}' WHEN 3 THEN '{"choices": [{"text": "c3"}]}'
-  ELSE '{"other": 1}' END AS body FROM events"""),
+    "said": ((), r"""
+SELECT reply_id, k, t, replace(replace(replace(replace(replace(t, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t') AS q
+FROM (SELECT concat(conv_id, '-', turn) AS reply_id, conv_id + turn AS k,
+             concat('He said "{', substr(text, 1, 40), '}"', chr(10), '\ ', text) AS t FROM conversations)"""),
+    "judge_texts": (("said",), r"""
+SELECT reply_id, CASE k % 10
+  WHEN 0 THEN concat('Here: {"score": ', k % 5 + 1, ', "reasoning": "', q, '", "strengths": ["', q, '", "b"], "weaknesses": []} done')
+  WHEN 1 THEN concat('{"score": "3", "reasoning": "', q, '"}')
+  WHEN 2 THEN concat('{"reasoning": "', q, '"}')
+  WHEN 3 THEN concat('{"score": ', k % 5 + 1, ', "reasoning": "', t, '"}')
+  WHEN 4 THEN concat('no score: ', t)
+  WHEN 5 THEN concat('{"score": null, "reasoning": "', q, '"}')
+  WHEN 6 THEN concat('{"score": 4.5, "reasoning": "', q, '"} tail }')
+  WHEN 7 THEN concat('{"score": 2, "reasoning": "', q, '"} and {"score": 5}')
+  WHEN 8 THEN concat('```json', chr(10), '{"score": 4.5,', chr(10), ' "reasoning": "', q, '",', chr(10), ' "weaknesses": ["x"]}', chr(10), '```')
+  END AS result FROM said"""),
+    "endpoint_json": (("said",), r"""
+SELECT reply_id, CASE k % 8
+  WHEN 0 THEN concat('{"predictions": ["', q, '"]}') WHEN 1 THEN concat('{"predictions": [{"content": "', q, '"}]}')
+  WHEN 2 THEN concat('{"choices": [{"message": {"role": "assistant", "content": "', q, '"}}]}')
+  WHEN 3 THEN concat('{"choices": [{"text": "', q, '"}]}') WHEN 4 THEN concat('{"other": "', q, '"}')
+  WHEN 5 THEN concat('{"predictions": ["', t, '"]}') WHEN 6 THEN concat('{"predictions": ["', q, '"]} trailing') ELSE t END AS body FROM said"""),
     "chunks": ((), """
 SELECT cast(doc_id AS string) AS chunk_id, concat('v', cast(doc_id % 3 + 1 AS string)) AS dataset_version,
        lang AS source_collection, source, trim(text) AS source_text,

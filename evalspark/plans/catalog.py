@@ -9,6 +9,7 @@ are fixed literals so results are reproducible.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -151,6 +152,30 @@ def q_file_source_roundtrip(spark, d):
         .select("prompt", "ground_truth", "prompt_id")
 
 
+@query("file_formats", with_bindings("said") + """
+SELECT f.fmt, reply_id AS prompt_id, t AS prompt, substr(t, 1, 30) AS ground_truth FROM said, (VALUES ('csv'), ('json'), ('parquet')) f(fmt)""")
+def q_file_formats(spark, d):
+    """Texts with quotes, braces and line breaks written in three formats, several files each, and read back."""
+    rows = T.said(spark, d).select(F.col("reply_id").alias("prompt_id"), F.col("t").alias("question"), F.substring("t", 1, 30).alias("answer"))
+    out = None
+    for fmt in ("csv", "json", "parquet"):
+        path = testgen.export(rows, scratch_path(spark, f"export-{fmt}"), fmt, rows_per_file=100)
+        back = datasets.read_prompts(spark, path, fmt, "question", "answer").select(F.lit(fmt).alias("fmt"), "prompt_id", "prompt", "ground_truth")
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@query("rejected_records", with_bindings("said") + """
+SELECT CASE WHEN k % 4 <> 0 THEN t END AS prompt, CASE WHEN k % 4 = 0 THEN concat('{"question": "', reply_id) END AS rejected FROM said""")
+def q_rejected_records(spark, d):
+    """Json lines of which every fourth breaks off; those are kept with their text."""
+    said = T.said(spark, d)
+    line = F.when(F.col("k") % 4 != 0, F.to_json(F.struct(F.col("t").alias("question")))).otherwise(F.concat(F.lit('{"question": "'), "reply_id"))
+    path = scratch_path(spark, "rejected")
+    said.select(line.alias("value")).write.text(path)
+    return datasets.read_prompts(spark, path, "json", "question", None, schema="question string", rejected_col="rejected").select("prompt", "rejected")
+
+
 @query("sample_responses", with_bindings("responses") + """
 SELECT response_id, model_version, status FROM responses ORDER BY md5(response_id) LIMIT 100""")
 def q_sample_responses(spark, d):
@@ -348,18 +373,18 @@ def q_metric_scorers(spark, d):
 # ---------------------------------------------------------------- judge
 
 @query("judge_parse", with_bindings("judge_texts") + f"""
-SELECT event_id, {Q.judge_parse_cols('result')} FROM judge_texts""")
+SELECT reply_id, {Q.judge_parse_cols('result')} FROM judge_texts""")
 def q_judge_parse(spark, d):
     t = J.parse_judgements(T.judge_texts(spark, d), "result", "p")
-    return t.select("event_id", "p.score", "p.reasoning", F.size("p.strengths").alias("n_strengths"),
+    return t.select("reply_id", "p.score", "p.reasoning", F.size("p.strengths").alias("n_strengths"),
                     F.size("p.weaknesses").alias("n_weaknesses"), "p.error", "p.parse_path")
 
 
 @query("extract_response_text", with_bindings("endpoint_json") + f"""
-SELECT event_id, {Q.response_text('body')} AS text, {Q.response_text('body', False)} AS judge_text FROM endpoint_json""")
+SELECT reply_id, {Q.response_text('body')} AS text, {Q.response_text('body', False)} AS judge_text FROM endpoint_json""")
 def q_extract_response_text(spark, d):
     e = J.extract_response_texts(T.endpoint_json(spark, d), "body", {"text": True, "judge_text": False})
-    return e.select("event_id", "text", "judge_text")
+    return e.select("reply_id", "text", "judge_text")
 
 
 @query("judge_prompt", with_bindings("pairs") + f"""
@@ -432,6 +457,17 @@ def q_batch_inference(spark, d):
                       "error_message", "run_id")
 
 
+@query("resumed_inference", ORACLES["batch_inference"])
+def q_resumed_inference(spark, d):
+    """K1: a run that ends after one wave of calls, then goes on: no prompt is called twice."""
+    path, prompts = scratch_path(spark, "resumed-calls"), T.prompts(spark, d)
+    out = None
+    for waves in (1, None):
+        out = batch.batch_infer(prompts, infer_call, CANDIDATE, INFER_RUN, ENDPOINT, created_at=FIXED_TS, max_workers=4,
+                                results=path, rows_per_wave=100, max_waves=waves)
+    return out.select("response_id", "prompt_id", "model_version", "endpoint_name", "response", "status", "error_message", "run_id")
+
+
 # ---------------------------------------------------------------- responses
 
 @query("latency_stats", with_bindings("responses") + """
@@ -569,6 +605,35 @@ def q_mann_whitney(spark, d):
     return stats.mann_whitney(T.evals(spark, d), CANDIDATE, BASELINE, regression.DEFAULT_METRICS)
 
 
+_BY_RUN = ("evals_run", f"""SELECT * FROM (SELECT *, CASE WHEN substr(md5(eval_id), 1, 1) < '8' THEN 'run-a' ELSE 'run-b' END AS run_id FROM evals) x
+  WHERE (model_version = '{CANDIDATE}' AND run_id = 'run-a') OR (model_version = '{BASELINE}' AND run_id = 'run-b')""")
+
+
+@query("mann_whitney_by_run", with_bindings("evals", extra=[_BY_RUN, ("base", _STATS_CTES[0][1].replace("FROM evals", "FROM evals_run")), *_STATS_CTES[1:]]) + """
+SELECT metric_name, cast(n1 AS BIGINT) AS n_candidate, cast(n2 AS BIGINT) AS n_baseline, u_statistic, z_score, p_value FROM mwp""")
+def q_mann_whitney_by_run(spark, d):
+    """Each version in its own run."""
+    run = F.when(F.substring(F.md5("eval_id"), 1, 1) < "8", "run-a").otherwise("run-b")
+    return stats.mann_whitney(T.evals(spark, d).withColumn("run_id", run), CANDIDATE, BASELINE, regression.DEFAULT_METRICS, "run-a", "run-b")
+
+
+@query("mann_whitney_exact", with_bindings("summary") + f"""
+, s AS (SELECT metric_name, metric_mean AS v, model_version = '{CANDIDATE}' AS c,
+          row_number() OVER (PARTITION BY metric_name ORDER BY metric_mean) AS r FROM summary
+        WHERE model_version IN ('{CANDIDATE}', '{BASELINE}') AND metric_mean IS NOT NULL),
+n AS (SELECT metric_name, count_if(c) AS n1, count_if(NOT c) AS n2, sum(r) FILTER (WHERE c) - count_if(c) * (count_if(c) + 1) // 2 AS u FROM s GROUP BY 1),
+m AS (SELECT metric_name, n1, n2, u, mask FROM n, (SELECT unnest(range(0, 65536)) AS mask) x WHERE mask < (1 << (n1 + n2)) AND bit_count(mask) = n1),
+a AS (SELECT metric_name, n1, n2, u, mask, sum(i + 1) - n1 * (n1 + 1) // 2 AS ui
+      FROM m, (SELECT unnest(range(0, 16)) AS i) b WHERE (mask >> i) & 1 = 1 GROUP BY metric_name, n1, n2, u, mask)
+SELECT metric_name, cast(n1 AS BIGINT) AS n_candidate, cast(n2 AS BIGINT) AS n_baseline, cast(u AS DOUBLE) AS u_statistic,
+  least(1.0, 2.0 * count_if(ui >= greatest(u, n1 * n2 - u)) / count(*)) AS p_value
+FROM a GROUP BY metric_name, n1, n2, u""".lstrip())
+def q_mann_whitney_exact(spark, d):
+    """A12's exact branch: the yearly means of each metric, at most eight a version; the oracle lists all arrangements."""
+    rows = T.summary(spark, d).select("metric_name", "model_version", F.col("metric_mean").alias("metric_value"))
+    return stats.mann_whitney(rows, CANDIDATE, BASELINE).drop("z_score")
+
+
 _REPORT_COLS = ("metric_name, candidate_mean, baseline_mean, candidate_std, baseline_std, candidate_p50, candidate_p95, "
                 "pct_change, u_statistic, z_score, p_value, is_regression, n_candidate, n_baseline, reason, outcome")
 
@@ -747,26 +812,26 @@ def q_chunk_texts(spark, d):
 
 _NEG_K = 2
 
-# The rule: chunks in order of (document hash, document, chunk hash, chunk); a
+# The rule, within each dataset version: chunks in order of (document hash, document, chunk hash, chunk); a
 # chunk takes k places from its own hash on among those outside its document,
 # then the next ones of its document if there are not enough.
 _NEG_CTES = [
-    ("nb", """SELECT chunk_id AS id, coalesce(min(source), concat('chunk:', chunk_id)) AS doc,
-  ('0x' || substr(md5(chunk_id), 1, 15))::BIGINT AS h FROM chunks GROUP BY chunk_id"""),
-    ("npos", """SELECT *, row_number() OVER (ORDER BY ('0x' || substr(md5(doc), 1, 15))::BIGINT, doc, h, id) - 1 AS pos,
-  count(*) OVER () AS n, count(*) OVER (PARTITION BY doc) AS s FROM nb"""),
-    ("nblock", "SELECT *, min(pos) OVER (PARTITION BY doc) AS o FROM npos"),
+    ("nb", """SELECT dataset_version AS ver, chunk_id AS id, coalesce(min(source), concat('chunk:', chunk_id)) AS doc,
+  ('0x' || substr(md5(chunk_id), 1, 15))::BIGINT AS h FROM chunks GROUP BY dataset_version, chunk_id"""),
+    ("npos", """SELECT *, row_number() OVER (PARTITION BY ver ORDER BY ('0x' || substr(md5(doc), 1, 15))::BIGINT, doc, h, id) - 1 AS pos,
+  count(*) OVER (PARTITION BY ver) AS n, count(*) OVER (PARTITION BY ver, doc) AS s FROM nb"""),
+    ("nblock", "SELECT *, min(pos) OVER (PARTITION BY ver, doc) AS o FROM npos"),
     ("nsrc", f"""SELECT b.*, j.j, n - s AS free FROM nblock b, (SELECT unnest(range(0, {_NEG_K})) AS j) j WHERE j.j < n - 1"""),
-    ("ntarget", """SELECT id, j, CASE WHEN j >= free THEN o + (pos - o + 1 + j - free) % s
+    ("ntarget", """SELECT ver, id, j, CASE WHEN j >= free THEN o + (pos - o + 1 + j - free) % s
   WHEN (h + j) % free < o THEN (h + j) % free ELSE (h + j) % free + s END AS target
   FROM nsrc"""),
     ("neg", """SELECT t.id AS chunk_id, cast(t.j + 1 AS integer) AS rank, c.id AS negative_chunk_id
-  FROM ntarget t JOIN npos c ON c.pos = t.target"""),
+  FROM ntarget t JOIN npos c ON c.pos = t.target AND c.ver = t.ver"""),
 ]
 
 
 def _negatives(spark, d):
-    return testgen.hard_negatives(T.chunks(spark, d), k=_NEG_K)
+    return testgen.hard_negatives(T.chunks(spark, d), k=_NEG_K).drop("dataset_version")
 
 
 @query("hard_negatives", with_bindings("chunks", extra=_NEG_CTES) + """
@@ -912,6 +977,113 @@ def q_run_state_values(spark, d):
                      runs.json_get("v", "missing", "pending").alias("missing_value"))
 
 
+_RUN_KEYS = ("status", "config", "task:inference", "task:evaluation", "output:scores", "output:report", "job_id")
+_LIFECYCLE = ("lifecycle", """SELECT cast(user_id AS VARCHAR) AS run_id, k, ts, event_id,
+  CASE k WHEN 'status' THEN CASE WHEN event_id % 3 = 0 THEN 'completed' WHEN event_id % 3 = 1 THEN 'running' ELSE 'failed' END
+    WHEN 'config' THEN props WHEN 'job_id' THEN concat('job-', event_id) WHEN 'output:scores' THEN props WHEN 'output:report' THEN concat('a "report" of ', event_id)
+    ELSE CASE WHEN event_id % 2 = 0 THEN 'completed' ELSE 'running' END END AS v
+  FROM (SELECT *, (""" + "[" + ", ".join(f"'{k}'" for k in _RUN_KEYS) + f"])[event_id % {len(_RUN_KEYS)} + 1] AS k FROM events) e")
+
+
+def _json_sql(prefix: str) -> str:
+    return (f"coalesce('{{' || string_agg(to_json(substr(k, {len(prefix) + 1})) || ':' || to_json(v), ',' ORDER BY k) "
+            f"FILTER (WHERE starts_with(k, '{prefix}')) || '}}', '{{}}')")
+
+
+@query("run_records", with_bindings(extra=[_LIFECYCLE]) + f"""
+SELECT run_id, max(v) FILTER (WHERE k = 'job_id') AS job_id, max(v) FILTER (WHERE k = 'status') AS status, max(v) FILTER (WHERE k = 'config') AS config,
+  {_json_sql('task:')} AS task_state, {_json_sql('output:')} AS outputs, min(first_ts) AS created_at, max(ts) AS updated_at,
+  max(ts) FILTER (WHERE k = 'status' AND v IN ('completed', 'failed')) AS completed_at
+FROM (SELECT *, min(ts) OVER (PARTITION BY run_id, k) AS first_ts, row_number() OVER (PARTITION BY run_id, k ORDER BY ts DESC, event_id DESC) AS rn
+      FROM lifecycle) x WHERE rn = 1 GROUP BY run_id""")
+def q_run_records(spark, d):
+    """Events arrive in three batches, late ones among them, with a snapshot after each of the first two."""
+    ev = T.read_table(spark, d, "events")
+    i = F.col("event_id")
+    k = F.element_at(F.array(*[F.lit(x) for x in _RUN_KEYS]), (i % len(_RUN_KEYS) + 1).cast("int"))
+    rows = ev.select(F.col("user_id").cast("string").alias("run_id"), k.alias("k"), "props", "ts", "event_id").withColumn(
+        "v", F.when(F.col("k") == "status", F.when(i % 3 == 0, "completed").when(i % 3 == 1, "running").otherwise("failed"))
+        .when(F.col("k").isin("config", "output:scores"), F.col("props")).when(F.col("k") == "job_id", F.concat(F.lit("job-"), i))
+        .when(F.col("k") == "output:report", F.concat(F.lit('a "report" of '), i))
+        .otherwise(F.when(i % 2 == 0, "completed").otherwise("running")))
+    log = runs.RunLog(spark, scratch_path(spark, "run-log"))
+    for batch_no in range(3):
+        log.append(rows.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == batch_no))
+        if batch_no < 2:
+            log.snapshot()
+    return log.records().drop("job_run_id")
+
+
+@query("json_values", with_bindings(extra=[_LIFECYCLE]) + """
+SELECT event_id, json_keys(props) AS keys, json_extract_string(props, '$.k') AS k_value,
+  concat('{"k":', to_json(json_extract_string(props, '$.k')), ',"by":', to_json(event_type), '}') AS changed FROM events""")
+def q_json_values(spark, d):
+    """all keys, one value, and the object with one value set."""
+    ev = T.read_table(spark, d, "events")
+    return ev.select("event_id", F.json_object_keys("props").alias("keys"), runs.json_get("props", "k").alias("k_value"),
+                     runs.json_set("props", "by", F.col("event_type")).alias("changed"))
+
+
+# ---------------------------------------------------------------- ordered reads of views
+
+def _registered(spark, name: str, view: DataFrame) -> DataFrame:
+    """The view registered under its name and read by it."""
+    prefix = f"read_{uuid.uuid4().hex[:8]}_"
+    view.createOrReplaceTempView(prefix + name)
+    return views.read_view(spark, name, prefix)
+
+
+@query("ordered_outcome_history", with_bindings("summary") + """
+SELECT *, row_number() OVER (ORDER BY created_at DESC, model_version, run_id, outcome) AS position FROM (
+SELECT model_version, run_id, outcome, created_at,
+  count(*) FILTER (WHERE TRY_CAST(json_extract_string(outcome_reason, '$.is_regression') AS BOOLEAN) = true) AS regression_count,
+  avg(p_value) AS avg_p_value
+FROM summary GROUP BY model_version, run_id, outcome, created_at)""")
+def q_ordered_outcome_history(spark, d):
+    return _registered(spark, "outcome_history", views.outcome_history(T.summary(spark, d)))
+
+
+_EXACT_METRICS = ["exact_match", "contains_match", "response_length", "token_count"]
+
+
+@query("ordered_prompt_scores", _long_bindings(_EXACT_METRICS) + """
+SELECT *, row_number() OVER (ORDER BY metric_value, prompt_id, model_version, metric_name) AS position FROM (
+SELECT e.prompt_id, p.prompt, e.model_version, e.metric_name, e.metric_value, e.evaluator, r.response, p.ground_truth
+FROM ev e JOIN pairs r ON e.prompt_id = r.prompt_id AND e.model_version = r.model_version
+JOIN prompts p ON e.prompt_id = p.prompt_id)""")
+def q_ordered_prompt_scores(spark, d):
+    b = T.Bindings(spark, d)
+    return _registered(spark, "prompt_scores", views.prompt_scores(_evaluated(spark, d, _EXACT_METRICS, b), b.pairs(), b.prompts()))
+
+
+@query("ordered_error_analysis", with_bindings("responses") + """
+SELECT *, row_number() OVER (ORDER BY error_count DESC, model_version, status, error_message) AS position FROM (
+SELECT model_version, status, n AS error_count, cast(n AS double) * 100.0 / err AS error_rate_pct,
+  cast(n AS double) * 100.0 / alln AS request_error_rate_pct, error_message FROM (
+  SELECT model_version, status, error_message, count(*) AS n,
+    sum(count(*)) OVER (PARTITION BY model_version) AS alln,
+    sum(CASE WHEN status <> 'success' THEN count(*) ELSE 0 END) OVER (PARTITION BY model_version) AS err
+  FROM responses GROUP BY model_version, status, error_message) x
+WHERE status <> 'success')""")
+def q_ordered_error_analysis(spark, d):
+    return _registered(spark, "error_analysis", views.error_analysis(T.responses(spark, d)))
+
+
+@query("late_rows_in_view", with_bindings("responses") + """
+SELECT model_version, quantile_cont(latency_ms, 0.5) AS latency_p50, count(*) AS request_count
+FROM responses WHERE latency_ms IS NOT NULL GROUP BY model_version""")
+def q_late_rows_in_view(spark, d):
+    """A view registered over half of the rows shows the other half after it arrives."""
+    path, rows = scratch_path(spark, "late-rows"), T.responses(spark, d)
+    half = F.pmod(F.xxhash64("response_id"), F.lit(2))
+    rows.where(half == 0).write.parquet(path)
+    name = f"latency_{uuid.uuid4().hex[:8]}"
+    latency.latency_trends(spark.read.parquet(path), by=("model_version",)).createOrReplaceTempView(name)
+    rows.where(half == 1).write.mode("append").parquet(path)
+    spark.catalog.refreshTable(name)
+    return spark.table(name).select("model_version", "latency_p50", "request_count")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -107,7 +107,9 @@ def judge_parse_cols(r: str) -> str:
   {path} AS parse_path"""
 
 
-def response_text(b: str, with_text: bool = True) -> str:
+def response_text(raw: str, with_text: bool = True) -> str:
+    b = f"(CASE WHEN json_valid({raw}) THEN {raw} END)"
+
     def kind(p):
         return f"json_type({b}, '{p}')"
 
@@ -122,7 +124,7 @@ def response_text(b: str, with_text: bool = True) -> str:
     if with_text:
         out += (f"WHEN {kind('$.choices[0]')} = 'OBJECT' AND {has('$.choices[0]', 'text')} "
                 f"THEN json_extract_string({b}, '$.choices[0].text') ")
-    return out + f"ELSE {b} END"
+    return out + f"ELSE {raw} END"
 
 
 def p_value(z: str) -> str:

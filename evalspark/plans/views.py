@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from evalspark.operators import latency
 from evalspark.operators.scoring import join_prompts
+from evalspark.session import materialize
 
 # Metrics shown by the trend and daily views.
 TREND_METRICS = ["faithfulness", "answer_relevance", "judge_score", "rouge_l"]
@@ -52,7 +53,8 @@ def prompt_scores(evals: DataFrame, responses: DataFrame, prompts: DataFrame) ->
     """View 3 (J2): per-prompt scores with response and prompt text.
 
     Eval rows that carry a response_id are joined on it (one response per
-    eval row, T7); rows without one fall back to (prompt_id, model_version).
+    eval row, T7); rows without one fall back to the newest response of their
+    (prompt_id, model_version).
     Two equi-joins, unioned, so no eval row is multiplied by every response
     of its prompt. The dataset version belongs to every key where the rows
     carry it (T6), so a prompt in two versions does not double its scores.
@@ -71,7 +73,12 @@ def prompt_scores(evals: DataFrame, responses: DataFrame, prompts: DataFrame) ->
     same = (F.col("prompt_id") == F.col("r_pid")) & (F.col("model_version") == F.col("r_model"))
     if "dataset_version" in evals.columns and "dataset_version" in responses.columns:
         same = same & F.col("dataset_version").eqNullSafe(F.col("r_version"))
-    by_key = e.where(F.col("e_rid").isNull()).join(r, same)
+    newest = [c for c in ("created_at",) if c in responses.columns]
+    latest = responses.select("*", rid.alias("_rid")).groupBy("prompt_id", "model_version", version(responses).alias("_version")).agg(
+        F.max_by(F.struct("response"), F.struct(*newest, "_rid", F.coalesce("response", F.lit("")))).alias("_r")) \
+        .select(F.col("prompt_id").alias("r_pid"), F.col("model_version").alias("r_model"), F.col("_version").alias("r_version"),
+                F.col("_r.response").alias("response"))
+    by_key = e.where(F.col("e_rid").isNull()).join(latest, same)
     cols = ["prompt_id", "model_version", "dataset_version", "metric_name", "metric_value", "evaluator", "response"]
     j = by_id.select(*cols).unionByName(by_key.select(*cols))
     if "dataset_version" not in evals.columns:
@@ -135,16 +142,20 @@ def error_analysis(responses: DataFrame) -> DataFrame:
 def evaluation_coverage(responses: DataFrame, evals: DataFrame) -> DataFrame:
     """View 8 (A17/J3): share of responses with at least one eval row.
 
-    Grouped by (model, run) and ordered by them (T9). Distinct counts are
-    planned by Spark as one expand + two-level aggregation.
+    Grouped by (model, run) and ordered by them (T9). Both sides are folded
+    to one row per response before they meet: a response to its (model, run),
+    its eval rows to the sorted set of their metrics. Then plain counts are
+    distinct counts, and the metrics of a group are the union of the few
+    different sets in it.
     """
-    r = responses.select("model_version", "run_id", "response_id")
-    e = evals.select(F.col("response_id").alias("e_response_id"), "metric_name")
+    r = responses.groupBy("model_version", "run_id", "response_id").agg(F.lit(1).alias("_one"))
+    e = evals.where(F.col("response_id").isNotNull()).groupBy(F.col("response_id").alias("e_response_id")) \
+        .agg(F.array_sort(F.collect_set("metric_name")).alias("_metrics"))
     j = r.join(e, F.col("response_id") == F.col("e_response_id"), "left")
     out = j.groupBy("model_version", "run_id").agg(
-        F.count_distinct("response_id").alias("total_responses"),
-        F.count_distinct("e_response_id").alias("evaluated_responses"),
-        F.count_distinct("metric_name").alias("metrics_computed"),
+        F.count("response_id").alias("total_responses"),
+        F.count("e_response_id").alias("evaluated_responses"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("_metrics")))).cast("long").alias("metrics_computed"),
     )
     return out.withColumn(
         "coverage_pct",
@@ -155,14 +166,14 @@ def evaluation_coverage(responses: DataFrame, evals: DataFrame) -> DataFrame:
 def judge_distribution(evals: DataFrame, metric: str = "judge_score") -> DataFrame:
     """View 9 (A18/W2/P4): score counts and share within each model.
 
-    The per-model total (W2) is an aggregate with one row per model joined
-    back, not a window: scores can be continuous, and a window would send all
+    The per-model total (W2) is added up from the counts and joined back, one
+    row per model, not a window: scores can be continuous, and a window would send all
     of a hot model's score groups to one task.
     """
     base = evals.where((F.col("metric_name") == metric) & F.col("metric_value").isNotNull())
     g = base.groupBy("model_version", F.col("metric_value").alias("judge_score")) \
         .agg(F.count(F.lit(1)).alias("count"))
-    totals = base.groupBy(F.col("model_version").alias("_mv")).agg(F.count(F.lit(1)).alias("_total"))
+    totals = g.groupBy(F.col("model_version").alias("_mv")).agg(F.sum("count").alias("_total"))
     j = g.join(totals, F.col("model_version").eqNullSafe(F.col("_mv")))
     return j.select("model_version", "judge_score", "count",
                     F.round(F.col("count").cast("double") * 100.0 / F.col("_total"), 2).alias("pct"))
@@ -184,6 +195,38 @@ def daily_summary(summary: DataFrame, metrics=DAILY_METRICS) -> DataFrame:
     return j.groupBy("model_version", "outcome", "latest_run_time").agg(*aggs)
 
 
+# The order in which each view is read; ties go on to the other columns named.
+ORDERINGS = {
+    "outcome_history": (("created_at", "desc"), ("model_version", "asc"), ("run_id", "asc"), ("outcome", "asc")),
+    "metric_trends": (("model_version", "asc"), ("metric_name", "asc"), ("created_at", "asc")),
+    "prompt_scores": (("metric_value", "asc"), ("prompt_id", "asc"), ("model_version", "asc"), ("metric_name", "asc")),
+    "latency_trends": (("created_at", "desc"), ("model_version", "asc"), ("endpoint_name", "asc")),
+    "regression_summary": (("created_at", "desc"), ("metric_name", "asc"), ("model_version", "asc")),
+    "version_comparison": (("metric_name", "asc"),),
+    "error_analysis": (("error_count", "desc"), ("model_version", "asc"), ("status", "asc"), ("error_message", "asc")),
+    "evaluation_coverage": (("model_version", "asc"), ("run_id", "asc")),
+    "judge_distribution": (("model_version", "asc"), ("judge_score", "asc")),
+    "daily_summary": (("model_version", "asc"), ("outcome", "asc")),
+}
+
+
+def read_view(spark: SparkSession, name: str, prefix: str = "", position: str = "position") -> DataFrame:
+    """A registered view in its order, with the place of each row (from 1).
+
+    Rows are dealt by ranges of the order and numbered inside each range from
+    the counts of the ranges before it, so no task sorts the whole view; the
+    dealt rows are written once, as both steps read them.
+    """
+    order = [F.desc(c) if way == "desc" else F.asc(c) for c, way in ORDERINGS[name]]
+    view = spark.table(prefix + name)
+    dealt = materialize(view.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn("_in", inside).join(starts, "_range").withColumn(position, F.col("_start") + F.col("_in")) \
+        .select(*view.columns, position).orderBy(position)
+
+
 def register_views(spark: SparkSession, summary: DataFrame, responses: DataFrame, evals: DataFrame,
                    prompts: DataFrame, candidate: str, baseline: str, prefix: str = "") -> list[str]:
     """Register all ten views as temporary views; returns their names."""

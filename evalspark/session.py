@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -60,7 +61,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="evalspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        warnings.warn(f"spark.checkpoint.dir is not set: this local session writes intermediate tables to {conf_dir}", stacklevel=2)
         spark.sparkContext.setCheckpointDir(conf_dir)
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(conf_dir)
@@ -82,12 +83,23 @@ def materialize(df):
     on a machine-local path.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "mat")
+    path = recorded_path(spark, "mat")
     df.write.parquet(path)
-    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+def recorded_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder that ``release_materialized`` deletes."""
+    path = scratch_path(spark, name)
+    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 _MATERIALIZED: dict[str, list[str]] = {}
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from evalspark.schemas import TABLES
-from evalspark.session import materialize
+from evalspark.session import materialize, path_exists
 
 
 class DuplicateKeyError(ValueError):
@@ -51,11 +51,6 @@ def check_keys(source: DataFrame, keys: list[str]) -> None:
         raise DuplicateKeyError(f"duplicate upsert keys in source on {keys}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
 BUCKETS = 32
 BLOCK_BITS = 32_768  # bits of one bitmap of bitmap_construct_agg
 PROBES = 4
@@ -98,12 +93,12 @@ class KeyedTable:
         return f"{self.root}/filters"
 
     def _read_layout(self) -> None:
-        if _exists(self.spark, f"{self.root}/layout"):
+        if path_exists(self.spark, f"{self.root}/layout"):
             self.buckets, self.blocks = self.spark.read.schema("buckets int, blocks int").json(f"{self.root}/layout").first()
 
     def create(self) -> None:
         """An empty table (IF NOT EXISTS)."""
-        if not _exists(self.spark, f"{self.root}/layout"):
+        if not path_exists(self.spark, f"{self.root}/layout"):
             self.spark.createDataFrame([(self.buckets, self.blocks)], "buckets int, blocks int").coalesce(1) \
                 .write.json(f"{self.root}/layout")
 
@@ -124,7 +119,7 @@ class KeyedTable:
 
     def _in_buckets(self, buckets: list[int] | None) -> DataFrame:
         """The rows of some buckets: others are neither listed nor read."""
-        if not _exists(self.spark, self._rows):
+        if not path_exists(self.spark, self._rows):
             return self.spark.createDataFrame([], self.schema)
         schema = StructType([*self.schema.fields, StructField("_bucket", IntegerType())])
         table = self.spark.read.schema(schema).parquet(self._rows)
@@ -136,7 +131,7 @@ class KeyedTable:
         """(buckets that may hold a key of ``source``, the other buckets that
         its keys belong to); at most ``buckets`` numbers reach the driver."""
         asked = self._bits(source)
-        if not _exists(self.spark, self._filters):
+        if not path_exists(self.spark, self._filters):
             return [], sorted(r[0] for r in asked.select("_bucket").distinct().collect())
         # a key may be known if all its bits are set
         byte = F.conv(F.hex(F.substring("bitmap", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
@@ -189,7 +184,7 @@ class KeyedTable:
     def _write_filters(self, src: DataFrame, buckets: list[int]) -> None:
         """Set the bits of the source's keys: only the filters of its buckets are rewritten."""
         made = self._bits(src).groupBy("_bucket", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-        if _exists(self.spark, self._filters):
+        if path_exists(self.spark, self._filters):
             old = self._filter_rows().where(F.col("_bucket").isin(buckets)).select("_bucket", "block", "bitmap")
             made = materialize(made.unionByName(old).groupBy("_bucket", "block").agg(F.bitmap_or_agg("bitmap").alias("bitmap")))
         made.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \

@@ -162,35 +162,61 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _quoted(c: Column) -> Column:
+    """The text inside a JSON string."""
+    for raw, written in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        c = F.replace(c, F.lit(raw), F.lit(written))
+    return c
+
+
+def said(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation text, with quotes and braces around a part of it."""
+    c = read_table(spark, sf_dir, "conversations")
+    return c.select(F.concat_ws("-", "conv_id", "turn").alias("reply_id"), (F.col("conv_id") + F.col("turn")).alias("k"),
+                    F.concat(F.lit('He said "{'), F.substring("text", 1, 40), F.lit('}"\n\\ '), F.col("text")).alias("t"))
+
+
 def judge_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six shapes of judge output text, keyed by event_id."""
-    ev = read_table(spark, sf_dir, "events").select("event_id")
-    k = F.col("event_id") % 6
-    good = F.concat(F.lit('Here: {"score": '), _s(F.col("event_id") % 5 + 1),
-                    F.lit(', "reasoning": "ok", "strengths": ["a"], "weaknesses": []} done'))
-    return ev.select(
-        "event_id",
-        F.when(k == 0, good)
-        .when(k == 1, '{"score": "3", "reasoning": "string score"}')
-        .when(k == 2, '{"reasoning": "no score"}')
-        .when(k == 3, '{"score": 2, "reasoning": }')
-        .when(k == 4, "no json here")
-        .otherwise('{"score": null, "reasoning": "null"}').alias("result"),
-    )
+    """Ten shapes of judge replies about the texts of conversations: JSON with
+    text around it, string, missing, null and fractional scores, unescaped
+    quotes, text after the object, two objects, no JSON at all, no reply."""
+    q, t = _quoted(F.col("t")), F.col("t")
+    score = _s(F.col("k") % 5 + 1)
+    shapes = [
+        F.concat(F.lit('Here: {"score": '), score, F.lit(', "reasoning": "'), q, F.lit('", "strengths": ["'), q, F.lit('", "b"], "weaknesses": []} done')),
+        F.concat(F.lit('{"score": "3", "reasoning": "'), q, F.lit('"}')),
+        F.concat(F.lit('{"reasoning": "'), q, F.lit('"}')),
+        F.concat(F.lit('{"score": '), score, F.lit(', "reasoning": "'), t, F.lit('"}')),
+        F.concat(F.lit("no score: "), t),
+        F.concat(F.lit('{"score": null, "reasoning": "'), q, F.lit('"}')),
+        F.concat(F.lit('{"score": 4.5, "reasoning": "'), q, F.lit('"} tail }')),
+        F.concat(F.lit('{"score": 2, "reasoning": "'), q, F.lit('"} and {"score": 5}')),
+        F.concat(F.lit('```json\n{"score": 4.5,\n "reasoning": "'), q, F.lit('",\n "weaknesses": ["x"]}\n```')),
+        F.lit(None).cast("string"),
+    ]
+    out = F.lit(None).cast("string")
+    for i, shape in enumerate(shapes):
+        out = F.when(F.col("k") % len(shapes) == i, shape).otherwise(out)
+    return said(spark, sf_dir).select("reply_id", out.alias("result"))
 
 
 def endpoint_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five shapes of serving-endpoint response bodies."""
-    ev = read_table(spark, sf_dir, "events").select("event_id")
-    k = F.col("event_id") % 5
-    return ev.select(
-        "event_id",
-        F.when(k == 0, '{"predictions": ["p0"]}')
-        .when(k == 1, '{"predictions": [{"content": "p1"}]}')
-        .when(k == 2, '{"choices": [{"message": {"content": "c2"}}]}')
-        .when(k == 3, '{"choices": [{"text": "c3"}]}')
-        .otherwise('{"other": 1}').alias("body"),
-    )
+    """Eight shapes of serving-endpoint bodies around the texts of conversations."""
+    q, t = _quoted(F.col("t")), F.col("t")
+    shapes = [
+        F.concat(F.lit('{"predictions": ["'), q, F.lit('"]}')),
+        F.concat(F.lit('{"predictions": [{"content": "'), q, F.lit('"}]}')),
+        F.concat(F.lit('{"choices": [{"message": {"role": "assistant", "content": "'), q, F.lit('"}}]}')),
+        F.concat(F.lit('{"choices": [{"text": "'), q, F.lit('"}]}')),
+        F.concat(F.lit('{"other": "'), q, F.lit('"}')),
+        F.concat(F.lit('{"predictions": ["'), t, F.lit('"]}')),
+        F.concat(F.lit('{"predictions": ["'), q, F.lit('"]} trailing')),
+        t,
+    ]
+    out = F.lit(None).cast("string")
+    for i, shape in enumerate(shapes):
+        out = F.when(F.col("k") % len(shapes) == i, shape).otherwise(out)
+    return said(spark, sf_dir).select("reply_id", out.alias("body"))
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

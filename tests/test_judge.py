@@ -87,3 +87,12 @@ def test_column_form_equals_frame_form(spark):
     a = [r.p.asDict() for r in df.select(J.parse_judgement("r").alias("p")).collect()]
     b = [r.p.asDict() for r in J.parse_judgements(df, "r", "p").collect()]
     assert a == b
+
+
+def test_text_after_the_object_is_not_json(spark):
+    got = parse(spark, ['{"score": 4.5, "reasoning": "x"} tail }', '{"score": 2} and {"score": 5}', 'so: {"score": 4.5} ok',
+                        '{"score": 3}, "z": {"b": 1}', '{"score": 3}} {"a": 1}'])
+    assert [(g["score"], g["parse_path"]) for g in got] == [(4.0, "regex"), (2.0, "regex"), (4.5, "json"), (3.0, "regex"), (3.0, "regex")]
+    body = '{"predictions": ["p"]} trailing'
+    r = spark.createDataFrame([(body,)], "b string").select(J.extract_response_text("b").alias("t")).first()
+    assert r.t == body

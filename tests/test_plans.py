@@ -11,11 +11,15 @@ from tests.conftest import SF001
 # model / judge / generator / scorer calls.
 PYTHON_OK = {
     "rouge_l", "eval_long_table", "end_to_end_evaluation", "batch_judge", "batch_inference", "generate_qa",
-    "testgen_totals", "scorer_evals", "judge_sample", "evaluation_run",
+    "testgen_totals", "scorer_evals", "judge_sample", "evaluation_run", "resumed_inference",
+    "mann_whitney_exact",  # the exact p-value of small samples, a row per metric
+    "ordered_prompt_scores",
 }
 # Windows without a partition key are allowed only over the per-metric
 # comparison rows (bounded by the requested metric list).
-UNPARTITIONED_WINDOW_OK = {"regression_report", "metric_summary", "alert_payload"}
+# or over one row per range of an ordered read.
+UNPARTITIONED_WINDOW_OK = {"regression_report", "metric_summary", "alert_payload", "ordered_outcome_history",
+                           "ordered_prompt_scores", "ordered_error_analysis"}
 
 
 def unpartitioned_windows(plan: str) -> int:
@@ -53,3 +57,22 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = executed_plan(spark, "latency_stats")
     schemas = re.findall(r"ReadSchema: (struct<[^\n]*>)", plan)
     assert schemas and all("props" not in s and "event_type" not in s for s in schemas)
+
+
+@pytest.mark.parametrize("name", ["latency_trends", "error_analysis", "judge_distribution"])
+def test_totals_and_moments_share_one_scan(spark, name):
+    """Groups, totals, percentiles and moments read the raw rows by one shuffle that the branches reuse."""
+    from evalspark.plans import views
+    from evalspark.session import materialize
+    from evalspark.sources import tables as T
+
+    raw = materialize(T.evals(spark, SF001) if name == "judge_distribution" else T.responses(spark, SF001))
+    df = getattr(views, name)(raw)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet", plan)) == 1 and "ReusedExchange" in plan
+
+
+def test_coverage_has_no_expand(spark):
+    # the only one is the unpivoted labels table that stands for the eval rows
+    assert executed_plan(spark, "evaluation_coverage").count("Expand [") == 1

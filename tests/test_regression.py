@@ -228,3 +228,47 @@ def test_view_percent_change_zero_and_negative_baseline(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, -2.0), (3.0, 2.0)], "c double, b double")
     got = [r[0] for r in df.select(pct_change_view(F.col("c"), F.col("b"))).collect()]
     assert got == [0.0, 0.0, 50.0]
+
+
+def test_order_bits_order_like_the_values(spark):
+    import math
+    import random
+    import struct
+
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DoubleType, LongType
+
+    from evalspark.operators.ranking import order_bits
+
+    rng = random.Random(3)
+    values = [0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225e-308, 1.7976931348623157e308, math.inf, -math.inf, math.nan,
+              0.1, 0.2, 0.30000000000000004, 2.0, 4.0, 7.999999999999999, 8.0]
+    values += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    values += [math.nextafter(2.0 ** e, 0.0) for e in range(-1074, 1024, 7)] + [2.0 ** e for e in range(-1074, 1024, 7)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", order_bits(F.col("v"), DoubleType()).alias("o")).collect()
+    for r in rows:
+        if not math.isnan(r.v):
+            bits = struct.unpack("<Q", struct.pack("<d", abs(r.v)))[0]
+            assert r.o == (-bits if r.v < 0 else bits), r.v
+    assert {r.o for r in rows if math.isnan(r.v)} == {(1 << 63) - 1}
+    assert [r.o for r in spark.range(-3, 3).select(order_bits(F.col("id"), LongType()).alias("o")).collect()] == list(range(-3, 3))
+
+
+def test_smaller_weight_by_digits_equals_one_window(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from evalspark.operators.ranking import smaller_weight
+
+    rng = random.Random(8)
+    values = sorted({rng.choice([rng.gauss(0, 1), rng.gauss(1e6, 1e-3), rng.uniform(-1e-300, 1e-300), float(rng.randint(-5, 5))]) for _ in range(800)})
+    rows = [(g, v, rng.randint(1, 9)) for g in (None, "a", "b") for v in rng.sample(values, 300)]
+    df = spark.createDataFrame(rows, "g string, v double, w long")
+    one = {(r.g, r.v): r.s for r in smaller_weight(df, ["g"], "v", {"s": "w"}, buckets=1).collect()}
+    assert {(r.g, r.v): r.s for r in smaller_weight(df, ["g"], "v", {"s": "w"}).collect()} == one
+    for g, v, _ in rows[:200]:
+        assert one[g, v] == sum(w for h, u, w in rows if h == g and u < v)
+    longs = df.withColumn("v", (F.col("v") * 1000).cast("long")).groupBy("g", "v").agg(F.sum("w").alias("w"))
+    assert {tuple(r) for r in smaller_weight(longs, ["g"], "v", {"s": "w"}).collect()} == \
+        {tuple(r) for r in smaller_weight(longs, ["g"], "v", {"s": "w"}, buckets=1).collect()}

@@ -270,3 +270,95 @@ def test_ship_package_once_per_application(spark):
     session.ship_package(spark)
     session.ship_package(spark)
     assert spark.sparkContext.applicationId in session._SHIPPED
+
+
+def test_sample_selection_edges(spark):
+    rows = [(f"k{i}" if i % 2 else None, i, {"m": str(i)}) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, v int, tags map<string,string>")
+    assert datasets.deterministic_sample(df, 0, "k").count() == 0 and datasets.deterministic_sample(df, 999, "k").count() == 200
+    import hashlib
+    import json
+
+    order = sorted(rows, key=lambda r: (hashlib.md5((r[0] or "").encode()).hexdigest(), r[0] or "",
+                                        json.dumps({**({"k": r[0]} if r[0] else {}), "v": r[1], "tags": r[2]}, separators=(",", ":"))))
+    for n in (1, 60, 130, 199, 200):
+        assert sorted(r.v for r in datasets.deterministic_sample(df, n, "k").collect()) == sorted(r[1] for r in order[:n])
+    plan = datasets.deterministic_sample(df, 60, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "rangepartitioning" not in plan  # no ranking of the table
+
+
+def test_row_metadata_wins_over_batch_metadata(spark):
+    df = datasets.prompts_from_rows(spark, [{"prompt": "q", "metadata": {"source": "own", "x": 1}}], "v1", {"source": "batch", "lang": "en"})
+    assert df.first().metadata == {"source": "own", "x": "1", "lang": "en"}
+
+
+def test_csv_fields_with_line_breaks_and_quotes(spark):
+    from evalspark.operators import testgen
+
+    said = ' a "quoted" word,\nand\r\na {brace} \\ end '
+    rows = spark.createDataFrame([(said, "x"), ("plain", None)], "prompt string, ground_truth string")
+    path = testgen.export(rows, scratch_path(spark, "csv"), "csv", rows_per_file=1)
+    back = {(r.prompt, r.ground_truth) for r in datasets.read_prompts(spark, path, "csv").collect()}
+    assert {p.replace("\r\n", "\n") for p, _ in back} == {said.replace("\r\n", "\n"), "plain"} and (  # the reader may join \r\n
+        ("plain", None) in back)
+    doubled = scratch_path(spark, "csv-doubled")
+    spark.createDataFrame([('prompt,ground_truth',), ('"say ""hi""",t',)], "value string").coalesce(1).write.text(doubled)
+    assert datasets.read_prompts(spark, doubled, "csv", csv_escape='"').first().prompt == 'say "hi"'
+
+
+def test_run_log_reads_a_snapshot_and_what_came_since(spark):
+    import os
+
+    def event(run, k, v, second, i):
+        return (run, k, v, dt.datetime(2024, 1, 1, 0, 0, second), i)
+
+    def frame(*rows):
+        return spark.createDataFrame(list(rows), runs.EVENT_SCHEMA)
+
+    root = scratch_path(spark, "runlog")
+    log = runs.RunLog(spark, root)
+    assert log.records().count() == 0 and not log.exists("r1")
+    log.append(runs.init_run_events(spark, "r1", {"m": 1}, dt.datetime(2024, 1, 1), job_id="j"))
+    log.append(frame(event("r1", "status", "running", 10, 100), event("r2", "status", "pending", 3, 101)))
+    log.snapshot()
+    log.append(frame(event("r1", "output:u", 'a "b"', 20, 102)))
+    log.snapshot()
+    log.append(frame(event("r1", "status", "completed", 30, 103), event("r1", "status", "failed", 5, 104),  # the second one is late
+                     event("r2", "task:inference", "running", 9, 105)))
+    got = {r.run_id: r for r in log.records().collect()}
+    r1 = got["r1"]
+    assert (r1.status, r1.job_id, r1.outputs) == ("completed", "j", '{"u":"a \\"b\\""}') and '"inference":"pending"' in r1.task_state
+    assert (r1.created_at, r1.updated_at, r1.completed_at) == tuple(dt.datetime(2024, 1, 1, 0, 0, s) for s in (0, 30, 30))
+    assert got["r2"].status == "pending" and got["r2"].task_state == '{"inference":"running"}' and got["r2"].completed_at is None
+    assert log.exists("r2") and not log.exists("r3")
+    # the events of the first epoch are not read any more
+    plan = log.state()._jdf.queryExecution().executedPlan().toString()
+    assert "/snapshots/2" in plan and "/snapshots/1" not in plan
+    assert "(epoch" in plan.split("PartitionFilters: [")[1].split("]")[0] + plan.split("PartitionFilters: [")[-1].split("]")[0]
+    assert sorted(os.listdir(f"{root}/snapshots")) == ["1", "2"]
+    log.append(frame(event("r9", "status", "done", 40, 200)))
+    with pytest.raises(Exception, match="unknown run status"):
+        log.records().collect()
+
+
+def test_ordered_read_gives_the_global_place(spark):
+    from evalspark.plans import views
+
+    rows = spark.range(500).selectExpr("concat('m', id % 7) AS model_version", "'s' AS status", "id * 37 % 101 AS error_count",
+                                       "concat('e', id) AS error_message")
+    rows.createOrReplaceTempView("t1_error_analysis")
+    got = views.read_view(spark, "error_analysis", "t1_").collect()
+    want = sorted(rows.collect(), key=lambda r: (-r.error_count, r.model_version, r.status, r.error_message))
+    assert [r.position for r in got] == list(range(1, 501)) and [r.error_message for r in got] == [r.error_message for r in want]
+
+
+def test_eval_rows_without_a_response_id_show_once(spark):
+    from evalspark.plans import views
+
+    ev = spark.createDataFrame([(None, "p", "1", "m", 0.5, "e")], "response_id string, prompt_id string, model_version string, "
+                               "metric_name string, metric_value double, evaluator string")
+    resp = spark.createDataFrame([("r1", "p", "1", "old", TS), ("r2", "p", "1", "new", TS + dt.timedelta(days=1))],
+                                 "response_id string, prompt_id string, model_version string, response string, created_at timestamp")
+    prompts = spark.createDataFrame([("p", "q", "t")], "prompt_id string, prompt string, ground_truth string")
+    got = views.prompt_scores(ev, resp, prompts).collect()
+    assert [r.response for r in got] == ["new"]

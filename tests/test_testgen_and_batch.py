@@ -223,3 +223,55 @@ def test_metrics_to_evals_maps_and_writes_values(spark):
     assert all(r.metric_value is None and "unavailable" in r.metric_details for r in rows
                if r.metric_name == "safety")
     assert len(rows) == 2 * pairs.count()
+
+
+def test_negatives_stay_in_their_version(spark):
+    rows = [(f"c{i}", "v1" if i < 12 else "v2", f"d{i % 4}") for i in range(20)] + [(f"c{i}", "v2", f"d{i % 3}") for i in range(5)]
+    df = spark.createDataFrame(rows, "chunk_id string, dataset_version string, source string")
+    for buckets in (1, 4):
+        got = testgen.hard_negatives(df, k=2, buckets=buckets).collect()
+        assert len(got) == 2 * len(rows)
+        for v in ("v1", "v2"):
+            inside = [(c, d) for c, w, d in rows if w == v]
+            by = {}
+            for r in sorted((r for r in got if r.dataset_version == v), key=lambda r: r.rank):
+                by.setdefault(r.chunk_id, []).append(r.negative_chunk_id)
+            assert by == brute_negatives(inside, 2)
+    qa = spark.createDataFrame([("c1", "v1", "q"), ("c1", "v2", "q"), ("none", "v1", "q")], "chunk_id string, dataset_version string, question string")
+    records = testgen.retrieval_records(qa, testgen.hard_negatives(df, k=2)).collect()
+    assert len(records) == 3 and sorted(len(r.hard_negative_chunk_ids) for r in records) == [0, 2, 2]
+
+
+def test_calls_go_on_where_they_stood(spark, tmp_path):
+    """A run that breaks off in its third wave: what was written stays, the next run calls only the rest."""
+    from evalspark.session import scratch_path
+
+    flag = tmp_path / "broken"
+    flag.write_text("x")
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def call(prompt):
+        import os
+        import uuid
+
+        if os.path.exists(flag) and prompt == "prompt 7":
+            raise SystemExit("the worker dies")
+        (log / uuid.uuid4().hex).write_text(prompt)
+        return 200, '{"predictions": ["ok"]}'
+
+    prompts = spark.createDataFrame([(f"p{i}", f"prompt {i}") for i in range(60)], "prompt_id string, prompt string")
+    path = scratch_path(spark, "resume")
+    arguments = {"created_at": "2024-01-01", "max_workers": 1, "results": path, "rows_per_wave": 10, "partitions": 1}
+    with pytest.raises(Exception):  # noqa: B017
+        batch.batch_infer(prompts, call, "1", "r", "e", **arguments)
+    flag.unlink()
+    before = {r.prompt_id for r in spark.read.parquet(path).collect()}
+    assert "p7" not in before and len(before) < 60
+    seen = {f.name for f in log.iterdir()}
+    out = batch.batch_infer(prompts, call, "1", "r", "e", **arguments).collect()
+    assert sorted(r.prompt_id for r in out) == sorted(f"p{i}" for i in range(60)) and {r.status for r in out} == {"success"}
+    called = [f.read_text() for f in log.iterdir() if f.name not in seen]
+    assert sorted(called) == sorted(f"prompt {i}" for i in range(60) if f"p{i}" not in before)
+    assert batch.batch_infer(prompts, call, "1", "r", "e", **arguments).count() == 60
+    assert len(list(log.iterdir())) == len(seen) + len(called)  # nothing left to call
