@@ -13,8 +13,11 @@ labelled rows (about ``train_rows`` of each, all of a language with no more),
 so no language is lost as the corpus grows. The model keeps the ``max_words``
 words and ``max_grams`` n-grams with the largest share in any one language, so
 its size is bounded whatever the corpus (everything else is what the backoff
-is for). Prediction is one narrow
-pass over whole texts without a shuffle.
+is for). The kept items are written as a table of that size and reach the
+driver through Arrow as flat arrays; only tasks build dictionaries from them.
+Prediction is one narrow pass over whole texts without a shuffle.
+
+A word is a run of letters and numerals other than digits that holds a letter.
 
 Defined cases: NULL text, empty text or text without a letter -> ``und``,
 score 0, known 0; no labelled row -> every text ``und``; equal sums -> the language
@@ -28,6 +31,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -45,14 +49,24 @@ FLUSH = 50_000  # distinct words counted before they are sent on
 
 @dataclass
 class LanguageModel:
+    """The first ``n_words`` items are words, the others n-grams."""
+
     langs: list[str]
-    words: dict[str, int]
-    grams: dict[str, int]
-    logs: np.ndarray  # one row of per-language log frequencies per word or n-gram
+    items: pa.StringArray
+    n_words: int
+    logs: np.ndarray  # one row of per-language log frequencies per item
+
+    @cached_property
+    def words(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self.items[: self.n_words].to_pylist())}
+
+    @cached_property
+    def grams(self) -> dict[str, int]:
+        return {g: i for i, g in enumerate(self.items[self.n_words :].to_pylist(), self.n_words)}
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    return [w for w in WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams_of(word: str, size: int) -> list[str]:
@@ -102,26 +116,26 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
               for r in counts.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     langs = sorted({lang for lang, _ in totals})
     place = {lang: i for i, lang in enumerate(langs)}
-    sums = docs.sparkSession.createDataFrame([(lang, kind, n) for (lang, kind), (n, _) in totals.items()], "lang string, kind int, whole long")
+    sums = docs.sparkSession.createDataFrame([(lang, kind, place[lang], n) for (lang, kind), (n, _) in totals.items()],
+                                             "lang string, kind int, place int, whole long")
     by_item = (counts.join(F.broadcast(sums), ["lang", "kind"]).groupBy("kind", "item")
-               .agg(F.max(F.col("n") / F.col("whole")).alias("share"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")))
-
-    def top(kind_test: str, limit: int) -> list:
-        return by_item.where(kind_test).orderBy(F.desc("share"), "kind", "item").limit(limit).collect()
-
-    known = top("kind = 0", max_words) + top("kind > 0", max_grams)
-    logs = np.zeros((len(known), len(langs)), dtype=np.float32)
-    bottom = {kind: np.array([alpha / (totals.get((lang, kind), (0, 0))[0] + alpha * (totals.get((lang, kind), (0, 0))[1] + 1))
-                              for lang in langs]) for kind in (0, *GRAM_SIZES)}
-    words: dict[str, int] = {}
-    grams: dict[str, int] = {}
-    for i, r in enumerate(known):
-        p = bottom[r["kind"]].copy()
-        for lang, n in r["by_lang"].items():
-            p[place[lang]] *= (n + alpha) / alpha
-        logs[i] = np.log(p)
-        (words if r["kind"] == 0 else grams)[r["item"]] = i
-    return LanguageModel(langs, words, grams, logs)
+               .agg(F.max(F.col("n") / F.col("whole")).alias("share"), F.collect_list(F.struct("place", "n")).alias("by_lang")))
+
+    def top(kind_test: str, limit: int) -> pa.Table:
+        """Chosen and written by tasks: the driver gets no more than ``limit`` flat rows."""
+        best = by_item.where(kind_test).orderBy(F.desc("share"), "kind", "item").limit(limit)
+        return common.stored(best.select("kind", "item", "by_lang")).toArrow()
+
+    words, grams = top("kind = 0", max_words), top("kind > 0", max_grams)
+    known = pa.concat_tables([words, grams])
+    bottom = np.array([[alpha / (n + alpha * (v + 1)) for n, v in (totals.get((lang, kind), (0, 0)) for lang in langs)]
+                       for kind in range(max(GRAM_SIZES) + 1)])
+    p = bottom[known["kind"].to_numpy()]
+    lists = known["by_lang"].combine_chunks()
+    entries = lists.flatten()
+    p[np.repeat(np.arange(len(p)), lists.value_lengths().to_numpy()), entries.field("place").to_numpy()] *= (
+        entries.field("n").to_numpy() + alpha) / alpha
+    return LanguageModel(langs, known["item"].combine_chunks(), words.num_rows, np.log(p).astype(np.float32))
 
 
 def scorer(model: LanguageModel, remembered: int = 100_000) -> Callable[[str | None], tuple[str, float, float]]:

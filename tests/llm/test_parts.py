@@ -187,6 +187,16 @@ def test_decontamination_recall(share):
     assert found >= 0.95 * len(items)
 
 
+def test_decontamination_filters():
+    """Unrelated windows rarely share a key with an item of their length."""
+    rng = random.Random(9)
+    for n in (12, 25, 60):
+        some = np.array([[rng.randint(1, 3000) for _ in range(n)] for _ in range(200)], dtype=np.uint64)
+        made = decontam.keys(some, np.full(len(some), n), decontam.samples_for(0.999))
+        alike = (made[:100, None, :] == made[None, 100:, :]).any(axis=2)
+        assert alike.mean() < 0.05
+
+
 def test_edit_distance_bits():
     rng = random.Random(6)
     for _ in range(300):
@@ -211,6 +221,20 @@ def test_mask_and_added_kinds(spark):
     assert pii.find(wrong).first().spans == []  # failing checksum; a local phone needs context
 
 
+@pytest.mark.parametrize("text", ["½ ²", "Ⅷ", "12 _ ½x½"])
+def test_numerals_are_no_letters(spark, text):
+    docs = spark.createDataFrame([(1, "one two", "en"), (2, "eins zwei", "de")], "doc_id long, text string, lang string")
+    score = langid.scorer(langid.fit(docs))
+    assert (score(text)[0] == "und") == ("x" not in text)
+
+
+def test_equal_rows_spread_over_blocks(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+                                    F.lit(100).cast("long").alias("length"), F.lit(7).cast("long").alias("ids_crc32"))
+    got = packing.pack(common.stored(rows), block_pieces=200).groupBy(F.shiftright("sequence_id", 32).alias("block")).count().collect()
+    assert len(got) == 15 and max(r["count"] for r in got) < 300 and sum(r["count"] for r in got) == 3000
+
+
 def test_language_columns_clash(spark):
     docs = spark.createDataFrame([(i, "the of and" if i % 2 else "der die das", "en" if i % 2 else "de", 1.0) for i in range(20)],
                                  "doc_id long, text string, lang string, lang_pred double")
