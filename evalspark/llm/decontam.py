@@ -47,7 +47,7 @@ from . import common
 from .shingles import mix
 
 WORD = re.compile(r"\w+")
-STRETCH = 3  # steps of a walk per word
+STRETCH = 1.5  # steps of a walk per word: it moves on at every other step, so nearly all walks still write words at their end
 SAMPLED = 2  # positions in a key
 WALKS = 8
 SURVIVES = 0.35  # share of positions that still agree, for the planned number of samples
@@ -67,7 +67,7 @@ def most_edits(n: int, percent: int) -> int:
 def embedded(words: np.ndarray, lengths: np.ndarray, walk: int) -> np.ndarray:
     """CGK walks of the rows of ``words`` (0 past a row's length): the word
     written at each of STRETCH * n steps of a row of n words."""
-    steps = STRETCH * words.shape[1]
+    steps = math.ceil(STRETCH * words.shape[1])
     at = np.zeros(len(words), dtype=np.int64)
     rows = np.arange(len(words))
     out = np.zeros((len(words), steps), dtype=np.uint64)
