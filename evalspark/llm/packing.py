@@ -194,9 +194,10 @@ def best_two_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int
 
 def pack(pieces: DataFrame, capacity: int = 1024, block_pieces: int = 20_000) -> DataFrame:
     """Pieces (as from ``token_pieces``) with sequence_id and offset. ``pieces``
-    is read twice (count, then pack): pass a stored table."""
+    is read twice (count, then pack): pass a stored table. Blocks go by hash
+    and place in that table, so equal rows spread over all blocks too."""
     blocks = max(1, -(-pieces.count() // block_pieces))
-    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(blocks)).cast("int"))
+    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("id", "piece", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
 
     def one(block: pd.DataFrame) -> pd.DataFrame:
