@@ -66,7 +66,8 @@ class LanguageModel:
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
+    found = WORD.findall(text.lower())
+    return found if "".join(found).isalpha() else [w for w in found if any(map(str.isalpha, w))]
 
 
 def grams_of(word: str, size: int) -> list[str]:
@@ -76,32 +77,27 @@ def grams_of(word: str, size: int) -> list[str]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per-task counts of (language, kind, item); kind 0 is a word, else the n-gram size."""
-    names = ["lang", "kind", "item", "n"]
-
-    def out(counts: Counter) -> pa.RecordBatch:
-        keys = list(counts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-             pa.array([k[2] for k in keys], pa.string()), pa.array([counts[k] for k in keys], pa.int64())], names)
-
-    def expanded(words: Counter) -> pa.RecordBatch:
-        counts: Counter = Counter()
-        for (lang, word), n in words.items():
-            counts[lang, 0, word] += n
-            for size in GRAM_SIZES:
-                for gram in grams_of(word, size):
-                    counts[lang, size, gram] += n
-        return out(counts)
-
-    words: Counter = Counter()
+    words: dict[str, Counter] = {}
+
+    def expanded() -> Iterator[pa.RecordBatch]:
+        for lang, own in words.items():
+            for kind in (0, *GRAM_SIZES):
+                counts = own if kind == 0 else Counter()
+                if kind:
+                    for word, n in own.items():
+                        for gram in grams_of(word, kind):
+                            counts[gram] += n
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(lang), len(counts)), pa.repeat(pa.scalar(kind, pa.int32()), len(counts)),
+                     pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "kind", "item", "n"])
+
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words.update((lang, w) for w in words_of(text))
-            if len(words) > FLUSH:
-                yield expanded(words)
-                words = Counter()
-    if words:
-        yield expanded(words)
+            words.setdefault(lang, Counter()).update(words_of(text))
+            if sum(map(len, words.values())) > FLUSH:
+                yield from expanded()
+                words.clear()
+    yield from expanded()
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
