@@ -18,18 +18,20 @@ document with a smaller id. Exact over the whole corpus, in these steps:
    dealt by their own digest, so no gram is bound to one task: of equal
    windows all but those of the smallest id are covered, first within the
    task that fetched them, then among what such tasks send. For the other
-   grams each task builds the
-   Burrows-Wheeler transform of its contexts, at most twice ``BWT_BYTES`` at
-   a time, and expands intervals of rows
-   breadth first: intervals of rows sharing k bytes, extended backward by
-   every byte, are the intervals sharing k + 1, which derives the common
-   prefix values in increasing order; it stops at ``length``. Rows then still
-   together start with the same ``length`` bytes, and all but those of the
-   smallest id are covered.
+   grams each task leaves out the windows that have a digest of their own and
+   builds the Burrows-Wheeler transform of the rest of its contexts, at most
+   twice ``BWT_BYTES`` at a time, and expands intervals of rows breadth first:
+   intervals of rows sharing k bytes, extended backward by the bytes of the
+   transform, are the intervals sharing k + 1, which derives the common prefix
+   values in increasing order; it stops at ``length``. Rows then still together
+   start with the same ``length`` bytes, and all but those of the smallest id
+   are covered.
 4. The covered ranges meet their documents and are cut out.
 
 Digests of gram and context together have 96 bits, those of single windows
-128; the transform compares bytes.
+128; the transform compares bytes, and the digests before it only leave out
+windows without an equal one. A very long text is read whole, in blocks that
+overlap by a window.
 
 Defined cases: NULL text is the empty text; ids are integers; rows with equal
 ids do not count as smaller or larger than each other; a NULL id is neither
@@ -117,62 +119,109 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return out
 
 
-def common_prefix_groups(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array, group of each row): rows of one group share at least
-    ``length`` bytes. Breadth-first expansion on the transform of ``data``."""
+def rotations(data: np.ndarray, depth: int) -> np.ndarray:
+    """Starts of the rotations of ``data``, sorted by at least their first ``depth`` bytes."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(16, dtype=np.uint8)])
-    rank = np.ndarray((n,), dtype=">u8", buffer=padded.data, strides=(1,)).astype(np.uint64)
-    reach, order = 8, None
-    while True:  # sort suffixes by their first ``reach`` bytes
-        order = np.argsort(rank, kind="stable")
-        own = rank[order]
-        dense = np.empty(n, dtype=np.int64)
-        dense[order] = np.cumsum(np.concatenate([[0], own[1:] != own[:-1]]))
-        if reach >= length + 1 or dense[order[-1]] == n - 1:
+    around = np.concatenate([data, np.resize(data, 8)])
+    key = np.ndarray((n,), dtype=">u8", buffer=around.data, strides=(1,)).astype(np.uint64)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    reach = 8
+    while reach < depth:  # rows that are still equal are sorted by the bytes after the first ``reach``
+        rows = np.flatnonzero(~first | ~np.append(first[1:], True))
+        if not len(rows):
             break
-        after = np.zeros(n, dtype=np.int64)
-        after[: max(0, n - reach)] = dense[reach:] + 1
-        rank = dense.astype(np.uint64) * np.uint64(n + 2) + after.astype(np.uint64)
+        at = order[rows]
+        key = rank[at].astype(np.uint64) * np.uint64(n) + rank[(at + reach) % n].astype(np.uint64)
+        by = np.argsort(key)
+        key, order[rows] = key[by], at[by]
+        first[rows[1:]] |= key[1:] != key[:-1]
+        rank[order[rows]] = np.maximum.accumulate(np.where(first[rows], rows, 0))
         reach *= 2
-    before = np.where(order > 0, data[order - 1], 0)  # the transform; row of the whole text wraps
-    row = np.empty(n, dtype=np.int64)
-    row[order] = np.arange(n)
-    forward = np.where(order + 1 < n, row[np.minimum(order + 1, n - 1)], -1)  # row of the suffix without its first byte
-    first = data[order]
-    del before
-    # level 1: rows that share no byte
-    apart = np.concatenate([[True], first[1:] != first[:-1]])
-    live = np.flatnonzero(~apart)
-    new = apart
-    for _ in range(1, length):
-        seen = np.cumsum(new)
-        i, j = forward[live - 1], forward[live]
-        cut = np.where((i < 0) | (j < 0), True, seen[j] != seen[i])
-        if not cut.any() and not new.any():
-            break
-        new = np.zeros(n, dtype=bool)
-        new[live[cut]] = True
-        apart[live[cut]] = True
-        live = live[~cut]
-        if not len(live):
+    return order
+
+
+def common_prefix_groups(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted rotations of ``data``, group of each row): rows of one group
+    share at least ``length`` bytes. An interval of rows sharing k bytes is
+    extended backward by each byte of the transform in it, which gives the
+    intervals sharing k + 1; an end not seen before has the common prefix k,
+    and only intervals with such an end are extended further."""
+    n = len(data)
+    order = rotations(data, length)
+    transform = data[order - 1]
+    by_byte = np.argsort(transform, kind="stable")
+    extended = np.empty(n, dtype=np.int64)  # row of each row's rotation with its byte before it
+    extended[by_byte] = np.arange(n)
+    byte = transform[by_byte]
+    same = byte[1:] == byte[:-1]
+    following, previous = np.full(n, n), np.full(n, -1)  # rows with the same byte
+    following[by_byte[:-1][same]] = by_byte[1:][same]
+    previous[by_byte[1:][same]] = by_byte[:-1][same]
+    apart = np.zeros(n + 1, dtype=bool)
+    apart[[0, n]] = True
+    lo, hi = np.array([0]), np.array([n])
+    for _ in range(length):
+        size = hi - lo
+        row = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+        last = following[row] >= np.repeat(hi, size)
+        first = previous[row] < np.repeat(lo, size)
+        # intervals of one level do not overlap, so their sorted starts and ends belong together
+        lo, hi = np.sort(extended[row[first]]), np.sort(extended[row[last]]) + 1
+        new = ~apart[hi]
+        lo, hi = lo[new], hi[new]
+        if not len(hi):
             break
-    return order, np.cumsum(apart) - 1
+        apart[hi] = True
+    return order, np.cumsum(apart[:n]) - 1
+
+
+def recurring(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Which windows ``at`` have a digest that another one has too."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    word = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+    digest = np.zeros(len(at), dtype=np.uint64)
+    for j in [*range(0, length - 7, 8), length - 8]:
+        digest = (digest ^ word[at + j]) * np.uint64(0xBF58476D1CE4E5B9)
+        digest ^= digest >> np.uint64(29)
+    order = np.argsort(digest)
+    digest = digest[order]
+    same = digest[1:] == digest[:-1]
+    out = np.zeros(len(at), dtype=bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
 
 
 def covered(data: np.ndarray, starts: np.ndarray, counts: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
     """Per byte position of contexts laid end to end: does the window there
-    also start in a context with a smaller id? Context i has counts[i] windows."""
-    order, group = common_prefix_groups(data, length)
-    context = np.repeat(np.arange(len(starts)), counts + length - 1)
-    window = np.arange(len(data)) - starts[context] < counts[context]
-    rows = window[order]
-    own, group = ids[context[order[rows]]], group[rows]
+    also start in a context with a smaller id? Context i has counts[i] windows.
+    Windows with a digest of their own are left out of the transform: runs of
+    the others are laid end to end."""
     out = np.zeros(len(data), dtype=bool)
-    if len(group):
-        edges = np.flatnonzero(np.diff(group, prepend=-1))
-        smallest = np.minimum.reduceat(own, edges)[np.cumsum(np.diff(group, prepend=group[0]) != 0)]
-        out[order[rows]] = own > smallest
+    counts = counts.astype(np.int64)
+    of = np.repeat(np.arange(len(starts)), counts)
+    at = np.arange(len(of)) + (starts - np.cumsum(counts) + counts)[of]
+    again = recurring(data, at, length)
+    of, at = of[again], at[again]
+    if not len(at):
+        return out
+    new = np.concatenate([[True], at[1:] != at[:-1] + 1])
+    begin = np.flatnonzero(new)
+    windows = np.diff(begin, append=len(at))
+    size = windows + length - 1
+    place = np.repeat(at[begin] - np.cumsum(size) + size, size) + np.arange(size.sum())
+    run = np.repeat(np.arange(len(begin)), size)
+    is_window = np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size) < windows[run]
+    order, group = common_prefix_groups(data[place], length)
+    rows = is_window[order]
+    own, group, order = ids[of[begin]][run[order[rows]]], group[rows], order[rows]
+    edges = np.flatnonzero(np.diff(group, prepend=-1))
+    smallest = np.minimum.reduceat(own, edges)[np.cumsum(np.diff(group, prepend=group[0]) != 0)]
+    out[place[order[own > smallest]]] = True
     return out
 
 

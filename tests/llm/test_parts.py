@@ -90,6 +90,28 @@ def test_covered_windows(length):
         assert got == {(i, p) for i, d in enumerate(docs) for p in range(len(d) - length + 1) if first[d[p : p + length]] < i}
 
 
+@pytest.mark.parametrize("length", [16, 20, 50, 64])
+def test_intervals_of_the_transform(length):
+    """Rows of one group are those rotations that share ``length`` bytes."""
+    rng = np.random.default_rng(length)
+    for trial in range(100):
+        data = rng.integers(97, 98 + int(rng.integers(1, 4)), int(rng.integers(1, 300))).astype(np.uint8)
+        if trial % 2:
+            data = np.tile(data[: max(1, len(data) // 5)], 7)
+        order, group = suffixes.common_prefix_groups(data, length)
+        around = bytes(data) * (length // len(data) + 2)
+        prefix = [around[o : o + length] for o in order.tolist()]
+        assert sorted(order.tolist()) == list(range(len(data)))
+        assert prefix == sorted(prefix)
+        assert np.diff(group).tolist() == [int(a != b) for a, b in zip(prefix, prefix[1:])]
+
+
+def test_recurring_windows():
+    data = np.frombuffer(b"0123456789abcdefXYZ0123456789abcdef", dtype=np.uint8)
+    at = np.arange(len(data) - 15)
+    assert np.flatnonzero(suffixes.recurring(data, at, 16)).tolist() == [0, 19]
+
+
 def test_prefix_keeps_links():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 50, 1 << jaccard.SKETCH_BITS)
