@@ -16,15 +16,16 @@ number of recovered differences. All rows of a batch are sketched and peeled
 together as numpy arrays.
 
 The next document (descending id, after the last the first) needs an order
-over the whole table: ids are dealt into ranges at approximate quantiles, each
-range is sorted on its own, and the first document of each range is also sent
-to the range before it. One shuffle of the texts; nothing is collected but
-the bounds and one id per range.
+over the whole table: Spark's range partitioning of the ids alone finds ranges
+of about as many rows each, every range is sorted on its own, and the first
+document of each range is also sent to the range before it. One shuffle of the
+texts; nothing is collected but one id per range.
 
 Defined cases: NULL text is the empty text; two texts without paragraphs are
 alike (1.0); NULL ids come last in the order, equal ids are ordered by their
-text; a single row is its own next document; an empty table gives an empty
-result; other columns are not read.
+text; repeated rows each get a result and are each other's next document; a
+single row is its own next document; a very long text is sketched whole; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,11 +36,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegralType
 
 from . import common
 
@@ -168,33 +171,32 @@ def serialized(sets: list[np.ndarray], cells: int = CELLS) -> list[str]:
 def _in_order(docs: DataFrame, range_rows: int, max_parts: int = 100_000) -> DataFrame:
     """id, text, part, extra: by descending id, part after part; the first
     rows of a part also come, marked extra, in the part before it (those of
-    the first part in the last). Equal-width bins of the ids are merged into
-    parts of about ``range_rows`` rows; the bin table (at most 8 bins a part
-    and one for NULL) is all that reaches the driver or is broadcast."""
+    the first part in the last). Spark's range partitioning of the ids alone
+    gives parts of about ``range_rows`` rows, however the ids are spaced; the
+    largest id of each part is all that reaches the driver or is broadcast.
+    Rows of one id, and those without one, are one part."""
     spark = docs.sparkSession
-    low, high, n = docs.agg(F.min("id").cast("double"), F.max("id").cast("double"), F.count("*")).first()
+    whole = isinstance(docs.schema["id"].dataType, IntegralType)
+    keyed = docs.withColumn("key", F.col("id").cast("long" if whole else "double"))
+    n, without = docs.agg(F.count("id"), F.count_if(F.col("id").isNull())).first()
     parts = min(max_parts, max(1, -(-n // range_rows)))
-    low, high = low or 0.0, high or 0.0
-    width = max((high - low) / (8 * parts), 1e-9)
-    binned = docs.withColumn("bin", F.when(F.col("id").isNull(), 8 * parts + 1).otherwise(
-        F.floor((F.lit(high) - F.col("id").cast("double")) / width)).cast("int"))
-    bins = sorted(tuple(r) for r in binned.groupBy("bin").agg(F.count("*"), F.max("id")).collect())
-    table, part, held = [], 0, 0
-    for i, (number, rows, head) in enumerate(bins):
-        if held and held + rows > range_rows * max(1, n / (parts * range_rows)):
-            part, held = part + 1, 0
-        table.append([number, part, head, part - 1 if not held else None])
-        held += rows
-    for row in table:
-        row[3] = part if row[3] == -1 else row[3]
-    schema = docs.select(F.lit(0).alias("bin"), F.lit(0).alias("part"), F.col("id").alias("head"), F.lit(0).alias("before")).schema
-    for field in schema:
-        field.nullable = True
-    places = spark.createDataFrame(table, schema)
-    to = F.when(F.col("before").isNotNull() & F.col("id").eqNullSafe(F.col("head")), F.col("before"))
+    ranged = keyed.select("key").where("key is not null").repartitionByRange(parts, F.col("key").desc())
+    found = ranged.select("key", F.spark_partition_id().alias("part")).groupBy("part").agg(F.max("key").alias("head")).collect()
+    heads = sorted(r["head"] for r in found)
+    last = len(heads) - (0 if without else 1)
+    shared = spark.sparkContext.broadcast(np.array(heads, dtype=np.int64 if whole else np.float64))
+
+    @F.pandas_udf("int")
+    def part_of(key: pd.Series) -> pd.Series:
+        return pd.Series(len(shared.value) - 1 - np.searchsorted(shared.value, key.to_numpy()))
+
+    part = F.when(F.col("key").isNull(), F.lit(len(heads))).otherwise(part_of(F.coalesce("key", F.lit(0).cast("long" if whole else "double"))))
+    table = [(k, head, k - 1 if k else last) for k, head in enumerate([*reversed(heads), *([None] if without else [])])]
+    places = spark.createDataFrame(table, f"part int, head {'long' if whole else 'double'}, before int")
+    to = F.when(F.col("key").eqNullSafe(F.col("head")), F.col("before"))
     copies = F.filter(F.array(F.struct(F.col("part"), F.lit(False).alias("extra")),
                               F.struct(to.alias("part"), F.lit(True).alias("extra"))), lambda c: c["part"].isNotNull())
-    return (binned.join(F.broadcast(places), "bin").select("id", "text", F.explode(copies).alias("c"))
+    return (keyed.withColumn("part", part).join(F.broadcast(places), "part").select("id", "text", F.explode(copies).alias("c"))
             .select("id", "text", "c.part", "c.extra"))
 
 

@@ -2,6 +2,7 @@
 
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -173,6 +174,22 @@ def test_peeling_recovers_differences():
     assert fingerprint.differences(a, b).tolist() == [len(np.setxor1d(x, y)) for x, y in zip(a, b, strict=True)]
 
 
+@pytest.mark.parametrize("far", [[], [10**15], [None, None, -(2**62), 2**62, 2**62 + 1, 2**62 + 2]])
+def test_ranges_of_uneven_ids(spark, far):
+    """Ranges hold about as many rows wherever the ids lie, and each document meets its next one."""
+    ids = [*range(3000), *far]
+    docs = spark.createDataFrame([(i, f"text {i}.") for i in ids], "id long, text string").repartition(4)
+    rows = fingerprint._in_order(docs, 100).collect()
+    own = sorted(((r.part, r.id) for r in rows if not r.extra), key=lambda x: (x[0], x[1] is None, -(x[1] or 0)))
+    assert [i for _, i in own] == sorted(ids, key=lambda i: (i is None, -(i or 0)))
+    sizes = Counter(p for p, _ in own)
+    assert max(sizes.values()) < 400
+    first = {}
+    for p, i in own:
+        first.setdefault(p, i)
+    assert {(r.part, r.id) for r in rows if r.extra} == {((p - 1) % len(first), i) for p, i in first.items()}
+
+
 def test_trees_learn_and_traverse():
     rng = np.random.default_rng(2)
     x = rng.random((2000, 4))
