@@ -6,8 +6,8 @@ through a small thread pool (the calls are I/O bound) inside ``mapInPandas``.
 Keys travel with every row, so no positional re-association is needed, and
 ids are content hashes, so a re-executed task after executor loss produces
 the same rows and the keyed upsert stays idempotent. The output of each call
-stage is written in waves as it finishes (the functions are eager), so later
-actions, key checks and recomputation after executor loss never call the
+stage is written in waves as it finishes (the functions are eager), many waves
+to a Spark job, so later actions, key checks and recomputation after executor loss never call the
 endpoint again, and a job that was stopped goes on where it stood.
 """
 
@@ -31,6 +31,7 @@ CALL_FIELDS = "status_code int, body string, error string, latency_ms double"
 
 ROWS_PER_TASK = 500  # calls that a lost task repeats at most
 ROWS_PER_WAVE = 200_000  # calls whose results are written together
+TASKS_PER_JOB = 10_000  # tasks whose waves run as one Spark job
 
 
 def _written_calls(src: DataFrame, key: str, fn: Callable, schema: str, partitions: int | None, results: str | None,
@@ -41,6 +42,12 @@ def _written_calls(src: DataFrame, key: str, fn: Callable, schema: str, partitio
     job that failed or was stopped after some waves goes on where it stood: what
     a wave wrote stays, and a lost task repeats at most ROWS_PER_TASK calls.
     ``max_waves`` ends this call early (a budget). Returns all results so far.
+
+    Every task holds rows of one wave and its file stays once it is committed,
+    whatever becomes of the job, so a Spark job runs many waves in order, as
+    many as there are free cores at a time; a run that breaks off repeats those
+    that had not finished. With ``partitions`` there are never more
+    tasks than that at work: one wave, one job.
     """
     spark = src.sparkSession
     path = recorded_path(spark, "calls") if results is None else results
@@ -50,11 +57,21 @@ def _written_calls(src: DataFrame, key: str, fn: Callable, schema: str, partitio
     todo = materialize(src)
     n = todo.count()
     waves = max(1, -(-n // rows_per_wave))
-    for wave in range(waves if max_waves is None else min(waves, max_waves)):
-        part = todo.where(F.pmod(F.xxhash64(F.lit("wave"), key), F.lit(waves)) == wave) if waves > 1 else todo
-        rows = max(1, n // waves)
-        tasks = partitions or max(-(-rows // ROWS_PER_TASK), min(rows, spark.sparkContext.defaultParallelism))
-        part.repartition(tasks, key).mapInPandas(fn, schema).write.mode("append").parquet(path)
+    asked = waves if max_waves is None else min(waves, max_waves)
+    rows = max(1, n // waves)
+    tasks = partitions or -(-rows // ROWS_PER_TASK)  # of a wave
+    together = 1 if partitions else max(1, min(asked, TASKS_PER_JOB // tasks))  # waves of a job
+    if not partitions:
+        tasks = max(tasks, min(rows, -(-spark.sparkContext.defaultParallelism // together)))
+    todo = todo.withColumn("_wave", F.pmod(F.xxhash64(F.lit("wave"), key), F.lit(waves)).cast("int"))
+    if asked > together:  # a job reads its own waves only
+        todo = materialize(todo.repartitionByRange("_wave").sortWithinPartitions("_wave"))
+    for first in range(0, asked, together):
+        end = min(asked, first + together)
+        task = (F.col("_wave") - first) * tasks + F.pmod(F.xxhash64(F.lit("task"), key), F.lit(tasks)).cast("int")
+        part = todo.where((F.col("_wave") >= first) & (F.col("_wave") < end)).repartitionById((end - first) * tasks, task)
+        part.drop("_wave").mapInPandas(fn, schema).write.mode("append") \
+            .option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path)  # a task's file is final at once
     return spark.read.schema(schema).parquet(path)
 
 

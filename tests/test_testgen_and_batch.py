@@ -275,3 +275,57 @@ def test_calls_go_on_where_they_stood(spark, tmp_path):
     assert sorted(called) == sorted(f"prompt {i}" for i in range(60) if f"p{i}" not in before)
     assert batch.batch_infer(prompts, call, "1", "r", "e", **arguments).count() == 60
     assert len(list(log.iterdir())) == len(seen) + len(called)  # nothing left to call
+
+
+def test_small_waves_share_spark_jobs(spark):
+    """Ten times the waves run in as many Spark jobs and each prompt is called once, also with a budget and a bound on tasks."""
+    from evalspark.session import scratch_path
+
+    def run(n, group, **more):
+        prompts = spark.range(n).selectExpr("concat('p', id) AS prompt_id", "concat('prompt ', id % 97) AS prompt")
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            out = batch.batch_infer(prompts, lambda t: (200, '{"predictions": ["ok"]}'), "1", "r", "e", created_at="2024-01-01",
+                                    max_workers=1, results=scratch_path(spark, "waves"), rows_per_wave=10, **more)
+            jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+        return jobs, sorted(r.prompt_id for r in out.collect())
+
+    small, large = run(60, "waves-small"), run(600, "waves-large")
+    assert small[1] == sorted(f"p{i}" for i in range(60)) and large[1] == sorted(f"p{i}" for i in range(600))
+    assert large[0] <= small[0] + 2
+    budget = run(600, "waves-budget", max_waves=2)[1]
+    assert 0 < len(budget) < 100 and len(set(budget)) == len(budget)
+    assert run(60, "waves-bound", partitions=2)[1] == small[1]
+
+
+def test_waves_over_several_jobs(spark, monkeypatch):
+    monkeypatch.setattr(batch, "TASKS_PER_JOB", 4)
+    prompts = spark.range(100).selectExpr("concat('p', id % 90) AS prompt_id", "concat('prompt ', id) AS prompt")
+    out = batch.batch_infer(prompts, lambda t: (200, '{"predictions": ["ok"]}'), "1", "r", "e", rows_per_wave=9)
+    assert sorted(r.prompt_id for r in out.collect()) == sorted(f"p{i % 90}" for i in range(100))
+
+
+def test_finished_waves_of_a_broken_job_stay(spark, tmp_path):
+    """A job of many waves whose worker dies once four files are written: the next run calls only the rest."""
+    flag, path = tmp_path / "broken", tmp_path / "results"
+    flag.write_text("x")
+
+    def call(prompt):
+        import os
+
+        if os.path.exists(flag) and os.path.isdir(path) and len([f for f in os.listdir(path) if f.endswith(".parquet")]) >= 4:
+            raise SystemExit("the worker dies")
+        return 200, '{"predictions": ["%s"]}' % os.path.exists(flag)
+
+    prompts = spark.range(400).selectExpr("concat('p', id % 390) AS prompt_id", "concat('prompt ', id) AS prompt")
+    arguments = {"created_at": "2024-01-01", "max_workers": 1, "results": str(path), "rows_per_wave": 10}
+    with pytest.raises(Exception):  # noqa: B017
+        batch.batch_infer(prompts, call, "1", "r", "e", **arguments)
+    before = sorted(r._key for r in spark.read.parquet(str(path)).collect())
+    assert 0 < len(before) < 400
+    flag.unlink()
+    out = batch.batch_infer(prompts, call, "1", "r", "e", **arguments).collect()
+    assert sorted(r.prompt_id for r in out) == sorted(f"p{i % 390}" for i in range(400))
+    assert sorted(r.response_id for r in out if r.response == "True") == before  # those stayed, the others are new
