@@ -2,9 +2,12 @@
 brute-force versions, and the parts they are made of."""
 
 import collections
+import gc
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from evalspark.llm import collocations, divergence, minhash, queries
@@ -104,6 +107,83 @@ def test_packed_counts():
         assert starts[0] == 0 and all(int(s) * 7 // (1 << bits) == i for i, s in enumerate(starts))
 
 
+def sent(n_blocks, per_block, seed=11):
+    """Messages of one hash partition, as ``_marked`` gets them, and the true counts."""
+    rng = np.random.default_rng(seed)
+    known, counts, out = np.unique(rng.integers(0, 1 << 40, size=400_000, dtype=np.uint64)), collections.Counter(), []
+    for i in range(n_blocks):
+        drawn = known[(rng.random(per_block) ** 4 * len(known)).astype(np.int64)]
+        keys, times = np.unique(drawn, return_counts=True)
+        counts.update(dict(zip(keys.tolist(), times.tolist(), strict=True)))
+        out.append((0, f"b{i}", len(keys), collocations.packed(keys, times.astype(np.int64)), keys))
+    return out, counts
+
+
+class Asked:
+    """Stands in for a table whose rows one task gets."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def peak_of(work):
+    gc.collect()
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("least", [3, 30, 10**6])
+def test_marked_memory_and_answers(least):
+    """A task's memory is a few times the digests sent to it, and every digest
+    with ``least`` occurrences is marked."""
+    messages, counts = sent(60, 30_000)
+    entries = sum(m[2] for m in messages)
+    batch = pa.RecordBatch.from_arrays([pa.array([m[0] for m in messages], pa.int32()), pa.array([m[1] for m in messages]),
+                                        pa.array([m[2] for m in messages], pa.int32()), pa.array([m[3] for m in messages], pa.binary())],
+                                       ["part", "block", "n", "data"])
+    run = collocations._marked(Asked(), least)
+    out, peak = peak_of(lambda: [tuple(row.values()) for b in run(iter([batch])) for row in b.to_pylist()])
+    assert peak < 48 * entries
+    assert [r[:3] for r in out] == [(m[1], 0, m[2]) for m in messages]
+    for (*_, keys), (*_, n, mask) in zip(messages, out, strict=True):
+        bits = np.unpackbits(np.frombuffer(mask, dtype=np.uint8), count=n).astype(bool)
+        frequent = np.array([counts[k] >= least for k in keys.tolist()])
+        assert bits[frequent].all()
+        if least == 10**6:
+            assert not bits.any()
+
+
+def test_block_memory_and_counts():
+    """Counting the marked n-grams of a block takes a bounded number of bytes each."""
+    rng = np.random.default_rng(2)
+    words = [b"w%d" % i for i in range(20_000)]
+    tokens = (rng.random(200_000) ** 3 * len(words)).astype("<u4") + np.uint32(1)
+    tokens[rng.random(len(tokens)) < 0.05] = 0
+    tokens[-1] = 0
+    stored = (["en"], np.array([len(tokens)], dtype="<u4").tobytes(), b"\n".join([b".", *words]), tokens.tobytes())
+    plain = collocations._Block(*stored, 4, 40, False)
+
+    def work():
+        block = collocations._Block(*stored, 4, 40, True)
+        assert (block.keys == plain.keys).all()
+        return [(r["words"], r["phrase"], r["n"]) for b in block.marked(plain.times >= 3) for r in b.to_pylist()]
+
+    def memory():
+        return sum(b.num_rows for b in collocations._Block(*stored, 4, 40, True).marked(plain.times >= 3))
+
+    assert peak_of(memory)[1] < 48 * int(plain.times.sum())
+    expected = collections.Counter()
+    for piece in " ".join("." if t == 0 else f"w{t - 1}" for t in tokens.tolist()).split("."):
+        ws = piece.split()
+        for k in range(1, 5):
+            expected.update((k, " ".join(ws[i : i + k])) for i in range(len(ws) - k + 1))
+    assert sorted(work()) == sorted((k, g, n) for (k, g), n in expected.items() if n >= 3)
+
+
 # --- near duplicates --------------------------------------------------------
 
 
